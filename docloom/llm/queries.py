@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.bpe import encode_decode
+from docloom.llm import quality, urls
+from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.packing import pack_sequences
 
 
@@ -29,5 +31,23 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_packing": op1_packing, "op5_bpe": op5_bpe}
-ORACLE_SQL: dict[str, str] = {}
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_bpe": op5_bpe,
+    "op9_urls": op9_urls,
+}
+ORACLE_SQL: dict[str, str] = {"op2_quality": quality.ORACLE_SQL, "op9_urls": urls.ORACLE_SQL}
