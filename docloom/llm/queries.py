@@ -11,6 +11,7 @@ from docloom.llm.bpe import encode_decode
 from docloom.llm import quality, urls
 from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.packing import pack_sequences
+from docloom.llm.suffixes import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,17 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -48,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_fingerprints": op4_fingerprints,
     "op5_bpe": op5_bpe,
+    "op7_suffixes": op7_suffixes,
     "op9_urls": op9_urls,
 }
 ORACLE_SQL: dict[str, str] = {"op2_quality": quality.ORACLE_SQL, "op9_urls": urls.ORACLE_SQL}
