@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.llm.bpe import encode_decode
 from docloom.llm import quality, urls
 from docloom.llm.fingerprints import fingerprint_documents
+from docloom.llm.near import near_components
 from docloom.llm.packing import pack_sequences
 from docloom.llm.suffixes import remove_repeats
 
@@ -51,6 +52,10 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_bpe": op5_bpe,
     "op7_suffixes": op7_suffixes,
+    "op8_near": op8_near,
     "op9_urls": op9_urls,
 }
 ORACLE_SQL: dict[str, str] = {"op2_quality": quality.ORACLE_SQL, "op9_urls": urls.ORACLE_SQL}

@@ -42,20 +42,25 @@ def drop_table(df: DataFrame) -> None:
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def with_uid(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def with_uid(df: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
     """Rows as (uid long, doc_id, text string): uid is unique, not null, and ordered as doc_id.
 
     Where id_col has neither nulls nor repeats it is the uid. Otherwise each row is a document of its
     own: rows are ordered by (id, nulls first; text) with a range shuffle and numbered; whole
-    repeats stand beside each other in any order, which no result can show.
+    repeats stand beside each other in any order, which no result can show. With carry, a column row
+    holds all columns of df, null texts and clashing names as they were.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = rows.select("doc_id").groupBy("doc_id").count()
+    rows = df.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []),
+    )
+    ids = rows.groupBy("doc_id").count()
     odd = ids.where("doc_id is null or count > 1").limit(1).count()
     if not odd:
-        return rows.select(F.col("doc_id").alias("uid"), "doc_id", "text")
+        return rows.select(F.col("doc_id").alias("uid"), "*")
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text"
+        F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text"
     )
-    return materialise(ranged.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), "uid")
+    return materialise(ranged.select(F.monotonically_increasing_id().alias("uid"), "*"), "uid")
