@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from docloom.llm.bpe import encode_decode
 from docloom.llm import quality, urls
 from docloom.llm.fingerprints import fingerprint_documents
+from docloom.llm.html import extract_main_text
+from docloom.llm.lines import dedup_lines
 from docloom.llm.near import near_components
 from docloom.llm.packing import pack_sequences
 from docloom.llm.suffixes import remove_repeats
@@ -37,10 +39,18 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(table(spark, sf_dir, "documents"))
     return left.select(
@@ -63,8 +73,10 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
+    "op3_lines": op3_lines,
     "op4_fingerprints": op4_fingerprints,
     "op5_bpe": op5_bpe,
+    "op6_html": op6_html,
     "op7_suffixes": op7_suffixes,
     "op8_near": op8_near,
     "op9_urls": op9_urls,
