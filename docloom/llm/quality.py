@@ -130,6 +130,13 @@ def quality_rules(
     )
 
 
+def keep_good(docs: DataFrame, *, rules: list[Rule] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that the base rules and the cascade keep."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col(text_col).alias("_t"))
+    judged = quality_rules(whole, rules=rules, text_col="_t")
+    return judged.where("kept").select(*[F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns])
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.bpe import encode_decode
-from docloom.llm import quality, urls
+from docloom.llm import licenses, quality, urls
 from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.html import extract_main_text
 from docloom.llm.lines import dedup_lines
@@ -70,6 +70,11 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "place", "license", F.round("dice", 6).alias("dice"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -80,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffixes": op7_suffixes,
     "op8_near": op8_near,
     "op9_urls": op9_urls,
+    "op10_licenses": op10_licenses,
 }
-ORACLE_SQL: dict[str, str] = {"op2_quality": quality.ORACLE_SQL, "op9_urls": urls.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_quality": quality.ORACLE_SQL, "op9_urls": urls.ORACLE_SQL, "op10_licenses": licenses.oracle_sql()}

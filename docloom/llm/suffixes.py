@@ -252,43 +252,54 @@ def window_rows(depth: int):
     return task
 
 
-def cut_spans(batches):
-    """Spans of each document joined, and its bytes without them."""
-    for batch in batches:
-        rows = {"doc_id": batch.column(0), "n_bytes": [], "n_removed": [], "spans": [], "kept": []}
-        for text, spans in zip(batch.column(1), batch.column(2)):
-            data = text.as_buffer().to_pybytes()
-            runs: list[list[int]] = []
-            if spans.is_valid:
-                v = spans.values
-                for lo, end in sorted(zip(v.field("lo").to_pylist(), v.field("hi").to_pylist())):
-                    if runs and lo <= runs[-1][1]:
-                        runs[-1][1] = max(end, runs[-1][1])
-                    else:
-                        runs.append([lo, end])
-            kept, at = [], 0
-            for lo, end in runs:
-                kept.append(data[at:lo])
-                at = end
-            kept.append(data[at:])
-            rows["n_bytes"].append(len(data))
-            rows["n_removed"].append(sum(b - a for a, b in runs))
-            rows["spans"].append([{"start": a, "end": b} for a, b in runs])
-            rows["kept"].append(b"".join(kept))
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows["doc_id"],
-                pa.array(rows["n_bytes"], pa.int64()),
-                pa.array(rows["n_removed"], pa.int64()),
-                pa.array(rows["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                pa.array(rows["kept"], pa.binary()),
-            ],
-            names=list(rows),
-        )
+def cut_spans(carry: bool):
+    """Spans of each document joined, and its bytes without them; with carry also as text, and the row."""
+
+    def task(batches):
+        for batch in batches:
+            n_bytes, n_removed, all_spans, left = [], [], [], []
+            for text, spans in zip(batch.column(1), batch.column(2)):
+                data = text.as_buffer().to_pybytes()
+                runs: list[list[int]] = []
+                if spans.is_valid:
+                    v = spans.values
+                    for lo, end in sorted(zip(v.field("lo").to_pylist(), v.field("hi").to_pylist())):
+                        if runs and lo <= runs[-1][1]:
+                            runs[-1][1] = max(end, runs[-1][1])
+                        else:
+                            runs.append([lo, end])
+                kept, at = [], 0
+                for lo, end in runs:
+                    kept.append(data[at:lo])
+                    at = end
+                kept.append(data[at:])
+                n_bytes.append(len(data))
+                n_removed.append(sum(b - a for a, b in runs))
+                all_spans.append([{"start": a, "end": b} for a, b in runs])
+                left.append(b"".join(kept))
+            columns = {
+                "doc_id": batch.column(0),
+                "n_bytes": pa.array(n_bytes, pa.int64()),
+                "n_removed": pa.array(n_removed, pa.int64()),
+                "spans": pa.array(all_spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                "kept": pa.array(left, pa.binary()),
+            }
+            if carry:
+                columns["text"] = pa.array([x.decode("utf-8", "ignore") for x in left], pa.string())
+                columns["row"] = batch.column(3)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return task
 
 
 def remove_repeats(
-    docs: DataFrame, *, depth: int = 100, anchor: int = 40, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    *,
+    depth: int = 100,
+    anchor: int = 40,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
     """Remove each byte covered by a depth-byte string that also starts earlier.
 
@@ -296,7 +307,8 @@ def remove_repeats(
     never cross documents, strings are judged on the input and not on what is left.
 
     Columns: doc_id, n_bytes, n_removed, spans (array of start, end: maximal removed runs), kept
-    (binary: the remaining UTF-8 bytes). See the module for the method. Strings are told apart by
+    (binary: the remaining UTF-8 bytes), with carry text (kept without cut
+    characters) and row, a struct of all input columns. See the module for the method. Strings are told apart by
     128 bits of hash (anchor and run, or xxh3 of the window).
 
     Null texts count as empty and texts under depth bytes lose nothing. Null ids come before all
@@ -305,7 +317,8 @@ def remove_repeats(
     """
     if not 1 < anchor < depth:
         raise ValueError("anchor must lie between 1 and depth")
-    rows = with_uid(docs, id_col, text_col).where("uid is not null")
+    rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
+    kept = ["row"] if carry else []
     local = rows.select("uid", "text").mapInArrow(grouped_runs(depth, anchor), ROWS)
     alike = Window.partitionBy("key", F.col("kind") >= SPAN)
     first = F.struct("uid", "lo")
@@ -329,7 +342,7 @@ def remove_repeats(
     )
     needs = found.where(F.col("verdict") == NEED).groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("needs"))
     # The columns of the last join, so that both read one exchange of the texts.
-    windows = rows.join(needs, "uid").select("uid", "text", "needs", "doc_id").mapInArrow(window_rows(depth), ROWS)
+    windows = rows.join(needs, "uid").select("uid", "text", "needs", "doc_id", *kept).mapInArrow(window_rows(depth), ROWS)
     equal = Window.partitionBy("key", "run", "kind")
     repeats = windows.select("kind", "uid", "lo", "hi", F.min(first).over(equal).alias("head")).select(
         "uid",
@@ -343,4 +356,5 @@ def remove_repeats(
         .groupBy("uid")
         .agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     )
-    return rows.join(spans, "uid", "left").select("doc_id", "text", "spans").mapInArrow(cut_spans, RESULT)
+    schema = RESULT + (", text string, row " + rows.schema["row"].dataType.simpleString() if carry else "")
+    return rows.join(spans, "uid", "left").select("doc_id", "text", "spans", *kept).mapInArrow(cut_spans(carry), schema)
