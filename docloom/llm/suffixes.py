@@ -10,7 +10,9 @@ exactly the repeated windows. Passes, most significant digit first:
    for each run of windows. Anchors that occur once leave.
 2. Runs with the same anchor are grouped by all bytes they cover. If every run of an anchor is equal,
    the runs after the first are repeats as a whole.
-3. Only where an anchor has different runs are their windows compared one by one, at full depth.
+3. Where an anchor has different runs, each is cut into blocks of windows at fixed distances from the
+   anchor, and blocks are grouped by the bytes that all their windows share, then by all they cover.
+4. Only where blocks differ there are their windows compared one by one, at full depth.
 
 Each task first does all this for its own rows, and sends on one row for each digit, so a passage that
 stands in a third of all documents costs a row a task and not a row a document.
@@ -32,9 +34,13 @@ GROUP = 32 << 20
 U = np.uint64
 LOW = U((1 << 21) - 1)
 
+#: Windows of a block of pass 3.
+STEP = 8
 LONE, MARK, SPAN, NEED = 1, 2, 3, 4
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
-ROWS = "kind int, key long, run long, uid long, lo int, hi int"
+#: place packs the first window's start (from bit 24), the number of windows after it (9 bits), the anchor's
+#: distance from it (9 bits) and the kind (3 bits); run is the end of a span, else a hash of the bytes covered.
+ROWS = "key long, run long, uid long, place long"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -75,7 +81,8 @@ class Runs:
         self.first, self.second = Rolling(1, BLOCK + 2 * depth + 2), Rolling(2, BLOCK + 2 * depth + 2)
 
     def of(self, pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-        """(piece, lo, hi, anchor hash, hash of the bytes covered) of each run; windows start at lo to hi."""
+        """(piece, lo, hi, anchor's distance from lo, its hash, hash of the bytes covered) of each run of
+        windows that start at lo to hi."""
         depth, k, wide = self.depth, self.k, self.depth - self.k + 1
         data = np.frombuffer(b"".join(pieces), np.uint8)
         lens = np.array([len(p) for p in pieces])
@@ -94,7 +101,7 @@ class Runs:
         start = np.flatnonzero(np.repeat(ends, lens)[: len(least)] - at >= depth)
         if not len(start):
             e = np.zeros(0, np.int64)
-            return e, e, e, e.astype(np.uint64), e.astype(np.uint64)
+            return e, e, e, e, e.astype(np.uint64), e.astype(np.uint64)
         anchor = (least[start] & LOW).astype(np.int64)
         cut = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(start) != 1)) + 1
         lo, hi = start[np.r_[0, cut]], start[np.r_[cut - 1, len(start) - 1]]
@@ -102,7 +109,7 @@ class Runs:
         run = self.second.between(s2, lo, hi + depth) ^ mix((anchor - lo).astype(np.uint64) * U(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64))
         piece = np.searchsorted(ends, lo, side="right")
         first = (ends - lens)[piece]
-        return piece, lo - first, hi - first, keys[anchor], mix(run)
+        return piece, lo - first, hi - first, anchor - lo, keys[anchor], mix(run)
 
 
 def merged(uid: np.ndarray, lo: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,27 +124,47 @@ def merged(uid: np.ndarray, lo: np.ndarray, end: np.ndarray) -> tuple[np.ndarray
     return uid[st], lo[st], np.maximum.reduceat(end, st)
 
 
-def out_batch(kind, key, run, uid, lo, hi) -> pa.RecordBatch:
+def out_batch(kind: int, key, run, uid, lo, count=0, at=0) -> pa.RecordBatch:
     n = len(uid)
-    full = lambda x, t: np.full(n, x, t) if np.isscalar(x) else x
-    as_long = lambda x: full(x, np.int64).view(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(full(kind, np.int32)),
-            pa.array(as_long(key)),
-            pa.array(as_long(run)),
-            pa.array(uid.astype(np.int64)),
-            pa.array(full(lo, np.int32).astype(np.int32)),
-            pa.array(full(hi, np.int32).astype(np.int32)),
-        ],
-        names=["kind", "key", "run", "uid", "lo", "hi"],
-    )
+    long = lambda x: np.full(n, x, np.int64) if np.isscalar(x) else x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
+    place = (long(lo) << 24) | (long(count) << 12) | (long(at) << 3) | kind
+    return pa.RecordBatch.from_arrays([pa.array(long(x)) for x in (key, run, uid, place)], names=["key", "run", "uid", "place"])
 
 
 def batches_of(n: int, most: int = 50_000):
     return [slice(a, min(n, a + most)) for a in range(0, n, most)]
 
 
+def compared(uid, lo, hi, at, key, run, depth: int):
+    """Rows of a task's runs: repeats become spans at once, what may have more equals is sent on.
+
+    All by document and place; a key with one run is sent as it is, one with several as a mark and its runs
+    as needs. Rows that only pass through get keys of their own, spread by document and place.
+    """
+    spread = lambda u, a: mix(u.astype(np.uint64) * U(0x9E3779B97F4A7C15) + a.astype(np.uint64))
+    o = np.lexsort((run, key))  # stable: documents and places stay in order
+    uid, lo, hi, at, key, run = uid[o], lo[o], hi[o], at[o], key[o], run[o]
+    again = np.zeros(len(uid), bool)
+    again[1:] = (key[1:] == key[:-1]) & (run[1:] == run[:-1])
+    spans = merged(uid[again], lo[again], hi[again] + depth)
+    uid, lo, hi, at, key, run = (x[~again] for x in (uid, lo, hi, at, key, run))
+    heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    count = np.diff(np.r_[heads, len(key)])
+    several = np.repeat(count > 1, count)
+    marks = key[heads[count > 1]]
+    for part in batches_of(len(spans[0])):
+        u, a, b = (x[part] for x in spans)
+        yield out_batch(SPAN, spread(u, a), b, u, a)
+    for part in batches_of(len(marks)):
+        yield out_batch(MARK, marks[part], 0, np.zeros(len(marks[part]), np.int64), 0)
+    for which, kind in ((~several, LONE), (several, NEED)):
+        u, a, b, d, q, r = (x[which] for x in (uid, lo, hi, at, key, run))
+        if kind == NEED:
+            q, r = spread(u, a), np.zeros(len(u), np.int64)
+        for part in batches_of(len(u)):
+            yield out_batch(kind, q[part], r[part], u[part], a[part], (b - a)[part], d[part])
+
+
 def grouped_runs(depth: int, k: int):
     """Passes 1 and 2 within a task."""
 
@@ -148,9 +175,9 @@ def grouped_runs(depth: int, k: int):
         def hash_block():
             nonlocal pieces, owner, base, size
             if sum(map(len, pieces)) >= depth:
-                piece, lo, hi, key, run = runs.of(pieces)
+                piece, lo, hi, at, key, run = runs.of(pieces)
                 shift = np.array(base)[piece]
-                found.append((np.array(owner)[piece], lo + shift, hi + shift, key, run))
+                found.append((np.array(owner)[piece], lo + shift, hi + shift, at, key, run))
             pieces, owner, base, size = [], [], [], 0
 
         for uid, data in docs:
@@ -165,31 +192,8 @@ def grouped_runs(depth: int, k: int):
                 base.append(a)
                 size += len(part)
         hash_block()
-        if not found:
-            return
-        uid, lo, hi, key, run = (np.concatenate(x) for x in zip(*found))
-        o = np.lexsort((run, key))  # stable: documents and places stay in order
-        uid, lo, hi, key, run = uid[o], lo[o], hi[o], key[o], run[o]
-        again = np.zeros(len(uid), bool)
-        again[1:] = (key[1:] == key[:-1]) & (run[1:] == run[:-1])
-        spans = merged(uid[again], lo[again], hi[again] + depth)
-        uid, lo, hi, key, run = (x[~again] for x in (uid, lo, hi, key, run))
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        count = np.diff(np.r_[heads, len(key)])
-        several = np.repeat(count > 1, count)
-        marks = key[heads[count > 1]]
-        # Rows that only pass through get keys of their own, spread by document and place.
-        for part in batches_of(len(spans[0])):
-            u, a, b = (x[part] for x in spans)
-            yield out_batch(SPAN, mix(u.astype(np.uint64) + a.astype(np.uint64)), 0, u, a, b)
-        for part in batches_of(len(marks)):
-            yield out_batch(MARK, marks[part], 0, np.zeros(len(marks[part]), np.int64), 0, 0)
-        for which, kind in ((~several, LONE), (several, NEED)):
-            u, a, b, q, r = (x[which] for x in (uid, lo, hi, key, run))
-            if kind == NEED:
-                q = mix(u.astype(np.uint64) + a.astype(np.uint64))
-            for part in batches_of(len(u)):
-                yield out_batch(kind, q[part], r[part], u[part], a[part], b[part])
+        if found:
+            yield from compared(*(np.concatenate(x) for x in zip(*found)), depth)
 
     def task(batches):
         runs, docs, size = Runs(depth, k), [], 0
@@ -206,8 +210,42 @@ def grouped_runs(depth: int, k: int):
     return task
 
 
+def block_rows(depth: int):
+    """Pass 3 within a task: blocks of the runs asked for. A block's windows start STEP * n to
+    STEP * n + STEP - 1 bytes before the anchor; those of its run that exist are compared."""
+
+    def compare(rows: list, keys: list, runs: list):
+        if rows:
+            uid, lo, hi = np.array(rows, np.int64).T
+            key, run = (np.frombuffer(b"".join(x), np.uint64) for x in (keys, runs))
+            o = np.lexsort((lo, uid))
+            yield from compared(uid[o], lo[o], hi[o], np.zeros(len(o), np.int64), key[o], run[o], depth)
+
+    def task(batches):
+        rows, keys, runs = [], [], []
+        for batch in batches:
+            for uid, text, needs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                data = text.as_buffer().to_pybytes()
+                v = needs.values
+                for lo, hi, at in zip(v.field("lo").to_pylist(), v.field("hi").to_pylist(), v.field("at").to_pylist()):
+                    anchor = lo + at
+                    for n in range((anchor - hi) // STEP, at // STEP + 1):
+                        near = anchor - STEP * n
+                        first, last = max(lo, near - STEP + 1), min(hi, near)
+                        # What all windows of a whole block share, and where it stands to the anchor.
+                        keys.append(xxhash.xxh3_64_digest(data[near : near - STEP + 1 + depth], n))
+                        runs.append(xxhash.xxh3_64_digest(data[first : last + depth], (near - first) * STEP + last - first))
+                        rows.append((uid, first, last))
+                if len(rows) >= 500_000:
+                    yield from compare(rows, keys, runs)
+                    rows, keys, runs = [], [], []
+        yield from compare(rows, keys, runs)
+
+    return task
+
+
 def window_rows(depth: int):
-    """Pass 3 within a task: windows of the runs asked for, by a 128-bit hash of their bytes."""
+    """Pass 4 within a task: windows of the blocks asked for, by a 128-bit hash of their bytes."""
 
     def compare(uid: list, at: list, digests: list):
         if not uid:
@@ -221,17 +259,10 @@ def window_rows(depth: int):
         spans = merged(u[again], p[again], p[again] + depth)
         for part in batches_of(len(spans[0])):
             a, b, c = (x[part] for x in spans)
-            yield out_batch(SPAN, mix(a.astype(np.uint64) + b.astype(np.uint64)), 0, a, b, c)
+            yield out_batch(SPAN, mix(a.astype(np.uint64) + b.astype(np.uint64)), c, a, b)
         u, p, w = u[~again], p[~again], w[~again]
         for part in batches_of(len(u)):
-            yield out_batch(
-                LONE,
-                np.ascontiguousarray(w[part, 0]),
-                np.ascontiguousarray(w[part, 1]),
-                u[part],
-                p[part],
-                p[part],
-            )
+            yield out_batch(LONE, np.ascontiguousarray(w[part, 0]), np.ascontiguousarray(w[part, 1]), u[part], p[part])
 
     def task(batches):
         uid, at, digests = [], [], []
@@ -292,6 +323,44 @@ def cut_spans(carry: bool):
     return task
 
 
+def unpacked(rows: DataFrame) -> DataFrame:
+    """uid, key, run and kind, lo, count, at from place."""
+    bits = lambda shift, n: F.shiftright("place", shift).bitwiseAND((1 << n) - 1).cast("int")
+    return rows.select(
+        "key", "run", "uid", bits(0, 3).alias("kind"), bits(3, 9).alias("at"), bits(12, 9).alias("count"),
+        F.shiftright("place", 24).cast("int").alias("lo"),
+    )
+
+
+def told_apart(rows: DataFrame, depth: int) -> DataFrame:
+    """Across tasks: (verdict, uid, lo, hi, at). Spans pass, needs pass; of a key with one run only, all but
+    the first are spans; the runs of a key with several become needs. hi: a span's end, else the last window."""
+    rows = unpacked(rows)
+    alike = Window.partitionBy("key", F.col("kind") >= SPAN)
+    lone, first = F.col("kind") == LONE, F.struct("uid", "lo")
+    told = rows.select(
+        "*",
+        F.min(F.when(lone, F.col("run"))).over(alike).alias("least"),
+        F.max(F.when(lone, F.col("run"))).over(alike).alias("most"),
+        F.max("kind").over(alike).alias("top"),
+        F.min(F.when(lone, first)).over(alike).alias("head"),
+    )
+    differ = (F.col("least") != F.col("most")) | (F.col("top") == MARK)
+    verdict = (
+        F.when(F.col("kind") >= SPAN, F.col("kind"))
+        .when(lone & differ, F.lit(NEED))
+        .when(lone & (first != F.col("head")), F.lit(SPAN))
+    )
+    last = F.col("lo") + F.col("count")
+    hi = F.when(F.col("kind") == SPAN, F.col("run").cast("int")).when(lone & ~differ, last + depth).otherwise(last)
+    return told.select(verdict.alias("verdict"), "uid", "lo", hi.alias("hi"), "at").where("verdict is not null")
+
+
+def asked(found: DataFrame) -> DataFrame:
+    needs = F.collect_list(F.struct("lo", "hi", "at")).alias("needs")
+    return found.where(F.col("verdict") == NEED).groupBy("uid").agg(needs)
+
+
 def remove_repeats(
     docs: DataFrame,
     *,
@@ -315,42 +384,29 @@ def remove_repeats(
     others; rows that share an id are documents of their own in the order of their texts. An empty
     table gives no rows. Other columns are not read.
     """
-    if not 1 < anchor < depth:
-        raise ValueError("anchor must lie between 1 and depth")
+    if not 1 < anchor < depth - STEP or depth > 500:
+        raise ValueError("anchor must lie between 1 and depth - STEP, depth is at most 500")
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     kept = ["row"] if carry else []
     local = rows.select("uid", "text").mapInArrow(grouped_runs(depth, anchor), ROWS)
-    alike = Window.partitionBy("key", F.col("kind") >= SPAN)
+    runs = materialise(told_apart(local, depth), "runs")
+    # The columns of the last join in each, so that all three read one exchange of the texts.
+    of_runs = rows.join(asked(runs), "uid").select("uid", "text", "needs", "doc_id", *kept)
+    blocks = told_apart(of_runs.mapInArrow(block_rows(depth), ROWS), depth)
+    of_blocks = rows.join(asked(blocks), "uid").select("uid", "text", "needs", "doc_id", *kept)
+    windows = unpacked(of_blocks.mapInArrow(window_rows(depth), ROWS))
+    equal = Window.partitionBy("key", "run", F.col("kind") == SPAN)
     first = F.struct("uid", "lo")
-    told = local.select(
-        "*",
-        F.min(F.when(F.col("kind") == LONE, F.col("run"))).over(alike).alias("least"),
-        F.max(F.when(F.col("kind") == LONE, F.col("run"))).over(alike).alias("most"),
-        F.max("kind").over(alike).alias("top"),
-        F.min(F.when(F.col("kind") == LONE, first)).over(alike).alias("head"),
-    )
-    differ = (F.col("least") != F.col("most")) | (F.col("top") == MARK)
-    verdict = (
-        F.when(F.col("kind") >= SPAN, F.col("kind"))
-        .when(F.col("kind") == MARK, F.lit(None))
-        .when(differ, F.lit(NEED))
-        .when(first != F.col("head"), F.lit(SPAN))
-    )
-    end = F.when((F.col("kind") == LONE) & ~differ, F.col("hi") + depth).otherwise(F.col("hi"))
-    found = materialise(
-        told.select(verdict.alias("verdict"), "uid", "lo", end.alias("hi")).where("verdict is not null"), "runs"
-    )
-    needs = found.where(F.col("verdict") == NEED).groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("needs"))
-    # The columns of the last join, so that both read one exchange of the texts.
-    windows = rows.join(needs, "uid").select("uid", "text", "needs", "doc_id", *kept).mapInArrow(window_rows(depth), ROWS)
-    equal = Window.partitionBy("key", "run", "kind")
-    repeats = windows.select("kind", "uid", "lo", "hi", F.min(first).over(equal).alias("head")).select(
+    repeats = windows.select("kind", "run", "uid", "lo", F.min(first).over(equal).alias("head")).select(
         "uid",
         "lo",
-        F.when(F.col("kind") == SPAN, F.col("hi")).when(first != F.col("head"), F.col("lo") + depth).alias("hi"),
+        F.when(F.col("kind") == SPAN, F.col("run").cast("int"))
+        .when(first != F.col("head"), F.col("lo") + depth)
+        .alias("hi"),
     )
     spans = (
-        found.where(F.col("verdict") == SPAN)
+        runs.unionByName(blocks)
+        .where(F.col("verdict") == SPAN)
         .select("uid", "lo", "hi")
         .unionByName(repeats.where("hi is not null"))
         .groupBy("uid")
