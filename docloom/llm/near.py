@@ -202,6 +202,88 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+#: Documents of a block of one leader's followers.
+FOLLOWERS = 4096
+
+
+def across(led: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between components, among the followers of each leader; see near_components(), step 3."""
+    root_of = roots.select(F.col("node").alias("u"), "root")
+    lead_root = roots.select(F.col("node").alias("v"), F.col("root").alias("lead_root"))
+    both = led.select("u", "v").unionByName(led.select(F.col("v").alias("u"), "v").distinct())
+    both = (
+        both.join(root_of, "u", "left").join(lead_root, "v", "left")
+        .select("v", "u", F.coalesce("root", "u").alias("root"), F.coalesce("lead_root", "v").alias("lead_root"))
+        .withColumn("out", F.col("root") != F.col("lead_root"))
+    )
+    both = materialise(both, "followers")
+    sizes = both.groupBy("v").agg(F.count_if("out").alias("n_out"), F.count("*").alias("n")).where("n_out > 0 and n > 2")
+    parts = sizes.select(
+        "v",
+        F.ceil(F.col("n_out") / FOLLOWERS).cast("int").alias("outs"),
+        F.ceil(F.col("n") / FOLLOWERS).cast("int").alias("alls"),
+    )
+    steps = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    block = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "u"), F.col(n)).cast("int")
+    dealt = both.join(parts, "v")
+    # Every follower stands in one block against all blocks of outsiders; an outsider also the other way.
+    every = dealt.select("v", "u", "root", F.explode(steps("outs")).alias("i"), block("alls", 1).alias("j"), F.lit(0).alias("side"))
+    outer = dealt.where("out").select("v", "u", "root", block("outs", 2).alias("i"), F.explode(steps("alls")).alias("j"), F.lit(1).alias("side"))
+    rows = every.unionByName(outer).withColumnRenamed("u", "uid").join(sets, "uid")
+    rows = rows.withColumn("cell", F.xxhash64("v", "i", "j")).select("cell", "side", "uid", "root", "shingles")
+    sorted_rows = rows.repartition("cell").sortWithinPartitions("cell", "side", "uid")
+    return sorted_rows.mapInArrow(linked(percent), "u long, v long").distinct()
+
+
+def linked(percent: int):
+    """For rows sorted by cell and side: links of side 1 to side 0, one for each two components that it joins."""
+
+    def cell(uid: np.ndarray, root: np.ndarray, side: np.ndarray, lists: list[np.ndarray]):
+        n = int((side == 0).sum())
+        held, own = np.concatenate(lists[:n]) if n else np.zeros(0, np.int64), np.repeat(np.arange(n), [len(x) for x in lists[:n]])
+        order = np.argsort(held, kind="stable")
+        held, own = held[order], own[order]
+        size = np.array([len(x) for x in lists])
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for k in range(n, len(uid)):
+            a, b = np.searchsorted(held, lists[k], "left"), np.searchsorted(held, lists[k], "right")
+            both = np.zeros(n, np.int64)
+            span = b - a
+            if span.any():
+                at = np.repeat(a - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+                both = np.bincount(own[at], minlength=n)
+            for m in np.flatnonzero((100 * both >= percent * (size[k] + size[:n] - both)) & (uid[:n] != uid[k])):
+                x, y = top(int(root[k])), top(int(root[m]))
+                if x != y:
+                    parent[x] = y
+                    yield int(uid[k]), int(uid[m])
+
+    def task(batches):
+        last, rows, found = None, [], []
+        flush = lambda: list(cell(*(np.array(x) for x in list(zip(*rows))[:3]), [r[3] for r in rows])) if rows else []
+        for batch in batches:
+            cells, sides, uids, roots = (batch.column(c).to_pylist() for c in range(4))
+            for k in range(batch.num_rows):
+                if cells[k] != last:
+                    found += flush()
+                    rows, last = [], cells[k]
+                rows.append((uids[k], roots[k], sides[k], batch.column(4)[k].values.to_numpy()))
+            if found:
+                yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
+                found = []
+        found += flush()
+        if found:
+            yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
+
+    return task
+
+
 def near_components(
     docs: DataFrame,
     *,
@@ -223,11 +305,12 @@ def near_components(
     linked with nothing. Two documents are linked if 100 * |A and B| >= percent * |A or B|.
 
     1. Sketch every set; documents with equal sets become a class with one representative.
-    2. Band: representatives that share a band fall in a bucket. In each, all are paired with the
-       member that shares most bands overall, a row each; pairs with two bands or more in common are
-       verified on whole sets. Two sets at 75 % share fewer than two of 48 bands with probability 3e-7.
-    3. Where a bucket still holds several components, pairs across components with two such bands in
-       common are verified too, so no link between components is lost.
+    2. Band: representatives that share a band fall in a bucket, led by the member that shares most bands
+       overall. All are paired with their leaders, a row each, and pairs with two bands or more in common
+       are verified on whole sets. Two sets at 75 % share fewer than two of 48 bands with probability 3e-7.
+    3. Two sets that share a bucket share its leader. So of each leader's followers those that are not in
+       its component are compared with all the others, exactly and in blocks of a bounded size, and links
+       between components are kept: none is lost, and no pair leaves a task that isn't a link.
     4. Components by stars over the links; every member takes its class's component.
 
     Nothing is capped. Null texts count as empty. Null ids come first, rows that share an id are
@@ -255,13 +338,13 @@ def near_components(
         .agg(F.max(F.struct("score", (-F.col("uid")).alias("uid"), "n_shingles")).alias("lead"))
         .select("band", (-F.col("lead.uid")).alias("v"), F.col("lead.n_shingles").alias("m"))
     )
-    alike = F.col("n_shingles") * 100 >= F.col("m") * percent
-    alike &= F.col("m") * 100 >= F.col("n_shingles") * percent
-    stars = materialise(
-        shared.join(lead, "band").where((F.col("uid") != F.col("v")) & alike)
-        .groupBy(F.col("uid").alias("u"), "v").count().where("count > 1").select("u", "v"),
-        "stars",
+    led = materialise(
+        shared.join(lead, "band").where(F.col("uid") != F.col("v"))
+        .groupBy(F.col("uid").alias("u"), "v").agg(F.count("*").alias("bands"), F.first("n_shingles").alias("n"), F.first("m").alias("m")),
+        "led",
     )
+    alike = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
+    stars = led.where(alike & (F.col("bands") > 1)).select("u", "v")
     wanted = shared.select("uid").distinct()
     sets = materialise(
         base.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(whole_sets(words), "uid long, shingles array<long>"),
@@ -269,29 +352,7 @@ def near_components(
     )
     links = materialise(verified(stars, sets, percent), "verified")
     roots = components(links)
-    part = shared.join(roots, F.col("uid") == F.col("node"), "left").select(
-        "band", "uid", "n_shingles", F.coalesce("root", "uid").alias("root")
-    )
-    mixed = part.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    part = materialise(part.join(mixed, "band"), "mixed")
-    own = part.groupBy("uid", "n_shingles", "root").agg(F.sort_array(F.collect_set("band")).alias("own"))
-    twice = own.select(
-        "uid",
-        "n_shingles",
-        "root",
-        F.explode(
-            F.expr("flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> xxhash64(x, y))))")
-        ).alias("two"),
-    )
-    other = twice.select("two", F.col("uid").alias("v"), F.col("n_shingles").alias("m"), F.col("root").alias("r"))
-    across = (
-        twice.join(other, "two")
-        .where((F.col("uid") > F.col("v")) & (F.col("root") != F.col("r")) & alike)
-        .select(F.col("uid").alias("u"), "v")
-        .distinct()
-        .join(stars, ["u", "v"], "left_anti")
-    )
-    more = materialise(verified(across, sets, percent), "verified")
+    more = materialise(across(led, roots, sets, percent), "across")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     placed_in = members.join(roots, F.col("rep") == F.col("node"), "left").select(
