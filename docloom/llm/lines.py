@@ -17,7 +17,11 @@ BUCKETS = 1 << 14
 GROUP = 16 << 20
 CHUNK = 200_000
 PAIR, TOKEN = 0, 1
-ROWS = "kind int, token long, uid long, line int, size int, place int, set_hash long, bits long, other long, other_line int"
+#: Counters of round 2's filter, one bit each.
+FILTER_BITS = 1 << 23
+#: meta packs the line (from bit 32) and 32 bits of the set's hash; fill packs the number of tokens (from bit
+#: 32), the token's place (from bit 2) and the kind. Of a pair, token and bits are the other line.
+ROWS = "token long, bits long, uid long, meta long, fill long"
 NAMES = [x.split()[0] for x in ROWS.split(", ")]
 
 
@@ -86,18 +90,19 @@ def distinct_by_rarity(tokens: LineTokens, rows: list[tuple[int, bytes]], counts
     return doc[new], line[new], word[new]
 
 
-def batch(n: int, **columns) -> pa.RecordBatch:
-    out = []
-    for name, kind in (x.split() for x in ROWS.split(", ")):
-        x = columns.get(name, 0)
-        dtype = np.int64 if kind == "long" else np.int32
-        x = np.full(n, x, dtype) if np.isscalar(x) else x.view(np.int64) if x.dtype == np.uint64 else x.astype(dtype)
-        out.append(pa.array(x))
-    return pa.RecordBatch.from_arrays(out, names=NAMES)
+def batch(kind: int, token, bits, uid, line, set_hash=0, size=0, place=0) -> pa.RecordBatch:
+    n = len(uid)
+    long = lambda x: np.full(n, x, np.int64) if np.isscalar(x) else x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
+    meta = (long(line) << 32) | (long(set_hash) & 0xFFFFFFFF)
+    fill = (long(size) << 32) | (long(place) << 2) | kind
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (long(token), long(bits), long(uid), meta, fill)], names=NAMES)
 
 
-def prefixes(counts: np.ndarray, percent: int, least: int):
-    """Prefix tokens of each distinct line of a task; equal lines are paired with the first at once."""
+def prefixes(counts: np.ndarray, percent: int, least: int, only: np.ndarray | None = None):
+    """Prefix tokens of each distinct line of a task; equal lines are paired with the first at once.
+
+    only: bits of the tokens wanted; then rows of other tokens and pairs are left out.
+    """
 
     def task(batches):
         tokens = LineTokens()
@@ -124,25 +129,23 @@ def prefixes(counts: np.ndarray, percent: int, least: int):
             same[1:] = (set_hash[o][1:] == set_hash[o][:-1]) & (size[o][1:] == size[o][:-1])
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))
             later, lead = o[same], o[lead[same]]
-            for k in range(0, len(later), 50_000):
+            for k in range(0, len(later) if only is None else 0, 50_000):
                 x, y = later[k : k + 50_000], lead[k : k + 50_000]
-                yield batch(
-                    len(x), kind=PAIR, token=mix(uid[x].astype(np.uint64) + row[x].astype(np.uint64)), uid=uid[x],
-                    line=row[x], other=uid[y], other_line=row[y],
-                )
+                yield batch(PAIR, uid[y], row[y], uid[x], row[x])
             keep = np.zeros(len(head), bool)
             keep[o[~same]] = True
             owner = np.repeat(np.arange(len(head)), size)
             place = np.arange(len(doc)) - head[owner]
             width = size - -(-percent * size // 100) + 1
-            at = np.flatnonzero(keep[owner] & (place < width[owner]))
+            chosen = keep[owner] & (place < width[owner])
+            if only is not None:
+                cell = (word & U(FILTER_BITS - 1)).astype(np.int64)
+                chosen &= (only[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
+            at = np.flatnonzero(chosen)
             for k in range(0, len(at), 50_000):
                 x = at[k : k + 50_000]
                 y = owner[x]
-                yield batch(
-                    len(x), kind=TOKEN, token=word[x], uid=uid[y], line=row[y], size=size[y], place=place[x],
-                    set_hash=set_hash[y], bits=bits[y],
-                )
+                yield batch(TOKEN, word[x], bits[y], uid[y], row[y], set_hash[y], size[y], place[x])
 
     return task
 
@@ -162,11 +165,12 @@ def pair_up(percent: int, every: bool):
 
     def of(c: dict[str, np.ndarray]):
         # Equal lines of different tasks: all but the first are paired with it and take no further part.
-        o = np.lexsort((c["line"], c["uid"], c["set_hash"], c["size"], c["token"]))
+        o = np.lexsort((c["line"], c["uid"], c["bits"], c["set_hash"], c["size"], c["token"]))
         c = {k: v[o] for k, v in c.items()}
         same = np.zeros(len(o), bool)
         same[1:] = (
-            (c["token"][1:] == c["token"][:-1]) & (c["size"][1:] == c["size"][:-1]) & (c["set_hash"][1:] == c["set_hash"][:-1])
+            (c["token"][1:] == c["token"][:-1]) & (c["size"][1:] == c["size"][:-1])
+            & (c["set_hash"][1:] == c["set_hash"][:-1]) & (c["bits"][1:] == c["bits"][:-1])
         )
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))
         later = np.flatnonzero(same & (c["place"] == 0))
@@ -198,7 +202,7 @@ def pair_up(percent: int, every: bool):
         if best:
             x, y, apart = (np.concatenate(z) for z in zip(*best))
             if every:
-                x, y = x[c["place_open"][x] > 0], y[c["place_open"][x] > 0]
+                x, y = x[c["open"][x] > 0], y[c["open"][x] > 0]
             else:
                 o = np.lexsort((apart, x))
                 x, y = x[o], y[o]
@@ -212,9 +216,10 @@ def pair_up(percent: int, every: bool):
         size, most = 0, CHUNK
 
         def columns(b) -> dict[str, np.ndarray]:
-            out = {k: b.column(k).to_numpy() for k in NAMES}
-            out["bits"] = out["bits"].view(np.uint64)
-            out["place_open"] = out["other_line"]
+            token, bits, uid, meta, fill = (b.column(k).to_numpy() for k in range(5))
+            out = {"token": token, "bits": bits.view(np.uint64), "uid": uid, "line": meta >> 32, "set_hash": meta & 0xFFFFFFFF}
+            out |= {"size": fill >> 32, "place": (fill & 0xFFFFFFFF) >> 2, "kind": fill & 3}
+            out["open"] = b.column(5).to_numpy() if every else np.zeros(len(uid), np.int64)
             return out
 
         def process(parts):
@@ -222,7 +227,7 @@ def pair_up(percent: int, every: bool):
             tokens = c["kind"] == TOKEN
             sent = {k: v[~tokens] for k, v in c.items()}
             if not every and len(sent["uid"]):
-                yield sent["uid"], sent["line"], sent["other"], sent["other_line"]
+                yield sent["uid"], sent["line"], sent["token"], sent["bits"].view(np.int64)
             c = {k: v[tokens] for k, v in c.items()}
             # A token that no other line has leaves.
             if len(c["token"]):
@@ -280,15 +285,18 @@ def line_sets(batches):
                 )
 
 
-def verified_lines(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of pairs (uid, line, other, other_line) whose whole token sets are similar enough."""
-    mine = pairs.select("uid", "line")
+PAIRS = "uid long, line int, other long, other_line int"
+
+
+def line_tokens(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(uid, line, tokens) of all lines in pairs."""
     theirs = pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line"))
-    asked = mine.unionByName(theirs).distinct().groupBy("uid").agg(F.collect_list("line").alias("asked"))
-    sets = texts.join(asked, "uid").select("uid", "text", "asked", "doc_id").mapInArrow(
-        line_sets, "uid long, line int, tokens array<long>"
-    )
-    sets = materialise(sets, "line-sets")
+    asked = pairs.select("uid", "line").unionByName(theirs).distinct().groupBy("uid").agg(F.collect_list("line").alias("asked"))
+    return texts.join(asked, "uid").select("uid", "text", "asked").mapInArrow(line_sets, "uid long, line int, tokens array<long>")
+
+
+def verified_lines(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(uid, line) of those of pairs whose whole token sets are similar enough."""
     other = sets.select(F.col("uid").alias("other"), F.col("line").alias("other_line"), F.col("tokens").alias("b"))
     both = F.size(F.array_intersect("tokens", "b"))
     return (
@@ -357,28 +365,31 @@ def dedup_lines(
         counts[r.bucket] = r.n
     local = short.mapInArrow(prefixes(counts, percent, least), ROWS)
     grouped = local.repartition("token").sortWithinPartitions("token")
-    pairs = materialise(
-        grouped.mapInArrow(pair_up(percent, False), "uid long, line int, other long, other_line int").distinct(), "pairs"
-    )
-    gone = materialise(verified_lines(pairs, rows, percent), "gone")
-    open_lines = pairs.select("uid", "line").distinct().join(gone, ["uid", "line"], "left_anti")
-    open_lines = materialise(open_lines.withColumn("open", F.lit(1)), "open")
-    if not open_lines.isEmpty():
-        again = (
-            local.where(F.col("kind") == TOKEN)
-            .join(open_lines, ["uid", "line"], "left")
-            .withColumn("other_line", F.coalesce("open", F.lit(0)))
-            .select(*NAMES)
+    pairs = materialise(grouped.mapInArrow(pair_up(percent, False), PAIRS).distinct(), "pairs")
+    sets = materialise(line_tokens(pairs, rows), "line-sets")
+    gone = materialise(verified_lines(pairs, sets, percent), "gone")
+    left = pairs.select("uid", "line").distinct().join(gone, ["uid", "line"], "left_anti").withColumn("open", F.lit(1))
+    left = materialise(left, "open")
+    if not left.isEmpty():
+        # Tokens of the lines left, as a filter of fixed size: other tokens can't bring them a partner.
+        cells = left.join(sets, ["uid", "line"]).select(F.explode("tokens").alias("t")).select(
+            F.col("t").bitwiseAND(FILTER_BITS - 1).alias("c")
         )
+        only = np.zeros(FILTER_BITS // 8, np.uint8)
+        one = F.expr("shiftleft(1, CAST(c & 7 AS int))")
+        for r in cells.groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toLocalIterator():
+            only[r.byte] = r.v
+        some = short.mapInArrow(prefixes(counts, percent, least, only), ROWS)
+        marked = some.withColumn("line", F.shiftright("meta", 32).cast("int")).join(left, ["uid", "line"], "left")
+        again = marked.select(*NAMES, F.coalesce(F.col("open"), F.lit(0)).cast("long").alias("open"))
         more = (
             again.repartition("token").sortWithinPartitions("token")
-            .mapInArrow(pair_up(percent, True), "uid long, line int, other long, other_line int")
-            .distinct()
+            .mapInArrow(pair_up(percent, True), PAIRS).distinct()
             .join(pairs, ["uid", "line", "other", "other_line"], "left_anti")
         )
         more = materialise(more, "pairs")
         if not more.isEmpty():
-            gone = gone.unionByName(verified_lines(more, rows, percent)).distinct()
+            gone = gone.unionByName(verified_lines(more, line_tokens(more, rows), percent)).distinct()
     drop = gone.groupBy("uid").agg(F.collect_list("line").alias("drop"))
     out = rows.join(drop, "uid", "left").select("doc_id", "text", "drop", *(["row"] if carry else []))
     schema = "doc_id long, n_lines long, n_removed long, text string"
