@@ -352,7 +352,8 @@ def dedup_lines(
     their token, so copies cost a row each. A later line is first verified against its most alike
     candidate; lines for which that fails go through a second round with all candidates.
 
-    Columns: doc_id, n_lines, n_removed, text (the other lines joined by newlines), with carry row.
+    Columns: doc_id, n_lines, n_removed, text (the other lines joined by newlines), with
+    carry row, a struct of the other input columns.
 
     Null texts count as empty. Null ids come first, rows that share an id are documents of their own in the
     order of their texts. An empty table gives no rows.

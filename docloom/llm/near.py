@@ -297,8 +297,8 @@ def near_components(
 ) -> DataFrame:
     """Components of documents linked by near-duplication, one row for each row.
 
-    Columns: doc_id, n_shingles, component_id, kept (the component's first row), and with carry row, a
-    struct of all input columns.
+    Columns: doc_id, n_shingles, component_id, kept (the component's first row), and with carry text
+    and row, a struct of the other input columns.
 
     A text's set are its distinct shingles of ``words`` words (ASCII letters lower-cased, split at ASCII
     white space); a shorter text has one shingle of all its words, a text without words none, and it is
@@ -363,6 +363,6 @@ def near_components(
         "uid", "doc_id", "n_shingles", "component_id", (F.col("uid") == F.col("root")).alias("kept")
     )
     if carry:
-        out = out.join(base.select("uid", "row"), "uid")
+        out = out.join(base.select("uid", "row", "text"), "uid")
         return out.drop("uid")
     return out.drop("uid")

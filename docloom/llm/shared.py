@@ -48,12 +48,12 @@ def with_uid(df: DataFrame, id_col: str, text_col: str, carry: bool = False) ->
     Where id_col has neither nulls nor repeats it is the uid. Otherwise each row is a document of its
     own: rows are ordered by (id, nulls first; text) with a range shuffle and numbered; whole
     repeats stand beside each other in any order, which no result can show. With carry, a column row
-    holds all columns of df, null texts and clashing names as they were.
+    holds all columns of df but the text, whatever their names.
     """
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []),
+        *([F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col]).alias("row")] if carry else []),
     )
     ids = rows.groupBy("doc_id").count()
     odd = ids.where("doc_id is null or count > 1").limit(1).count()

@@ -377,7 +377,7 @@ def remove_repeats(
 
     Columns: doc_id, n_bytes, n_removed, spans (array of start, end: maximal removed runs), kept
     (binary: the remaining UTF-8 bytes), with carry text (kept without cut
-    characters) and row, a struct of all input columns. See the module for the method. Strings are told apart by
+    characters) and row, a struct of the other input columns. See the module for the method. Strings are told apart by
     128 bits of hash (anchor and run, or xxh3 of the window).
 
     Null texts count as empty and texts under depth bytes lose nothing. Null ids come before all
