@@ -1,7 +1,8 @@
 """Corpus preparation: quality rules, line dedup, near dedup, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a table that the next stage reads. All but the last
-return the columns of documents. Null ids and repeated rows are documents of their own throughout.
+return the columns of documents. Null ids and repeated rows are documents of their own throughout;
+n_chars follows the text; a null text, which the quality rules reject, would come back empty.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from docloom.llm.shared import materialise
 from docloom.llm.suffixes import remove_repeats
 
 
-def with_text(found: DataFrame, docs: DataFrame, text) -> DataFrame:
-    """The columns of docs, from the struct row, with another text and its length."""
-    new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return found.select(*[(new.get(c, F.col(f"row.`{c}`"))).alias(c) for c in docs.columns])
+def restored(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs: the text found and its length, the rest from the struct row."""
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return found.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,20 +31,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that resemble an earlier line."""
-    found = dedup_lines(docs, carry=True)
-    return with_text(found, docs, F.col("text"))
+    return restored(dedup_lines(docs, carry=True), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near-duplicates."""
-    found = near_components(docs, carry=True).where("kept")
-    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return restored(near_components(docs, carry=True).where("kept"), docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated passages. Bytes left of a cut character go with it."""
-    found = remove_repeats(docs, carry=True)
-    return with_text(found, docs, F.col("text"))
+    return restored(remove_repeats(docs, carry=True), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
