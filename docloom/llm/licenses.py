@@ -45,12 +45,35 @@ def bigrams_of(text: str) -> set[str]:
 def word_bigrams(text: Column) -> Column:
     """Distinct pairs of neighbouring words; words are runs of letters and digits, lower-cased."""
     words = F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
-    pairs = F.zip_with(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.array_distinct(pairs)
+    # Bound to a name by a list of one, so that it is built once.
+    pairs = F.transform(
+        F.array(words),
+        lambda w: F.when(
+            F.size(w) > 1, F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat_ws(" ", w[i], w[i + 1]))
+        ),
+    )[0]
+    return F.array_distinct(F.coalesce(pairs, F.array().cast("array<string>")))
+
+
+#: Words too frequent to look for.
+COMMON = set("a an and any by for in is it may no not of on or the this to under with without you".split())
+
+
+def needed_words(known: list[tuple[str, list[str]]], percent: int) -> list[str]:
+    """Words of which any matching passage has one: for each template so many that without them all,
+    too few of its bigrams are left to reach the coefficient. Rare, long words first."""
+    out: set[str] = set()
+    for _, bigrams in known:
+        n = len(bigrams)
+        least = -(-percent * (-(-percent * n // (200 - percent)) + n) // 200)
+        left = [set(b.split(" ")) for b in bigrams]
+        words = sorted({w for b in left for w in b}, key=lambda w: (w in COMMON, -len(w), w))
+        for w in words:
+            if len(left) < least:
+                break
+            left = [b for b in left if w not in b]
+            out.add(w)
+    return sorted(out)
 
 
 def scan_licenses(
@@ -66,8 +89,9 @@ def scan_licenses(
     Passages are the lines of a text and, where it has several lines, the whole text (place -1), so a
     notice is found in a line, and as a text of its own over many. A passage is normalised to words and
     compared with templates by the Dice coefficient of their word bigrams. A coefficient of percent
-    needs bigram counts within percent / (200 - percent) of each other: passages whose length fits no
-    template leave before their bigrams are built, and each is compared with the templates that fit it.
+    needs bigram counts within percent / (200 - percent) of each other, so a passage is compared with the
+    templates of fitting size only. Texts and passages without any word that a match must have
+    (needed_words()) leave before their bigrams are built.
     The best template of at least percent wins, the first by (license, text) among equals.
 
     templates is a short list: it becomes literals of the plan. Null and empty texts have no passages;
@@ -77,11 +101,16 @@ def scan_licenses(
     known = known_templates(templates)
     low = min(-(-percent * len(b) // (200 - percent)) for _, b in known)
     high = max((200 - percent) * len(b) // percent for _, b in known)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    some = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(needed_words(known, percent))})(?![\p{{L}}\p{{N}}])"
+    rows = docs.where(F.lower(text).rlike(some)).select(F.col(id_col).alias("doc_id"), F.split(text, "\n").alias("lines"))
     each = F.transform("lines", lambda x, i: F.struct(i.cast("long").alias("place"), x.alias("passage")))
     whole = F.array(F.struct(F.lit(-1).cast("long").alias("place"), F.array_join("lines", "\n").alias("passage")))
     passages = rows.select("doc_id", F.explode(F.when(F.size("lines") > 1, F.concat(each, whole)).otherwise(each)).alias("p"))
-    passages = passages.select("doc_id", "p.place", "p.passage", word_bigrams(F.col("p.passage")).alias("bigrams"))
+    passages = passages.select("doc_id", "p.place", "p.passage").where(F.lower("passage").rlike(some))
+    # One pass of a list of one: the filters below would else build the bigrams again.
+    built = F.struct("passage", word_bigrams(F.col("passage")).alias("bigrams"))
+    passages = passages.select("doc_id", "place", F.explode(F.array(built)).alias("p")).select("doc_id", "place", "p.*")
     every = F.array(*[F.lit(x) for x in sorted({x for _, b in known for x in b})])
     passages = passages.where(F.size("bigrams").between(low, high) & F.arrays_overlap("bigrams", every))
     listed = F.array(
