@@ -177,7 +177,8 @@ def grouped_runs(depth: int, k: int):
             if sum(map(len, pieces)) >= depth:
                 piece, lo, hi, at, key, run = runs.of(pieces)
                 shift = np.array(base)[piece]
-                found.append((np.array(owner)[piece], lo + shift, hi + shift, at, key, run))
+                lo, hi = (lo + shift).astype(np.int32), (hi + shift).astype(np.int32)
+                found.append((np.array(owner)[piece], lo, hi, at.astype(np.int32), key, run))
             pieces, owner, base, size = [], [], [], 0
 
         for uid, data in docs:
@@ -192,8 +193,13 @@ def grouped_runs(depth: int, k: int):
                 base.append(a)
                 size += len(part)
         hash_block()
+        docs.clear()  # from here on only the runs are needed
         if found:
-            yield from compared(*(np.concatenate(x) for x in zip(*found)), depth)
+            columns = [np.concatenate(x) for x in zip(*found)]
+            found.clear()
+            rows = compared(*columns, depth)
+            del columns
+            yield from rows
 
     def task(batches):
         runs, docs, size = Runs(depth, k), [], 0
