@@ -36,6 +36,18 @@ class OcrBackend(Protocol):
     def read(self, contents: list[bytes]) -> list[str]: ...
 
 
+class TreeProposer(Protocol):
+    def propose(self, tags: list[str]) -> dict: ...
+
+
+def propose_tree(tags: list[str], proposer: TreeProposer) -> dict:
+    """A nested taxonomy of the tags, as the proposer gives it; empty where it fails."""
+    try:
+        return proposer.propose(sorted(set(tags)))
+    except Exception:
+        return {}
+
+
 #: Frequent words of each language.
 FREQUENT = {
     "de": "der die das und ist nicht ein eine mit von zu den im für auf sich dem des auch als".split(),

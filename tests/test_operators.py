@@ -156,6 +156,31 @@ def test_plugins(spark):
     assert said.summary.startswith("the cat")
 
 
+def test_tree_proposer():
+    class Stub:
+        def propose(self, tags):
+            return {"root": tags}
+
+    assert plugins.propose_tree(["b", "a", "b"], Stub()) == {"root": ["a", "b"]}
+    assert plugins.propose_tree(["a"], None) == {}
+
+
+def test_plans_stay_cheap(spark, tmp_path):
+    """No Python in the text operators, no window over copies, filters that reach the scan."""
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "x")], "doc_id long, text string, extra string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    flagged = plan(D.flag_duplicates(D.quality_flags(D.enrich(docs)), "doc_id").select("doc_id", "is_duplicate"))
+    assert "Python" not in flagged and "Pandas" not in flagged and "Window" not in flagged and "extra" not in flagged
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,7)]" in plan(R.by_id(spark.read.schema("id long").parquet(path), 7))
+    taxonomy = plan(X.counters(docs))
+    assert taxonomy.count("Exchange") == 1
+
+
 def test_settings():
     assert Settings.from_env({"docloom_tag_boost": "0.5", "DOCLOOM_LOG_LEVEL": "debug"}).tag_boost == 0.5
     assert Settings(log_level="debug").log_level == "DEBUG"
