@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.near import Shingles
+from docloom.llm.near import SPREAD, Shingles
 from docloom.llm.shared import materialise, with_uid
 from docloom.llm.suffixes import U, mix
 
@@ -173,8 +173,9 @@ def pair_up(percent: int, every: bool):
             & (c["set_hash"][1:] == c["set_hash"][:-1]) & (c["bits"][1:] == c["bits"][:-1])
         )
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))
+        same &= c["open"] == 0
         later = np.flatnonzero(same & (c["place"] == 0))
-        yield later, lead[later], c
+        yield later, lead[later], c, True
         c = {k: v[~same] for k, v in c.items()}
         n = len(c["token"])
         ends = np.searchsorted(c["token"], c["token"], side="right")
@@ -209,7 +210,7 @@ def pair_up(percent: int, every: bool):
                 first = np.ones(len(x), bool)
                 first[1:] = x[1:] != x[:-1]
                 x, y = x[first], y[first]
-            yield x, y, c
+            yield x, y, c, False
 
     def task(batches):
         held: list[dict[str, np.ndarray]] = []
@@ -227,20 +228,26 @@ def pair_up(percent: int, every: bool):
             tokens = c["kind"] == TOKEN
             sent = {k: v[~tokens] for k, v in c.items()}
             if not every and len(sent["uid"]):
-                yield sent["uid"], sent["line"], sent["token"], sent["bits"].view(np.int64)
+                yield sent["uid"], sent["line"], sent["token"], sent["bits"].view(np.int64), True
             c = {k: v[tokens] for k, v in c.items()}
             # A token that no other line has leaves.
             if len(c["token"]):
-                for x, y, d in of(c):
-                    yield d["uid"][x], d["line"][x], d["uid"][y], d["line"][y]
+                for x, y, d, equal in of(c):
+                    yield d["uid"][x], d["line"][x], d["uid"][y], d["line"][y], equal
 
         def pack(rows):
-            for u, l, v, m in rows:
+            for u, l, v, m, equal in rows:
                 for k in range(0, len(u), 50_000):
                     s = slice(k, k + 50_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(u[s]), pa.array(l[s].astype(np.int32)), pa.array(v[s]), pa.array(m[s].astype(np.int32))],
-                        names=["uid", "line", "other", "other_line"],
+                        [
+                            pa.array(u[s]),
+                            pa.array(l[s].astype(np.int32)),
+                            pa.array(v[s]),
+                            pa.array(m[s].astype(np.int32)),
+                            pa.array(np.full(len(u[s]), equal)),
+                        ],
+                        names=["uid", "line", "other", "other_line", "same"],
                     )
 
         for b in batches:
@@ -263,46 +270,72 @@ def pair_up(percent: int, every: bool):
 
 
 def line_sets(batches):
-    """(uid, line, tokens) of the lines asked for."""
+    """(uid, line, set_a, set_b, tokens) of the lines asked for; tokens only where all of them are asked for."""
     tokens = LineTokens()
     none = np.zeros(BUCKETS, np.int64)
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     for b in batches:
-        asked = {u: set(w.as_py()) for u, w in zip(b.column(0).to_pylist(), b.column(2))}
+        asked = {u: {x["line"]: x["full"] for x in w.as_py()} for u, w in zip(b.column(0).to_pylist(), b.column(2))}
         for rows in texts_by_size([b], 1 << 20):
             doc, line, word = distinct_by_rarity(tokens, rows, none)
-            head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]) if len(doc) else []
-            end = np.r_[head[1:], len(doc)] if len(head) else []
-            out = [
-                (rows[doc[h]][0], int(line[h]), word[h:e].view(np.int64))
-                for h, e in zip(head, end)
-                if int(line[h]) in asked[rows[doc[h]][0]]
-            ]
+            if not len(doc):
+                continue
+            head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
+            set_a = np.add.reduceat(mix(word), head).view(np.int64)
+            set_b = np.add.reduceat(mix(word ^ SPREAD), head).view(np.int64)
+            out = []
+            for k, (h, e) in enumerate(zip(head, np.r_[head[1:], len(doc)])):
+                uid, n = rows[doc[h]][0], int(line[h])
+                if n in asked[uid]:
+                    out.append((uid, n, set_a[k], set_b[k], word[h:e].view(np.int64) if asked[uid][n] else None))
             if out:
-                u, l, w = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(u, pa.int64()), pa.array(l, pa.int32()), pa.array(w, pa.list_(pa.int64()))],
-                    names=["uid", "line", "tokens"],
+                    [pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names=["uid", "line", "set_a", "set_b", "tokens"]
                 )
 
 
-PAIRS = "uid long, line int, other long, other_line int"
+PAIRS = "uid long, line int, other long, other_line int, same boolean"
+
+
+def maybe(rows: DataFrame, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """rows whose uid may be in keys: a filter of fixed size, so that fewer texts go into the join behind it."""
+    place = lambda n: F.pmod(F.xxhash64(F.lit(n), "uid"), F.lit(bits))
+    at = keys.select(F.explode(F.array(place(0), place(1))).alias("c"))
+    table = bytearray(bits // 8)
+    one = F.expr("shiftleft(1, CAST(c & 7 AS int))")
+    for r in at.groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toLocalIterator():
+        table[r.byte] = r.v
+    held = F.lit(table)
+    byte = lambda c: F.conv(F.hex(F.substring(held, (F.shiftright(c, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    in_both = [F.getbit(byte(place(n)), F.pmod(place(n), F.lit(8)).cast("int")) == 1 for n in (0, 1)]
+    return rows.where(in_both[0] & in_both[1])
 
 
 def line_tokens(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(uid, line, tokens) of all lines in pairs."""
-    theirs = pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line"))
-    asked = pairs.select("uid", "line").unionByName(theirs).distinct().groupBy("uid").agg(F.collect_list("line").alias("asked"))
-    return texts.join(asked, "uid").select("uid", "text", "asked").mapInArrow(line_sets, "uid long, line int, tokens array<long>")
+    """Hashes of all lines in pairs, and tokens of those that aren't taken for equal."""
+    full = (~F.col("same")).alias("full")
+    theirs = pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line"), full)
+    lines = pairs.select("uid", "line", full).unionByName(theirs).groupBy("uid", "line").agg(F.max("full").alias("full"))
+    asked = materialise(lines.groupBy("uid").agg(F.collect_list(F.struct("line", "full")).alias("asked")), "asked")
+    some = maybe(texts.select("uid", "text"), asked.select("uid"))
+    return some.join(asked, "uid").select("uid", "text", "asked").mapInArrow(
+        line_sets, "uid long, line int, set_a long, set_b long, tokens array<long>"
+    )
 
 
 def verified_lines(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(uid, line) of those of pairs whose whole token sets are similar enough."""
-    other = sets.select(F.col("uid").alias("other"), F.col("line").alias("other_line"), F.col("tokens").alias("b"))
-    both = F.size(F.array_intersect("tokens", "b"))
+    """(uid, line) of those of pairs whose whole token sets are similar enough; equal ones by 128 bits of hash."""
+    other = sets.select(
+        F.col("uid").alias("other"), F.col("line").alias("other_line"), F.col("set_a").alias("a"), F.col("set_b").alias("b"),
+        F.col("tokens").alias("others"),
+    )
+    both = F.size(F.array_intersect("tokens", "others"))
+    near = 100 * F.col("both") >= percent * (F.size("tokens") + F.size("others") - F.col("both"))
+    equal = (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b"))
     return (
         pairs.join(sets, ["uid", "line"]).join(other, ["other", "other_line"])
-        .withColumn("both", both)
-        .where(100 * F.col("both") >= percent * (F.size("tokens") + F.size("b") - F.col("both")))
+        .withColumn("both", F.when(~F.col("same"), both))
+        .where(F.when(F.col("same"), equal).otherwise(near))
         .select("uid", "line").distinct()
     )
 
@@ -373,7 +406,8 @@ def dedup_lines(
     left = materialise(left, "open")
     if not left.isEmpty():
         # Tokens of the lines left, as a filter of fixed size: other tokens can't bring them a partner.
-        cells = left.join(sets, ["uid", "line"]).select(F.explode("tokens").alias("t")).select(
+        twins = pairs.join(left, ["uid", "line"], "left_semi").withColumn("same", F.lit(False))
+        cells = line_tokens(twins, rows).join(left, ["uid", "line"]).select(F.explode("tokens").alias("t")).select(
             F.col("t").bitwiseAND(FILTER_BITS - 1).alias("c")
         )
         only = np.zeros(FILTER_BITS // 8, np.uint8)
