@@ -321,7 +321,8 @@ def near_components(
         base.select("uid", "doc_id", "text").mapInArrow(sketches(words, bands, rows), SKETCHES), "sketches"
     )
     sets_key = ["set_a", "set_b", "n_shingles"]
-    classes = table.where("n_shingles > 0").groupBy(*sets_key).agg(F.min("uid").alias("rep"))
+    # Written, so that a class of very many copies can be split in the join below.
+    classes = materialise(table.where("n_shingles > 0").groupBy(*sets_key).agg(F.min("uid").alias("rep")), "classes")
     members = materialise(
         table.join(classes, sets_key, "left").select(
             "uid", "doc_id", "n_shingles", F.coalesce("rep", "uid").alias("rep"), F.when(F.col("rep") == F.col("uid"), F.col("bands")).alias("bands")
