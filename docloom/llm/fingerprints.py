@@ -89,7 +89,9 @@ def fingerprint_documents(
         ),
         "prints",
     )
+    # Written, so that a fingerprint of very many copies can be split in the join below.
     shared = prints.groupBy("fp").count().where("count > 1").select("fp", F.lit(True).alias("shared"))
+    shared = materialise(shared, "shared")
     nexts = prints.select(F.col("uid").alias("next_uid"), F.col("fp").alias("next_fp"))
     facts = materialise(
         prints.join(next_documents(prints, partitions), "uid")
