@@ -305,10 +305,18 @@ def maybe(rows: DataFrame, keys: DataFrame, bits: int = FILTER_BITS) -> DataFram
     one = F.expr("shiftleft(1, CAST(c & 7 AS int))")
     for r in at.groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toLocalIterator():
         table[r.byte] = r.v
-    held = F.lit(table)
-    byte = lambda c: F.conv(F.hex(F.substring(held, (F.shiftright(c, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    in_both = [F.getbit(byte(place(n)), F.pmod(place(n), F.lit(8)).cast("int")) == 1 for n in (0, 1)]
-    return rows.where(in_both[0] & in_both[1])
+    held = np.frombuffer(bytes(table), np.uint8)
+
+    def task(batches):
+        for b in batches:
+            ok = np.ones(b.num_rows, bool)
+            for k in (2, 3):
+                cell = b.column(k).to_numpy()
+                ok &= (held[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["uid", "text"]).filter(pa.array(ok))
+
+    # The filter goes with the function: as a literal it would stand in every text of the plan.
+    return rows.select("uid", "text", place(0).alias("a"), place(1).alias("b")).mapInArrow(task, "uid long, text string")
 
 
 def line_tokens(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -317,7 +325,7 @@ def line_tokens(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     theirs = pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line"), full)
     lines = pairs.select("uid", "line", full).unionByName(theirs).groupBy("uid", "line").agg(F.max("full").alias("full"))
     asked = materialise(lines.groupBy("uid").agg(F.collect_list(F.struct("line", "full")).alias("asked")), "asked")
-    some = maybe(texts.select("uid", "text"), asked.select("uid"))
+    some = maybe(texts, asked.select("uid"))
     return some.join(asked, "uid").select("uid", "text", "asked").mapInArrow(
         line_sets, "uid long, line int, set_a long, set_b long, tokens array<long>"
     )
