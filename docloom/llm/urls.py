@@ -89,7 +89,7 @@ class Cascade:
         return verdict
 
 
-def build_cascade(universe: DataFrame, max_bytes: int = 16 << 20) -> Cascade | None:
+def build_cascade(universe: DataFrame, max_bytes: int = 1 << 17) -> Cascade | None:
     """Cascade over a table of distinct (key, listed).
 
     Level 1 encodes the listed keys, with so many bits that about as few other keys pass as there are
@@ -134,7 +134,7 @@ def judge_urls(
     url_col: str = "url",
     rules: list[tuple[str, str]] = RULES,
     listed: list[str] | DataFrame = LISTED,
-    max_bytes: int = 16 << 20,
+    max_bytes: int = 1 << 17,
 ) -> DataFrame:
     """Judge every url: (id, host, path, rule, verdict).
 
