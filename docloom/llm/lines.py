@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.near import SPREAD, Shingles
-from docloom.llm.shared import materialise, with_uid
+from docloom.llm.shared import materialise, released, with_uid
 from docloom.llm.suffixes import U, mix
 
 #: Counters for token frequency: a fixed number, so what tasks are sent doesn't grow with the data.
 BUCKETS = 1 << 14
 #: Bytes of text whose lines a task compares before it sends rows on; rows of groups compared at a time.
-GROUP = 16 << 20
+GROUP = 8 << 20
 CHUNK = 200_000
 PAIR, TOKEN = 0, 1
 #: Counters of round 2's filter, one bit each.
@@ -114,6 +114,7 @@ def prefixes(counts: np.ndarray, percent: int, least: int, only: np.ndarray | No
                 doc, line, word = distinct_by_rarity(tokens, part, counts)
                 found.append((doc + a, line, word))
             doc, line, word = (np.concatenate(x) for x in zip(*found))
+            found.clear()
             if not len(doc):
                 continue
             head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
@@ -327,7 +328,7 @@ def line_tokens(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     asked = materialise(lines.groupBy("uid").agg(F.collect_list(F.struct("line", "full")).alias("asked")), "asked")
     some = maybe(texts, asked.select("uid"))
     return some.join(asked, "uid").select("uid", "text", "asked").mapInArrow(
-        line_sets, "uid long, line int, set_a long, set_b long, tokens array<long>"
+        released(line_sets), "uid long, line int, set_a long, set_b long, tokens array<long>"
     )
 
 
@@ -401,13 +402,13 @@ def dedup_lines(
     """
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     short = rows.select("uid", "text")
-    counted = short.mapInArrow(count_tokens, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = short.mapInArrow(released(count_tokens), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros(BUCKETS, np.int64)
     for r in counted.collect():  # BUCKETS rows at most
         counts[r.bucket] = r.n
-    local = short.mapInArrow(prefixes(counts, percent, least), ROWS)
+    local = short.mapInArrow(released(prefixes(counts, percent, least)), ROWS)
     grouped = local.repartition("token").sortWithinPartitions("token")
-    pairs = materialise(grouped.mapInArrow(pair_up(percent, False), PAIRS).distinct(), "pairs")
+    pairs = materialise(grouped.mapInArrow(released(pair_up(percent, False)), PAIRS).distinct(), "pairs")
     sets = materialise(line_tokens(pairs, rows), "line-sets")
     gone = materialise(verified_lines(pairs, sets, percent), "gone")
     left = pairs.select("uid", "line").distinct().join(gone, ["uid", "line"], "left_anti").withColumn("open", F.lit(1))
@@ -422,12 +423,12 @@ def dedup_lines(
         one = F.expr("shiftleft(1, CAST(c & 7 AS int))")
         for r in cells.groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toLocalIterator():
             only[r.byte] = r.v
-        some = short.mapInArrow(prefixes(counts, percent, least, only), ROWS)
+        some = short.mapInArrow(released(prefixes(counts, percent, least, only)), ROWS)
         marked = some.withColumn("line", F.shiftright("meta", 32).cast("int")).join(left, ["uid", "line"], "left")
         again = marked.select(*NAMES, F.coalesce(F.col("open"), F.lit(0)).cast("long").alias("open"))
         more = (
             again.repartition("token").sortWithinPartitions("token")
-            .mapInArrow(pair_up(percent, True), PAIRS).distinct()
+            .mapInArrow(released(pair_up(percent, True)), PAIRS).distinct()
             .join(pairs, ["uid", "line", "other", "other_line"], "left_anti")
         )
         more = materialise(more, "pairs")
@@ -438,4 +439,4 @@ def dedup_lines(
     schema = "doc_id long, n_lines long, n_removed long, text string"
     if carry:
         schema += ", row " + rows.schema["row"].dataType.simpleString()
-    return out.mapInArrow(drop_lines(carry), schema)
+    return out.mapInArrow(released(drop_lines(carry)), schema)

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
-from docloom.llm.shared import materialise, with_uid
+from docloom.llm.shared import materialise, released, with_uid
 from docloom.llm.suffixes import Rolling, U, mix
 
 #: Bytes of text that a task hashes at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Words of so many bytes are told apart by their digest, so that a block always ends between words.
 LONG_WORD = BLOCK // 2
 OVERLONG = re.compile(rb"[^\x20\x09-\x0D]{%d,}" % LONG_WORD)
@@ -232,7 +232,7 @@ def across(led: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> D
     rows = every.unionByName(outer).withColumnRenamed("u", "uid").join(sets, "uid")
     rows = rows.withColumn("cell", F.xxhash64("v", "i", "j")).select("cell", "side", "uid", "root", "shingles")
     sorted_rows = rows.repartition("cell").sortWithinPartitions("cell", "side", "uid")
-    return sorted_rows.mapInArrow(linked(percent), "u long, v long").distinct()
+    return sorted_rows.mapInArrow(released(linked(percent)), "u long, v long").distinct()
 
 
 def linked(percent: int):
@@ -318,7 +318,7 @@ def near_components(
     """
     base = with_uid(docs, id_col, text_col, carry)
     table = materialise(
-        base.select("uid", "doc_id", "text").mapInArrow(sketches(words, bands, rows), SKETCHES), "sketches"
+        base.select("uid", "doc_id", "text").mapInArrow(released(sketches(words, bands, rows)), SKETCHES), "sketches"
     )
     sets_key = ["set_a", "set_b", "n_shingles"]
     # Written, so that a class of very many copies can be split in the join below.
@@ -348,7 +348,7 @@ def near_components(
     stars = led.where(alike & (F.col("bands") > 1)).select("u", "v")
     wanted = shared.select("uid").distinct()
     sets = materialise(
-        base.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(whole_sets(words), "uid long, shingles array<long>"),
+        base.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(released(whole_sets(words)), "uid long, shingles array<long>"),
         "sets",
     )
     links = materialise(verified(stars, sets, percent), "verified")

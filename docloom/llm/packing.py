@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import materialise
+from docloom.llm.shared import materialise, released
 from docloom.llm.tokens import ByteBpe
 
 PIECES = (
@@ -191,7 +191,7 @@ def pack_sequences(
 
         return again
 
-    table = materialise(rows.mapInArrow(first, PIECES), "packed")
+    table = materialise(rows.mapInArrow(released(first), PIECES), "packed")
     done, level = [table.where("not is_open")], 0
     tasks = table.where("is_open").agg(F.count_distinct("sequence_id")).first()[0] // open_windows + 1
     while True:

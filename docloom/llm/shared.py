@@ -4,11 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """task, after which its worker gives freed memory back: workers live on and serve other operators."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            import ctypes
+            import ctypes.util
+
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(ctypes.util.find_library("c") or None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors and the driver see.
 

@@ -26,10 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import materialise, with_uid
+from docloom.llm.shared import materialise, released, with_uid
 
 #: Bytes hashed at a time, and bytes of text whose runs a task compares before it sends rows on.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 GROUP = 32 << 20
 U = np.uint64
 LOW = U((1 << 21) - 1)
@@ -394,13 +394,13 @@ def remove_repeats(
         raise ValueError("anchor must lie between 1 and depth - STEP, depth is at most 500")
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     kept = ["row"] if carry else []
-    local = rows.select("uid", "text").mapInArrow(grouped_runs(depth, anchor), ROWS)
+    local = rows.select("uid", "text").mapInArrow(released(grouped_runs(depth, anchor)), ROWS)
     runs = materialise(told_apart(local, depth), "runs")
     # The columns of the last join in each, so that all three read one exchange of the texts.
     of_runs = rows.join(asked(runs), "uid").select("uid", "text", "needs", "doc_id", *kept)
-    blocks = told_apart(of_runs.mapInArrow(block_rows(depth), ROWS), depth)
+    blocks = told_apart(of_runs.mapInArrow(released(block_rows(depth)), ROWS), depth)
     of_blocks = rows.join(asked(blocks), "uid").select("uid", "text", "needs", "doc_id", *kept)
-    windows = unpacked(of_blocks.mapInArrow(window_rows(depth), ROWS))
+    windows = unpacked(of_blocks.mapInArrow(released(window_rows(depth)), ROWS))
     equal = Window.partitionBy("key", "run", F.col("kind") == SPAN)
     first = F.struct("uid", "lo")
     repeats = windows.select("kind", "run", "uid", "lo", F.min(first).over(equal).alias("head")).select(
@@ -419,4 +419,4 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     )
     schema = RESULT + (", text string, row " + rows.schema["row"].dataType.simpleString() if carry else "")
-    return rows.join(spans, "uid", "left").select("doc_id", "text", "spans", *kept).mapInArrow(cut_spans(carry), schema)
+    return rows.join(spans, "uid", "left").select("doc_id", "text", "spans", *kept).mapInArrow(released(cut_spans(carry)), schema)
