@@ -31,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that resemble an earlier line."""
-    return restored(dedup_lines(docs, carry=True), docs)
+    return restored(dedup_lines(docs, least=1, carry=True), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

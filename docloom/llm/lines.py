@@ -384,7 +384,8 @@ def dedup_lines(
     """Remove each line that resembles an earlier line of the corpus.
 
     A line's tokens are its distinct words (ASCII letters lower-cased, split at ASCII white space); lines
-    of fewer than ``least`` tokens always stay. A line goes if an earlier one (smaller id, or before in the
+    of fewer than ``least`` tokens always stay (op3_lines and the pipeline pass 1: only lines without a word
+    stay for that). A line goes if an earlier one (smaller id, or before in the
     same document; itself removed or not) has Jaccard similarity of percent or more with it.
 
     Tokens are ordered by frequency (counted over all lines in BUCKETS counters, then by hash), rare ones

@@ -40,7 +40,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_lines(table(spark, sf_dir, "documents"), least=1)
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
