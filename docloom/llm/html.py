@@ -179,7 +179,10 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def classify(blocks: list[Block]) -> None:
-    """First pass: link density, length and stop words make a block good, bad, near good or short."""
+    """First pass: link density, length and stop words make a block good, bad, near good or short.
+
+    In an article or main few stop words or a link don't make a block bad by themselves: its neighbours decide.
+    """
     for b in blocks:
         size = len(b.text)
         letters = len("".join(b.text.split())) or 1
@@ -189,16 +192,14 @@ def classify(blocks: list[Block]) -> None:
             b.kind = "bad"
         elif b.text[0] == "©" or "©" in b.text[:40]:
             b.kind = "bad"
-        elif b.place > 0:
-            b.kind = "good"  # marked as the article, and no list of links
         elif size < SHORT:
-            b.kind = "bad" if b.linked else "short"
+            b.kind = "bad" if b.linked and b.place <= 0 else "short"
         elif stops >= MANY_STOPS:
             b.kind = "good" if size >= LONG else "near"
         elif stops >= FEW_STOPS:
             b.kind = "near"
         else:
-            b.kind = "bad" if size < LONG else "near"
+            b.kind = "bad" if size < LONG and b.place <= 0 else "near"
 
 
 def settle(blocks: list[Block]) -> list[bool]:
@@ -206,7 +207,8 @@ def settle(blocks: list[Block]) -> list[bool]:
 
     Between two good neighbours both are good, between two bad ones neither is; between unlike ones a
     near-good block is good and a short one takes the label of the nearer, the bad one's in a tie. A
-    heading goes with what follows it. At an end of the page the missing neighbour is bad.
+    heading goes with what follows it. At an end of the page the missing neighbour is bad. Such a block in
+    an article or main is good unless both neighbours are bad blocks of an article themselves.
     """
     n = len(blocks)
     before, after = [(-1, False)] * n, [(n, False)] * n
@@ -225,6 +227,8 @@ def settle(blocks: list[Block]) -> list[bool]:
         (i, left), (j, right) = before[k], after[k]
         if b.kind in ("good", "bad"):
             out.append(b.kind == "good")
+        elif b.place > 0:
+            out.append(left or right or not (i >= 0 and j < n and blocks[i].place > 0 and blocks[j].place > 0))
         elif left == right:
             out.append(left)
         elif b.kind == "near":
@@ -239,10 +243,6 @@ def settle(blocks: list[Block]) -> list[bool]:
 def main_text(page: str) -> str:
     """The article's blocks joined by newlines; empty if the page has none."""
     blocks = blocks_of(page)
-    if any(b.place > 0 for b in blocks):
-        blocks = [b for b in blocks if b.place > 0]  # what is marked as article or main is all of it
-        classify(blocks)
-        return "\n".join(b.text for b in blocks if b.kind == "good")
     classify(blocks)
     return "\n".join(b.text for b, keep in zip(blocks, settle(blocks)) if keep)
 

@@ -6,6 +6,7 @@ import corpus_pipeline
 from test_llm_operators import SCHEMA, line_brute
 
 from docloom.llm import queries
+from docloom.llm.html import main_text
 
 
 def test_short_lines_take_part(spark, tmp_path):
@@ -22,3 +23,13 @@ def test_short_lines_take_part(spark, tmp_path):
     assert sum("All rights reserved." in t for t in want.values()) == 1
     table = spark.read.parquet(str(tmp_path / "documents.parquet"))
     assert {r.doc_id: r.text for r in corpus_pipeline.lines(spark, table, str(tmp_path)).collect()} == want
+
+
+def test_article_is_one_feature():
+    long = "This is the paragraph that has many of the words that are in the list and so it is kept as the text of the page for all of it. " * 2
+    teaser = f"<body><article><p>Teaser.</p></article><div><p>{long}</p><p>Short one.</p><p>{long}</p></div></body>"
+    assert main_text(teaser).split("\n") == ["Teaser.", long.strip(), "Short one.", long.strip()]
+    links = '<p><a href="/">One</a> <a href="/">two</a></p>'
+    poor = "bleanou ndoring onstanin thhashen inorhe stedon tionndre thntsh whorre"
+    page = f"<body><article><p>{long}</p><p>{poor}</p><p>{long}</p>{links}<p>More:</p>{links}</article><p>{poor}</p></body>"
+    assert main_text(page).split("\n") == [long.strip(), poor, long.strip()]
