@@ -35,6 +35,64 @@ TEMPLATES = [
     ("MPL-2.0", "This work is subject to the terms of the Mozilla Public License, version 2.0."),
 ]
 
+WARRANTY_MIT = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+WARRANTY_BSD = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def gnu_header(kind: str, version: str) -> str:
+    what = "program" if kind == "General" else "library"
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public "
+        f"License as published by the Free Software Foundation, either version {version} of the License, or (at your option) "
+        f"any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        f"GNU {kind} Public License for more details. You should have received a copy of the GNU {kind} Public License "
+        f"along with this {what}. If not, see <https://www.gnu.org/licenses/>."
+    )
+
+
+#: Whole licence texts and file headers. The SQL below knows TEMPLATES only.
+FULL_TEXTS = [
+    ("BSD-2-Clause", BSD_2),
+    ("BSD-2-Clause", BSD_2 + WARRANTY_BSD),
+    ("BSD-3-Clause", BSD_2 + BSD_3),
+    ("BSD-3-Clause", BSD_2 + BSD_3 + WARRANTY_BSD),
+    ("GPL-2.0-or-later", gnu_header("General", "2")),
+    ("GPL-3.0-or-later", gnu_header("General", "3")),
+    ("LGPL-2.1-or-later", gnu_header("Lesser General", "2.1")),
+    ("LGPL-3.0-or-later", gnu_header("Lesser General", "3")),
+    ("MIT", next(text for name, text in TEMPLATES if name == "MIT" and len(text) > 99) + " " + WARRANTY_MIT),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+]
+
 
 def bigrams_of(text: str) -> set[str]:
     """As word_bigrams(), of a template."""
@@ -76,18 +134,91 @@ def needed_words(known: list[tuple[str, list[str]]], percent: int) -> list[str]:
     return sorted(out)
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Columns added by one pass of a list of one: expressions that read them would else build them again."""
+    built = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return rows.select("*", F.explode(F.array(built)).alias("_built")).select("*", "_built.*").drop("_built")
+
+
+def windows(rows: DataFrame, known: list[tuple[str, list[str], int]], percent: int, is_notice) -> DataFrame:
+    """Notices inside lines and over neighbouring lines of rows (doc_id, lines), as scan_licenses() returns them.
+
+    A window starts and ends with a word pair of the template and has at most (200 - percent) / percent
+    times as many pairs as the template. Windows that touch a line, or are in a text, that is a notice by
+    itself are left to it (is_notice). Of windows that overlap, the one with most shared pairs less those of only one side is
+    taken (so that a longer licence wins over its own part), then the next that overlaps none taken; among equals that
+    of greater dice, then the first by template, then by place.
+    """
+    spaced = lambda x: F.split(F.trim(F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", " ")), " ")
+    of_line = lambda x, i: F.transform(
+        F.filter(spaced(x), lambda w: w != ""), lambda w: F.struct(w.alias("w"), i.cast("long").alias("line"))
+    )
+    rows = once(rows, words=F.flatten(F.transform("lines", of_line))).where(F.size("words") > 1)
+    words, pairs = F.col("words"), F.col("pairs")
+    two = lambda p: F.concat_ws(" ", words[p]["w"], words[p + 1]["w"])
+    rows = once(rows, pairs=F.transform(F.sequence(F.lit(0), F.size("words") - 2), two))
+    every = sorted({b for _, bigrams, _ in known for b in bigrams})
+    at = F.transform("pairs", lambda b, p: F.struct(p.alias("p"), b.alias("b")))
+    hit = lambda bigrams: lambda h: h["b"].isin(bigrams)
+    rows = once(rows, hits=F.filter(at, hit(every)))
+    sizes = [(-(-percent * len(b) // (200 - percent)), (200 - percent) * n // percent) for _, b, n in known]
+    rows = rows.where(F.size("hits") >= min(least for least, _ in sizes))
+    listed = [
+        F.struct(
+            F.lit(k).alias("nth"), F.lit(name).alias("name"), F.lit(len(b)).alias("n"), F.lit(least).alias("least"),
+            F.lit(most).alias("most"), F.filter("hits", hit(b)).alias("m"),
+        )
+        for k, ((name, b, _), (least, most)) in enumerate(zip(known, sizes))
+    ]
+
+    def from_start(t: Column, a: Column) -> Column:
+        start = t["m"][a]["p"]
+        last = F.least(F.size(t["m"]) - 1, a + t["most"] - 1)
+        ends = F.filter(F.sequence(a + t["least"] - 1, last), lambda c: t["m"][c]["p"] - start < t["most"])
+
+        def window(c: Column) -> Column:
+            end = t["m"][c]["p"]
+            both = F.size(F.array_distinct(F.transform(F.slice(t["m"], a + 1, c - a + 1), lambda h: h["b"])))
+            size = F.size(F.array_distinct(F.slice(pairs, start + 1, end - start + 1)))
+            return F.struct(
+                (size + t["n"] - 3 * both).alias("rank"), (-2.0 * both / (size + t["n"])).alias("less"), t["nth"].alias("nth"), start.alias("start"), (end + 1).alias("end"),
+                words[start]["line"].alias("first"), words[end + 1]["line"].alias("last"), t["name"].alias("license"),
+            )
+
+        return F.filter(F.transform(ends, window), lambda x: -100 * x["less"] >= percent)
+
+    def of_template(t: Column) -> Column:
+        dense = lambda a: t["m"][a + t["least"] - 1]["p"] - t["m"][a]["p"] < t["most"]
+        starts = F.filter(F.sequence(F.lit(0), F.size(t["m"]) - t["least"]), dense)
+        return F.flatten(F.transform(starts, lambda a: from_start(t, a)))
+
+    some = once(rows, dealt=F.filter(F.array(*listed), lambda t: F.size(t["m"]) >= t["least"])).where(F.size("dealt") > 0)
+    some = once(some, all=F.flatten(F.transform("dealt", of_template))).where(F.size("all") > 0)
+    numbered = F.transform("lines", lambda x, i: F.struct(i.cast("long").alias("i"), is_notice(x).alias("yes")))
+    some = once(some, taken=F.filter(numbered, lambda x: x["yes"]), whole=is_notice(F.array_join("lines", "\n"))).where(~F.col("whole"))
+    free = lambda x: ~F.exists("taken", lambda y: (y["i"] >= x["first"]) & (y["i"] <= x["last"]))
+    some = once(some, free=F.array_sort(F.filter("all", free)))
+    apart = lambda out, x: ~F.exists(out, lambda y: (y["start"] <= x["end"]) & (x["start"] <= y["end"]))
+    chosen = F.aggregate(
+        "free", F.slice("free", 1, 0), lambda out, x: F.when(apart(out, x), F.concat(out, F.array(x))).otherwise(out)
+    )
+    found = some.select("doc_id", "words", F.explode(chosen).alias("x"))
+    passage = F.array_join(F.transform(F.slice("words", F.col("x.start") + 1, F.col("x.end") - F.col("x.start") + 1), lambda w: w["w"]), " ")
+    return found.select("doc_id", F.col("x.first").alias("place"), passage.alias("passage"), "x.license", (-F.col("x.less")).alias("dice"))
+
+
 def scan_licenses(
     docs: DataFrame,
     *,
-    templates: list[tuple[str, str]] = TEMPLATES,
+    templates: list[tuple[str, str]] = TEMPLATES + FULL_TEXTS,
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Every licence notice found: (doc_id, place, passage, license, dice), a row for each passage.
 
-    Passages are the lines of a text and, where it has several lines, the whole text (place -1), so a
-    notice is found in a line, and as a text of its own over many. A passage is normalised to words and
+    Passages are the lines of a text, where it has several lines the whole text (place -1), and what
+    windows() finds beside these inside long lines and over neighbouring ones (place is the first line). A passage is normalised to words and
     compared with templates by the Dice coefficient of their word bigrams. A coefficient of percent
     needs bigram counts within percent / (200 - percent) of each other, so a passage is compared with the
     templates of fitting size only. Texts and passages without any word that a match must have
@@ -119,22 +250,35 @@ def scan_licenses(
             for k, (name, b) in enumerate(known)
         ]
     )
-    n = F.size("bigrams")
-    near = F.filter(
-        listed,
-        lambda t: (n * (200 - percent) >= percent * F.size(t["bigrams"]))
-        & (F.size(t["bigrams"]) * (200 - percent) >= percent * n),
-    )
-    scored = F.transform(
-        near,
-        lambda t: F.struct(
-            (2.0 * F.size(F.array_intersect("bigrams", t["bigrams"])) / (n + F.size(t["bigrams"]))).alias("dice"),
-            t["nth"].alias("nth"),
-            t["name"].alias("license"),
-        ),
-    )
-    found = passages.select("doc_id", "place", "passage", F.array_max(scored).alias("best"))
-    return found.where(100 * F.col("best.dice") >= percent).select("doc_id", "place", "passage", "best.license", "best.dice")
+
+    def best(bigrams: Column) -> Column:
+        n = F.size(bigrams)
+        near = F.filter(
+            listed,
+            lambda t: (n * (200 - percent) >= percent * F.size(t["bigrams"]))
+            & (F.size(t["bigrams"]) * (200 - percent) >= percent * n),
+        )
+        scored = F.transform(
+            near,
+            lambda t: F.struct(
+                (2.0 * F.size(F.array_intersect(bigrams, t["bigrams"])) / (n + F.size(t["bigrams"]))).alias("dice"),
+                t["nth"].alias("nth"),
+                t["name"].alias("license"),
+            ),
+        )
+        return F.array_max(scored)
+
+    def is_notice(passage: Column) -> Column:
+        return F.coalesce(100 * F.transform(F.array(word_bigrams(passage)), best)[0]["dice"] >= percent, F.lit(False))
+
+    found = passages.select("doc_id", "place", "passage", best(F.col("bigrams")).alias("best"))
+    found = found.where(100 * F.col("best.dice") >= percent).select("doc_id", "place", "passage", "best.license", "best.dice")
+    counted = [(name, b, count) for (name, b), count in zip(known, (pairs_in(text) for _, text in sorted(templates)))]
+    return found.unionByName(windows(rows, counted, percent, is_notice))
+
+
+def pairs_in(text: str) -> int:
+    return len("".join(c if c.isalnum() else " " for c in text.lower()).split()) - 1
 
 
 def known_templates(templates: list[tuple[str, str]]) -> list[tuple[str, list[str]]]:

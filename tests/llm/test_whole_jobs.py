@@ -1,11 +1,12 @@
 """The registered queries where they once did less than the whole job."""
 
 import random
+import textwrap
 
 import corpus_pipeline
 from test_llm_operators import SCHEMA, line_brute
 
-from docloom.llm import queries
+from docloom.llm import licenses, queries
 from docloom.llm.html import main_text
 
 
@@ -33,3 +34,19 @@ def test_article_is_one_feature():
     poor = "bleanou ndoring onstanin thhashen inorhe stedon tionndre thntsh whorre"
     page = f"<body><article><p>{long}</p><p>{poor}</p><p>{long}</p>{links}<p>More:</p>{links}</article><p>{poor}</p></body>"
     assert main_text(page).split("\n") == [long.strip(), poor, long.strip()]
+
+
+def test_licences_over_lines_and_inside_them(spark):
+    prose = "Some words of the story that stand before and after it, and go on for a while in the same line"
+    tail = " ".join(f"x{k}" for k in range(400))
+    texts, want = [], []
+    for k, (name, text) in enumerate(licenses.FULL_TEXTS):
+        texts.append(f"{prose}\n\n" + textwrap.fill(text, 78) + "\n\n" + tail)
+        want.append((k, 2, name))
+    n = len(texts)
+    texts.append("The MIT License (MIT)\n\nCopyright (c) 2020 A. B.\n\n" + textwrap.fill(licenses.FULL_TEXTS[8][1], 78))
+    texts.append(f"{prose}. Licensed under CC BY 4.0. {prose}\n{prose}")
+    texts.append(f"{prose}\n{prose}\nof the story")
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = sorted((r.doc_id, r.place, r.license) for r in licenses.scan_licenses(df).collect())
+    assert got == want + [(n, -1, "MIT"), (n + 1, 0, "CC-BY-4.0")]
