@@ -183,7 +183,8 @@ def tag_tfidf(docs: DataFrame, tags_col: str = "tags"):
     """Documents x tags as tf-idf vectors: (rows with a column features, vocabulary)."""
     from pyspark.ml.feature import IDF, CountVectorizer
 
-    count = CountVectorizer(inputCol=tags_col, outputCol="_tf").fit(docs)
+    distinct = docs.select(F.explode(tags_col).alias("tag")).where("tag is not null").distinct().count()
+    count = CountVectorizer(inputCol=tags_col, outputCol="_tf", vocabSize=max(distinct, 1)).fit(docs)
     rows = count.transform(docs)
     return IDF(inputCol="_tf", outputCol="features").fit(rows).transform(rows).drop("_tf"), count.vocabulary
 
