@@ -2,63 +2,66 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.near import SPREAD, Shingles
-from docloom.llm.shared import materialise, released, with_uid
-from docloom.llm.suffixes import U, mix
-
-#: Counters for token frequency: a fixed number, so what tasks are sent doesn't grow with the data.
-BUCKETS = 1 << 14
-#: Bytes of text whose lines a task compares before it sends rows on; rows of groups compared at a time.
-GROUP = 8 << 20
-CHUNK = 200_000
-PAIR, TOKEN = 0, 1
-#: Counters of round 2's filter, one bit each.
-FILTER_BITS = 1 << 23
-#: meta packs the line (from bit 32) and 32 bits of the set's hash; fill packs the number of tokens (from bit
-#: 32), the token's place (from bit 2) and the kind. Of a pair, token and bits are the other line.
-ROWS = "token long, bits long, uid long, meta long, fill long"
-NAMES = [x.split()[0] for x in ROWS.split(", ")]
-
-
-class LineTokens:
-    """Distinct words of each line of many texts, as arrays."""
-
-    def __init__(self):
-        self.shingles = Shingles(5)
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        docs, lines, words = [], [], []
-        begun: dict[int, int] = {}  # newlines in the earlier pieces of a long text
-        for first, blocks in self.shingles.blocks(texts):
-            data = np.frombuffer(b"\n".join(blocks), np.uint8)
-            ends = np.cumsum([len(b) + 1 for b in blocks])
-            start, h = self.shingles.word_hashes(data)
-            breaks = np.flatnonzero(data == 10)
-            piece = np.searchsorted(ends, start, side="right")
-            before = np.searchsorted(breaks, np.r_[0, ends[:-1]])[piece]
-            line = np.searchsorted(breaks, start) - before
-            held = begun.get(first, 0)
-            line = line + np.where(piece == 0, held, 0)
-            begun[first] = held + blocks[0].count(b"\n")
-            docs.append(piece + first)
-            lines.append(line)
-            words.append(h)
-        if not docs:
-            e = np.zeros(0, np.int64)
-            return e, e, e.astype(np.uint64)
-        return np.concatenate(docs), np.concatenate(lines), np.concatenate(words)
-
-
-def texts_by_size(batches, most: int, column: int = 1):
+from docloom.llm.shared import drop_table, materialise, released, with_uid
+from docloom.llm.words import SPREAD, U, blocks, stir, word_hashes
+
+#: Counters for token frequency, and how many of them travel in a row: fixed numbers, a byte each once they are summed.
+COUNTERS, CHUNK = 1 << 20, 1 << 12
+#: Bytes of text whose lines a task compares before it sends records on, and whose records make a bucket.
+GROUP = 16 << 20
+#: Bytes of text whose tokens are sorted at a time; pairs of records that are compared at a time.
+PART, PAIRS_AT_ONCE = 1 << 20, 1 << 20
+#: A token seen more often than HOT doesn't make a group of its own: groups are of it and one more token. If both are
+#: seen more often than SPLIT, the group's records are dealt to blocks and blocks are compared two by two.
+HOT, SPLIT = 1 << 12, 1 << 20
+#: The earliest records of a group that every record is compared with first; candidates sent on for a record of a group.
+LEADERS, BEST = 16, 4
+#: Tokens from which a line has a signature of two words of 64 bits, and of four.
+TWO, FOUR = 48, 96
+RECORDS, GONE, OPEN = 0, 1, 2
+BLOBS = "bucket long, kind int, data binary"
+FOUND = "uid long, line int, other long, other_line int, apart int, more boolean"
+#: The arrays of a blob of records. meta: place, size of the set, line.
+FIELDS = [("token", "<u4"), ("s0", "<u8"), ("s1", "<u8"), ("s2", "<u8"), ("s3", "<u8"), ("low", "<u4"), ("high", "<u4"),
+          ("other", "<u8"), ("uid", "<i8"), ("line", "<u4"), ("size", "<u4"), ("place", "<u4")]
+LINES = [("uid", "<i8"), ("line", "<u4")]
+
+
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, line in it, hash) of every word."""
+    docs, lines, words = [], [], []
+    begun: dict[int, int] = {}  # newlines in the earlier pieces of a long text
+    for first, pieces in blocks(texts):
+        data = b"\n".join(pieces)
+        ends = np.cumsum([len(p) + 1 for p in pieces])
+        start, h = word_hashes(data)
+        breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+        piece = np.searchsorted(ends, start, side="right")
+        before = np.searchsorted(breaks, np.r_[0, ends[:-1]])[piece]
+        line = np.searchsorted(breaks, start) - before
+        held = begun.get(first, 0)
+        docs.append((piece + first).astype(np.int32))
+        lines.append((line + np.where(piece == 0, held, 0)).astype(np.int32))
+        words.append(h)
+        begun[first] = held + pieces[0].count(b"\n")
+    if not docs:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint64)
+    return np.concatenate(docs), np.concatenate(lines), np.concatenate(words)
+
+
+def texts_by_size(batches, most: int):
     """Lists of (uid, text as bytes) of about most bytes."""
     rows, size = [], 0
     for batch in batches:
-        for uid, text in zip(batch.column(0).to_pylist(), batch.column(column)):
+        for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = text.as_buffer().to_pybytes()
             if rows and size + len(data) > most:
                 yield rows
@@ -70,283 +73,430 @@ def texts_by_size(batches, most: int, column: int = 1):
 
 
 def count_tokens(batches):
-    tokens, total = LineTokens(), np.zeros(BUCKETS, np.int64)
-    for rows in texts_by_size(batches, 1 << 20):
-        words = tokens.of([t for _, t in rows])[2]
-        total += np.bincount((words & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
-
-
-def distinct_by_rarity(tokens: LineTokens, rows: list[tuple[int, bytes]], counts: np.ndarray):
-    """(row, line, token, rank) without repeats, each line's tokens from rare to frequent."""
-    doc, line, word = tokens.of([t for _, t in rows])
-    seen = np.minimum(counts[(word & U(BUCKETS - 1)).astype(np.int64)], (1 << 20) - 1).astype(np.uint64)
-    rank = (seen << U(44)) | (word >> U(20))
-    o = np.lexsort((word, rank, line, doc))
-    doc, line, word = doc[o], line[o], word[o]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1]) | (word[1:] != word[:-1])
-    return doc[new], line[new], word[new]
+    """Rows (chunk, counters of the chunk as bytes, bytes of text); the text is counted with chunk 0."""
+    total, size = np.zeros(COUNTERS, np.int64), 0
+    for rows in texts_by_size(batches, PART):
+        total += np.bincount((tokens_of([t for _, t in rows])[2] & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        size += sum(len(t) for _, t in rows)
+    yield from chunks_of(total, size)
+
+
+def chunks_of(total: np.ndarray, size: int):
+    some = [k for k in range(COUNTERS // CHUNK) if not k or total[k * CHUNK : (k + 1) * CHUNK].any()]
+    data = [total[k * CHUNK : (k + 1) * CHUNK].astype("<i8").tobytes() for k in some]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int32()), pa.array(data, pa.binary()), pa.array([0 if k else size for k in some], pa.int64())],
+        names=["chunk", "counts", "size"],
+    )
 
 
-def batch(kind: int, token, bits, uid, line, set_hash=0, size=0, place=0) -> pa.RecordBatch:
-    n = len(uid)
-    long = lambda x: np.full(n, x, np.int64) if np.isscalar(x) else x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
-    meta = (long(line) << 32) | (long(set_hash) & 0xFFFFFFFF)
-    fill = (long(size) << 32) | (long(place) << 2) | kind
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (long(token), long(bits), long(uid), meta, fill)], names=NAMES)
+def sum_chunks(batches):
+    total, size = np.zeros(COUNTERS, np.int64), 0
+    seen = False
+    for b in batches:
+        for k, data, n in zip(*(b.column(c).to_pylist() for c in range(3))):
+            total[k * CHUNK : (k + 1) * CHUNK] += np.frombuffer(data, "<i8")
+            size += n
+            seen = True
+    if seen:
+        yield from chunks_of(total, size)
+
+
+def by_rarity(texts: list[bytes], ranks: np.ndarray):
+    """(text, line, token) without repeats, each line's tokens from rare to frequent, ties by hash."""
+    doc, line, word = tokens_of(texts)
+    if not len(doc):
+        return doc, line, word
+    nth = np.cumsum(np.r_[0, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]).astype(np.uint64)
+    rank = ranks[(word & U(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
+    o = None
+    if nth[-1] < 1 << 20:
+        key = (nth << U(44)) | (rank << U(36)) | (word >> U(28))
+        o = np.argsort(key)
+        key, w = key[o], word[o]
+        if ((key[1:] == key[:-1]) & (w[1:] != w[:-1])).any():
+            o = None  # 36 bits of hash don't tell two words of a line apart
+    if o is None:
+        o = np.lexsort((word, word >> U(28), rank, nth))
+    doc, line, word, nth = doc[o], line[o], word[o], nth[o]
+    new = np.r_[True, (nth[1:] != nth[:-1]) | (word[1:] != word[:-1])]
+    return doc[new], line[new], word[new]
 
 
-def prefixes(counts: np.ndarray, percent: int, least: int, only: np.ndarray | None = None):
-    """Prefix tokens of each distinct line of a task; equal lines are paired with the first at once.
+def packed(columns: dict[str, np.ndarray], fields) -> bytes:
+    """Arrays as one compressed string; uids as steps."""
+    parts = []
+    for name, kind in fields:
+        x = columns[name]
+        parts.append((np.diff(x, prepend=0) if name == "uid" else x).astype(kind, copy=False).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def unpacked(blobs: list[bytes], fields) -> dict[str, np.ndarray]:
+    width = sum(np.dtype(kind).itemsize for _, kind in fields)
+    out: dict[str, list[np.ndarray]] = {name: [] for name, _ in fields}
+    for blob in blobs:
+        data, at = zstandard.ZstdDecompressor().decompress(blob), 0
+        n = len(data) // width
+        for name, kind in fields:
+            x = np.frombuffer(data, kind, n, at)
+            out[name].append(np.cumsum(x) if name == "uid" else x)
+            at += x.nbytes
+    return {name: np.concatenate(x) if x else np.zeros(0, dict(fields)[name]) for name, x in out.items()}
+
+
+def blob_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    bucket, kind, data = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int64()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "kind", "data"]
+    )
 
-    only: bits of the tokens wanted; then rows of other tokens and pairs are left out.
-    """
 
-    def task(batches):
-        tokens = LineTokens()
-        for rows in texts_by_size(batches, GROUP):
-            rows.sort(key=lambda r: r[0])
-            found = []
-            for a in range(0, len(rows), 256):
-                part = rows[a : a + 256]
-                doc, line, word = distinct_by_rarity(tokens, part, counts)
-                found.append((doc + a, line, word))
-            doc, line, word = (np.concatenate(x) for x in zip(*found))
-            found.clear()
-            if not len(doc):
-                continue
-            head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
-            size = np.diff(np.r_[head, len(doc)])
-            set_hash = np.add.reduceat(mix(word), head)
-            bits = np.bitwise_xor.reduceat(U(1) << (word >> U(58)), head)
-            uid = np.array([u for u, _ in rows], np.int64)[doc[head]]
-            row = line[head]
-            long_enough = size >= least
-            o = np.lexsort((size, set_hash))  # stable: earlier lines first
-            o = o[long_enough[o]]
-            same = np.zeros(len(o), bool)
-            same[1:] = (set_hash[o][1:] == set_hash[o][:-1]) & (size[o][1:] == size[o][:-1])
-            lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))
-            later, lead = o[same], o[lead[same]]
-            for k in range(0, len(later) if only is None else 0, 50_000):
-                x, y = later[k : k + 50_000], lead[k : k + 50_000]
-                yield batch(PAIR, uid[y], row[y], uid[x], row[x])
-            keep = np.zeros(len(head), bool)
-            keep[o[~same]] = True
-            owner = np.repeat(np.arange(len(head)), size)
-            place = np.arange(len(doc)) - head[owner]
-            width = size - -(-percent * size // 100) + 1
-            chosen = keep[owner] & (place < width[owner])
-            if only is not None:
-                cell = (word & U(FILTER_BITS - 1)).astype(np.int64)
-                chosen &= (only[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
-            at = np.flatnonzero(chosen)
-            for k in range(0, len(at), 50_000):
-                x = at[k : k + 50_000]
-                y = owner[x]
-                yield batch(TOKEN, word[x], bits[y], uid[y], row[y], set_hash[y], size[y], place[x])
+class Lines:
+    """Distinct lines of a group: heads of their tokens, sizes, hashes and signatures."""
 
-    return task
+    def __init__(self, doc: np.ndarray, line: np.ndarray, word: np.ndarray):
+        self.word = word
+        self.head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
+        self.size = np.diff(np.r_[self.head, len(doc)])
+        self.doc, self.line = doc[self.head], line[self.head]
+        self.a = np.add.reduceat(stir(word), self.head)
+        self.b = np.add.reduceat(stir(word ^ SPREAD), self.head)
+
+    def signatures(self) -> list[np.ndarray]:
+        """Parity of the tokens in each of 256 cells, folded to 128 and 64 for shorter lines."""
+        bit, of = U(1) << ((self.word >> U(56)) & U(63)), (self.word >> U(62)).astype(np.int8)
+        w = [np.bitwise_xor.reduceat(np.where(of == k, bit, U(0)), self.head) for k in range(4)]
+        one, two = self.size < TWO, self.size < FOUR
+        none = np.zeros_like(w[0])
+        return [
+            np.where(one, w[0] ^ w[1] ^ w[2] ^ w[3], np.where(two, w[0] ^ w[2], w[0])),
+            np.where(one, none, np.where(two, w[1] ^ w[3], w[1])),
+            np.where(two, none, w[2]),
+            np.where(two, none, w[3]),
+        ]
 
 
 def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(i, j) for every j from start[i] to end[i] - 1."""
-    n = end - start
+    n = np.maximum(end - start, 0)
     i = np.repeat(np.arange(len(n)), n)
     return i, np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
 
 
-def pair_up(percent: int, every: bool):
-    """Lines of each token, sorted by token and size: pairs that pass the length, place and bit filters.
+def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, hot: int, split: int):
+    """(line, key, place, whether it is the line's first) of every record of the lines to keep.
 
-    Of a later line only the most alike earlier one is sent on (every: each one, for lines marked open).
+    A prefix token makes a record. A hot one makes a record with each of the tokens that its line would have as a prefix
+    after it: of two similar lines whose first common token is hot, the second common token is among those of both.
     """
-
-    def of(c: dict[str, np.ndarray]):
-        # Equal lines of different tasks: all but the first are paired with it and take no further part.
-        o = np.lexsort((c["line"], c["uid"], c["bits"], c["set_hash"], c["size"], c["token"]))
-        c = {k: v[o] for k, v in c.items()}
-        same = np.zeros(len(o), bool)
-        same[1:] = (
-            (c["token"][1:] == c["token"][:-1]) & (c["size"][1:] == c["size"][:-1])
-            & (c["set_hash"][1:] == c["set_hash"][:-1]) & (c["bits"][1:] == c["bits"][:-1])
-        )
-        lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))
-        same &= c["open"] == 0
-        later = np.flatnonzero(same & (c["place"] == 0))
-        yield later, lead[later], c, True
-        c = {k: v[~same] for k, v in c.items()}
-        n = len(c["token"])
-        ends = np.searchsorted(c["token"], c["token"], side="right")
-        # Sizes rise within a token, so the partners of a line end where sizes get too large for it.
-        rank = np.cumsum(np.r_[False, c["token"][1:] != c["token"][:-1]])
-        wide = int(c["size"].max()) + 2 if n else 2
-        most = np.minimum(100 * c["size"] // percent, wide - 1)
-        stop = np.minimum(np.searchsorted(rank * wide + c["size"], rank * wide + most, side="right"), ends)
-        at = 0
-        work = np.cumsum(stop - np.arange(n) - 1)
-        best: list[tuple[np.ndarray, ...]] = []
-        while at < n:
-            upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + 2_000_000)))
-            i, j = ranges(np.arange(at, upto) + 1, stop[at:upto])
-            i += at
-            both = c["size"][i] + c["size"][j]
-            need = -(-percent * both // (100 + percent))
-            room = np.minimum(c["size"][i] - c["place"][i], c["size"][j] - c["place"][j])
-            apart = np.bitwise_count(c["bits"][i] ^ c["bits"][j]).astype(np.int64)
-            ok = (room >= need) & (apart <= both - 2 * need)
-            i, j, apart = i[ok], j[ok], apart[ok]
-            later_i = (c["uid"][i] > c["uid"][j]) | ((c["uid"][i] == c["uid"][j]) & (c["line"][i] > c["line"][j]))
-            best.append((np.where(later_i, i, j), np.where(later_i, j, i), apart))
-            at = upto
-        if best:
-            x, y, apart = (np.concatenate(z) for z in zip(*best))
-            if every:
-                x, y = x[c["open"][x] > 0], y[c["open"][x] > 0]
-            else:
-                o = np.lexsort((apart, x))
-                x, y = x[o], y[o]
-                first = np.ones(len(x), bool)
-                first[1:] = x[1:] != x[:-1]
-                x, y = x[first], y[first]
-            yield x, y, c, False
+    head, size, word = lines.head, lines.size, lines.word
+    width = size - -(-percent * size // 100) + 1
+    seen = lambda w: np.exp2(ranks[(w & U(COUNTERS - 1)).astype(np.int64)] / 8.0)
+    chosen = np.flatnonzero(keep)
+    i, at = ranges(head[chosen], head[chosen] + width[chosen])
+    owner = chosen[i]
+    place = at - head[owner]
+    often = seen(word[at]) > hot
+    alone = often & (size[owner] == 1)
+    plain = np.flatnonzero(~often | alone)
+    out = [(owner[plain], np.where(alone[plain], stir(word[at[plain]]), word[at[plain]]), place[plain], place[plain] == 0)]
+    hots = np.flatnonzero(often & ~alone)
+    if len(hots):
+        i, at2 = ranges(at[hots] + 1, head[owner[hots]] + width[owner[hots]] + 1)
+        x = hots[i]
+        own, second = owner[x], at2 - head[owner[x]]
+        key = stir(word[at[x]] ^ stir(word[at2] + SPREAD))
+        first = (place[x] == 0) & (second == 1)
+        parts = 1 + (np.minimum(seen(word[at[x]]), seen(word[at2])) / split).astype(np.int64)
+        one = parts == 1
+        out.append((own[one], key[one], second[one] - 1, first[one]))
+        if not one.all():
+            own, key, second, first, parts = (z[~one] for z in (own, key, second, first, parts))
+            mine = (lines.a[own] % parts.astype(np.uint64)).astype(np.int64)
+            i, other = ranges(np.zeros(len(own), np.int64), parts)
+            low, high = np.minimum(mine[i], other), np.maximum(mine[i], other)
+            cell = stir(key[i] ^ (low * parts[i] + high + 1).astype(np.uint64))
+            out.append((own[i], cell, second[i] - 1, first[i] & (other == mine[i])))
+    return tuple(np.concatenate(z) for z in zip(*out))
+
+
+def records(ranks: np.ndarray, percent: int, buckets: int, hot: int, split: int):
+    """Blobs of the records of each distinct line of a task. A line that equals an earlier one of its task is gone."""
 
     def task(batches):
-        held: list[dict[str, np.ndarray]] = []
-        size, most = 0, CHUNK
-
-        def columns(b) -> dict[str, np.ndarray]:
-            token, bits, uid, meta, fill = (b.column(k).to_numpy() for k in range(5))
-            out = {"token": token, "bits": bits.view(np.uint64), "uid": uid, "line": meta >> 32, "set_hash": meta & 0xFFFFFFFF}
-            out |= {"size": fill >> 32, "place": (fill & 0xFFFFFFFF) >> 2, "kind": fill & 3}
-            out["open"] = b.column(5).to_numpy() if every else np.zeros(len(uid), np.int64)
-            return out
-
-        def process(parts):
-            c = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-            tokens = c["kind"] == TOKEN
-            sent = {k: v[~tokens] for k, v in c.items()}
-            if not every and len(sent["uid"]):
-                yield sent["uid"], sent["line"], sent["token"], sent["bits"].view(np.int64), True
-            c = {k: v[tokens] for k, v in c.items()}
-            # A token that no other line has leaves.
-            if len(c["token"]):
-                for x, y, d, equal in of(c):
-                    yield d["uid"][x], d["line"][x], d["uid"][y], d["line"][y], equal
-
-        def pack(rows):
-            for u, l, v, m, equal in rows:
-                for k in range(0, len(u), 50_000):
-                    s = slice(k, k + 50_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(u[s]),
-                            pa.array(l[s].astype(np.int32)),
-                            pa.array(v[s]),
-                            pa.array(m[s].astype(np.int32)),
-                            pa.array(np.full(len(u[s]), equal)),
-                        ],
-                        names=["uid", "line", "other", "other_line", "same"],
-                    )
-
-        for b in batches:
-            if not b.num_rows:
+        for rows in texts_by_size(batches, GROUP):
+            rows.sort(key=lambda r: r[0])
+            found, first, size = [], 0, 0
+            for k, (_, text) in enumerate(rows):
+                size += len(text)
+                if size >= PART or k + 1 == len(rows):
+                    doc, line, word = by_rarity([t for _, t in rows[first : k + 1]], ranks)
+                    found.append((doc + np.int32(first), line, word))
+                    first, size = k + 1, 0
+            uids = np.array([u for u, _ in rows], np.int64)
+            rows.clear()
+            doc, line, word = (np.concatenate(x) for x in zip(*found))
+            found.clear()
+            if not len(doc):
                 continue
-            held.append(columns(b))
-            size += b.num_rows
-            if size >= most:
-                c = {k: np.concatenate([p[k] for p in held]) for k in held[0]}
-                cut = int(np.searchsorted(c["token"], c["token"][-1]))  # the last token may go on
-                if cut:
-                    yield from pack(process([{k: v[:cut] for k, v in c.items()}]))
-                held = [{k: v[cut:] for k, v in c.items()}]
-                size = len(held[0]["token"])
-                most = max(CHUNK, 2 * size)
-        if held:
-            yield from pack(process(held))
+            lines = Lines(doc, line, word)
+            o = np.lexsort((lines.b, lines.a))  # stable: earlier lines first
+            same = np.r_[False, (lines.a[o][1:] == lines.a[o][:-1]) & (lines.b[o][1:] == lines.b[o][:-1])]
+            keep = np.ones(len(o), bool)
+            keep[o[same]] = False
+            gone = np.flatnonzero(~keep)
+            if len(gone):
+                data = packed({"uid": uids[lines.doc[gone]], "line": lines.line[gone]}, LINES)
+                yield blob_rows([(int(uids[0] % buckets), GONE, data)])
+            owner, key, place, whole = keys_of(lines, keep, ranks, percent, hot, split)
+            bucket = ((key & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
+            o = np.lexsort((owner, bucket))
+            owner, key, place, whole, bucket = owner[o], key[o], place[o], whole[o], bucket[o]
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+            signs = lines.signatures()
+            out, held = [], 0
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                x, w = owner[a:b], whole[a:b]
+                columns = {"token": key[a:b] >> U(32), "low": lines.a[x] & U(0xFFFFFFFF), "uid": uids[lines.doc[x]], "line": lines.line[x], "size": lines.size[x], "place": place[a:b]}
+                columns |= {f"s{k}": s[x] for k, s in enumerate(signs)}
+                columns |= {"high": np.where(w, (lines.a[x] >> U(32)) | U(1), U(0)), "other": np.where(w, lines.b[x], U(0))}
+                out.append((int(bucket[a]), RECORDS, packed(columns, FIELDS)))
+                held += len(out[-1][2])
+                if held > 4 << 20:
+                    yield blob_rows(out)
+                    out, held = [], 0
+            if out:
+                yield blob_rows(out)
 
     return task
 
 
-def line_sets(batches):
-    """(uid, line, set_a, set_b, tokens) of the lines asked for; tokens only where all of them are asked for."""
-    tokens = LineTokens()
-    none = np.zeros(BUCKETS, np.int64)
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    for b in batches:
-        asked = {u: {x["line"]: x["full"] for x in w.as_py()} for u, w in zip(b.column(0).to_pylist(), b.column(2))}
-        for rows in texts_by_size([b], 1 << 20):
-            doc, line, word = distinct_by_rarity(tokens, rows, none)
-            if not len(doc):
-                continue
-            head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
-            set_a = np.add.reduceat(mix(word), head).view(np.int64)
-            set_b = np.add.reduceat(mix(word ^ SPREAD), head).view(np.int64)
+def open_lines(ranks: np.ndarray, percent: int, buckets: int, hot: int, split: int):
+    """Blobs (uid, line) of the lines of a table (uid, line, tokens), for every bucket that has records of them."""
+
+    def task(batches):
+        for b in batches:
+            n = np.diff(b.column(2).offsets.to_numpy())
+            word = b.column(2).flatten().to_numpy().view(np.uint64)
+            nth = np.repeat(np.arange(b.num_rows, dtype=np.int32), n)
+            rank = ranks[(word & U(COUNTERS - 1)).astype(np.int64)]
+            o = np.lexsort((word, word >> U(28), rank, nth))
+            lines = Lines(nth[o], np.zeros(len(o), np.int32), word[o])
+            owner, key, _, _ = keys_of(lines, np.ones(len(lines.head), bool), ranks, percent, hot, split)
+            bucket = ((key & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
+            uid, line = b.column(0).to_numpy(), b.column(1).to_numpy()
             out = []
-            for k, (h, e) in enumerate(zip(head, np.r_[head[1:], len(doc)])):
-                uid, n = rows[doc[h]][0], int(line[h])
-                if n in asked[uid]:
-                    out.append((uid, n, set_a[k], set_b[k], word[h:e].view(np.int64) if asked[uid][n] else None))
+            for k in np.unique(bucket):
+                x = lines.doc[np.unique(owner[bucket == k])]
+                out.append((int(k), OPEN, packed({"uid": uid[x], "line": line[x]}, LINES)))
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names=["uid", "line", "set_a", "set_b", "tokens"]
-                )
+                yield blob_rows(out)
 
+    return task
 
-PAIRS = "uid long, line int, other long, other_line int, same boolean"
 
+class Group:
+    """Records of a bucket, sorted by token and size, without those of equal lines but the first."""
+
+    def __init__(self, c: dict[str, np.ndarray]):
+        key = (c["token"].astype(np.uint64) << U(32)) | c["size"].astype(np.uint64)
+        full = c["s0"] ^ c["s1"] ^ c["s2"] ^ c["s3"]
+        o = np.lexsort((c["high"], c["low"], full, key))
+        c, key, full = {k: v[o] for k, v in c.items()}, key[o], full[o]
+        new = np.r_[True, key[1:] != key[:-1]] | np.r_[True, full[1:] != full[:-1]]
+        for name in ("low", "high", "other", "s1", "s2", "s3"):
+            new[1:] |= c[name][1:] != c[name][:-1]
+        head = np.flatnonzero(new)
+        nth = np.cumsum(new) - 1
+        least = np.minimum.reduceat(c["uid"], head)[nth]
+        line = np.where(c["uid"] == least, c["line"], np.uint32(0xFFFFFFFF))
+        first = (c["uid"] == least) & (c["line"] == np.minimum.reduceat(line, head)[nth])
+        #: Lines that equal an earlier one: judged where the record has the whole hashes.
+        later = ~first & (c["high"] > 0)
+        self.gone = c["uid"][later], c["line"][later]
+        self.c, self.key = {k: v[first] for k, v in c.items()}, key[first]
+        self.full = full[first]
+        self.size, self.place = self.c["size"].astype(np.int64), self.c["place"].astype(np.int64)
+        self.level = (self.size >= TWO).astype(np.int8) + (self.size >= FOUR)
+
+    def alike(self, i: np.ndarray, j: np.ndarray, percent: int):
+        """Pairs that pass the place filter and the signatures' bound, with their least distance."""
+        both = self.size[i] + self.size[j]
+        need = -(-percent * both // (100 + percent))
+        ok = np.minimum(self.size[i] - self.place[i], self.size[j] - self.place[j]) >= need
+        i, j, room = i[ok], j[ok], (both - 2 * need)[ok]
+        apart = np.bitwise_count(self.full[i] ^ self.full[j]).astype(np.int64)
+        ok = apart <= room
+        i, j, room, apart = i[ok], j[ok], room[ok], apart[ok]
+        level = np.minimum(self.level[i], self.level[j])
+        s = [self.c[f"s{k}"] for k in range(4)]
+        for at, words in ((1, ((0, 2), (1, 3))), (2, ((0,), (1,), (2,), (3,)))):
+            x = np.flatnonzero(level == at)
+            if len(x):
+                a, b = i[x], j[x]
+                fold = lambda w, z: np.bitwise_xor.reduce([s[k][z] for k in w])  # noqa: B023, E731
+                apart[x] = sum(np.bitwise_count(fold(w, a) ^ fold(w, b)).astype(np.int64) for w in words)
+        ok = apart <= room
+        return i[ok], j[ok], apart[ok]
+
+    def reach(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each record the first and the end of the records of its token whose sizes are near enough."""
+        token = self.key & U(0xFFFFFFFF00000000)
+        low = np.searchsorted(self.key, token | (-(-percent * self.size // 100)).astype(np.uint64), side="left")
+        most = np.minimum(100 * self.size // percent, 0xFFFFFFFF).astype(np.uint64)
+        return low, np.searchsorted(self.key, token | most, side="right")
+
+    def earlier(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether j's line stands before i's."""
+        u, v = self.c["uid"][i], self.c["uid"][j]
+        return (v < u) | ((v == u) & (self.c["line"][j] < self.c["line"][i]))
+
+    def found(self, i, j, apart, more) -> tuple[np.ndarray, ...]:
+        return self.c["uid"][i], self.c["line"][i], self.c["uid"][j], self.c["line"][j], apart, more
+
+    def candidates(self, percent: int, which: np.ndarray | None = None):
+        """Earlier candidates of each line; with which, all candidates of the lines marked."""
+        n = len(self.key)
+        low, high = self.reach(percent)
+        if which is None:
+            # First the earliest lines of each token: a large group of like lines needs no other.
+            token = self.key >> U(32)
+            o = np.lexsort((self.c["line"], self.c["uid"], token))
+            starts = np.flatnonzero(np.r_[True, token[o][1:] != token[o][:-1]])
+            counts = np.diff(np.r_[starts, n])
+            large = counts > 4 * LEADERS
+            done = np.zeros(n, bool)
+            for a, b in zip(starts[large], (starts + counts)[large]):
+                members, lead = o[a:b], o[a : a + LEADERS]
+                i, j = np.repeat(members, LEADERS), np.tile(lead, b - a)
+                ok = self.earlier(i, j)
+                i, j, apart = self.alike(i[ok], j[ok], percent)
+                p = np.lexsort((apart, i))
+                i, j, apart = i[p], j[p], apart[p]
+                one = np.r_[True, i[1:] != i[:-1]][: len(i)]
+                done[i] = True
+                yield self.found(i[one], j[one], apart[one], np.ones(int(one.sum()), bool))
+            wanted = np.flatnonzero(~done)
+        else:
+            wanted = np.flatnonzero(which)
+        work = np.cumsum(high[wanted] - low[wanted])
+        at = 0
+        while at < len(wanted):
+            upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + PAIRS_AT_ONCE)))
+            part = wanted[at:upto]
+            at = upto
+            i, j = ranges(low[part], high[part])
+            i = part[i]
+            ok = self.earlier(i, j)
+            i, j, apart = self.alike(i[ok], j[ok], percent)
+            if which is None and len(i):
+                o = np.lexsort((apart, i))
+                i, j, apart = i[o], j[o], apart[o]
+                starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+                counts = np.diff(np.r_[starts, len(i)])
+                nth = np.arange(len(i)) - np.repeat(starts, counts)
+                more = np.repeat(counts > BEST, counts)
+                best = nth < BEST
+                yield self.found(i[best], j[best], apart[best], more[best])
+            elif len(i):
+                yield self.found(i, j, apart, np.zeros(len(i), bool))
+
+
+def pair_up(percent: int, only_open: bool):
+    """Rows FOUND of blobs sorted by bucket: lines that equal an earlier one (other is null), and candidates.
+
+    only_open: all candidates, of the lines only that have a blob OPEN in the bucket.
+    """
 
-def maybe(rows: DataFrame, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """rows whose uid may be in keys: a filter of fixed size, so that fewer texts go into the join behind it."""
-    place = lambda n: F.pmod(F.xxhash64(F.lit(n), "uid"), F.lit(bits))
-    at = keys.select(F.explode(F.array(place(0), place(1))).alias("c"))
-    table = bytearray(bits // 8)
-    one = F.expr("shiftleft(1, CAST(c & 7 AS int))")
-    for r in at.groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toLocalIterator():
-        table[r.byte] = r.v
-    held = np.frombuffer(bytes(table), np.uint8)
+    def rows(uid, line, other=None, other_line=None, apart=None, more=None):
+        for k in range(0, len(uid), 50_000):
+            s = slice(k, k + 50_000)
+            n = len(uid[s])
+            given = lambda x, t: pa.nulls(n, t) if x is None else pa.array(x[s].astype(t.to_pandas_dtype()), t)  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays(
+                [given(uid, pa.int64()), given(line, pa.int32()), given(other, pa.int64()), given(other_line, pa.int32()), given(apart, pa.int32()), given(more, pa.bool_())],
+                names=["uid", "line", "other", "other_line", "apart", "more"],
+            )
+
+    def process(blobs: dict[int, list[bytes]]):
+        if blobs[GONE] and not only_open:
+            c = unpacked(blobs[GONE], LINES)
+            yield from rows(c["uid"], c["line"])
+        if not blobs[RECORDS] or (only_open and not blobs[OPEN]):
+            return
+        group = Group(unpacked(blobs[RECORDS], FIELDS))
+        which = None
+        if only_open:
+            o = unpacked(blobs[OPEN], LINES)
+            pairs = set(zip(o["uid"].tolist(), o["line"].tolist()))
+            near = np.flatnonzero(np.isin(group.c["uid"], o["uid"]))
+            which = np.zeros(len(group.key), bool)
+            which[near] = [p in pairs for p in zip(group.c["uid"][near].tolist(), group.c["line"][near].tolist())]
+        else:
+            yield from rows(*group.gone)
+        for found in group.candidates(percent, which):
+            yield from rows(*found)
 
     def task(batches):
+        last, blobs = None, {RECORDS: [], GONE: [], OPEN: []}
         for b in batches:
-            ok = np.ones(b.num_rows, bool)
-            for k in (2, 3):
-                cell = b.column(k).to_numpy()
-                ok &= (held[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["uid", "text"]).filter(pa.array(ok))
-
-    # The filter goes with the function: as a literal it would stand in every text of the plan.
-    return rows.select("uid", "text", place(0).alias("a"), place(1).alias("b")).mapInArrow(task, "uid long, text string")
-
-
-def line_tokens(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Hashes of all lines in pairs, and tokens of those that aren't taken for equal."""
-    full = (~F.col("same")).alias("full")
-    theirs = pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line"), full)
-    lines = pairs.select("uid", "line", full).unionByName(theirs).groupBy("uid", "line").agg(F.max("full").alias("full"))
-    asked = materialise(lines.groupBy("uid").agg(F.collect_list(F.struct("line", "full")).alias("asked")), "asked")
-    some = maybe(texts, asked.select("uid"))
-    return some.join(asked, "uid").select("uid", "text", "asked").mapInArrow(
-        released(line_sets), "uid long, line int, set_a long, set_b long, tokens array<long>"
-    )
+            for k in range(b.num_rows):
+                bucket = b.column(0)[k].as_py()
+                if bucket != last:
+                    yield from process(blobs)
+                    last, blobs = bucket, {RECORDS: [], GONE: [], OPEN: []}
+                blobs[b.column(1)[k].as_py()].append(b.column(2)[k].as_py())
+        yield from process(blobs)
 
+    return task
 
-def verified_lines(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(uid, line) of those of pairs whose whole token sets are similar enough; equal ones by 128 bits of hash."""
-    other = sets.select(
-        F.col("uid").alias("other"), F.col("line").alias("other_line"), F.col("set_a").alias("a"), F.col("set_b").alias("b"),
-        F.col("tokens").alias("others"),
-    )
+
+def line_sets(batches):
+    """(uid, line, tokens) of the lines asked for of each text."""
+    for b in batches:
+        out = []
+        for uid, text, asked in zip(*(b.column(c).to_pylist() for c in range(3))):
+            lines = text.encode().split(b"\n") if len(asked) > 1 or asked[0] else [text.encode().split(b"\n", 1)[0]]
+            asked = sorted(asked)
+            doc, _, word = tokens_of([lines[k] for k in asked])
+            o = np.lexsort((word, doc))
+            doc, word = doc[o], word[o]
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]
+            doc, word = doc[new], word[new].view(np.int64)
+            ends = np.searchsorted(doc, np.arange(len(asked) + 1))
+            out += [(uid, k, word[ends[n] : ends[n + 1]]) for n, k in enumerate(asked)]
+            if len(out) > 5000:
+                yield set_rows(out)
+                out = []
+        if out:
+            yield set_rows(out)
+
+
+def set_rows(out) -> pa.RecordBatch:
+    uid, line, tokens = zip(*out)
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tokens)]).astype(np.int32)), pa.array(np.concatenate(tokens)))
+    return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(line, pa.int32()), lists], names=["uid", "line", "tokens"])
+
+
+def asked_sets(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Token sets of all lines in pairs."""
+    lines = pairs.select("uid", "line").unionByName(pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line")))
+    asked = lines.groupBy("uid").agg(F.collect_set("line").alias("asked"))
+    some = texts.join(asked, "uid").select("uid", "text", "asked")
+    return materialise(some.mapInArrow(released(line_sets), "uid long, line int, tokens array<long>"), "line-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(uid, line) of those of pairs whose whole token sets are similar enough."""
+    other = sets.select(F.col("uid").alias("other"), F.col("line").alias("other_line"), F.col("tokens").alias("others"))
     both = F.size(F.array_intersect("tokens", "others"))
-    near = 100 * F.col("both") >= percent * (F.size("tokens") + F.size("others") - F.col("both"))
-    equal = (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b"))
     return (
-        pairs.join(sets, ["uid", "line"]).join(other, ["other", "other_line"])
-        .withColumn("both", F.when(~F.col("same"), both))
-        .where(F.when(F.col("same"), equal).otherwise(near))
+        pairs.select("uid", "line", "other", "other_line").join(sets, ["uid", "line"]).join(other, ["other", "other_line"])
+        .select("uid", "line", both.alias("both"), (F.size("tokens") + F.size("others")).alias("all"))
+        .where(100 * F.col("both") >= percent * (F.col("all") - F.col("both")))
         .select("uid", "line").distinct()
-    )
+    )
 
 
 def drop_lines(carry: bool):
@@ -354,13 +504,14 @@ def drop_lines(carry: bool):
         for b in batches:
             texts, lines, gone = [], [], []
             for text, drop in zip(b.column("text").to_pylist(), b.column("drop").to_pylist()):
-                parts = text.split("\n")
                 if drop:
-                    out = set(drop)
-                    parts_left = [p for k, p in enumerate(parts) if k not in out]
-                    text = "\n".join(parts_left)
-                lines.append(len(parts))
-                gone.append(len(drop or ()))
+                    parts, out = text.split("\n"), set(drop)
+                    text = "\n".join([p for k, p in enumerate(parts) if k not in out])
+                    lines.append(len(parts))
+                    gone.append(len(out))
+                else:
+                    lines.append(text.count("\n") + 1)
+                    gone.append(0)
                 texts.append(text)
             columns = [b.column("doc_id"), pa.array(lines, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string())]
             names = ["doc_id", "n_lines", "n_removed", "text"]
@@ -376,66 +527,77 @@ def dedup_lines(
     docs: DataFrame,
     *,
     percent: int = 75,
-    least: int = 5,
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: bool = False,
+    hot: int = HOT,
+    split: int = SPLIT,
 ) -> DataFrame:
     """Remove each line that resembles an earlier line of the corpus.
 
-    A line's tokens are its distinct words (ASCII letters lower-cased, split at ASCII white space); lines
-    of fewer than ``least`` tokens always stay (op3_lines and the pipeline pass 1: only lines without a word
-    stay for that). A line goes if an earlier one (smaller id, or before in the
-    same document; itself removed or not) has Jaccard similarity of percent or more with it.
+    A line's tokens are its distinct words (ASCII letters lower-cased, split at ASCII white space). A line with a word
+    goes if an earlier one (smaller id, or before in the same document; itself removed or not) has Jaccard similarity of
+    percent (51 to 100) or more with it. Lines without a word stay.
+
+    1. Tokens are counted over all lines, in COUNTERS counters, and ordered by their counter, rare ones first, then by
+       hash. Two similar lines share one of their first size - ceil(percent * size) + 1 tokens, so each distinct line
+       of a task makes a record for each of these. Records are dealt to buckets by token and travel many to a row.
+    2. Of equal lines (128 bits of hash over all tokens) all but the first are gone: those of one task before anything
+       is sent, others where their first tokens meet. Other lines of a token are compared by length, by place and by
+       a bound from the parities of 64 to 256 cells. Of each line the BEST candidates are kept.
+    3. Candidates are verified on whole token sets, the most alike one first. For a line that had more candidates than
+       were kept and none that holds, all of them are verified.
 
-    Tokens are ordered by frequency (counted over all lines in BUCKETS counters, then by hash), rare ones
-    first. Two similar lines share one of their first size - ceil(percent * size) + 1 tokens; of lines
-    that share one, the length filter, the place filter and a bound from 64 parity bits leave few, and
-    those are verified on whole sets. Equal lines are paired with the first of their task and then of
-    their token, so copies cost a row each. A later line is first verified against its most alike
-    candidate; lines for which that fails go through a second round with all candidates.
+    A token seen more than hot times makes no group of its own: lines that have it meet by it and one more token, and
+    where both are seen more than split times, blocks of such lines meet two by two. So a task's memory is bounded by
+    GROUP bytes of text and by 2 * split records of a group, and no pair is lost.
 
     Columns: doc_id, n_lines, n_removed, text (the other lines joined by newlines), with
     carry row, a struct of the other input columns.
 
     Null texts count as empty. Null ids come first, rows that share an id are documents of their own in the
-    order of their texts. An empty table gives no rows.
+    order of their texts. An empty table gives no rows. A line may be as long as a text: it needs memory in
+    proportion to its words.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be 51 to 100")
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     short = rows.select("uid", "text")
-    counted = short.mapInArrow(released(count_tokens), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in counted.collect():  # BUCKETS rows at most
-        counts[r.bucket] = r.n
-    local = short.mapInArrow(released(prefixes(counts, percent, least)), ROWS)
-    grouped = local.repartition("token").sortWithinPartitions("token")
-    pairs = materialise(grouped.mapInArrow(released(pair_up(percent, False)), PAIRS).distinct(), "pairs")
-    sets = materialise(line_tokens(pairs, rows), "line-sets")
-    gone = materialise(verified_lines(pairs, sets, percent), "gone")
-    left = pairs.select("uid", "line").distinct().join(gone, ["uid", "line"], "left_anti").withColumn("open", F.lit(1))
-    left = materialise(left, "open")
-    if not left.isEmpty():
-        # Tokens of the lines left, as a filter of fixed size: other tokens can't bring them a partner.
-        twins = pairs.join(left, ["uid", "line"], "left_semi").withColumn("same", F.lit(False))
-        cells = line_tokens(twins, rows).join(left, ["uid", "line"]).select(F.explode("tokens").alias("t")).select(
-            F.col("t").bitwiseAND(FILTER_BITS - 1).alias("c")
-        )
-        only = np.zeros(FILTER_BITS // 8, np.uint8)
-        one = F.expr("shiftleft(1, CAST(c & 7 AS int))")
-        for r in cells.groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toLocalIterator():
-            only[r.byte] = r.v
-        some = short.mapInArrow(released(prefixes(counts, percent, least, only)), ROWS)
-        marked = some.withColumn("line", F.shiftright("meta", 32).cast("int")).join(left, ["uid", "line"], "left")
-        again = marked.select(*NAMES, F.coalesce(F.col("open"), F.lit(0)).cast("long").alias("open"))
-        more = (
-            again.repartition("token").sortWithinPartitions("token")
-            .mapInArrow(released(pair_up(percent, True)), PAIRS).distinct()
-            .join(pairs, ["uid", "line", "other", "other_line"], "left_anti")
-        )
-        more = materialise(more, "pairs")
-        if not more.isEmpty():
-            gone = gone.unionByName(verified_lines(more, line_tokens(more, rows), percent)).distinct()
-    drop = gone.groupBy("uid").agg(F.collect_list("line").alias("drop"))
+    shape = "chunk int, counts binary, size long"
+    counted = short.mapInArrow(released(count_tokens), shape)
+    total, size = np.zeros(COUNTERS, np.int64), 0
+    for r in counted.repartition("chunk").mapInArrow(sum_chunks, shape).toLocalIterator():  # COUNTERS / CHUNK rows
+        total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] += np.frombuffer(bytes(r.counts), "<i8")
+        size += r.size
+    ranks = np.minimum(np.ceil(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
+    buckets = max(1, math.ceil(size / GROUP))
+    made = short.mapInArrow(released(records(ranks, percent, buckets, hot, split)), BLOBS)
+    in_buckets = lambda blobs: blobs.repartition("bucket").sortWithinPartitions("bucket")
+    found = materialise(in_buckets(made).mapInArrow(released(pair_up(percent, False)), FOUND), "found")
+    gone = found.where("other is null").select("uid", "line").distinct()
+    pairs = found.where("other is not null").groupBy("uid", "line", "other", "other_line").agg(
+        F.min("apart").alias("apart"), F.max("more").alias("more")
+    )
+    pairs = materialise(pairs.join(gone, ["uid", "line"], "left_anti"), "pairs")
+    sets = asked_sets(pairs, rows)
+    best = pairs.groupBy("uid", "line").agg(F.min(F.struct("apart", "other", "other_line")).alias("b"), F.max("more").alias("more"))
+    near = materialise(verified(best.select("uid", "line", "b.other", "b.other_line"), sets, percent), "near")
+    left = pairs.join(near, ["uid", "line"], "left_anti")
+    near = near.unionByName(materialise(verified(left, sets, percent), "near"))
+    undecided = materialise(best.where("more").select("uid", "line").join(near, ["uid", "line"], "left_anti"), "open")
+    if not undecided.isEmpty():
+        theirs = sets.join(undecided, ["uid", "line"], "left_semi")
+        marks = theirs.mapInArrow(open_lines(ranks, percent, buckets, hot, split), BLOBS)
+        again = in_buckets(made.unionByName(marks)).mapInArrow(released(pair_up(percent, True)), FOUND)
+        more = materialise(again.select("uid", "line", "other", "other_line").distinct(), "pairs")
+        more_sets = asked_sets(more, rows)
+        near = near.unionByName(materialise(verified(more, more_sets, percent), "near"))
+        drop_table(more_sets)
+    drop_table(sets)
+    drop_table(pairs)
+    drop = gone.unionByName(near).groupBy("uid").agg(F.collect_set("line").alias("drop"))
+    drop = materialise(drop, "drop")
+    drop_table(found)
     out = rows.join(drop, "uid", "left").select("doc_id", "text", "drop", *(["row"] if carry else []))
     schema = "doc_id long, n_lines long, n_removed long, text string"
     if carry:

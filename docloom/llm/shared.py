@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Whether shuffle files are deleted when the query that wrote them ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """task, after which its worker gives freed memory back: workers live on and serve other operators."""
 
@@ -33,10 +37,13 @@ def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors and the driver see.
 
-    Taken from ``spark.checkpoint.dir``; only where that is unset (tests) is a local folder made.
+    Taken from ``spark.checkpoint.dir``. Only where that is unset and driver and executors are one process (tests) is a
+    local folder made; on a cluster each executor would write to its own disk.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="docloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -45,11 +52,17 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: lineage ends there.
 
-    A lost executor costs only the tasks it was running. Hadoop deletes the table when the session ends.
+    A lost executor costs only the tasks it was running. Shuffle files of the plan go once the table is written.
+    Hadoop deletes the table when the session ends, drop_table() before.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docloom.llm import fingerprints, licenses, near, quality, urls
+from docloom.llm import fingerprints, licenses, lines, near, quality, urls
 from docloom.llm.bpe import encode_decode
 from docloom.llm.html import extract_main_text, main_text
 from docloom.llm.lines import dedup_lines
@@ -119,13 +119,13 @@ def test_rule_order_never_changes_verdicts(spark):
     assert a == b
 
 
-def line_brute(docs, percent=75, least=5):
+def line_brute(docs, percent=75):
     lines, by_token, gone = [], {}, {}
     for d, text in docs:
         for k, line in enumerate((text or "").split("\n")):
             w = frozenset(words_of(line))
             lines.append(w)
-            if len(w) < least:
+            if not w:
                 continue
             both = {}
             for x in w:
@@ -138,20 +138,27 @@ def line_brute(docs, percent=75, least=5):
     return {d: "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in gone.get(d, ())) for d, t in docs}
 
 
-def test_lines_against_brute_force(spark, odd, empty):
+def test_lines_against_brute_force(spark, odd, empty, monkeypatch):
     rnd = random.Random(5)
     vocabulary = [f"w{k}" for k in range(60)]
     docs = []
     for k in range(100):
-        lines = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(1, 60))) for _ in range(rnd.randint(0, 4))]
+        made = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(1, 60))) for _ in range(rnd.randint(0, 4))]
         if docs and rnd.random() < 0.6:
             old = rnd.choice(rnd.choice(docs)[1].split("\n")).split(" ")
             for _ in range(rnd.randint(0, 1 + len(old) // 6)):
                 old[rnd.randrange(len(old))] = rnd.choice(vocabulary)
-            lines.append(" ".join(old))
-        docs.append((k, "\n".join(lines)))
+            made.append(" ".join(old))
+        docs.append((k, "\n".join(made)))
     df = spark.createDataFrame(docs, SCHEMA).repartition(3)
-    assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == line_brute(docs)
+    want = line_brute(docs)
+    assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == want
+    # Every token hot, groups split, groups of bytes, one leader and one candidate: the second round has work.
+    monkeypatch.setattr(lines, "GROUP", 1 << 12)
+    assert {r.doc_id: r.text for r in dedup_lines(df, hot=10, split=20).collect()} == want
+    for name in ("LEADERS", "BEST"):
+        monkeypatch.setattr(lines, name, 1)
+    assert {r.doc_id: r.text for r in dedup_lines(df, hot=10).collect()} == want
     assert dedup_lines(odd).count() == len(ODD) and dedup_lines(empty).count() == 0
     same = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "x\nA b c d e")], SCHEMA)
     assert sorted(r.text for r in dedup_lines(same).collect()) == ["", "", "x\nA b c d e"]
