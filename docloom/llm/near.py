@@ -2,96 +2,45 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
-from docloom.llm.shared import materialise, released, with_uid
-from docloom.llm.suffixes import Rolling, U, mix
-
-#: Bytes of text that a task hashes at a time.
-BLOCK = 1 << 19
-#: Words of so many bytes are told apart by their digest, so that a block always ends between words.
-LONG_WORD = BLOCK // 2
-OVERLONG = re.compile(rb"[^\x20\x09-\x0D]{%d,}" % LONG_WORD)
-SPREAD = U(0x9E3779B97F4A7C15)
+from docloom.llm.shared import drop_table, materialise, released, with_uid
+from docloom.llm.words import BLOCK, SPREAD, U, blocks, mix, stir, word_hashes
+
 SKETCHES = "uid long, doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
-class Shingles:
-    """Distinct word shingles, as 64-bit hashes, of many texts at a time."""
-
-    def __init__(self, words: int):
-        self.words = words
-        self.rolling = Rolling(11, BLOCK + 1)
-        self.lower = np.arange(256, dtype=np.uint8)
-        self.lower[65:91] += 32
-        self.gap = np.zeros(256, bool)
-        self.gap[[32, 9, 10, 11, 12, 13]] = True
-
-    def word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of each word of a block."""
-        inside = ~self.gap[data]
-        edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        sums = self.rolling.sums(self.lower[data])
-        return start, mix(self.rolling.between(sums, start, end) + (end - start).astype(np.uint64) * SPREAD)
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(text, hash): distinct shingles sorted by both. A text of fewer words has one, of all of them."""
-        k = self.words
-        whose, hashes = [], []
-        for first, blocks in self.blocks(texts):
-            data = np.frombuffer(b"\n".join(blocks), np.uint8)
-            ends = np.cumsum([len(b) + 1 for b in blocks])
-            start, h = self.word_hashes(data)
-            whose.append(np.searchsorted(ends, start, side="right") + first)
-            hashes.append(h)
-        doc = np.concatenate(whose) if whose else np.zeros(0, np.int64)
-        word = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        count = np.bincount(doc, minlength=len(texts)) if len(doc) else np.zeros(len(texts), np.int64)
-        place = np.arange(len(doc)) - (np.cumsum(count) - count)[doc]
-        left = count[doc] - place
-        # Words from here to the shingle's end: k, or all of a text that has fewer.
-        head = (left >= k) | (place == 0)
-        at = np.flatnonzero(head)
-        out = np.zeros(len(at), np.uint64)
-        for n in range(k):
-            have = left[at] > n
-            step = np.where(have, word[np.minimum(at + n, len(word) - 1)], U(0))
-            out = mix(out * SPREAD + step + U(n + 1)) if len(at) else out
-        d = doc[at]
-        o = np.lexsort((out, d))
-        d, out = d[o], out[o]
-        new = np.ones(len(d), bool)
-        new[1:] = (d[1:] != d[:-1]) | (out[1:] != out[:-1])
-        return d[new], out[new]
-
-    @staticmethod
-    def blocks(texts: list[bytes]):
-        """(number of the first text, pieces); a piece of a text longer than a block ends between words."""
-        block, first, size = [], 0, 0
-        for n, text in enumerate(texts):
-            if len(text) >= LONG_WORD:
-                text = OVERLONG.sub(lambda m: b"\xff" + xxhash.xxh3_128_digest(m[0].lower()).hex().encode(), text)
-            if size and size + len(text) + 1 > BLOCK:
-                yield first, block
-                block, size = [], 0
-            if not block:
-                first = n
-            while len(text) >= BLOCK:
-                cut = max(text.rfind(c, 0, BLOCK - 1) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
-                yield n, [text[:cut]]
-                text = text[cut:]
-            block.append(text)
-            size += len(text) + 1
-        if block:
-            yield first, block
+def shingles_of(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash): distinct word shingles sorted by both. A text of fewer words has one, of all of them."""
+    whose, hashes = [], []
+    for first, pieces in blocks(texts):
+        data = b"\n".join(pieces)
+        ends = np.cumsum([len(p) + 1 for p in pieces])
+        start, h = word_hashes(data)
+        whose.append(np.searchsorted(ends, start, side="right") + first)
+        hashes.append(h)
+    doc = np.concatenate(whose) if whose else np.zeros(0, np.int64)
+    word = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    count = np.bincount(doc, minlength=len(texts)) if len(doc) else np.zeros(len(texts), np.int64)
+    place = np.arange(len(doc)) - (np.cumsum(count) - count)[doc]
+    left = count[doc] - place
+    # Words from here to the shingle's end: as many as asked for, or all of a text that has fewer.
+    at = np.flatnonzero((left >= words) | (place == 0))
+    out = np.zeros(len(at), np.uint64)
+    for n in range(words):
+        have = left[at] > n
+        step = np.where(have, word[np.minimum(at + n, len(word) - 1)], U(0))
+        out = stir(out * SPREAD + step + U(n + 1)) if len(at) else out
+    d = doc[at]
+    o = np.lexsort((out, d))
+    d, out = d[o], out[o]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (out[1:] != out[:-1])
+    return d[new], out[new]
 
 
 def sketch(doc: np.ndarray, shingle: np.ndarray, docs: int, bins: int) -> np.ndarray:
@@ -141,9 +90,8 @@ def text_groups(batches, column: int):
 
 def sketches(words: int, bands: int, rows: int):
     def task(batches):
-        shingles = Shingles(words)
         for part, texts in text_groups(batches, 2):
-            doc, h = shingles.of(texts)
+            doc, h = shingles_of(texts, words)
             docs = len(texts)
             n = np.bincount(doc, minlength=docs)
             some = np.flatnonzero(n)
@@ -176,9 +124,8 @@ def sketches(words: int, bands: int, rows: int):
 
 def whole_sets(words: int):
     def task(batches):
-        shingles = Shingles(words)
         for part, texts in text_groups(batches, 1):
-            doc, h = shingles.of(texts)
+            doc, h = shingles_of(texts, words)
             n = np.bincount(doc, minlength=len(texts))
             offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -202,84 +149,95 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-#: Documents of a block of one leader's followers.
-FOLLOWERS = 4096
+#: Documents, and shingles, of a block of one leader's followers.
+FOLLOWERS, BLOCK_SHINGLES = 1024, 1 << 20
 
 
 def across(led: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between components, among the followers of each leader; see near_components(), step 3."""
     root_of = roots.select(F.col("node").alias("u"), "root")
     lead_root = roots.select(F.col("node").alias("v"), F.col("root").alias("lead_root"))
-    both = led.select("u", "v").unionByName(led.select(F.col("v").alias("u"), "v").distinct())
+    both = led.select("u", "v", "n").unionByName(led.groupBy("v").agg(F.max("m").alias("n")).select(F.col("v").alias("u"), "v", "n"))
     both = (
         both.join(root_of, "u", "left").join(lead_root, "v", "left")
-        .select("v", "u", F.coalesce("root", "u").alias("root"), F.coalesce("lead_root", "v").alias("lead_root"))
+        .select("v", "u", "n", F.coalesce("root", "u").alias("root"), F.coalesce("lead_root", "v").alias("lead_root"))
         .withColumn("out", F.col("root") != F.col("lead_root"))
     )
     both = materialise(both, "followers")
-    sizes = both.groupBy("v").agg(F.count_if("out").alias("n_out"), F.count("*").alias("n")).where("n_out > 0 and n > 2")
-    parts = sizes.select(
-        "v",
-        F.ceil(F.col("n_out") / FOLLOWERS).cast("int").alias("outs"),
-        F.ceil(F.col("n") / FOLLOWERS).cast("int").alias("alls"),
-    )
-    steps = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    block = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "u"), F.col(n)).cast("int")
-    dealt = both.join(parts, "v")
-    # Every follower stands in one block against all blocks of outsiders; an outsider also the other way.
-    every = dealt.select("v", "u", "root", F.explode(steps("outs")).alias("i"), block("alls", 1).alias("j"), F.lit(0).alias("side"))
-    outer = dealt.where("out").select("v", "u", "root", block("outs", 2).alias("i"), F.explode(steps("alls")).alias("j"), F.lit(1).alias("side"))
+    blocks_of = F.greatest(F.ceil(F.count("*") / FOLLOWERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    parts = both.groupBy("v").agg(blocks_of.alias("parts"), F.count_if("out").alias("n_out")).where("n_out > 0")
+    dealt = both.join(parts, "v").select("v", "u", "root", "out", "parts")
+    # Every follower stands in one block; those outside the leader's component are compared with all blocks.
+    every = dealt.select("v", "u", "root", F.pmod(F.xxhash64("u"), "parts").cast("int").alias("j"), F.lit(0).alias("side"))
+    outer = dealt.where("out").select("v", "u", "root", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"), F.lit(1).alias("side"))
     rows = every.unionByName(outer).withColumnRenamed("u", "uid").join(sets, "uid")
-    rows = rows.withColumn("cell", F.xxhash64("v", "i", "j")).select("cell", "side", "uid", "root", "shingles")
+    rows = rows.withColumn("cell", F.xxhash64("v", "j")).select("cell", "side", "uid", "root", "shingles")
     sorted_rows = rows.repartition("cell").sortWithinPartitions("cell", "side", "uid")
-    return sorted_rows.mapInArrow(released(linked(percent)), "u long, v long").distinct()
+    found = materialise(sorted_rows.mapInArrow(released(linked(percent)), "u long, v long").distinct(), "across")
+    drop_table(both)
+    return found
+
+
+class Cell:
+    """Sets of side 0 of a cell, held; sets of side 1 are compared with them one by one."""
+
+    def __init__(self, percent: int):
+        self.percent, self.uid, self.root, self.lists = percent, [], [], []
+        self.held, self.parent = None, {}
+
+    def top(self, x: int) -> int:
+        while self.parent.get(x, x) != x:
+            x = self.parent[x]
+        return x
+
+    def add(self, uid: int, root: int, shingles: np.ndarray) -> None:
+        self.uid.append(uid)
+        self.root.append(root)
+        self.lists.append(shingles)
+
+    def links(self, uid: int, root: int, shingles: np.ndarray):
+        """Links of one set to those held, one for each two components that it joins."""
+        n = len(self.uid)
+        if not n:
+            return
+        if self.held is None:
+            self.size = np.array([len(x) for x in self.lists])
+            held, own = np.concatenate(self.lists), np.repeat(np.arange(n), self.size)
+            order = np.argsort(held, kind="stable")
+            self.held, self.own, self.lists = held[order], own[order], []
+            self.ids = np.array(self.uid)
+        a, b = np.searchsorted(self.held, shingles, "left"), np.searchsorted(self.held, shingles, "right")
+        span = b - a
+        if not span.any():
+            return
+        at = np.repeat(a - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+        both = np.bincount(self.own[at], minlength=n)
+        for m in np.flatnonzero((100 * both >= self.percent * (len(shingles) + self.size - both)) & (self.ids != uid)):
+            x, y = self.top(root), self.top(self.root[m])
+            if x != y:
+                self.parent[x] = y
+                yield uid, int(self.ids[m])
 
 
 def linked(percent: int):
-    """For rows sorted by cell and side: links of side 1 to side 0, one for each two components that it joins."""
-
-    def cell(uid: np.ndarray, root: np.ndarray, side: np.ndarray, lists: list[np.ndarray]):
-        n = int((side == 0).sum())
-        held, own = np.concatenate(lists[:n]) if n else np.zeros(0, np.int64), np.repeat(np.arange(n), [len(x) for x in lists[:n]])
-        order = np.argsort(held, kind="stable")
-        held, own = held[order], own[order]
-        size = np.array([len(x) for x in lists])
-        parent: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while parent.get(x, x) != x:
-                x = parent[x]
-            return x
-
-        for k in range(n, len(uid)):
-            a, b = np.searchsorted(held, lists[k], "left"), np.searchsorted(held, lists[k], "right")
-            both = np.zeros(n, np.int64)
-            span = b - a
-            if span.any():
-                at = np.repeat(a - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
-                both = np.bincount(own[at], minlength=n)
-            for m in np.flatnonzero((100 * both >= percent * (size[k] + size[:n] - both)) & (uid[:n] != uid[k])):
-                x, y = top(int(root[k])), top(int(root[m]))
-                if x != y:
-                    parent[x] = y
-                    yield int(uid[k]), int(uid[m])
+    """For rows sorted by cell and side: links of side 1 to side 0."""
 
     def task(batches):
-        last, rows, found = None, [], []
-        flush = lambda: list(cell(*(np.array(x) for x in list(zip(*rows))[:3]), [r[3] for r in rows])) if rows else []
+        last, cell, found = None, None, []
         for batch in batches:
             cells, sides, uids, roots = (batch.column(c).to_pylist() for c in range(4))
+            lists = batch.column(4)
             for k in range(batch.num_rows):
                 if cells[k] != last:
-                    found += flush()
-                    rows, last = [], cells[k]
-                rows.append((uids[k], roots[k], sides[k], batch.column(4)[k].values.to_numpy()))
+                    last, cell = cells[k], Cell(percent)
+                shingles = lists[k].values.to_numpy()
+                if sides[k]:
+                    found += cell.links(uids[k], roots[k], shingles)
+                else:
+                    cell.add(uids[k], roots[k], shingles.copy())
             if found:
                 yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
                 found = []
-        found += flush()
-        if found:
-            yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
 
     return task
 
@@ -307,10 +265,10 @@ def near_components(
     1. Sketch every set; documents with equal sets become a class with one representative.
     2. Band: representatives that share a band fall in a bucket, led by the member that shares most bands
        overall. All are paired with their leaders, a row each, and pairs with two bands or more in common
-       are verified on whole sets. Two sets at 75 % share fewer than two of 48 bands with probability 3e-7.
-    3. Two sets that share a bucket share its leader. So of each leader's followers those that are not in
-       its component are compared with all the others, exactly and in blocks of a bounded size, and links
-       between components are kept: none is lost, and no pair leaves a task that isn't a link.
+       are verified on whole sets. Two sets at 75 % share no band of 48 with a probability of 1e-8.
+    3. Two sets that share a band share its leader. So of each leader's followers those that are not yet in
+       its component are compared with the leader and all the others, exactly and in blocks of a bounded size, and
+       links between components are kept: none is lost, and no pair leaves a task that isn't a link.
     4. Components by stars over the links; every member takes its class's component.
 
     Nothing is capped. Null texts count as empty. Null ids come first, rows that share an id are
@@ -329,6 +287,8 @@ def near_components(
         ),
         "members",
     )
+    drop_table(classes)
+    drop_table(table)
     placed = members.where("bands is not null").select("uid", "n_shingles", F.explode("bands").alias("band"))
     counts = placed.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialise(placed.join(counts, "band"), "bands")
@@ -351,9 +311,12 @@ def near_components(
         base.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(released(whole_sets(words)), "uid long, shingles array<long>"),
         "sets",
     )
+    drop_table(shared)
     links = materialise(verified(stars, sets, percent), "verified")
     roots = components(links)
-    more = materialise(across(led, roots, sets, percent), "across")
+    more = across(led, roots, sets, percent)
+    drop_table(led)
+    drop_table(sets)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     placed_in = members.join(roots, F.col("rep") == F.col("node"), "left").select(

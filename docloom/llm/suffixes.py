@@ -26,12 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import materialise, released, with_uid
+from docloom.llm.shared import drop_table, materialise, released, with_uid
+from docloom.llm.words import U, eights, hash_spans, mix
 
 #: Bytes hashed at a time, and bytes of text whose runs a task compares before it sends rows on.
 BLOCK = 1 << 18
 GROUP = 32 << 20
-U = np.uint64
 LOW = U((1 << 21) - 1)
 
 #: Windows of a block of pass 3.
@@ -43,13 +43,11 @@ RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: l
 ROWS = "key long, run long, uid long, place long"
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(32))) * U(0xD6E8FEB86659FD93)
-    return x ^ (x >> U(29))
-
-
 class Rolling:
-    """Hash of any substring of a block from sums of byte values times powers of an odd base."""
+    """Hash of every substring of one length of a block: sums of byte values times powers of an odd base.
+
+    It only names anchors. Whether what stands around two anchors is equal is told by other hashes.
+    """
 
     def __init__(self, seed: int, most: int):
         rng = np.random.default_rng(seed)
@@ -64,13 +62,11 @@ class Rolling:
         p[0] = 1
         return np.multiply.accumulate(p)
 
-    def sums(self, data: np.ndarray) -> np.ndarray:
+    def of(self, data: np.ndarray, k: int) -> np.ndarray:
         s = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self.up[: len(data)], out=s[1:])
-        return s
-
-    def between(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (sums[end] - sums[start]) * self.down[start]
+        n = len(data) - k + 1
+        return mix((s[k:] - s[:n]) * self.down[:n])
 
 
 class Runs:
@@ -78,19 +74,17 @@ class Runs:
 
     def __init__(self, depth: int, k: int):
         self.depth, self.k = depth, k
-        self.first, self.second = Rolling(1, BLOCK + 2 * depth + 2), Rolling(2, BLOCK + 2 * depth + 2)
+        self.rolling = Rolling(1, BLOCK + 2 * depth + 2)
 
     def of(self, pieces: list[bytes]) -> tuple[np.ndarray, ...]:
         """(piece, lo, hi, anchor's distance from lo, its hash, hash of the bytes covered) of each run of
         windows that start at lo to hi."""
         depth, k, wide = self.depth, self.k, self.depth - self.k + 1
-        data = np.frombuffer(b"".join(pieces), np.uint8)
+        joined = b"".join(pieces)
         lens = np.array([len(p) for p in pieces])
         ends = np.cumsum(lens)
-        s, s2 = self.first.sums(data), self.second.sums(data)
-        n = len(data) - k + 1
-        keys = mix((s[k:] - s[:n]) * self.first.down[:n])
-        least = (keys & ~LOW) | np.arange(n, dtype=np.uint64)  # the place breaks ties, leftmost first
+        keys = self.rolling.of(np.frombuffer(joined, np.uint8), k)
+        least = (keys & ~LOW) | np.arange(len(keys), dtype=np.uint64)  # the place breaks ties, leftmost first
         step = 1
         while 2 * step <= wide:
             least = np.minimum(least[:-step], least[step:])
@@ -106,7 +100,7 @@ class Runs:
         cut = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(start) != 1)) + 1
         lo, hi = start[np.r_[0, cut]], start[np.r_[cut - 1, len(start) - 1]]
         anchor = anchor[np.r_[0, cut]]
-        run = self.second.between(s2, lo, hi + depth) ^ mix((anchor - lo).astype(np.uint64) * U(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64))
+        run = hash_spans(eights(joined), lo, hi + depth - lo, 7) ^ mix((anchor - lo).astype(np.uint64) * U(0x9E3779B97F4A7C15) + U(1))
         piece = np.searchsorted(ends, lo, side="right")
         first = (ends - lens)[piece]
         return piece, lo - first, hi - first, anchor - lo, keys[anchor], mix(run)
@@ -384,10 +378,10 @@ def remove_repeats(
     Columns: doc_id, n_bytes, n_removed, spans (array of start, end: maximal removed runs), kept
     (binary: the remaining UTF-8 bytes), with carry text (kept without cut
     characters) and row, a struct of the other input columns. See the module for the method. Strings are told apart by
-    128 bits of hash (anchor and run, or xxh3 of the window).
+    128 bits of hash (of the anchor and of all bytes covered, or xxh3 of the window).
 
     Null texts count as empty and texts under depth bytes lose nothing. Null ids come before all
-    others; rows that share an id are documents of their own in the order of their texts. An empty
+    others; rows that share an id are documents of their own in an order that a hash of their texts fixes. An empty
     table gives no rows. Other columns are not read.
     """
     if not 1 < anchor < depth - STEP or depth > 500:
@@ -396,10 +390,9 @@ def remove_repeats(
     kept = ["row"] if carry else []
     local = rows.select("uid", "text").mapInArrow(released(grouped_runs(depth, anchor)), ROWS)
     runs = materialise(told_apart(local, depth), "runs")
-    # The columns of the last join in each, so that all three read one exchange of the texts.
-    of_runs = rows.join(asked(runs), "uid").select("uid", "text", "needs", "doc_id", *kept)
-    blocks = told_apart(of_runs.mapInArrow(released(block_rows(depth)), ROWS), depth)
-    of_blocks = rows.join(asked(blocks), "uid").select("uid", "text", "needs", "doc_id", *kept)
+    of_runs = rows.select("uid", "text").join(asked(runs), "uid").select("uid", "text", "needs")
+    blocks = materialise(told_apart(of_runs.mapInArrow(released(block_rows(depth)), ROWS), depth), "blocks")
+    of_blocks = rows.select("uid", "text").join(asked(blocks), "uid").select("uid", "text", "needs")
     windows = unpacked(of_blocks.mapInArrow(released(window_rows(depth)), ROWS))
     equal = Window.partitionBy("key", "run", F.col("kind") == SPAN)
     first = F.struct("uid", "lo")
@@ -418,5 +411,8 @@ def remove_repeats(
         .groupBy("uid")
         .agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     )
+    spans = materialise(spans, "spans")
+    drop_table(runs)
+    drop_table(blocks)
     schema = RESULT + (", text string, row " + rows.schema["row"].dataType.simpleString() if carry else "")
     return rows.join(spans, "uid", "left").select("doc_id", "text", "spans", *kept).mapInArrow(released(cut_spans(carry)), schema)
