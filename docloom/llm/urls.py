@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import materialise
+from docloom.llm.shared import drop_table, materialise
 
 #: Verdict and host-and-path prefix.
 RULES = [
@@ -18,14 +18,11 @@ RULES = [
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 ]
-#: Domains blocked with all their subdomains.
+#: Domains blocked with all their subdomains: names of unwanted hosts under each of three domains.
 LISTED = [
-    "ads-track.example.com",
-    "adult-x.example.net",
-    "casino-win.example.com",
-    "cheap-pills.example.com",
-    "free-bets.example.com",
-    "spam-farm.example.com",
+    f"{name}.{domain}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for domain in ("example.com", "example.net", "example.org")
 ]
 HASHES = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,25 +58,20 @@ def positions(key: Column, level: int, bits: int) -> list[Column]:
 
 
 class Cascade:
-    """Levels of Bloom filters; for every key of the universe it was built over, contains() is exact."""
+    """Levels of Bloom filters; for every key of the universe it was built over, the answer is exact.
 
-    def __init__(self, levels: list[tuple[int, bytes]]):
+    A level is (number of bits, a table of one row that holds them 64 to a word). The tables stay tables: each reaches
+    the tasks as the value of a scalar subquery, so neither the driver's Python nor the plan's text holds them.
+    """
+
+    def __init__(self, levels: list[tuple[int, DataFrame]]):
         self.levels = levels
 
     def passes(self, key: Column, level: int) -> Column:
-        bits, table = self.levels[level]
-        held = F.lit(bytearray(table))
-        return reduce(
-            lambda a, b: a & b,
-            [
-                F.getbit(
-                    F.conv(F.hex(F.substring(held, (F.floor(p / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int"),
-                    F.pmod(p, F.lit(8)).cast("int"),
-                )
-                == 1
-                for p in positions(key, level, bits)
-            ],
-        )
+        words = self.levels[level][1].scalar()
+        one = lambda p: F.get(words, F.floor(p / 64).cast("int"))
+        set_bits = [F.getbit(one(p), F.pmod(p, F.lit(64)).cast("int")) == 1 for p in positions(key, level, self.levels[level][0])]
+        return reduce(lambda a, b: a & b, set_bits)
 
     def contains(self, key: Column) -> Column:
         """The first level that a key fails decides: odd levels hold listed keys, even ones false positives."""
@@ -89,42 +81,43 @@ class Cascade:
         return verdict
 
 
-def build_cascade(universe: DataFrame, max_bytes: int = 1 << 17) -> Cascade | None:
+def bit_table(keys: DataFrame, level: int, bits: int) -> DataFrame:
+    """One row with the words of a Bloom filter over the column key."""
+    at = keys.select(F.explode(F.array(*positions(F.col("key"), level, bits))).alias("p"))
+    at = at.select(F.floor(F.col("p") / 64).alias("n"), F.expr("shiftleft(1L, CAST(pmod(p, 64) AS int))").alias("w"))
+    empty = keys.sparkSession.range(bits // 64).select(F.col("id").alias("n"), F.lit(0).cast("long").alias("w"))
+    words = at.unionByName(empty).groupBy("n").agg(F.bit_or("w").alias("w"))
+    listed = F.array_sort(F.collect_list(F.struct("n", "w")))
+    return materialise(words.agg(F.transform(listed, lambda x: x["w"]).alias("words")), "bits")
+
+
+def build_cascade(universe: DataFrame) -> Cascade:
     """Cascade over a table of distinct (key, listed).
 
     Level 1 encodes the listed keys, with so many bits that about as few other keys pass as there are
     listed ones; each later level encodes the keys that the level before it got wrong, until none is.
-    Only bit tables reach the driver: about 8 bits a listed key and doubling of the other keys for all
-    levels together. None if they would need more than max_bytes, the bound on what is sent to executors.
+    All levels together take about 8 bits a listed key and doubling of the other keys, of keys that the universe has: a
+    million listed keys take about a megabyte, which driver and executors hold once.
     """
     left = universe
-    levels: list[tuple[int, bytes]] = []
-    spent = 0
+    levels: list[tuple[int, DataFrame]] = []
     while True:
         odd = len(levels) % 2 == 0  # this level holds listed keys
-        held, other = (left.where("listed"), left.where("not listed")) if odd else (
-            left.where("not listed"),
-            left.where("listed"),
-        )
-        n, m = held.count(), other.count()
+        yes, no = left.agg(F.count_if("listed"), F.count_if(~F.col("listed"))).first()
+        n, m = (yes, no) if odd else (no, yes)
         if not n:
             return Cascade(levels)
+        held, other = (left.where("listed"), left.where("not listed")) if odd else (left.where("not listed"), left.where("listed"))
         rate = min(0.5, max(1e-6, 0.7 * n / m if m else 0.5))
-        bits = 8 * math.ceil(max(64, n * HASHES / -math.log(1 - rate ** (1 / HASHES))) / 8)
-        spent += bits // 8
-        if spent > max_bytes:
-            return None
+        bits = 64 * math.ceil(max(64, n * HASHES / -math.log(1 - rate ** (1 / HASHES))) / 64)
         level = len(levels)
-        at = held.select(F.explode(F.array(*positions(F.col("key"), level, bits))).alias("p")).select(
-            F.floor(F.col("p") / 8).cast("int").alias("byte"), F.pmod("p", F.lit(8)).cast("int").alias("bit")
-        )
-        table = bytearray(bits // 8)
-        for row in at.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("v")).toLocalIterator():
-            table[row.byte] = row.v
-        levels.append((bits, bytes(table)))
+        levels.append((bits, bit_table(held, level, bits)))
         # Keys of the other kind that pass are wrong so far; those of this kind are judged by what follows.
         wrong = other.where(Cascade(levels).passes(F.col("key"), level))
-        left = materialise(held.unionByName(wrong), "cascade")
+        after = materialise(held.unionByName(wrong), "cascade")
+        if left is not universe:
+            drop_table(left)
+        left = after
 
 
 def judge_urls(
@@ -134,43 +127,36 @@ def judge_urls(
     url_col: str = "url",
     rules: list[tuple[str, str]] = RULES,
     listed: list[str] | DataFrame = LISTED,
-    max_bytes: int = 1 << 17,
 ) -> DataFrame:
     """Judge every url: (id, host, path, rule, verdict).
 
     The longest rule that fits decides. Elsewhere a url is blocked if its host or a parent domain of it
-    is listed, else allowed. Membership comes from a Bloom filter cascade built over all host names and
-    parent domains of the table: it is exact for each of them and needs no join with the pages. If the
-    cascade would take more than max_bytes, a semi-join with the listed keys gives the same verdicts.
+    is listed, else allowed. Membership comes from a Bloom filter cascade built over all host names of the table, whose
+    listed keys are the hosts that are listed themselves or by a parent domain: it is exact for each of them and needs no
+    join with the pages.
 
     listed: domains, or a table whose first column holds them. Null urls and urls without :// have
     empty host and path, fit no rule and are allowed. Repeated rows and ids are judged each; an empty
-    table gives no rows; other columns are not read.
+    table gives no rows; other columns are not read. A host name of n labels has n parent domains, so a very long
+    one takes memory in proportion to the square of its length.
     """
     spark = pages.sparkSession
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias(id_col), host.alias("host"), path.alias("path"))
-    names = (
-        spark.createDataFrame([(x,) for x in listed], "name string") if isinstance(listed, list) else listed.toDF("name")
-    )
-    names = names.select(F.col("name").alias("key")).distinct().withColumn("listed", F.lit(True))
-    keys = rows.select("host").distinct().select(F.explode(domains_of(F.col("host"))).alias("key")).distinct()
+    if isinstance(listed, list):
+        names = spark.range(1).select(F.explode(F.array(*map(F.lit, listed)).cast("array<string>")).alias("key"))
+    else:
+        names = listed.select(F.col(f"`{listed.columns[0]}`").alias("key"))
+    hosts = rows.select("host").distinct()
+    bad = hosts.select("host", F.explode(domains_of(F.col("host"))).alias("key")).join(names, "key", "left_semi")
+    bad = bad.select("host").distinct().withColumn("listed", F.lit(True))
     universe = materialise(
-        keys.join(names, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "hosts"
+        hosts.join(bad, "host", "left").select(F.col("host").alias("key"), F.coalesce("listed", F.lit(False)).alias("listed")), "hosts"
     )
-    cascade = build_cascade(universe, max_bytes)
-    if cascade is not None:
-        blocked = F.exists(domains_of(F.col("host")), cascade.contains) if cascade.levels else F.lit(False)
-        rows = rows.withColumn("blocked", blocked)
-    else:
-        bad = (
-            rows.select("host").distinct()
-            .select("host", F.explode(domains_of(F.col("host"))).alias("key"))
-            .join(universe.where("listed"), "key", "left_semi").select("host").distinct().withColumn("blocked", F.lit(True))
-        )
-        rows = rows.join(bad, "host", "left").withColumn("blocked", F.coalesce("blocked", F.lit(False)))
+    blocked = build_cascade(universe).contains(F.col("host"))
+    drop_table(universe)
     rule, said = rule_for(F.col("host"), F.col("path"), rules)
-    method = F.when(F.col("blocked"), "block").otherwise("allow")
+    method = F.when(blocked, "block").otherwise("allow")
     return rows.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(said, method).alias("verdict"))
 
 
