@@ -30,13 +30,19 @@ VOID = {
 #: Elements whose content is raw up to their end tag.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
 #: Words in class, id and role that name what stands around an article.
-AROUND_NAMES = (
+AROUND_NAMES = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist cookie "
     "cookies consent dialog disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter "
     "notice notices pager pagination paywall popup promo promoted promotion related recommended replies respond search "
-    "share sharing sidebar signup site-header skip social sponsor sponsored subscribe subscription tags toolbar tooltip "
-    "topbar widget alert complementary contentinfo"
-).split()
+    "share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar tooltip topbar widget "
+    "alert complementary contentinfo".split()
+)
+#: Words that say nothing beside one of these names (site-footer, comment-list); others do (social-history).
+NEUTRAL_NAMES = set(
+    "site page main global top bottom left right primary secondary box block list item items section area container "
+    "wrapper wrap outer inner bar row column col panel links link icons buttons button posts articles stories content "
+    "module unit slot form thread body text bar group message".split()
+)
 #: Frequent words of English, German, French, Spanish.
 STOP_WORDS = set(
     "a all also an and are as at be been but by can for from had has have he her his if in into is it its more not of "
@@ -52,61 +58,98 @@ STOP_WORDS = set(
 #: Limits of the first pass: link density; characters of a short and a long block; stop-word density.
 LINKS, SHORT, LONG, FEW_STOPS, MANY_STOPS = 0.4, 60, 180, 0.12, 0.22
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: One attribute, from where none is read yet: name, then perhaps a value that is quoted or goes up to white space or >.
+ATTRIBUTE = re.compile(r"""[\s/]*(?:([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)("|$)|'([^']*)('|$)|([^\s>]*)))?)?""")
+NAMING = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that end where the next one of their kind starts, unless one of SCOPES was opened between.
+SIBLINGS = {"p", "li", "tr", "td", "th", "dt", "dd"}
+SCOPES = {"ul", "ol", "table", "div", "article", "section", "body"}
+FOREIGN = {"svg", "math"}
 
 
 class Block:
-    """A run of text without a block element inside. place: 1 in an article, -1 around it, 0 unknown."""
+    """A run of text without a block element inside. place: 1 in an article, -1 around it, 0 unknown.
+
+    linked counts letters in links, links the links themselves; why names the rule that decided.
+    """
 
-    __slots__ = ("text", "linked", "heading", "place", "kind")
+    __slots__ = ("text", "linked", "links", "heading", "place", "kind", "why")
 
-    def __init__(self, text: str, linked: int, heading: bool, place: int):
-        self.text, self.linked, self.heading, self.place, self.kind = text, linked, heading, place, ""
+    def __init__(self, text: str, linked: int, links: int, heading: bool, place: int):
+        self.text, self.linked, self.links, self.heading, self.place = text, linked, links, heading, place
+        self.kind = self.why = ""
+
+
+def attributes_of(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """(naming attributes, whether a slash ends the tag, place after its >; -1 if the page ends first).
+
+    As HTML reads them: a quote only counts right after =, a slash within an unquoted value belongs to it. Each
+    character is read once.
+    """
+    found: dict[str, str] = {}
+    n = len(page)
+    while True:
+        m = ATTRIBUTE.match(page, at)
+        if m[1] is None:
+            if m.end() >= n:
+                return found, False, -1
+            return found, page[m.end() - 1] == "/" and m.end() > at, m.end() + 1
+        if m[2] is not None and not m[3] or m[4] is not None and not m[5]:
+            return found, False, -1
+        name = m[1].lower()
+        if name in NAMING:
+            found.setdefault(name, m[2] if m[2] is not None else m[4] if m[4] is not None else m[6] or "")
+        at = m.end()
 
 
-def named_around(attributes: str, names: set[str]) -> bool:
+def named_around(attributes: dict[str, str], names: set[str]) -> bool:
     """Whether class, id or role name something around an article, or the element is hidden."""
-    for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), html.unescape(value.strip("\"'")).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "style":
-            if HIDDEN.search(value):
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
+        return True
+    if HIDDEN.search(html.unescape(attributes.get("style", ""))):
+        return True
+    for key in ("class", "id", "role"):
+        for one in html.unescape(attributes.get(key, "")).lower().split():
+            parts = [x for x in SPLIT_NAME.split(one) if x]
+            if not names.isdisjoint(parts) and all(x in AROUND_NAMES or x in NEUTRAL_NAMES or x.isdigit() for x in parts):
                 return True
-        elif name != "aria-hidden":
-            for one in value.split():
-                parts = SPLIT_NAME.split(one)
-                if parts[0] not in NEGATIONS and not names.isdisjoint(parts):
-                    return True
     return False
 
 
-AROUND_SET = set(AROUND_NAMES)
 #: Within an article its own header stays; an article may be a reader's comment or an advert itself.
-INSIDE_SET = AROUND_SET - {"header", "masthead"}
-ARTICLE_SET = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related", "teaser"}
-NEGATIONS = {"no", "has", "with", "without"}
+INSIDE_NAMES = AROUND_NAMES - {"header", "masthead"}
+ARTICLE_NAMES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related"}
+
+
+def end_of(page: str, tag: str, at: int, ends: dict[str, re.Pattern]) -> int:
+    """Where the raw element's end tag starts; the page's end if there is none."""
+    if tag not in ends:
+        ends[tag] = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I)
+    m = ends[tag].search(page, at)
+    return m.start() if m else len(page)
 
 
 def blocks_of(page: str) -> list[Block]:
-    """All blocks of a page in order, with references decoded and white space folded."""
+    """All blocks of a page in order, with references decoded and white space folded. Linear in the page."""
     out: list[Block] = []
     parts: list[str] = []
-    linked = 0
+    linked = n_links = 0
     stack: list[tuple[str, int, bool]] = []  # (element, place inside, dropped)
+    where: dict[str, list[int]] = {}  # places in the stack of each open element
+    scopes: list[int] = []
+    ends: dict[str, re.Pattern] = {}
     place, dropped, links, heading = 0, False, 0, False
 
     def flush() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, n_links
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, linked, heading, place))
-        parts, linked = [], 0
+            out.append(Block(text, linked, n_links, heading, place))
+        parts, linked, n_links = [], 0, 0
 
     def say(raw: str, decode: bool = True) -> None:
         nonlocal linked
@@ -116,63 +159,91 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 linked += len("".join(text.split()))
 
+    def close(k: int) -> None:
+        """Take all elements from the k-th on off the stack."""
+        nonlocal place, dropped, links
+        while len(stack) > k:
+            tag = stack.pop()[0]
+            where[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
+            if tag == "a":
+                links -= 1
+        place, dropped = stack[-1][1:] if stack else (0, False)
+
     at, n = 0, len(page)
+    last = page.rfind(">")
     while at < n:
-        m = TOKEN.search(page, at)
-        if m is None:
+        begun = page.find("<", at)
+        if begun < 0:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        if m[1] is not None:
-            say(m[1], False)
-        if not m[3]:
+        say(page[at:begun])
+        after = page[begun + 1 : begun + 2]
+        if after == "!":
+            if page.startswith("<!--", begun):
+                end = page.find("-->", begun + 4)
+                at = n if end < 0 else end + 3
+            elif page.startswith("<![CDATA[", begun):
+                end = page.find("]]>", begun)
+                say(page[begun + 9 : n if end < 0 else end], False)
+                at = n if end < 0 else end + 3
+            else:
+                end = page.find(">", begun)
+                at = n if end < 0 else end + 1
+            continue
+        closing = after == "/"
+        m = TAG_NAME.match(page, begun + 1 + closing)
+        if m is None:
+            if after == "?" or closing:
+                end = page.find(">", begun)
+                at = n if end < 0 else end + 1
+            else:
+                say("<")
+                at = begun + 1
             continue
-        tag, closing = m[3].lower(), bool(m[2])
+        tag = m[0].lower()
+        attributes, slashed, at = attributes_of(page, m.end()) if m.end() <= last else ({}, False, -1)
+        if at < 0:
+            break  # the page ends within a tag, which is no text
         if tag in BLOCKS:
             flush()
         elif tag == "br":
             parts.append(" ")
         if closing:
-            if tag == "a":
-                links = max(0, links - 1)
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-            place, dropped = stack[-1][1:] if stack else (0, False)
-            if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+            if where.get(tag):
+                close(where[tag][-1])
+            if tag in HEADINGS:
                 heading = False
             continue
-        if tag in RAW and not m[4].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
+        if tag in RAW:
+            at = end_of(page, tag, at, ends)
+            end = page.find(">", at)
+            at = n if end < 0 else end + 1
             continue
-        if tag in VOID or m[4].endswith("/") and tag not in BLOCKS:
+        if tag in VOID or slashed and (tag in FOREIGN or any(where.get(x) for x in FOREIGN)):
             continue
+        if tag in SIBLINGS and where.get(tag) and where[tag][-1] > (scopes[-1] if scopes else -1):
+            close(where[tag][-1])
         if tag == "a":
+            if where.get("a"):
+                close(where["a"][-1])
             links += 1
-        if tag == "p" or tag in ("li", "tr", "td", "th", "dt", "dd"):
-            # An open element of the same kind ends where the next one starts.
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("ul", "ol", "table", "div", "article", "section", "body"):
-                    break
-            place, dropped = stack[-1][1:] if stack else (0, False)
-        if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+            n_links += 1
+        if tag in HEADINGS:
             heading = True
         inside = place
+        names = ARTICLE_NAMES if tag in ("article", "main") else INSIDE_NAMES if place == 1 else AROUND_NAMES
         if tag in AROUND or (tag == "header" and place != 1) or (
-            tag not in ("html", "body")
-            and m[4]
-            and named_around(m[4], ARTICLE_SET if tag in ("article", "main") else INSIDE_SET if place == 1 else AROUND_SET)
+            tag not in ("html", "body") and attributes and named_around(attributes, names)
         ):
             inside = -1
         elif tag in ("article", "main") and place != -1:
             inside = 1
         place, dropped = inside, dropped or tag in DROPPED
+        where.setdefault(tag, []).append(len(stack))
+        if tag in SCOPES:
+            scopes.append(len(stack))
         stack.append((tag, place, dropped))
     flush()
     return out
@@ -181,25 +252,29 @@ def blocks_of(page: str) -> list[Block]:
 def classify(blocks: list[Block]) -> None:
     """First pass: link density, length and stop words make a block good, bad, near good or short.
 
-    In an article or main few stop words or a link don't make a block bad by themselves: its neighbours decide.
+    Marks come after these: what stands in an element or under a name that is known to stand around articles is bad,
+    whatever its words. In an article or main few stop words don't make a block bad by themselves, nor does one link
+    that is a whole sentence, nor a copyright sign: its neighbours decide.
     """
     for b in blocks:
         size = len(b.text)
         letters = len("".join(b.text.split())) or 1
         words = b.text.lower().split()
         stops = sum(w.strip(".,;:!?()\"'«»„“”’") in STOP_WORDS for w in words) / len(words)
-        if b.place < 0 or b.linked / letters > LINKS:
-            b.kind = "bad"
-        elif b.text[0] == "©" or "©" in b.text[:40]:
-            b.kind = "bad"
+        if b.linked / letters > LINKS and not (b.place > 0 and b.links == 1 and size >= SHORT):
+            b.kind, b.why = "bad", "link density"
+        elif b.text[0] == "©" and b.place <= 0:
+            b.kind, b.why = "bad", "copyright line"
         elif size < SHORT:
-            b.kind = "bad" if b.linked and b.place <= 0 else "short"
+            b.kind, b.why = ("bad", "short with a link") if b.linked and b.place <= 0 else ("short", "neighbours of a short block")
         elif stops >= MANY_STOPS:
-            b.kind = "good" if size >= LONG else "near"
-        elif stops >= FEW_STOPS:
-            b.kind = "near"
+            b.kind, b.why = ("good", "length and stop words") if size >= LONG else ("near", "neighbours of a near-good block")
+        elif stops >= FEW_STOPS or size >= LONG or b.place > 0:
+            b.kind, b.why = "near", "neighbours of a near-good block"
         else:
-            b.kind = "bad" if size < LONG and b.place <= 0 else "near"
+            b.kind, b.why = "bad", "few stop words"
+        if b.place < 0 and b.kind != "bad":
+            b.kind, b.why = "bad", "marks"
 
 
 def settle(blocks: list[Block]) -> list[bool]:
