@@ -10,7 +10,7 @@ from docloom.llm.tokens import WordBpe
 
 
 def encode_decode(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, leaf: int = 4096
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, leaf: int = 16
 ) -> DataFrame:
     """Encode every text and decode its ids again.
 

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-os.environ.setdefault("RAYON_NUM_THREADS", "1")
-
 import base64
 import json
+import os
 import re
 import struct
+from concurrent.futures import ThreadPoolExecutor
 
 import public_tokenizers
 import regex
@@ -19,6 +16,9 @@ from tokenizers import Tokenizer, models
 #: Pieces held by a worker's cache, and the longest piece it holds.
 CACHE_PIECES = 500_000
 CACHE_CHARS = 48
+#: Characters of unsplit text that are encoded in one go at most, and from which on parts are encoded in threads.
+PART, IN_THREADS = 4096, 1 << 14
+THREADS = 4
 #: Ends a word in the rank table of word_bpe_49k.
 WORD_END = b"\xff"
 #: Characters that NFC leaves alone, whose lower case needs no context, and that aren't white space.
@@ -66,16 +66,17 @@ class WordBpe:
     encode() gives ids, decode() what the library's decode(ids, skip_special_tokens=False) gives: it
     has no decoder, so token strings joined by single spaces.
 
-    Text is cut at spaces and newlines, which no token crosses. A piece longer than ``leaf`` without
-    such a cut is encoded by tree concatenation: its halves separately (leaves as one parallel batch),
-    then a window around each join is encoded anew and grown until its first and last token are
+    Text is cut at spaces and newlines, which no token crosses. A word longer than ``leaf`` characters without
+    such a cut is encoded by tree concatenation: it is halved until no part is longer than PART, parts are encoded
+    separately (those of a long word in threads, while the library holds no lock), and pairs of neighbours are joined
+    level by level: a window around the join is encoded anew and grown until its first and last token are
     those that the halves had there. Neighbouring tokens of a BPE encoding depend on each other
     alone, so from that point on both sides stand as they were and the join is exact.
     """
 
-    def __init__(self, path: str | None = None, leaf: int = 4096):
+    def __init__(self, path: str | None = None, leaf: int = 16, part: int = PART):
         self.path = path or public_tokenizers.path("word_bpe_49k.json")
-        self.leaf = leaf
+        self.leaf, self.part = leaf, part
         self.full = Tokenizer.from_file(self.path)
         self.full.no_truncation()
         self.full.no_padding()
@@ -122,8 +123,8 @@ class WordBpe:
                 odd.append(len(out))
                 out.append(None)
         if odd:
-            for k, e in zip(odd, self.full.encode_batch_fast([new[k] for k in odd], add_special_tokens=False)):
-                out[k] = self.pair(e.ids)
+            for k in odd:
+                out[k] = self.pair(self.full.encode(new[k], add_special_tokens=False).ids)
         return out
 
     def pair(self, ids: list[int]) -> tuple[bytes, str]:
@@ -174,19 +175,24 @@ class WordBpe:
         return [i for word, _ in words for i in self.tree(word)]
 
     def tree(self, word: str) -> list[int]:
-        leaves, n = [], len(word)
+        n = len(word)
         if n <= self.leaf:
             return self.fragment(word, True)
-        cuts = list(range(0, n, self.leaf)) + [n]
-        leaves = [word[a:b] for a, b in zip(cuts, cuts[1:])]
-        coded = [e.ids for e in self.bare().encode_batch_fast(leaves[:-1], add_special_tokens=False)]
-        level = [*coded, self.fragment(leaves[-1], True)]
+        parts = 2
+        while parts * self.part < n:
+            parts *= 2
+        cuts = [n * k // parts for k in range(parts + 1)]
+        pieces = [word[a:b] for a, b in zip(cuts, cuts[1:])]
+        if n < IN_THREADS:
+            level = [self.fragment(p, k + 1 == parts) for k, p in enumerate(pieces)]
+        else:
+            bare = self.bare()
+            encode = lambda p: bare.encode_batch_fast([p], add_special_tokens=False)[0].ids
+            with ThreadPoolExecutor(THREADS) as pool:
+                level = [*pool.map(encode, pieces[:-1]), self.fragment(pieces[-1], True)]
         while len(level) > 1:
             last = len(level) - 1
-            level = [
-                level[k] if k == last else self.join(level[k], level[k + 1], k + 1 == last)
-                for k in range(0, len(level), 2)
-            ]
+            level = [self.join(level[k], level[k + 1], k + 1 == last) for k in range(0, len(level), 2)]
         return level[0]
 
     def join(self, left: list[int], right: list[int], ends_word: bool) -> list[int]:
