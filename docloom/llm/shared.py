@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-#: Whether shuffle files are deleted when the query that wrote them ends.
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from docloom.scratch import written
 
 
 def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -34,38 +30,12 @@ def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
     return run
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors and the driver see.
-
-    Taken from ``spark.checkpoint.dir``. Only where that is unset and driver and executors are one process (tests) is a
-    local folder made; on a cluster each executor would write to its own disk.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: lineage ends there.
 
-    A lost executor costs only the tasks it was running. Shuffle files of the plan go once the table is written.
     Hadoop deletes the table when the session ends, drop_table() before.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docloom/{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN, before)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, label)
 
 
 def drop_table(df: DataFrame) -> None:
@@ -80,9 +50,9 @@ def with_uid(df: DataFrame, id_col: str, text_col: str, carry: bool = False) ->
     """Rows as (uid long, doc_id, text string): uid is unique, not null, and ordered as doc_id.
 
     Where id_col has neither nulls nor repeats it is the uid. Otherwise each row is a document of its
-    own: rows are ordered by (id, nulls first; text) with a range shuffle and numbered; whole
-    repeats stand beside each other in any order, which no result can show. With carry, a column row
-    holds all columns of df but the text, whatever their names.
+    own: rows are ordered by (id, nulls first; hash of the text; text) with a range shuffle and numbered, so that many
+    rows of one id spread; whole repeats stand beside each other in any order, which no result can show. With carry, a
+    column row holds all columns of df but the text, whatever their names.
     """
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
