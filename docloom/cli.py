@@ -14,6 +14,7 @@ VERSION = "0.1.0"
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="docloom", description="Prepare, describe and search document collections.")
     p.add_argument("-v", "--verbose", action="store_true")
+    p.add_argument("-c", "--config", help="JSON file of settings")
     p.add_argument("--master", help="Spark master; default: what the session is given")
     sub = p.add_subparsers(dest="command", required=True)
     c = sub.add_parser("preprocess", help="files to records")
@@ -27,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--out")
     c = sub.add_parser("vector-load", help="records into a vector store")
     c.add_argument("folder")
-    c.add_argument("--glob", default="*.json*")
+    c.add_argument("--glob")
     c.add_argument("--store", default="vectors")
     c.add_argument("--collection", default="documents")
     c = sub.add_parser("search", help="hybrid search")
@@ -58,8 +59,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     from docloom.operators.store import VectorStore
     from docloom.plans import corpus as C
+    from docloom.settings import Settings
     from docloom.sources import files as S
 
+    settings = Settings.from_env()
+    if a.config:
+        with open(a.config, encoding="utf-8") as f:
+            settings = Settings.from_env(**json.load(f))
+    logging.getLogger().setLevel(logging.DEBUG if a.verbose else settings.log_level)
     spark = get_session(master=a.master)
     if a.command in ("preprocess", "full-pipeline"):
         out = a.output if a.command == "preprocess" else a.preprocessed
@@ -74,11 +81,11 @@ def main(argv: list[str] | None = None) -> int:
         for part, top in (("categories", 10), ("tags", 15), ("countries", 10)):
             print(part, json.dumps(dict(list(taxonomy[part]["overview"].items())[:top]), ensure_ascii=False))
     if a.command == "vector-load" or a.command == "full-pipeline" and not a.skip_vectors:
-        folder, glob = (a.folder, a.glob) if a.command == "vector-load" else (a.preprocessed, "*.json*")
-        stats = C.load_folder(spark, folder, VectorStore(spark, a.store, a.collection), pattern=glob)
+        folder, glob = (a.folder, a.glob) if a.command == "vector-load" else (a.preprocessed, None)
+        stats = C.load_folder(spark, folder, VectorStore(spark, a.store, a.collection, settings.max_retries, settings.retry_delay), pattern=glob or S.RECORDS, settings=settings)
         print(f"{stats.uploaded} of {stats.total} uploaded ({stats.success_rate:.1f} %)")
     if a.command == "search":
-        engine = C.RetrievalEngine(VectorStore(spark, a.store, a.collection))
+        engine = C.RetrievalEngine(VectorStore(spark, a.store, a.collection), settings=settings)
         engine.search(a.query, a.tag, limit=a.limit).show(truncate=80)
     if a.command == "inventory":
         S.write_csv(S.inventory(spark, a.root), a.output)

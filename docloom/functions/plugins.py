@@ -6,7 +6,10 @@ no model, and give the same result each time; they don't claim to match any mode
 
 from __future__ import annotations
 
+import json
+import logging
 import re
+import time
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +35,10 @@ class Embedder(Protocol):
     def embed(self, texts: list[str]) -> np.ndarray: ...
 
 
+class Completer(Protocol):
+    def complete(self, prompts: list[str]) -> list[str]: ...
+
+
 class OcrBackend(Protocol):
     def read(self, contents: list[bytes]) -> list[str]: ...
 
@@ -81,19 +88,101 @@ class NullSummarizer:
 class ExtractiveSummarizer:
     """First sentence as summary, most frequent longer words as tags."""
 
-    def __init__(self, tags: int = 5, chars: int = 1000):
-        self.tags, self.chars = tags, chars
+    def __init__(self, tags: int = 5):
+        self.tags = tags
 
     def summarize(self, texts: list[str]) -> list[tuple[str, list[str]]]:
         out = []
         for text in texts:
-            text = (text or "")[: self.chars]
+            text = text or ""
             first = re.split(r"(?<=[.!?])\s", text.strip(), maxsplit=1)[0][:200]
             words = Counter(w for w in re.findall(r"\w+", text.lower()) if len(w) > 4)
             out.append((first, [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[: self.tags]]))
         return out
 
 
+def embedder_of(settings) -> Embedder:
+    """The embedder that settings name: "hashing", or a model's name or folder with its dimension as "name:768"."""
+    if settings.embedder == "hashing":
+        return HashingEmbedder()
+    name, _, dim = settings.embedder.rpartition(":")
+    if not name or not dim.isdigit():
+        raise ValueError(f"an embedder is hashing or name:dimension, not {settings.embedder}")
+    return ModelEmbedder(name, int(dim), settings.device, settings.batch_size, settings.max_seq_length)
+
+
+def json_of(reply: str) -> dict:
+    """A reply without its code fences as JSON; empty where it is no object."""
+    try:
+        found = json.loads((reply or "").replace("```json", "").replace("```", "").strip())
+    except ValueError:
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+class PromptSummarizer:
+    """Summaries and tags of a language model: a prompt for each text, its reply read as JSON.
+
+    Tags may be a list or one string with commas. A reply that is no JSON gives no summary and no tags.
+    """
+
+    def __init__(self, completer: Completer, prompt: str = "{text}", summary_key: str = "summary", tags_key: str = "tags"):
+        self.completer, self.prompt, self.keys = completer, prompt, (summary_key, tags_key)
+
+    def summarize(self, texts: list[str]) -> list[tuple[str, list[str]]]:
+        replies = self.completer.complete([self.prompt.replace("{text}", t or "") for t in texts])
+        out = []
+        for found in map(json_of, replies):
+            summary, tags = (found.get(k) for k in self.keys)
+            parts = tags.split(",") if isinstance(tags, str) else tags if isinstance(tags, list) else []
+            out.append((str(summary or "").strip(), [x for x in (str(t).strip() for t in parts) if x]))
+        return out
+
+
+class ModelEmbedder:
+    """A sentence model by name or local folder, loaded once in each worker, where the library for it is installed.
+
+    The device asked for is used if it is there, else the processor. A model that can't be loaded is an error at once.
+    """
+
+    def __init__(self, name: str, dim: int, device: str = "cpu", batch_size: int = 32, max_seq_length: int = 512):
+        self.name, self.dim, self.device = name, dim, device
+        self.batch_size, self.max_seq_length = batch_size, max_seq_length
+        self.model = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"model": None}
+
+    def load(self):
+        if self.model is None:
+            try:
+                from sentence_transformers import SentenceTransformer
+
+                self.model = SentenceTransformer(self.name, device=available_device(self.device))
+            except Exception as e:
+                raise RuntimeError(f"can't load the model {self.name}: {e}") from e
+            self.model.max_seq_length = self.max_seq_length
+        return self.model
+
+    def embed(self, texts: list[str]) -> np.ndarray:
+        return np.asarray(self.load().encode(texts, batch_size=self.batch_size, show_progress_bar=False))
+
+
+def available_device(wanted: str) -> str:
+    """cuda or mps if asked for and there, else cpu."""
+    if wanted == "cpu":
+        return wanted
+    try:
+        import torch
+
+        there = torch.cuda.is_available() if wanted == "cuda" else torch.backends.mps.is_available()
+    except ImportError:
+        there = False
+    if not there:
+        logging.getLogger(__name__).warning("device %s isn't available, taking cpu", wanted)
+    return wanted if there else "cpu"
+
+
 class HashingEmbedder:
     """Signed feature hashing of words, length 1; a text without words gives the zero vector."""
 
@@ -110,16 +199,29 @@ class HashingEmbedder:
         return np.divide(out, size, out=out, where=size > 0)
 
 
-def embed(text: Column, embedder: Embedder, keep_zeros: bool = False) -> Column:
-    """Vector of a text, in batches; null (or a zero vector with keep_zeros) where embedding fails."""
+def embedded_batch(embedder: Embedder, texts: list[str], retries: int, delay: float) -> np.ndarray:
+    """Vectors of one batch; zeros where the embedder fails, the first time and at every retry."""
+    for attempt in range(retries + 1):
+        if attempt:
+            time.sleep(delay)
+        try:
+            return np.asarray(embedder.embed(texts), np.float32)
+        except Exception:
+            continue
+    return np.zeros((len(texts), embedder.dim), np.float32)
+
+
+def embed(
+    text: Column, embedder: Embedder, keep_zeros: bool = False, batch_size: int = 32, max_retries: int = 0, retry_delay: float = 1.0
+) -> Column:
+    """Vector of a text, in batches of batch_size; null (or a zero vector with keep_zeros) where embedding a batch fails."""
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            try:
-                table = embedder.embed(s.fillna("").tolist()).astype(np.float32)
-            except Exception:
-                table = np.zeros((len(s), embedder.dim), np.float32)
+            texts = s.fillna("").tolist()
+            parts = [embedded_batch(embedder, texts[a : a + batch_size], max_retries, retry_delay) for a in range(0, len(texts), batch_size)]
+            table = np.concatenate(parts) if parts else np.zeros((0, embedder.dim), np.float32)
             zero = ~table.any(axis=1)
             yield pd.Series([None if z and not keep_zeros else row for row, z in zip(table, zero)], dtype=object)
 
@@ -140,8 +242,8 @@ def detect_language(text: Column, detector: LanguageDetector | None = None) -> C
     return run(text)
 
 
-def summarize(text: Column, summarizer: Summarizer | None = None, chars: int = 1000) -> Column:
-    """struct(summary, tags) of a text's first characters; ("", []) where the summarizer fails."""
+def summarize(text: Column, summarizer: Summarizer | None = None, chars: int | None = 1000) -> Column:
+    """struct(summary, tags) of a text's first characters (None: of all); ("", []) where the summarizer fails."""
     summarizer = summarizer or NullSummarizer()
 
     @F.pandas_udf("struct<summary: string, tags: array<string>>")
@@ -153,4 +255,4 @@ def summarize(text: Column, summarizer: Summarizer | None = None, chars: int = 1
                 found = [("", [])] * len(s)
             yield pd.DataFrame({"summary": [a for a, _ in found], "tags": [b for _, b in found]})
 
-    return run(F.substring(text, 1, chars))
+    return run(text if chars is None else F.substring(text, 1, chars))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from docloom.operators.search import by_id, top_k
 from docloom.schemas import POINT
 
+#: Folders that the points of a collection are dealt to by id.
+BUCKETS = 64
+
 
 def merge_points(existing: DataFrame, new: DataFrame, key: str = "id", seq_col: str | None = None) -> DataFrame:
     """Rows of new replace those of existing with equal key; of equal keys in new the last by seq_col stays."""
@@ -21,24 +26,58 @@ def merge_points(existing: DataFrame, new: DataFrame, key: str = "id", seq_col:
     )
 
 
+class ConflictError(RuntimeError):
+    """Another writer's version came first, more often than there were retries."""
+
+
 class VectorStore:
     """Collections under a root folder on any file system that Spark reaches.
 
-    An upsert writes a new version of the table and then drops the ones before the last; readers see whole
-    versions only. Failed tasks are retried by Spark, which takes the place of a client's retry loop.
+    Points are dealt to BUCKETS folders by a hash of their id. A version is a small file that names the folder of each
+    bucket; an upsert writes new folders for the buckets that it touches only, and then the next version, which a file
+    system creates once: of two writers the second merges anew, with the delays and as often as told. Readers see whole
+    versions. Folders that neither of the last two versions names are deleted.
     """
 
-    def __init__(self, spark: SparkSession, root: str, collection: str = "documents"):
+    def __init__(self, spark: SparkSession, root: str, collection: str = "documents", max_retries: int = 3, retry_delay: float = 1.0):
         self.spark, self.path = spark, f"{root.rstrip('/')}/{collection}"
+        self.max_retries, self.retry_delay = max_retries, retry_delay
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _names(self, folder: str) -> list[str]:
+        at = self._path(f"{self.path}/{folder}")
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
+
+    def _write(self, name: str, what: dict, overwrite: bool = True) -> bool:
+        """Whether the file was created."""
+        try:
+            out = self._fs.create(self._path(f"{self.path}/{name}"), overwrite)
+        except Exception:
+            if not overwrite and self._fs.exists(self._path(f"{self.path}/{name}")):
+                return False
+            raise
+        out.write(bytearray(json.dumps(what).encode()))
+        out.close()
+        return True
+
+    def _read(self, name: str) -> dict:
+        stream = self._fs.open(self._path(f"{self.path}/{name}"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
     def versions(self) -> list[int]:
-        if not self.exists():
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        done = [n for n in names if n.startswith("v") and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
+        return [int(n.removesuffix(".json")) for n in self._names("versions") if n.endswith(".json")]
+
+    def folders(self, version: int | None = None) -> dict[int, str]:
+        """The folder of each bucket that holds points."""
+        found = self.versions()
+        if not found:
+            raise FileNotFoundError(f"no collection at {self.path}")
+        named = self._read(f"versions/{found[-1] if version is None else version:08d}.json")
+        return {int(k): v for k, v in named.items()}
 
     def exists(self) -> bool:
         return bool(self._fs.exists(self._path(self.path)))
@@ -47,30 +86,59 @@ class VectorStore:
         """False if it was there already."""
         if self.exists():
             return False
-        out = self._fs.create(self._path(f"{self.path}/collection.json"))
-        out.write(bytearray(json.dumps({"dim": dim, "metric": metric, "vectors": ["body", "summary_vec"]}).encode()))
-        out.close()
-        self.spark.createDataFrame([], POINT).write.parquet(f"{self.path}/v000000")
-        return True
+        self._write("collection.json", {"dim": dim, "metric": metric, "vectors": ["body", "summary_vec"]})
+        return self._write(f"versions/{0:08d}.json", {}, overwrite=False)
 
     def drop(self) -> bool:
         """False if there was none."""
         return bool(self.exists() and self._fs.delete(self._path(self.path), True))
 
+    def _points(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], POINT)
+        return self.spark.read.schema(POINT).parquet(*[f"{self.path}/{f}" for f in folders])
+
     def read(self) -> DataFrame:
-        found = self.versions()
-        if not found:
-            raise FileNotFoundError(f"no collection at {self.path}")
-        return self.spark.read.schema(POINT).parquet(f"{self.path}/v{found[-1]:06d}")
+        return self._points(list(self.folders().values()))
 
     def upsert(self, points: DataFrame, seq_col: str | None = None) -> int:
-        """Merge points by id; returns the number of points then held."""
-        found = self.versions()
-        merged = merge_points(self.read(), points, seq_col=seq_col)
-        merged.write.parquet(f"{self.path}/v{found[-1] + 1:06d}")
-        for old in found[:-1]:
-            self._fs.delete(self._path(f"{self.path}/v{old:06d}"), True)
-        return self.read().count()
+        """Merge points by id; of equal ids the last by seq_col stays. Returns how many rows points had.
+
+        points is evaluated once, into a folder of its own, so a costly column isn't computed for every use of it.
+        """
+        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
+        bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
+        try:
+            points.withColumn("_bucket", bucket).write.parquet(staged)
+            new = self.spark.read.parquet(staged)
+            counts = {r[0]: r[1] for r in new.groupBy("_bucket").count().collect()}  # BUCKETS rows at most
+            for attempt in range(self.max_retries + 1):
+                if attempt:
+                    time.sleep(self.retry_delay)
+                if not counts or self._merge(new, sorted(counts), seq_col):
+                    return sum(counts.values())
+            raise ConflictError(self.path)
+        finally:
+            self._fs.delete(self._path(staged), True)
+
+    def _merge(self, new: DataFrame, touched: list[int], seq_col: str | None) -> bool:
+        found = self.versions()[-1]
+        held = self.folders(found)
+        old = self._points([held[b] for b in touched if b in held])
+        merged = merge_points(old, new.drop("_bucket"), seq_col=seq_col)
+        bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
+        folder = f"points/{uuid.uuid4().hex}"
+        merged.withColumn("bucket", bucket).repartition(min(len(touched), BUCKETS), "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        held |= {b: f"{folder}/bucket={b}" for b in touched}
+        if not self._write(f"versions/{found + 1:08d}.json", held, overwrite=False):
+            self._fs.delete(self._path(f"{self.path}/{folder}"), True)
+            return False
+        keep = {x.split("/")[1] for v in self.versions()[-2:] for x in self.folders(v).values()}
+        for v in self.versions()[:-2]:
+            for x in {x.split("/")[1] for x in self.folders(v).values()} - keep:
+                self._fs.delete(self._path(f"{self.path}/points/{x}"), True)
+            self._fs.delete(self._path(f"{self.path}/versions/{v:08d}.json"), False)
+        return True
 
     def get(self, point_id: str) -> DataFrame:
         return by_id(self.read(), point_id)
@@ -81,8 +149,8 @@ class VectorStore:
     def stats(self) -> dict:
         if not self.exists():
             return {}
-        text = "\n".join(r.value for r in self.spark.read.text(f"{self.path}/collection.json").collect())
-        return {"name": self.path.rsplit("/", 1)[-1], "points_count": self.read().count(), "status": "ready"} | json.loads(text)
+        name = self.path.rsplit("/", 1)[-1]
+        return {"name": name, "points_count": self.read().count(), "status": "ready"} | self._read("collection.json")
 
     def search(self, queries: DataFrame, k: int = 10, use_summary: bool = False) -> DataFrame:
         """queries: query_id, query_vector. Hits with their payload."""

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import plugins
@@ -14,29 +15,44 @@ from docloom.functions.plugins import Embedder, LanguageDetector, OcrBackend, Su
 from docloom.operators import documents as D
 from docloom.operators import taxonomy as X
 from docloom.operators.store import VectorStore
+from docloom.scratch import written
 from docloom.settings import Settings
 from docloom.sources import files as S
 from docloom.sources.parsers import ParserRegistry
 
 
+@dataclass
+class Metrics:
+    """What a run counted while it wrote: records, copies among them, files that failed, and its seconds."""
+
+    processed: int
+    duplicates: int
+    failed: int
+    seconds: float
+
+
 @dataclass
 class Corpus:
     """Records of a run, and what failed: (path, stage, error)."""
 
     records: DataFrame
     dead: DataFrame
+    metrics: Metrics | None = None
 
 
 def ocr(rows: DataFrame, backend: OcrBackend) -> DataFrame:
-    """Rows whose text is what the backend reads in their content, stripped; ocr is true."""
+    """Where thin is true the text becomes what the backend reads in content, stripped, and ocr true; both columns leave."""
 
     def run(batches):
         for b in batches:
-            b["text"] = [t.strip() for t in backend.read(b["content"].tolist())]
-            yield b.drop(columns="content")
+            thin = b["thin"].to_numpy(dtype=bool)
+            if thin.any():
+                b.loc[thin, "text"] = [t.strip() for t in backend.read(b.loc[thin, "content"].tolist())]
+            b["ocr"] = [True if t else None for t in thin]
+            yield b.drop(columns=["content", "thin"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("content").schema)
-    return rows.mapInPandas(run, schema).withColumn("ocr", F.lit(True))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("content", "thin").schema)
+    return rows.mapInPandas(run, schema + ", ocr boolean")
 
 
 def build_corpus(
@@ -57,15 +73,17 @@ def build_corpus(
     dead with their error; nothing else is lost. Copies are flagged in order of (suffix, path).
     """
     found = S.ingest(spark, root, tuple(s for p in (registry or ParserRegistry()).parsers for s in p.suffixes))
-    parsed = S.parse(found, registry)
+    parsed = S.parse(found, registry, keep_content=ocr_backend is not None)
+    if ocr_backend is None:
+        parsed = parsed.withColumn("ocr", F.lit(None).cast("boolean"))
+    else:
+        thin = F.col("error").isNull() & (T.suffix(F.col("path")) == ".pdf") & T.needs_ocr(T.normalize(F.col("text"), mode))
+        thin = F.coalesce(thin, F.lit(False))
+        parsed = ocr(parsed.withColumn("thin", thin).withColumn("content", F.when(F.col("thin"), F.col("content"))), ocr_backend)
+    # Written, so that records and dead letters come from one parse.
+    parsed = written(parsed, "parsed")
     dead = parsed.where("error is not null").select("path", F.lit("parse").alias("stage"), "error")
-    good = parsed.where("error is null").drop("error").withColumn("ocr", F.lit(None).cast("boolean"))
-    if ocr_backend is not None:
-        # Two branches: a Python function inside when() would run for every row.
-        thin = (T.suffix(F.col("path")) == ".pdf") & T.needs_ocr(T.normalize(F.col("text"), mode))
-        content = found.select("path", "content")
-        read = ocr(good.where(thin).drop("ocr").join(content, "path"), ocr_backend)
-        good = good.where(~thin).unionByName(read)
+    good = parsed.where("error is null").drop("error")
     rows = good.withColumn("raw", T.normalize(F.col("text"), mode, collapse=False)).withColumn(
         "text", T.normalize(F.col("text"), mode)
     )
@@ -91,8 +109,13 @@ def build_corpus(
 
 def run_pipeline(spark: SparkSession, root: str, out: str, **options) -> Corpus:
     """build_corpus, written as JSON lines: one record for each content, the last writer's."""
+    began = time.perf_counter()
     corpus = build_corpus(spark, root, **options)
+    # Written once: summaries and languages may come from costly models.
+    corpus.records = written(corpus.records, "records")
     S.write_jsonl(corpus.records, out, "_seq")
+    n, again = corpus.records.agg(F.count("*"), F.count_if("is_duplicate")).first()
+    corpus.metrics = Metrics(n, again, corpus.dead.count(), time.perf_counter() - began)
     return corpus
 
 
@@ -139,23 +162,25 @@ def analyze(spark: SparkSession, records: str, out: str | None = None) -> dict:
 
 @dataclass
 class LoadStats:
+    """Records read; points written, which replace those of equal ids; records that gave no point; seconds."""
+
     total: int
     uploaded: int
     failed: int
+    seconds: float = 0.0
 
     @property
     def success_rate(self) -> float:
         return 100.0 * self.uploaded / self.total if self.total else 0.0
 
 
-def embedded(points: DataFrame, embedder: Embedder) -> DataFrame:
+def embedded(points: DataFrame, embedder: Embedder, settings: Settings | None = None) -> DataFrame:
     """Both vectors as columns of the row they belong to; rows without a body vector leave."""
-    rows = points.withColumns(
-        {
-            "body": plugins.embed(F.col("text"), embedder),
-            "summary_vec": plugins.embed(F.col("summary"), embedder),
-        }
+    settings = settings or Settings()
+    of = lambda c: plugins.embed(
+        F.col(c), embedder, batch_size=settings.batch_size, max_retries=settings.max_retries, retry_delay=settings.retry_delay
     )
+    rows = points.withColumns({"body": of("text"), "summary_vec": of("summary")})
     return rows.where("body is not null").select("id", "body", "summary_vec", "payload")
 
 
@@ -164,27 +189,28 @@ def load_folder(
     records: str,
     store: VectorStore,
     embedder: Embedder | None = None,
-    pattern: str = "*.jsonl",
+    pattern: str = S.RECORDS,
     recursive: bool = False,
+    settings: Settings | None = None,
 ) -> LoadStats:
-    """Records into the store: prepared, embedded, and merged by id."""
-    embedder = embedder or plugins.HashingEmbedder()
+    """Records into the store: prepared, embedded, and merged by id. Loading the same folder again writes it again."""
+    began = time.perf_counter()
+    embedder = embedder or plugins.embedder_of(settings or Settings())
     store.create(embedder.dim)
     docs = S.read_jsonl(spark, records, recursive, pattern)
     ready = D.prepare_points(docs.where("_corrupt is null"))
-    ready = embedded(ready, embedder).withColumn("_seq", F.col("payload.source"))
-    counts = docs.agg(F.count("*")).first()[0]
-    before = store.read()
-    store.upsert(ready, "_seq")
-    done = store.read().join(before.select("id"), "id", "left_anti").count() if counts else 0
-    return LoadStats(counts, done, counts - done)
+    ready = embedded(ready, embedder, settings).withColumn("_seq", F.col("payload.source"))
+    total = docs.select("path").count()
+    done = store.upsert(ready, "_seq")
+    return LoadStats(total, done, total - done, time.perf_counter() - began)
 
 
 class RetrievalEngine:
     """Hybrid search over a store: exact cosine top k, then tag boosting."""
 
     def __init__(self, store: VectorStore, embedder: Embedder | None = None, settings: Settings | None = None):
-        self.store, self.embedder, self.settings = store, embedder or plugins.HashingEmbedder(), settings or Settings()
+        self.settings = settings or Settings()
+        self.store, self.embedder = store, embedder or plugins.embedder_of(self.settings)
 
     def search_batch(
         self, queries: DataFrame, limit: int | None = None, tag_boost: float | None = None, use_summary: bool | None = None
@@ -225,12 +251,3 @@ class RetrievalEngine:
         wanted = ids.select("query_id", T.expected_id(F.col("expected_doc_id")).alias("expected_id"))
         ranked = ranks_of_expected(hits, wanted)
         return ranked, recall(ranked, *ks)
-
-
-def observed(df: DataFrame, name: str, failed: Column | None = None) -> tuple[DataFrame, object]:
-    """df with counters taken while it is written: rows, and rows for which failed holds."""
-    from pyspark.sql import Observation
-
-    seen = Observation(name)
-    bad = F.count_if(failed if failed is not None else F.lit(False))
-    return df.observe(seen, F.count("*").alias("rows"), bad.alias("failed")), seen

@@ -7,12 +7,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docloom.functions import text as T
-from docloom.schemas import CORPUS, INVENTORY
+from docloom.schemas import CORPUS, INVENTORY, LLM_METADATA
 from docloom.sources.parsers import ParserRegistry
 
 SUFFIXES = (".pdf", ".docx", ".msg")
+#: Files of records: what the writers below make, and what others call such files.
+RECORDS = "*.json{,l}"
 
 
 def pattern_of(suffixes: tuple[str, ...], any_case: bool = False) -> str:
@@ -71,7 +74,7 @@ def snippets(files: DataFrame, read_bytes: int = 50_000, chars: int = 800) -> Da
     return files.withColumn("snippet", F.coalesce(text, F.lit(""))).drop("content")
 
 
-def parse(files: DataFrame, registry: ParserRegistry | None = None) -> DataFrame:
+def parse(files: DataFrame, registry: ParserRegistry | None = None, keep_content: bool = False) -> DataFrame:
     """Adds text, subject and error. One pass; a file that fails has an error and no text."""
     registry = registry or ParserRegistry()
 
@@ -89,13 +92,15 @@ def parse(files: DataFrame, registry: ParserRegistry | None = None) -> DataFrame
                     texts.append(None)
                     subjects.append(None)
                     errors.append(f"{type(e).__name__}: {e}"[:500])
-            yield b.drop(columns="content").assign(text=texts, subject=subjects, error=errors)
+            rest = b if keep_content else b.drop(columns="content")
+            yield rest.assign(text=texts, subject=subjects, error=errors)
 
     kept = files.select("path", "size_bytes", "modified_ts", "content")
-    return kept.mapInPandas(run, "path string, size_bytes long, modified_ts timestamp, text string, subject string, error string")
+    content = "content binary, " if keep_content else ""
+    return kept.mapInPandas(run, f"path string, size_bytes long, modified_ts timestamp, {content}text string, subject string, error string")
 
 
-def read_jsonl(spark: SparkSession, path: str, recursive: bool = False, pattern: str = "*.jsonl") -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, recursive: bool = False, pattern: str = RECORDS) -> DataFrame:
     """Corpus records with path and _corrupt (the text of a line that is no record)."""
     reader = (
         spark.read.schema(CORPUS + ", _corrupt string")
@@ -134,6 +139,30 @@ def with_point_ids(truth: DataFrame) -> DataFrame:
     return truth.withColumn("expected_doc_id", T.expected_id(F.col("expected_doc_id")))
 
 
+def sorted_files(spark: SparkSession, root: str, pattern: str = RECORDS) -> DataFrame:
+    """Paths of matching files below root in order; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return files.select(local_path(F.col("path")).alias("path")).orderBy("path")
+
+
+def load_raw_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata records of a folder of JSON files, one record or a list of them each, or a record a line; with their file."""
+    each = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", RECORDS).text(folder, wholetext=True)
+    shape = StructType.fromDDL(LLM_METADATA).simpleString()
+    whole = F.trim("value")
+    listed = F.when(whole.startswith("["), F.from_json(whole, f"array<{shape}>"))
+    boxed = F.concat(F.lit("["), whole, F.lit("]"))
+    one = F.when(F.json_array_length(boxed) == 1, F.from_json(boxed, f"array<{shape}>"))
+    lines = F.transform(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != ""), lambda x: F.from_json(x, shape))
+    rows = each.select(local_path(F.col("_metadata.file_path")).alias("path"), F.explode(F.coalesce(listed, one, lines)).alias("r"))
+    return rows.select("path", "r.*")
+
+
+def save_ground_truth(truth: DataFrame, path: str) -> None:
+    """Ground truth whose content hashes became point ids, as CSV."""
+    write_csv(with_point_ids(truth), path)
+
+
 def latest_versions(files: DataFrame) -> DataFrame:
     """The last row of each path by modification time: a changed file replaces its earlier version."""
     last = Window.partitionBy("path").orderBy(F.desc("modified_ts"))

@@ -6,8 +6,10 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from docloom.cli import main
 from docloom.operators.store import VectorStore
 from docloom.plans import corpus as C
+from docloom.schemas import POINT
 from docloom.sources import files as S
 from docloom.sources.parsers import DocxParser, MsgParser, ParserRegistry, PdfParser, RtfParser
 
@@ -106,12 +108,14 @@ def test_pipeline_to_search(spark, tree, tmp_path):
     assert a.language == "en" and a.token_estimate >= 5 and 0 < a.pii_risk <= 1 and a.hash_sha1 == a.hash_content and a.line_count == 2
     assert a.is_duplicate and a.source.endswith("copy.docx")
     assert by["root"].ocr and by["root"].text.startswith("scanned")
-    taxonomy = C.analyze(spark, f"{out}/*.json", str(tmp_path / "taxonomy"))
+    taxonomy = C.analyze(spark, out, str(tmp_path / "taxonomy"))
     assert taxonomy["categories"]["overview"] == {"CategoryA": 1, "root": 1}
     assert (tmp_path / "taxonomy" / "taxonomy_rag.json").exists()
     store = VectorStore(spark, str(tmp_path / "vectors"))
-    stats = C.load_folder(spark, out, store, pattern="*.json")
-    assert (stats.total, stats.uploaded, stats.success_rate) == (2, 2, 100.0)
+    for _ in range(2):  # loading the same folder again replaces its points
+        stats = C.load_folder(spark, out, store)
+        assert (stats.total, stats.uploaded, stats.failed, stats.success_rate) == (2, 2, 0, 100.0)
+        assert store.stats()["points_count"] == 2
     engine = C.RetrievalEngine(store)
     hits = engine.search("text of a file", ["x"], limit=5).collect()
     assert hits[0].text.startswith("This is the text") and not hits[0].was_boosted
@@ -123,6 +127,50 @@ def test_pipeline_to_search(spark, tree, tmp_path):
     assert C.extract_metadata(spark, str(tree), str(tmp_path / "meta")).count() == 6
 
 
+def test_full_pipeline_of_the_command_line(spark, tree, tmp_path, capsys):
+    records, vectors = str(tmp_path / "records"), str(tmp_path / "vectors")
+    (tree / "b.pdf").write_bytes(pdf("a text about visas"))
+    assert main(["full-pipeline", "-i", str(tree), "--preprocessed", records, "--taxonomy-out", str(tmp_path / "taxonomy"), "--store", vectors]) == 0
+    said = capsys.readouterr().out
+    assert '"total_categories": 2' in said and 'categories {"CategoryA": 1, "root": 1}' in said and "2 of 2 uploaded (100.0 %)" in said
+    assert main(["taxonomy-analyze", "--preprocessed", records]) == 0
+    assert main(["vector-load", records, "--store", vectors, "--collection", "again"]) == 0
+    assert "2 of 2 uploaded" in capsys.readouterr().out
+    assert VectorStore(spark, vectors, "again").read().count() == 2
+
+
+def point(k, word):
+    payload = {"text": word, "source": "s", "tags": [], "is_duplicate": False}
+    return (f"p{k}", [1.0, float(k)], [0.0, 1.0], payload)
+
+
+def test_store_versions(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path), "c", retry_delay=0.0)
+    assert store.create(2) and not store.create(2) and store.read().count() == 0
+    rows = lambda *given: spark.createDataFrame([point(*g) for g in given], POINT)
+    assert store.upsert(rows(*[(k, "old") for k in range(200)])) == 200
+    before = store.folders()
+    assert store.upsert(rows((3, "new"), (500, "more"))) == 2
+    after = store.folders()
+    assert len({b for b in after if before.get(b) != after[b]}) <= 2  # other buckets stay as they were
+    held = {r.id: r.payload.text for r in store.read().collect()}
+    assert len(held) == 201 and held["p3"] == "new" and held["p4"] == "old" and held["p500"] == "more"
+    # Another writer takes the version between this one's reading and writing: it merges anew.
+    points, other, calls = store._points, VectorStore(spark, str(tmp_path), "c"), []
+
+    def slow(folders):
+        calls.append(1)
+        if len(calls) == 1:
+            other.upsert(rows((600, "theirs")))
+        return points(folders)
+
+    store._points = slow
+    assert store.upsert(rows((601, "mine"))) == 1 and len(calls) == 2
+    store._points = points
+    assert store.read().where("id in ('p600', 'p601')").count() == 2
+    assert store.upsert(rows()) == 0 and store.drop() and not store.exists()
+
+
 def test_ground_truth(spark, tmp_path):
     path = tmp_path / "truth.csv"
     path.write_text('query,expected_doc_id\n"a, b", x \n,y\nq,\nz,"""abc"\n')
@@ -132,6 +180,23 @@ def test_ground_truth(spark, tmp_path):
     assert ids[0].expected_doc_id == "x"
 
 
+def test_raw_metadata_and_sorted_files(spark, tmp_path):
+    import docloom
+
+    folder = tmp_path / "m"
+    (folder / "deep").mkdir(parents=True)
+    (folder / "b.json").write_text('{"nazov_suboru": "one",\n "tagy": ["x"]}')
+    (folder / "a.json").write_text('[{"nazov_suboru": "two"}, {"nazov_suboru": "three"}]')
+    (folder / "deep" / "c.jsonl").write_text('{"nazov_suboru": "four"}\n\n{"nazov_suboru": "five"}\n')
+    rows = S.load_raw_metadata(spark, str(folder)).collect()
+    assert {r.nazov_suboru: r.path.rsplit("/", 1)[-1] for r in rows} == {"one": "b.json", "two": "a.json", "three": "a.json", "four": "c.jsonl", "five": "c.jsonl"}
+    assert [r.path.rsplit("/", 1)[-1] for r in S.sorted_files(spark, str(folder)).collect()] == ["a.json", "b.json", "c.jsonl"]
+    S.save_ground_truth(spark.createDataFrame([("q", "a" * 40), ("r", "x")], "query string, expected_doc_id string"), str(tmp_path / "truth"))
+    saved = {r.query: r.expected_doc_id for r in S.read_ground_truth(spark, str(tmp_path / "truth")).collect()}
+    assert saved["r"] == "x" and len(saved["q"]) == 36
+    assert docloom.VectorStore is VectorStore and "analyze" in docloom.__all__
+
+
 def test_jsonl(spark, tmp_path):
     folder = tmp_path / "j"
     folder.mkdir()
