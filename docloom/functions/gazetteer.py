@@ -2,80 +2,80 @@
 
 from __future__ import annotations
 
-#: A line for each country, its name first, then other words for it.
-COUNTRIES = """
-slovensko, slovenská republika, sr, slovakia
-česko, česká republika, čr, czech republic
-poľsko, poland, poľská republika
-maďarsko, hungary, maďarská republika
-rakúsko, austria, rakúska republika
-nemecko, germany, nemecká spolková republika, deutschland
-francúzsko, france, francúzska republika
-taliansko, italy, talianska republika, italia
-španielsko, spain, španielske kráľovstvo
-portugalsko, portugal, portugalská republika
-holandsko, netherlands, holandské kráľovstvo, nizozemsko
-belgicko, belgium, belgické kráľovstvo
-luxembursko, luxembourg, luxemburské veľkovojvodstvo
-dánsko, denmark, dánske kráľovstvo
-švédsko, sweden, švédske kráľovstvo
-fínsko, finland, fínska republika
-írsko, ireland, írska republika
-grécko, greece, grécka republika
-chorvátsko, croatia, chorvátska republika
-slovinsko, slovenia, slovinská republika
-estónsko, estonia, estónska republika
-lotyšsko, latvia, lotyšská republika
-litva, lithuania, litovská republika
-malta, maltská republika
-cyprus, cyperská republika
-bulharsko, bulgaria, bulharská republika
-rumunsko, romania, rumunská republika
-švajčiarsko, switzerland, švajčiarska konfederácia
-nórsko, norway, nórske kráľovstvo
-island, iceland, islandská republika
-spojené kráľovstvo, uk, united kingdom, veľká británia, anglicko
-srbsko, serbia, srbská republika
-čierna hora, montenegro
-bosna a hercegovina, bosnia and herzegovina
-macedónsko, north macedonia, severné macedónsko
-albánsko, albania, albánska republika
-kosovo, kosovská republika
-moldavsko, moldova, moldavská republika
-ukrajina, ukraine
-bielorusko, belarus, bieloruská republika
-rusko, russia, ruská federácia
-turecko, turkey, turecká republika
-usa, united states, spojené štáty, americká
-kanada, canada
-čína, china, čínska ľudová republika
-japonsko, japan
-južná kórea, south korea, kórejská republika
-india, indická republika
-austrália, australia, austrálsky zväz
-brazília, brazil, brazílska federatívna republika
-mexiko, mexico, mexické spojené štáty
-argentína, argentina, argentínska republika
-južná afrika, south africa, juhoafrická republika
-egypt, egyptská arabská republika
-maroko, morocco, marocké kráľovstvo
-izrael, israel, štát izrael
-saudská arábia, saudi arabia, saudské kráľovstvo
-emiráty, uae, spojené arabské emiráty
-"""
+#: Each country and all words for it.
+COUNTRIES = {
+    "slovensko": ["slovensko", "slovenská republika", "sr", "slovakia"],
+    "česko": ["česko", "česká republika", "čr", "czech republic"],
+    "poľsko": ["poľsko", "poland", "poľská republika"],
+    "maďarsko": ["maďarsko", "hungary", "maďarská republika"],
+    "rakúsko": ["rakúsko", "austria", "rakúska republika"],
+    "nemecko": ["nemecko", "germany", "nemecká spolková republika", "deutschland"],
+    "francúzsko": ["francúzsko", "france", "francúzska republika"],
+    "taliansko": ["taliansko", "italy", "talianska republika", "italia"],
+    "španielsko": ["španielsko", "spain", "španielske kráľovstvo"],
+    "portugalsko": ["portugalsko", "portugal", "portugalská republika"],
+    "holandsko": ["holandsko", "netherlands", "holandské kráľovstvo", "nizozemsko"],
+    "belgicko": ["belgicko", "belgium", "belgické kráľovstvo"],
+    "luxembursko": ["luxembursko", "luxembourg", "luxemburské veľkovojvodstvo"],
+    "dánsko": ["dánsko", "denmark", "dánske kráľovstvo"],
+    "švédsko": ["švédsko", "sweden", "švédske kráľovstvo"],
+    "fínsko": ["fínsko", "finland", "fínska republika"],
+    "írsko": ["írsko", "ireland", "írska republika"],
+    "grécko": ["grécko", "greece", "grécka republika"],
+    "chorvátsko": ["chorvátsko", "croatia", "chorvátska republika"],
+    "slovinsko": ["slovinsko", "slovenia", "slovinská republika"],
+    "estónsko": ["estónsko", "estonia", "estónska republika"],
+    "lotyšsko": ["lotyšsko", "latvia", "lotyšská republika"],
+    "litva": ["litva", "lithuania", "litovská republika"],
+    "malta": ["malta", "maltská republika"],
+    "cyprus": ["cyprus", "cyperská republika"],
+    "bulharsko": ["bulharsko", "bulgaria", "bulharská republika"],
+    "rumunsko": ["rumunsko", "romania", "rumunská republika"],
+    "švajčiarsko": ["švajčiarsko", "switzerland", "švajčiarska konfederácia"],
+    "nórsko": ["nórsko", "norway", "nórske kráľovstvo"],
+    "island": ["island", "iceland", "islandská republika"],
+    "spojené kráľovstvo": ["spojené kráľovstvo", "uk", "united kingdom", "veľká británia", "anglicko"],
+    "srbsko": ["srbsko", "serbia", "srbská republika"],
+    "čierna hora": ["čierna hora", "montenegro"],
+    "bosna a hercegovina": ["bosna a hercegovina", "bosnia and herzegovina"],
+    "macedónsko": ["macedónsko", "north macedonia", "severné macedónsko"],
+    "albánsko": ["albánsko", "albania", "albánska republika"],
+    "kosovo": ["kosovo", "kosovská republika"],
+    "moldavsko": ["moldavsko", "moldova", "moldavská republika"],
+    "ukrajina": ["ukrajina", "ukraine"],
+    "bielorusko": ["bielorusko", "belarus", "bieloruská republika"],
+    "rusko": ["rusko", "russia", "ruská federácia"],
+    "turecko": ["turecko", "turkey", "turecká republika"],
+    "usa": ["usa", "united states", "spojené štáty", "americká"],
+    "kanada": ["kanada", "canada"],
+    "čína": ["čína", "china", "čínska ľudová republika"],
+    "japonsko": ["japonsko", "japan"],
+    "južná kórea": ["južná kórea", "south korea", "kórejská republika"],
+    "india": ["india", "indická republika"],
+    "austrália": ["austrália", "australia", "austrálsky zväz"],
+    "brazília": ["brazília", "brazil", "brazílska federatívna republika"],
+    "mexiko": ["mexiko", "mexico", "mexické spojené štáty"],
+    "argentína": ["argentína", "argentina", "argentínska republika"],
+    "južná afrika": ["južná afrika", "south africa", "juhoafrická republika"],
+    "egypt": ["egypt", "egyptská arabská republika"],
+    "maroko": ["maroko", "morocco", "marocké kráľovstvo"],
+    "izrael": ["izrael", "israel", "štát izrael"],
+    "saudská arábia": ["saudská arábia", "saudi arabia", "saudské kráľovstvo"],
+    "emiráty": ["emiráty", "uae", "spojené arabské emiráty"],
+}
 
 #: Regions and their countries; all others are "ostatné".
 REGIONS = {
-    "európska_únia": (
-        "slovensko česko poľsko maďarsko rakúsko nemecko francúzsko taliansko španielsko portugalsko holandsko belgicko "
-        "luxembursko dánsko švédsko fínsko írsko grécko chorvátsko slovinsko estónsko lotyšsko litva malta cyprus bulharsko "
-        "rumunsko"
-    ).split(),
+    "európska_únia": [
+        "slovensko", "česko", "poľsko", "maďarsko", "rakúsko", "nemecko", "francúzsko", "taliansko",
+        "španielsko", "portugalsko", "holandsko", "belgicko", "luxembursko", "dánsko", "švédsko", "fínsko",
+        "írsko", "grécko", "chorvátsko", "slovinsko", "estónsko", "lotyšsko", "litva", "malta", "cyprus",
+        "bulharsko", "rumunsko",
+    ],
     "európa_mimo_eú": [
-        *"švajčiarsko nórsko island srbsko macedónsko albánsko kosovo moldavsko ukrajina bielorusko rusko turecko".split(),
-        "spojené kráľovstvo",
-        "čierna hora",
-        "bosna a hercegovina",
+        "švajčiarsko", "nórsko", "island", "spojené kráľovstvo", "srbsko", "čierna hora",
+        "bosna a hercegovina", "macedónsko", "albánsko", "kosovo", "moldavsko", "ukrajina", "bielorusko",
+        "rusko", "turecko",
     ],
     "severná_amerika": ["usa", "kanada", "mexiko"],
     "ázia": ["čína", "japonsko", "južná kórea", "india"],
@@ -86,8 +86,7 @@ OTHER = "ostatné"
 
 def gazetteer() -> list[tuple[str, list[str]]]:
     """(name, all words for it) of each country."""
-    rows = [[x.strip() for x in line.split(",")] for line in COUNTRIES.strip().splitlines()]
-    return [(row[0], row) for row in rows]
+    return list(COUNTRIES.items())
 
 
 def region_of(name: str) -> str:

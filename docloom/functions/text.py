@@ -9,17 +9,22 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Unicode white space as Python knows it; Java needs (?U) and lacks the four separators.
-SPACE = r"[\s\x1c-\x1f]"
+#: Unicode white space as Python knows it, as members of a class of characters.
+SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = f"[{SPACE_SET}]"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+#: E-mail addresses and telephone numbers, mail headers, page footers.
 EMAIL = r"[\p{L}\p{M}\p{N}_.-]+@[\p{L}\p{M}\p{N}_.-]+"
 PHONE = r"\+?\d{6,}"
+HEADER = r"(?i)(from|sent|to|subject):.+?\n"
+FOOTER = r"Page \d+ of \d+"
 #: Namespace of DNS names for version-5 UUIDs.
 DNS = "6ba7b8109dad11d180b400c04fd430c8"
 
 
 def strip(text: Column) -> Column:
     """Without white space at both ends, Unicode's included; trim() knows spaces only."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def blank(text: Column) -> Column:
@@ -29,11 +34,11 @@ def blank(text: Column) -> Column:
 def words(text: Column) -> Column:
     """Words between white space; an empty array for blank text."""
     bare = strip(text)
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, rf"(?U){SPACE}+"))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, rf"{SPACE}+"))
 
 
 def token_estimate(text: Column) -> Column:
-    return F.size(words(F.coalesce(text, F.lit("")))).cast("int")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE_SET}]+")).cast("int")
 
 
 def nfc(text: Column) -> Column:
@@ -68,17 +73,20 @@ def normalize(text: Column, mode: str = "intended", collapse: bool = True) -> Co
         return strip(F.regexp_replace(nfc(out), r"(?i)(from|sent|to|subject):.+?\\n", ""))
     if mode != "intended":
         raise ValueError(f"unknown mode {mode}")
-    out = F.regexp_replace(text, r"(?i)(from|sent|to|subject):.+?\n", "")
-    out = nfc(F.regexp_replace(out, r"Page \d+ of \d+", ""))
-    return strip(F.regexp_replace(out, rf"(?U){SPACE}+", " ") if collapse else out)
+    out = F.regexp_replace(text, HEADER, "")
+    out = nfc(F.regexp_replace(out, FOOTER, ""))
+    return strip(F.regexp_replace(out, rf"{SPACE}+", " ") if collapse else out)
 
 
-def pii_risk(text: Column, mode: str = "intended") -> Column:
-    """E-mail addresses and long digit runs per word, to four places; over 1 where words are few."""
+def pii_risk(text: Column, mode: str = "intended", tokens: Column | None = None) -> Column:
+    """E-mail addresses and long digit runs per word, to four places; over 1 where words are few.
+
+    tokens: the text's token_estimate(), where it is at hand already.
+    """
     text = F.coalesce(text, F.lit(""))
     email, phone = (EMAIL, PHONE) if mode == "intended" else (r"[\\w.-]+@[\\w.-]+", r"\\+?\\d{6,}")
     hits = F.regexp_count(text, F.lit(email)) + F.regexp_count(text, F.lit(phone))
-    return F.bround(hits / F.greatest(token_estimate(text), F.lit(1)), 4)
+    return F.bround(hits / F.greatest(token_estimate(text) if tokens is None else tokens, F.lit(1)), 4)
 
 
 def size_bytes_text(text: Column) -> Column:

@@ -11,13 +11,8 @@ from docloom.functions import text as T
 def enrich(docs: DataFrame, text_col: str = "text", mode: str = "intended") -> DataFrame:
     """Adds hash_sha1, token_estimate and pii_risk of the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns(
-        {
-            "hash_sha1": F.sha1(text),
-            "token_estimate": T.token_estimate(text),
-            "pii_risk": T.pii_risk(text, mode),
-        }
-    )
+    counted = docs.withColumns({"hash_sha1": F.sha1(text), "token_estimate": T.token_estimate(text)})
+    return counted.withColumn("pii_risk", T.pii_risk(text, mode, F.col("token_estimate")))
 
 
 def quality_flags(docs: DataFrame, max_bytes: int = 8_000_000, max_lines: int = 1000, text_col: str = "text") -> DataFrame:

@@ -2,27 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries scored in one pass; bounds what is sent to every task.
+#: Queries scored in one pass: bounds what a task holds of them. Up to so many travel with the task itself.
 BLOCK = 4096
+#: Points scored at a time.
+ROWS = 8192
+
 
+class Best:
+    """The k best points so far of each of a block of queries, ties by id."""
 
-def query_blocks(queries: DataFrame, id_col: str, vector_col: str, block: int) -> Iterator[tuple[list, np.ndarray]]:
-    ids, rows = [], []
-    for r in queries.select(id_col, vector_col).toLocalIterator():
-        ids.append(r[0])
-        rows.append(r[1])
-        if len(ids) == block:
-            yield ids, np.array(rows, np.float64)
-            ids, rows = [], []
-    if ids:
-        yield ids, np.array(rows, np.float64)
+    def __init__(self, ids: list, table: np.ndarray, k: int):
+        lengths = np.linalg.norm(table, axis=1, keepdims=True) if table.size else np.zeros((len(ids), 1))
+        usable = np.flatnonzero(lengths[:, 0] > 0)
+        self.ids, self.k = [ids[q] for q in usable], k
+        self.unit = table[usable] / lengths[usable] if len(usable) else table[:0]
+        self.query, self.score, self.name = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object)
+
+    def add(self, names: np.ndarray, lists: pa.ListArray) -> None:
+        """Score points; those of another length than the queries, or of length zero, aren't alike to any."""
+        width = self.unit.shape[1] if self.unit.ndim == 2 else 0
+        sizes = np.diff(lists.offsets.to_numpy())
+        fit = np.flatnonzero(sizes == width)
+        if not len(self.ids) or not len(fit):
+            return
+        if len(fit) < len(sizes):
+            lists, names = lists.take(pa.array(fit)), names[fit]
+        m = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(names), width)
+        size = np.linalg.norm(m, axis=1)
+        some = size > 0
+        names = names[some]
+        if not len(names):
+            return
+        scores = (m[some] / size[some, None]) @ self.unit.T
+        if len(names) > self.k:  # all that tie with the k-th
+            at, query = np.nonzero(scores >= np.partition(scores, len(names) - self.k, axis=0)[len(names) - self.k])
+        else:
+            at, query = (x.ravel() for x in np.indices(scores.shape))
+        self.keep(np.r_[self.query, query], np.r_[self.score, scores[at, query]], np.concatenate([self.name, names[at]]))
+
+    def keep(self, query: np.ndarray, score: np.ndarray, name: np.ndarray) -> None:
+        order = np.unique(name, return_inverse=True)[1]
+        o = np.lexsort((order, -score, query))
+        query, score, name = query[o], score[o], name[o]
+        first = np.searchsorted(query, query, side="left")
+        best = np.arange(len(query)) - first < self.k
+        self.query, self.score, self.name = query[best], score[best], name[best]
+
+    def rows(self):
+        if len(self.query):
+            names = ["query_id", "id", "score"]
+            columns = [[self.ids[q] for q in self.query], self.name.tolist(), self.score.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
+def names_of(column: pa.Array) -> np.ndarray:
+    out = np.empty(len(column), object)
+    out[:] = column.to_pylist()
+    return out
+
+
+def table_of(vectors: list) -> np.ndarray:
+    """Vectors as a matrix; all of a block's vectors have the length of most, others are zero."""
+    width = max(map(len, vectors), default=0)
+    return np.array([v if len(v) == width else [0.0] * width for v in vectors], np.float64).reshape(len(vectors), width)
 
 
 def top_k(
@@ -38,65 +85,79 @@ def top_k(
 ) -> DataFrame:
     """(query_id, id, score, rank): the k most similar points of each query by cosine, ties by id.
 
-    Exact. Queries come in blocks of at most ``block``; each task scores its points against a block as one
-    matrix product and sends on its own k best for each query, so what is shuffled is tasks x queries x k
-    and never queries x points. Null and zero vectors score nothing and don't appear. k = 0 means 10.
+    Exact. A task scores its points against a block of at most ``block`` queries as one matrix product and sends on its
+    own k best for each query, so what is shuffled is tasks x queries x k and never queries x points. One block of
+    queries travels with the tasks, and points stay where they are; more queries are dealt to blocks and points to
+    parts, and a task holds one block while the points of one part stream by: then points are shuffled once for each
+    block, and the driver sees only a count. Null and zero vectors score nothing and don't appear. k = 0 means 10.
     """
     k = k or 10
-    q_type = queries.schema[query_id].dataType.simpleString()
-    p_type = points.schema[point_id].dataType.simpleString()
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v")).where("v is not null")
     rows = points.select(F.col(point_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
-
-    def scorer(ids: list, table: np.ndarray):
-        lengths = np.linalg.norm(table, axis=1, keepdims=True)
-        unit = np.divide(table, lengths, out=np.zeros_like(table), where=lengths > 0)
-        usable = np.flatnonzero(lengths[:, 0] > 0)
-
-        def task(batches):
-            best: list[list[tuple[float, object]]] = [[] for _ in ids]
-
-            def keep(names: list, scores: np.ndarray):
-                for q in usable:
-                    s = scores[:, q]
-                    at = np.argpartition(-s, k - 1)[:k] if len(s) > k else np.arange(len(s))
-                    if len(s) > k:  # all that tie with the k-th
-                        at = np.flatnonzero(s >= s[at].min())
-                    best[q] = sorted(best[q] + [(-float(s[i]), names[i]) for i in at])[:k]
-
+    q_type, p_type = asked.schema["query_id"].dataType.simpleString(), rows.schema["id"].dataType.simpleString()
+    schema = f"query_id {q_type}, id {p_type}, score double"
+    n = asked.limit(block + 1).count()
+    if not n:
+        return queries.sparkSession.createDataFrame([], schema + ", rank int")
+    if n <= block:
+        held = asked.collect()  # at most block rows
+        ids, table = [r.query_id for r in held], table_of([r.v for r in held])
+
+        def score(batches):
+            best = Best(ids, table, k)
             for b in batches:
-                for a in range(0, b.num_rows, 8192):
-                    part = b.slice(a, 8192)
-                    names = part.column(0).to_pylist()
-                    lists = part.column(1)
-                    sizes = np.diff(lists.offsets.to_numpy())
-                    if len(sizes) and (sizes == table.shape[1]).all():
-                        m = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(names), -1)
-                    else:
-                        fit = [i for i, n in enumerate(sizes) if n == table.shape[1]]
-                        values = lists.to_pylist()
-                        names, m = [names[i] for i in fit], np.array([values[i] for i in fit], np.float64).reshape(len(fit), -1)
-                    if not names:
-                        continue
-                    size = np.linalg.norm(m, axis=1)
-                    some = size > 0
-                    names = [n for n, ok in zip(names, some) if ok]
-                    if names:
-                        keep(names, (m[some] / size[some, None]) @ unit.T)
-            out = [(ids[q], name, -s) for q, found in enumerate(best) for s, name in found]
-            if out:
-                q, p, s = zip(*out)
-                yield pa.RecordBatch.from_pydict({"query_id": list(q), "id": list(p), "score": list(s)})
-
-        return task
-
-    parts = None
-    for ids, table in query_blocks(queries, query_id, query_vector, block):
-        found = rows.mapInArrow(scorer(ids, table), f"query_id {q_type}, id {p_type}, score double")
-        parts = found if parts is None else parts.unionByName(found)
-    if parts is None:
-        return queries.sparkSession.createDataFrame([], f"query_id {q_type}, id {p_type}, score double, rank int")
+                for a in range(0, b.num_rows, ROWS):
+                    part = b.slice(a, ROWS)
+                    best.add(names_of(part.column(0)), part.column(1))
+            yield from best.rows()
+
+        found = rows.mapInArrow(score, schema)
+    else:
+        found = in_cells(asked, rows, k, block).mapInArrow(cells(k), schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def in_cells(asked: DataFrame, rows: DataFrame, k: int, block: int) -> DataFrame:
+    """Rows (cell, query_id, id, v) sorted by cell, queries first: blocks of queries by parts of points."""
+    blocks = -(-asked.count() // block)
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n))
+    q = asked.select("query_id", "v", dealt("query_id", blocks).alias("b"), every(parts).alias("p"))
+    p = rows.select("id", "v", every(blocks).alias("b"), dealt("id", parts).alias("p"))
+    cell = (F.col("b") * parts + F.col("p")).alias("cell")
+    both = q.select(cell, F.lit(0).alias("side"), "query_id", F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "v").unionByName(
+        p.select(cell, F.lit(1).alias("side"), F.lit(None).cast(asked.schema["query_id"].dataType).alias("query_id"), "id", "v")
+    )
+    return both.repartition("cell").sortWithinPartitions("cell", "side").select("cell", "side", "query_id", "id", "v")
+
+
+def cells(k: int):
+    def task(batches):
+        last, ids, vectors, best = None, [], [], None
+        for b in batches:
+            cell, side = b.column(0).to_numpy(), b.column(1).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (side[1:] != side[:-1]), True])
+            for a, z in zip(cuts[:-1], cuts[1:]):
+                if cell[a] != last:
+                    if best is not None:
+                        yield from best.rows()
+                    last, ids, vectors, best = cell[a], [], [], None
+                part = b.slice(a, z - a)
+                if side[a] == 0:
+                    ids += part.column(2).to_pylist()
+                    vectors += part.column(4).to_pylist()
+                    continue
+                if best is None:
+                    best, vectors = Best(ids, table_of(vectors), k), []
+                for c in range(0, part.num_rows, ROWS):
+                    some = part.slice(c, ROWS)
+                    best.add(names_of(some.column(3)), some.column(4))
+        if best is not None:
+            yield from best.rows()
+
+    return task
 
 
 def boost(hits: DataFrame, tag_boost: float = 0.2, user_tags: str = "user_tags", tags: str = "tags") -> DataFrame:
@@ -151,12 +212,20 @@ def recall(ranked: DataFrame, *ks: int) -> DataFrame:
     )
 
 
-def by_id(points: DataFrame, wanted: str) -> DataFrame:
-    """The point of an id, with score 1; the filter reaches the scan."""
-    return points.where(F.col("id") == wanted).withColumn("score", F.lit(1.0))
+def not_found(ranked: DataFrame) -> DataFrame:
+    """Queries whose expected point isn't among the hits."""
+    return ranked.where(~F.col("found"))
+
+
+def boosted_and_found(ranked: DataFrame) -> DataFrame:
+    return ranked.where(F.col("was_boosted") & F.col("found"))
 
 
-def similarity_of(a: Column, b: Column) -> Column:
-    from docloom.functions.vectors import cosine
+def boosted_counts(hits: DataFrame) -> DataFrame:
+    """(query_id, n_hits, n_boosted) of boosted hits."""
+    return hits.groupBy("query_id").agg(F.count("*").alias("n_hits"), F.count_if("was_boosted").alias("n_boosted"))
 
-    return cosine(a, b)
+
+def by_id(points: DataFrame, wanted: str) -> DataFrame:
+    """The point of an id, with score 1; the filter reaches the scan."""
+    return points.where(F.col("id") == wanted).withColumn("score", F.lit(1.0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +23,27 @@ TAG_GROUPS = {
 def names_in(text: Column, names: list[tuple[str, list[str]]] | None = None) -> Column:
     """Names with a variant standing in the text as whole words, whatever the case; each name once.
 
-    A single pattern over all variants first rules out most texts; only the rest is searched per name.
+    The text is split into words once. A name's pattern is only searched for where the first word of one of its
+    variants is among them.
     """
     names = gazetteer() if names is None else names
     whole = lambda words: rf"(?U)\b({'|'.join(map(re.escape, words))})\b"
+    firsts = lambda words: sorted({re.match(r"\w+", w.lower())[0] for w in words})
+    listed = lambda words: F.array(*map(F.lit, words))
+    none = F.array().cast("array<string>")
     low = F.lower(F.coalesce(text, F.lit("")))
-    each = [F.when(low.rlike(whole([w.lower() for w in words])), F.lit(name)) for name, words in names]
-    some = low.rlike(whole([w.lower() for _, words in names for w in words]))
-    return F.when(some, F.array_compact(F.array(*each))).otherwise(F.array().cast("array<string>"))
+
+    def found(pair: Column) -> Column:
+        each = [
+            F.when(F.arrays_overlap(pair["hits"], listed(firsts(words))) & pair["low"].rlike(whole([w.lower() for w in words])), F.lit(name))
+            for name, words in names
+        ]
+        return F.when(F.size(pair["hits"]) > 0, F.array_compact(F.array(*each))).otherwise(none)
+
+    every = listed(firsts([w for _, words in names for w in words]))
+    split = lambda t: F.struct(t.alias("low"), F.array_intersect(F.split(t, r"(?U)\W+"), every).alias("hits"))
+    # Each step is bound to a name by a list of one, so that it is computed once.
+    return F.transform(F.transform(F.array(low), split), found)[0]
 
 
 def with_defaults(docs: DataFrame) -> DataFrame:
@@ -152,7 +166,7 @@ def taxonomy_document(docs: DataFrame, names=None) -> dict:
         categories = top("category")
         files = file_counts(docs if "summary" in docs.columns else docs.withColumn("summary", F.lit(""))).first()
         return {
-            "metadata": {"total_documents": files.total, "empty_documents": files.empty},
+            "metadata": {"total_documents": files.total, "empty_documents": files.empty, "generated_at": datetime.now(UTC).isoformat()},
             "categories": {
                 "overview": categories,
                 "detailed": {c: {"count": n, "tags": tags.get(c, []), "sources": sources.get(c, [])} for c, n in categories.items()},

@@ -29,31 +29,49 @@ def watch(spark: SparkSession, root: str, suffixes: tuple[str, ...] = SUFFIXES,
     )
 
 
+def runs_before(batches: int) -> list[str]:
+    """Names (first-end) of the runs that hold so many batches: a run for each bit of their number, long ones first."""
+    out, at = [], 0
+    for bit in reversed(range(batches.bit_length())):
+        if batches >> bit & 1:
+            out.append(f"{at}-{at + (1 << bit)}")
+            at += 1 << bit
+    return out
+
+
 def flag_new_copies(rows: DataFrame, out: str, checkpoint: str, seq_col: str = "path", text_col: str = "text") -> StreamingQuery:
     """Write rows with hash_content and is_duplicate, each batch judged against all batches before it.
 
-    The hashes seen are those of the written table itself, so a batch that is run again after a failure
-    replaces its own folder and sees the same earlier ones: results are written once.
+    Hashes that a batch saw first stand beside the written table, in folders for runs of batches: as many batches as
+    there are in a run are merged into the next longer one, so a batch reads a number of folders that grows with the
+    logarithm of the batches and each distinct hash is rewritten as often. A batch that is run again after a failure
+    replaces its own folders and sees the same earlier ones: results are written once.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         from docloom.operators.documents import flag_duplicates
 
         spark = batch.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+        runs = lambda upto: [r for r in runs_before(upto) if fs.exists(path(f"{out}/_hashes/{r}"))]
+        read = lambda names: spark.read.schema("hash_content string").parquet(*[f"{out}/_hashes/{r}" for r in names])
         flagged = flag_duplicates(batch, seq_col, text_col)
-        path = spark._jvm.org.apache.hadoop.fs.Path(out)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        earlier = [
-            s.getPath().toString()
-            for s in (fs.listStatus(path) if fs.exists(path) else [])
-            if s.getPath().getName().startswith("batch=") and int(s.getPath().getName()[6:]) < number
-        ]
+        earlier = runs(number)
         if earlier:
-            seen = spark.read.parquet(*earlier).select("hash_content").distinct().withColumn("_seen", F.lit(True))
+            seen = read(earlier).withColumn("_seen", F.lit(True))
             flagged = flagged.join(seen, "hash_content", "left").withColumn(
                 "is_duplicate", F.col("is_duplicate") | F.coalesce("_seen", F.lit(False))
             ).drop("_seen")
         flagged.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        new = spark.read.parquet(f"{out}/batch={number}").where("not is_duplicate").select("hash_content")
+        merged = [r for r in earlier if r not in runs_before(number + 1)]
+        if merged:
+            new = new.unionByName(read(merged))
+        new.write.mode("overwrite").parquet(f"{out}/_hashes/{runs_before(number + 1)[-1]}")
+        # What the batch before this one merged: this one's own runs stay, in case it is run again.
+        for old in set(runs_before(max(number - 1, 0))) - set(runs_before(number)):
+            fs.delete(path(f"{out}/_hashes/{old}"), True)
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -69,8 +87,10 @@ def window_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours
     )
 
 
-def sessions(events: DataFrame, gap: str = "30 minutes", ts: str = "ts", key: str = "user_id") -> DataFrame:
-    """(key, session_start, session_end, n): runs of events of a key with no longer gap."""
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours", ts: str = "ts", key: str = "user_id") -> DataFrame:
+    """(key, session_start, session_end, n): runs of events of a key with no longer gap; of a stream, once they are closed."""
+    if events.isStreaming:
+        events = events.withWatermark(ts, late)
     return (
         events.groupBy(F.session_window(ts, gap).alias("w"), key)
         .agg(F.count("*").alias("n"))

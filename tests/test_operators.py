@@ -55,7 +55,7 @@ def test_taxonomy_document(spark):
     ]
     schema = "text string, summary string, tags array<string>, category string, source string, language string"
     t = X.taxonomy_document(spark.createDataFrame(rows, schema))
-    assert t["metadata"] == {"total_documents": 3, "empty_documents": 1}
+    assert t["metadata"].pop("generated_at") and t["metadata"] == {"total_documents": 3, "empty_documents": 1}
     assert t["categories"]["detailed"] == {"c1": {"count": 2, "tags": ["pobyt", "zákon"], "sources": ["a/b", "a/c"]}}
     assert t["tags"]["overview"] == {"pobyt": 2, "zákon": 1}
     assert t["countries"]["by_region"]["európska_únia"] == {"slovensko": 1, "česko": 1}
@@ -84,6 +84,39 @@ def exact(queries, points, k):
     return out
 
 
+def test_a_failed_batch_costs_its_own_texts_only(spark):
+    class Fragile(plugins.HashingEmbedder):
+        def embed(self, texts):
+            if "bad" in texts:
+                raise RuntimeError
+            return super().embed(texts)
+
+    df = spark.createDataFrame([(k, "bad" if k == 5 else f"text {k}") for k in range(12)], "id int, t string").coalesce(1)
+    rows = df.select("id", plugins.embed(F.col("t"), Fragile(), batch_size=4).alias("v")).collect()
+    assert {r.id for r in rows if r.v is None} == {4, 5, 6, 7}
+    with pytest.raises(RuntimeError):
+        plugins.ModelEmbedder("no such model", 8).load()
+    assert plugins.available_device("cuda") in ("cpu", "cuda") and plugins.embedder_of(Settings()).dim == 64
+    assert plugins.embedder_of(Settings(embedder="a/b:768")).dim == 768
+
+
+def test_replies_of_a_model_become_summaries(spark):
+    class Canned:
+        def complete(self, prompts):
+            said = {"a": '```json\n{"sumar": "S", "tagy": "x, y,,"}\n```', "b": "no json", "c": '{"sumar": null, "tagy": ["z", " "]}'}
+            return [said[p.removeprefix("Sum up: ")] for p in prompts]
+
+    model = plugins.PromptSummarizer(Canned(), "Sum up: {text}", "sumar", "tagy")
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "t string").select("t", plugins.summarize(F.col("t"), model).alias("s"))
+    assert {r.t: (r.s.summary, r.s.tags) for r in df.collect()} == {"a": ("S", ["x", "y"]), "b": ("", []), "c": ("", ["z"])}
+
+
+def test_found_and_boosted_filters(spark):
+    ranked = spark.createDataFrame([(1, True, True), (2, True, False), (3, False, True)], "query_id int, found boolean, was_boosted boolean")
+    assert [r.query_id for r in R.not_found(ranked).collect()] == [3] and [r.query_id for r in R.boosted_and_found(ranked).collect()] == [1]
+    assert R.boosted_counts(ranked).where("n_boosted = 1").count() == 2
+
+
 def test_top_k_is_exact_with_ties_and_odd_vectors(spark):
     rnd = random.Random(2)
     points = [(k, [rnd.choice([-1.0, 0.5, 1.0]) for _ in range(3)]) for k in range(60)] + [(98, [0.0] * 3), (99, None)]
@@ -133,8 +166,8 @@ def test_store(spark, tmp_path):
         F.lit(None).cast("array<float>").alias("summary_vec"), F.col("id").alias("text"),
     )
     rows = rows.withColumn("payload", D.payload(rows)).drop("text")
-    assert store.upsert(rows, "seq") == 2
-    assert store.upsert(rows.where("id = 'b'"), "seq") == 2
+    assert store.upsert(rows, "seq") == 3 and store.read().count() == 2
+    assert store.upsert(rows.where("id = 'b'"), "seq") == 1 and store.read().count() == 2
     assert store.get("a").first().body == [3.0, 0.0] and store.get("zz").count() == 0
     assert store.stats()["points_count"] == 2 and store.stats()["dim"] == 2
     assert payload is not None and store.sample().count() == 2
