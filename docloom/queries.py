@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from docloom.functions import plugins
 from docloom.functions import text as T
-from docloom.functions.gazetteer import gazetteer
+from docloom.functions.gazetteer import gazetteer, region_of
 from docloom.functions.vectors import cosine
 from docloom.operators import documents as D
 from docloom.operators import search as R
 from docloom.operators import taxonomy as X
-from docloom.operators.store import merge_points
+from docloom.operators.store import VectorStore, merge_points
+from docloom.schemas import PAYLOAD
+from docloom.scratch import new_folder
+from docloom.sources import files as S
 from docloom.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,27 +263,44 @@ def places_frequency(spark, sf_dir):
     return X.ranked(X.counters(rows, PLACES), "country").withColumnRenamed("key", "country")
 
 
-@query(
-    """SELECT region, country, n FROM (VALUES ('európska_únia', 'slovensko', CAST(2 AS BIGINT)), ('európska_únia', 'česko', 1),
-    ('severná_amerika', 'usa', 2), ('severná_amerika', 'mexiko', 1), ('ostatné', 'izrael', 1), ('ázia', 'japonsko', 1),
-    ('európa_mimo_eú', 'spojené kráľovstvo', 1)) t(region, country, n)"""
-)
+def gazetteer_sql(texts: str) -> str:
+    """(key, name, region) of every text of a table (key, text) and every country named in it."""
+    each = " UNION ALL ".join(
+        f"SELECT key, '{name}' AS name, '{region_of(name)}' AS region FROM ({texts}) "
+        f"WHERE regexp_matches(lower(text), '(^|{BOUND})({'|'.join(words)})($|{BOUND})')"
+        for name, words in gazetteer()
+    )
+    return f"SELECT * FROM ({each})"
+
+
+TRADERS = """SELECT 'c' || c_custkey AS key, n_name || ' ' || c_mktsegment AS text FROM customer JOIN nation ON c_nationkey = n_nationkey
+    UNION ALL SELECT 's' || s_suppkey, 'from ' || n_name || ', by land' FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+
+@query(f"SELECT region, name AS country, count(*) AS n FROM ({gazetteer_sql(TRADERS)}) GROUP BY ALL")
 def countries_by_region(spark, sf_dir):
-    texts = [
-        "Slovenská republika a Česko.", "SR podpísala zmluvu s USA", "mexické spojené štáty", "Štát Izrael, Japan",
-        "veľká británia", "srdce, usadlosť",
-    ]
-    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    """The whole gazetteer over the nations of all customers and suppliers."""
+    nation = table(spark, sf_dir, "nation")
+    buyers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    sellers = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = buyers.select(F.concat_ws(" ", "n_name", "c_mktsegment").alias("text")).unionByName(
+        sellers.select(F.concat(F.lit("from "), "n_name", F.lit(", by land")).alias("text"))
+    )
     return X.by_region(X.counters(rows, gazetteer()))
 
 
-@query(
-    """SELECT "group", tag, n FROM (VALUES ('documents', 'doklad o pobyte', CAST(1 AS BIGINT)), ('procedures', 'doklad o pobyte', 1),
-    ('procedures', 'Žiadosť', 2), ('institutions', 'cudzinecká polícia', 1)) t("group", tag, n)"""
-)
+KEYWORDS = [key for keys in X.TAG_GROUPS.values() for key in keys]
+GROUPED = f"""d AS (SELECT list_value({", ".join(f"'{k}'" for k in KEYWORDS)})[doc_id % {len(KEYWORDS)} + 1] || ' ' || source AS tag,
+    list_value({", ".join(f"'{g}'" for g, keys in X.TAG_GROUPS.items() for _ in keys)})[doc_id % {len(KEYWORDS)} + 1] AS g FROM documents),
+    t AS (SELECT tag, g, count(*) AS n FROM d GROUP BY ALL ORDER BY n DESC, tag LIMIT 100)"""
+
+
+@query(f'WITH {GROUPED} SELECT g AS "group", tag, n FROM t')
 def tag_keyword_groups(spark, sf_dir):
-    rows = [("a", ["Žiadosť", "doklad o pobyte"]), ("b", ["Žiadosť", "cudzinecká polícia", "iné", ""])]
-    return X.tag_groups(X.counters(spark.createDataFrame(rows, "text string, tags array<string>")))
+    """Tags made of a keyword and a document's source; the most frequent hundred are grouped."""
+    key = F.element_at(F.array(*map(F.lit, KEYWORDS)), (F.col("doc_id") % len(KEYWORDS) + 1).cast("int"))
+    rows = docs(spark, sf_dir).select(F.lit("x").alias("text"), F.array(F.concat_ws(" ", key, "source")).alias("tags"))
+    return X.tag_groups(X.counters(rows))
 
 
 @query(
@@ -405,13 +425,100 @@ def upsert_merge(spark, sf_dir):
     return merge_points(points.where("id % 2 = 0"), points.where("id % 2 = 1").unionByName(new).groupBy("id").agg(F.max("label").alias("label")))
 
 
+ASKED = [key for keys, _ in T.QUERY_TAGS for key in keys]
+HIT = " || ".join(
+    "CASE WHEN " + " OR ".join(f"contains(lower(q), '{k}')" for k in keys) + " THEN [" + ", ".join(f"'{t}'" for t in tags) + "] ELSE [] END"
+    for keys, tags in T.QUERY_TAGS
+)
+
+
 @query(
-    """SELECT query, array_to_string(tags, '|') AS tags FROM (VALUES ('Aký je poplatok za pobyt?', ['poplatok', 'pobyt', 'prechodný pobyt',
-    'trvalý pobyt']), ('VISA a doklady', ['dokumenty', 'víza']), ('nič', [])) t(query, tags)"""
+    f"""WITH d AS (SELECT doc_id, upper(list_value({", ".join(f"'{k}'" for k in ASKED)})[doc_id % {len(ASKED)} + 1]) || ' ' ||
+    list_value({", ".join(f"'{k}'" for k in ASKED)})[doc_id % 5 + 1] || ' ' || text AS q FROM documents)
+    SELECT doc_id, array_to_string({HIT}, '|') AS tags FROM d"""
 )
 def query_tag_rules(spark, sf_dir):
-    rows = spark.createDataFrame([("Aký je poplatok za pobyt?",), ("VISA a doklady",), ("nič",)], "query string")
-    return rows.select("query", F.array_join(T.tags_of_query(F.col("query")), "|").alias("tags"))
+    """Two keywords, one in capitals, before every document's text."""
+    key = lambda n: F.element_at(F.array(*map(F.lit, ASKED)), (F.col("doc_id") % n + 1).cast("int"))
+    asked_of = F.concat_ws(" ", F.upper(key(len(ASKED))), key(5), "text")
+    return docs(spark, sf_dir).select("doc_id", F.array_join(T.tags_of_query(asked_of), "|").alias("tags"))
+
+
+def records(spark, sf_dir) -> DataFrame:
+    """Documents as corpus records."""
+    d = docs(spark, sf_dir)
+    rows = D.enrich(d.select(F.coalesce("text", F.lit("")).alias("text"), "doc_id", F.col("lang").alias("category"), F.col("source").alias("origin")))
+    return rows.select(
+        "text", F.concat_ws("/", "origin", F.col("doc_id").cast("string")).alias("source"), "category", "hash_sha1", "token_estimate",
+        F.array("category", "origin").alias("tags"), F.col("doc_id").alias("seq"),
+    )
+
+
+RECORDS = "r AS (SELECT *, coalesce(text, '') AS t, source || '/' || doc_id AS path FROM documents)"
+
+
+@query(
+    f"""WITH {RECORDS} SELECT path AS source, lang AS category, sha1(t) AS hash_sha1, CAST(length(t) AS INTEGER) AS n_chars,
+    lang || ',' || source AS tags FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) AS n FROM r) WHERE n = 1"""
+)
+def jsonl_last_writer(spark, sf_dir):
+    """Records written as JSON lines, the last of equal texts, and read again by the readers' defaults."""
+    folder = new_folder(spark, "jsonl")
+    S.write_jsonl(records(spark, sf_dir), folder, "seq")
+    found = S.read_jsonl(spark, folder).where("_corrupt is null")
+    return found.select("source", "category", "hash_sha1", F.length("text").alias("n_chars"), F.array_join("tags", ",").alias("tags"))
+
+
+@query(
+    f"""WITH {RECORDS}, x AS (SELECT lang, source, count(*) AS n FROM r WHERE t <> '' GROUP BY ALL)
+    SELECT 'category' AS dimension, lang AS key, sum(n)::BIGINT AS n FROM x GROUP BY lang
+    UNION ALL SELECT 'tag', key, sum(n)::BIGINT FROM (SELECT unnest([lang, source]) AS key, n FROM x) GROUP BY key"""
+)
+def taxonomy_of_records(spark, sf_dir):
+    """Records appended as JSON lines in two parts, read again and counted."""
+    folder = new_folder(spark, "jsonl")
+    rows = records(spark, sf_dir)
+    for part in (F.col("seq") % 2 == 0, F.col("seq") % 2 == 1):
+        S.write_jsonl(rows.where(part).drop("seq"), folder, append=True)
+    counts = X.counters(S.read_jsonl(spark, folder).where("_corrupt is null"), [])
+    return counts.where("dimension in ('category', 'tag')")
+
+
+def stored(spark, sf_dir) -> VectorStore:
+    """All embeddings in a store: the even ones, then all with another payload."""
+    store = VectorStore(spark, new_folder(spark, "store"))
+    store.create(64)
+    empty = F.from_json(F.lit("{}"), f"struct<{PAYLOAD}>")
+    body = F.col("embedding").cast("array<float>")
+    rows = vectors(spark, sf_dir).select(
+        F.col("vec_id").cast("string").alias("id"), body.alias("body"), body.alias("summary_vec"),
+        empty.withField("category", F.col("label").cast("string")).withField("text", F.lit("old")).alias("payload"),
+    )
+    store.upsert(rows.where("CAST(id AS long) % 2 = 0"))
+    store.upsert(rows.withColumn("payload", F.col("payload").withField("text", F.concat(F.lit("new "), "id"))))
+    return store
+
+
+@query("SELECT CAST(vec_id AS VARCHAR) AS id, CAST(label AS VARCHAR) AS category, 'new ' || vec_id AS text, len(embedding) AS dim FROM embeddings")
+def store_upsert(spark, sf_dir):
+    points = stored(spark, sf_dir).read()
+    return points.select("id", "payload.category", "payload.text", F.size("body").cast("long").alias("dim"))
+
+
+STORED = COSINE.replace("DOUBLE[]", "FLOAT[]").replace("list_dot_product(CAST(", "list_dot_product(CAST(CAST(").replace(" AS FLOAT[])", " AS FLOAT[]) AS DOUBLE[])")
+
+
+@query(
+    f"""SELECT query_id, id, round(score, 5) AS score, CAST(rank AS INTEGER) AS rank, category FROM (SELECT CAST(a.vec_id AS VARCHAR) AS query_id,
+    CAST(b.vec_id AS VARCHAR) AS id, CAST(b.label AS VARCHAR) AS category, {STORED} AS score,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY {STORED} DESC, CAST(b.vec_id AS VARCHAR)) AS rank
+    FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0) WHERE rank <= 10"""
+)
+def store_search(spark, sf_dir):
+    """Searches in a store; queries are every point whose id is divisible by 50."""
+    store = stored(spark, sf_dir)
+    asks = asked(vectors(spark, sf_dir)).select(F.col("query_id").cast("string").alias("query_id"), F.col("query_vector").cast("array<float>").alias("query_vector"))
+    return store.search(asks, 10).select("query_id", "id", F.round("score", 5).alias("score"), "rank", "category")
 
 
 @query(
@@ -440,7 +547,7 @@ def language_detection(spark, sf_dir):
 
 @query()
 def extractive_summary(spark, sf_dir):
-    said = plugins.summarize(F.col("text"), plugins.ExtractiveSummarizer())
+    said = plugins.summarize(F.col("text"), plugins.ExtractiveSummarizer(), chars=None)
     return docs(spark, sf_dir).select("doc_id", said.alias("s")).select("doc_id", "s.summary", F.array_join("s.tags", ",").alias("tags"))
 
 
