@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+from dataclasses import replace
 
 import public_tokenizers
 import pytest
@@ -44,7 +45,7 @@ def mixed_texts(seed, n=300, most=40):
 
 
 def test_encoders_equal_the_library():
-    byte, word, small = ByteBpe(), WordBpe(), WordBpe(leaf=16)
+    byte, word, small = ByteBpe(), WordBpe(), WordBpe(leaf=3, part=4)
     rnd = random.Random(1)
     long = ["".join(rnd.choice("theinaorsnd") for _ in range(rnd.randint(50, 600))) + "!!'s12" for _ in range(60)]
     for text in mixed_texts(2) + long:
@@ -54,6 +55,19 @@ def test_encoders_equal_the_library():
         assert word.encode_decode(text) == want and small.encode_decode(text) == want
 
 
+def test_unsplit_text_in_five_alphabets():
+    bpe, rnd = WordBpe(), random.Random(2)
+    joins = []
+    join = bpe.join
+    bpe.join = lambda *given: joins.append(1) or join(*given)
+    for letters in ("theinaorsnd", "\u03b1\u03b2\u03b3\u03b4\u03b5", "\u0430\u0431\u0432\u0433\u0434\u0435", "\u4e2d\u6587\u5b57\u65e5\u672c", "\u0627\u0628\u062a\u062b"):
+        text = "".join(rnd.choice(letters) for _ in range(100_000))
+        ids = bpe.full.encode(text, add_special_tokens=False).ids
+        joins.clear()
+        assert bpe.encode_decode(text) == (pack_ids(ids), bpe.full.decode(ids, skip_special_tokens=False))
+        assert len(joins) >= 31
+
+
 def test_bpe_rows(spark, odd, empty):
     bpe = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got = sorted((str(r.doc_id), bytes(r.ids), r.decoded) for r in encode_decode(odd).collect())
@@ -138,7 +152,7 @@ def line_brute(docs, percent=75):
     return {d: "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in gone.get(d, ())) for d, t in docs}
 
 
-def test_lines_against_brute_force(spark, odd, empty, monkeypatch):
+def test_lines_against_brute_force(spark, odd, empty):
     rnd = random.Random(5)
     vocabulary = [f"w{k}" for k in range(60)]
     docs = []
@@ -153,12 +167,10 @@ def test_lines_against_brute_force(spark, odd, empty, monkeypatch):
     df = spark.createDataFrame(docs, SCHEMA).repartition(3)
     want = line_brute(docs)
     assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == want
-    # Every token hot, groups split, groups of bytes, one leader and one candidate: the second round has work.
-    monkeypatch.setattr(lines, "GROUP", 1 << 12)
-    assert {r.doc_id: r.text for r in dedup_lines(df, hot=10, split=20).collect()} == want
-    for name in ("LEADERS", "BEST"):
-        monkeypatch.setattr(lines, name, 1)
-    assert {r.doc_id: r.text for r in dedup_lines(df, hot=10).collect()} == want
+    # Every token hot, groups split, small groups; then few leaders and candidates: the second round has work.
+    few = lines.Tuning(group=1 << 12, hot=10, split=20)
+    for tuning in (few, replace(few, large=2, leaders=1, best=1, most=1), replace(few, hot=1 << 12, large=2, leaders=1, best=1, most=1)):
+        assert {r.doc_id: r.text for r in dedup_lines(df, tuning=tuning).collect()} == want
     assert dedup_lines(odd).count() == len(ODD) and dedup_lines(empty).count() == 0
     same = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "x\nA b c d e")], SCHEMA)
     assert sorted(r.text for r in dedup_lines(same).collect()) == ["", "", "x\nA b c d e"]
@@ -288,10 +300,24 @@ def test_urls(spark):
     ]
     hosts = spark.createDataFrame([(k, f"http://h{k}.site/") for k in range(400)], "page_id long, url string")
     listed = [f"h{k}.site" for k in range(0, 400, 7)] + ["absent.site"]
-    for most in (16 << 20, 1):  # the cascade, and the join that stands in for one too large
-        rows = urls.judge_urls(hosts, rules=[], listed=listed, max_bytes=most).collect()
+    for given in (listed, spark.createDataFrame([(x, 1) for x in listed], "name string, row int")):
+        rows = urls.judge_urls(hosts, rules=[], listed=given).collect()
         assert {r.page_id for r in rows if r.verdict == "block"} == set(range(0, 400, 7))
-    assert urls.judge_urls(df.limit(0)).count() == 0
+    assert urls.judge_urls(df.limit(0)).count() == 0 and urls.judge_urls(df, rules=[], listed=[]).where("verdict = 'block'").isEmpty()
+    clash = df.select("*", *[F.lit(1).alias(c) for c in ("host", "path", "verdict", "key", "listed")])
+    assert sorted(tuple(r) for r in urls.judge_urls(clash).collect()) == got
+    long = spark.createDataFrame([(1, "http://" + "a." * 3000 + "casino-win.example.com/x" + "y" * 500_000)], "page_id long, url string")
+    assert [(r.verdict, len(r.path)) for r in urls.judge_urls(long).collect()] == [("block", 500_002)]
+
+
+def test_a_million_listed_keys_go_through_the_cascade(spark):
+    pages = spark.range(1_500_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), "id", F.lit(".site/")).alias("url"))
+    listed = spark.range(0, 3_000_000, 3).select(F.concat(F.lit("h"), "id", F.lit(".site")).alias("name"))
+    judged = urls.judge_urls(pages, rules=[], listed=listed)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Subquery" in plan
+    assert judged.where((F.col("verdict") == "block") != (F.col("page_id") % 3 == 0)).count() == 0
+    assert judged.where("verdict = 'block'").count() == 500_000
 
 
 def test_licenses(spark, odd, empty):
