@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,26 +16,37 @@ from docloom.llm.words import SPREAD, U, blocks, stir, word_hashes
 
 #: Counters for token frequency, and how many of them travel in a row: fixed numbers, a byte each once they are summed.
 COUNTERS, CHUNK = 1 << 20, 1 << 12
-#: Bytes of text whose lines a task compares before it sends records on, and whose records make a bucket.
-GROUP = 16 << 20
 #: Bytes of text whose tokens are sorted at a time; pairs of records that are compared at a time.
 PART, PAIRS_AT_ONCE = 1 << 20, 1 << 20
-#: A token seen more often than HOT doesn't make a group of its own: groups are of it and one more token. If both are
-#: seen more often than SPLIT, the group's records are dealt to blocks and blocks are compared two by two.
-HOT, SPLIT = 1 << 12, 1 << 20
-#: The earliest records of a group that every record is compared with first; candidates sent on for a record of a group.
-LEADERS, BEST = 16, 4
-#: Tokens from which a line has a signature of two words of 64 bits, and of four.
-TWO, FOUR = 48, 96
+#: Tokens from which a line has a wide signature of WORDS words of 64 bits beside that of four.
+WIDE, WORDS = 160, 16
 RECORDS, GONE, OPEN = 0, 1, 2
 BLOBS = "bucket long, kind int, data binary"
 FOUND = "uid long, line int, other long, other_line int, apart int, more boolean"
-#: The arrays of a blob of records. meta: place, size of the set, line.
+#: The arrays of a blob of records; after them stand the wide signatures of those of WIDE tokens or more.
 FIELDS = [("token", "<u4"), ("s0", "<u8"), ("s1", "<u8"), ("s2", "<u8"), ("s3", "<u8"), ("low", "<u4"), ("high", "<u4"),
           ("other", "<u8"), ("uid", "<i8"), ("line", "<u4"), ("size", "<u4"), ("place", "<u4")]
 LINES = [("uid", "<i8"), ("line", "<u4")]
 
 
+@dataclass(frozen=True)
+class Tuning:
+    """What decides time and memory, never results."""
+
+    #: Bytes of text whose lines a task compares before it sends records on, and whose records make a bucket.
+    group: int = 16 << 20
+    #: A token seen more often than this makes no group of its own: groups are of it and one more token.
+    hot: int = 1 << 12
+    #: If both are seen more often than this, the group's records are dealt to blocks that are compared two by two.
+    split: int = 1 << 20
+    #: In a group of more than large records each is first compared with the earliest leaders.
+    large: int = 2048
+    leaders: int = 16
+    #: Candidates kept for a record of a group: the earliest where some are so near that they will hold, else the nearest.
+    best: int = 2
+    most: int = 16
+
+
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, line in it, hash) of every word."""
     docs, lines, words = [], [], []
@@ -54,6 +66,8 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         begun[first] = held + pieces[0].count(b"\n")
     if not docs:
         return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint64)
+    if len(docs) == 1:
+        return docs[0], lines[0], words[0]
     return np.concatenate(docs), np.concatenate(lines), np.concatenate(words)
 
 
@@ -102,6 +116,17 @@ def sum_chunks(batches):
         yield from chunks_of(total, size)
 
 
+def counted(rows: DataFrame, count) -> tuple[np.ndarray, int]:
+    """All counters, and the bytes of text, of rows that tasks count."""
+    shape = "chunk int, counts binary, size long"
+    total, size = np.zeros(COUNTERS, np.int64), 0
+    chunks = rows.mapInArrow(released(count), shape).repartition("chunk").mapInArrow(sum_chunks, shape)
+    for r in chunks.toLocalIterator():  # COUNTERS / CHUNK rows
+        total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] += np.frombuffer(bytes(r.counts), "<i8")
+        size += r.size
+    return total, size
+
+
 def by_rarity(texts: list[bytes], ranks: np.ndarray):
     """(text, line, token) without repeats, each line's tokens from rare to frequent, ties by hash."""
     doc, line, word = tokens_of(texts)
@@ -123,26 +148,32 @@ def by_rarity(texts: list[bytes], ranks: np.ndarray):
     return doc[new], line[new], word[new]
 
 
-def packed(columns: dict[str, np.ndarray], fields) -> bytes:
+def packed(columns: dict[str, np.ndarray], fields, wide: np.ndarray | None = None) -> bytes:
     """Arrays as one compressed string; uids as steps."""
-    parts = []
+    parts = [np.array([len(columns["uid"])], "<i8").tobytes()]
     for name, kind in fields:
         x = columns[name]
         parts.append((np.diff(x, prepend=0) if name == "uid" else x).astype(kind, copy=False).tobytes())
+    if wide is not None:
+        parts.append(wide.tobytes())
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 def unpacked(blobs: list[bytes], fields) -> dict[str, np.ndarray]:
-    width = sum(np.dtype(kind).itemsize for _, kind in fields)
+    """The arrays of several blobs; "wide" holds the wide signatures in the order of their records."""
     out: dict[str, list[np.ndarray]] = {name: [] for name, _ in fields}
+    wide = []
+    unpack = zstandard.ZstdDecompressor()
     for blob in blobs:
-        data, at = zstandard.ZstdDecompressor().decompress(blob), 0
-        n = len(data) // width
+        data, at = unpack.decompress(blob), 8
+        n = int(np.frombuffer(data, "<i8", 1)[0])
         for name, kind in fields:
             x = np.frombuffer(data, kind, n, at)
             out[name].append(np.cumsum(x) if name == "uid" else x)
             at += x.nbytes
-    return {name: np.concatenate(x) if x else np.zeros(0, dict(fields)[name]) for name, x in out.items()}
+        wide.append(np.frombuffer(data, "<u8", -1, at) if at < len(data) else np.zeros(0, "<u8"))
+    found = {name: np.concatenate(x) if x else np.zeros(0, dict(fields)[name]) for name, x in out.items()}
+    return found | {"wide": np.concatenate(wide).reshape(-1, WORDS) if wide else np.zeros((0, WORDS), "<u8")}
 
 
 def blob_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -164,17 +195,20 @@ class Lines:
         self.b = np.add.reduceat(stir(word ^ SPREAD), self.head)
 
     def signatures(self) -> list[np.ndarray]:
-        """Parity of the tokens in each of 256 cells, folded to 128 and 64 for shorter lines."""
+        """Parity of the tokens in each of 256 cells."""
         bit, of = U(1) << ((self.word >> U(56)) & U(63)), (self.word >> U(62)).astype(np.int8)
-        w = [np.bitwise_xor.reduceat(np.where(of == k, bit, U(0)), self.head) for k in range(4)]
-        one, two = self.size < TWO, self.size < FOUR
-        none = np.zeros_like(w[0])
-        return [
-            np.where(one, w[0] ^ w[1] ^ w[2] ^ w[3], np.where(two, w[0] ^ w[2], w[0])),
-            np.where(one, none, np.where(two, w[1] ^ w[3], w[1])),
-            np.where(two, none, w[2]),
-            np.where(two, none, w[3]),
-        ]
+        return [np.bitwise_xor.reduceat(np.where(of == k, bit, U(0)), self.head) for k in range(4)]
+
+    def wide(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each line's wide signature, the signatures): parity of the tokens in each of 64 * WORDS cells."""
+        long = np.flatnonzero(self.size >= WIDE)
+        row = np.zeros(len(self.size), np.int64)
+        row[long] = np.arange(len(long))
+        owner, at = ranges(self.head[long], self.head[long] + self.size[long])
+        word = self.word[at]
+        cells = owner * (64 * WORDS) + (word >> U(54)).astype(np.int64)
+        odd = (np.bincount(cells, minlength=len(long) * 64 * WORDS) & 1).astype(np.uint8)
+        return row, np.packbits(odd, bitorder="little").view("<u8").reshape(-1, WORDS)
 
 
 def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +218,7 @@ def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
 
 
-def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, hot: int, split: int):
+def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, tuning: Tuning):
     """(line, key, place, whether it is the line's first) of every record of the lines to keep.
 
     A prefix token makes a record. A hot one makes a record with each of the tokens that its line would have as a prefix
@@ -197,7 +231,7 @@ def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, hot
     i, at = ranges(head[chosen], head[chosen] + width[chosen])
     owner = chosen[i]
     place = at - head[owner]
-    often = seen(word[at]) > hot
+    often = seen(word[at]) > tuning.hot
     alone = often & (size[owner] == 1)
     plain = np.flatnonzero(~often | alone)
     out = [(owner[plain], np.where(alone[plain], stir(word[at[plain]]), word[at[plain]]), place[plain], place[plain] == 0)]
@@ -208,7 +242,7 @@ def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, hot
         own, second = owner[x], at2 - head[owner[x]]
         key = stir(word[at[x]] ^ stir(word[at2] + SPREAD))
         first = (place[x] == 0) & (second == 1)
-        parts = 1 + (np.minimum(seen(word[at[x]]), seen(word[at2])) / split).astype(np.int64)
+        parts = 1 + (np.minimum(seen(word[at[x]]), seen(word[at2])) / tuning.split).astype(np.int64)
         one = parts == 1
         out.append((own[one], key[one], second[one] - 1, first[one]))
         if not one.all():
@@ -221,11 +255,14 @@ def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, hot
     return tuple(np.concatenate(z) for z in zip(*out))
 
 
-def records(ranks: np.ndarray, percent: int, buckets: int, hot: int, split: int):
-    """Blobs of the records of each distinct line of a task. A line that equals an earlier one of its task is gone."""
+def records(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning, only: np.ndarray | None = None):
+    """Blobs of the records of each distinct line of a task. A line that equals an earlier one of its task is gone.
+
+    only: a bit for each of COUNTERS; then records whose key's bit isn't set are left out, and what is gone.
+    """
 
     def task(batches):
-        for rows in texts_by_size(batches, GROUP):
+        for rows in texts_by_size(batches, tuning.group):
             rows.sort(key=lambda r: r[0])
             found, first, size = [], 0, 0
             for k, (_, text) in enumerate(rows):
@@ -246,22 +283,29 @@ def records(ranks: np.ndarray, percent: int, buckets: int, hot: int, split: int)
             keep = np.ones(len(o), bool)
             keep[o[same]] = False
             gone = np.flatnonzero(~keep)
-            if len(gone):
+            if len(gone) and only is None:
                 data = packed({"uid": uids[lines.doc[gone]], "line": lines.line[gone]}, LINES)
                 yield blob_rows([(int(uids[0] % buckets), GONE, data)])
-            owner, key, place, whole = keys_of(lines, keep, ranks, percent, hot, split)
+            owner, key, place, whole = keys_of(lines, keep, ranks, percent, tuning)
+            if only is not None:
+                cell = (key & U(COUNTERS - 1)).astype(np.int64)
+                x = np.flatnonzero(only[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
+                if not len(x):
+                    continue
+                owner, key, place, whole = owner[x], key[x], place[x], whole[x]
             bucket = ((key & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
             o = np.lexsort((owner, bucket))
             owner, key, place, whole, bucket = owner[o], key[o], place[o], whole[o], bucket[o]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
             signs = lines.signatures()
+            row, wide = lines.wide()
             out, held = [], 0
             for a, b in zip(cuts[:-1], cuts[1:]):
                 x, w = owner[a:b], whole[a:b]
                 columns = {"token": key[a:b] >> U(32), "low": lines.a[x] & U(0xFFFFFFFF), "uid": uids[lines.doc[x]], "line": lines.line[x], "size": lines.size[x], "place": place[a:b]}
                 columns |= {f"s{k}": s[x] for k, s in enumerate(signs)}
                 columns |= {"high": np.where(w, (lines.a[x] >> U(32)) | U(1), U(0)), "other": np.where(w, lines.b[x], U(0))}
-                out.append((int(bucket[a]), RECORDS, packed(columns, FIELDS)))
+                out.append((int(bucket[a]), RECORDS, packed(columns, FIELDS, wide[row[x[lines.size[x] >= WIDE]]])))
                 held += len(out[-1][2])
                 if held > 4 << 20:
                     yield blob_rows(out)
@@ -272,23 +316,42 @@ def records(ranks: np.ndarray, percent: int, buckets: int, hot: int, split: int)
     return task
 
 
-def open_lines(ranks: np.ndarray, percent: int, buckets: int, hot: int, split: int):
+def listed_keys(batch: pa.RecordBatch, ranks: np.ndarray, percent: int, tuning: Tuning):
+    """(row, key) of all records of a table (uid, line, tokens)."""
+    n = np.diff(batch.column(2).offsets.to_numpy())
+    word = batch.column(2).flatten().to_numpy().view(np.uint64)
+    nth = np.repeat(np.arange(batch.num_rows, dtype=np.int32), n)
+    rank = ranks[(word & U(COUNTERS - 1)).astype(np.int64)]
+    o = np.lexsort((word, word >> U(28), rank, nth))
+    lines = Lines(nth[o], np.zeros(len(o), np.int32), word[o])
+    owner, key, _, _ = keys_of(lines, np.ones(len(lines.head), bool), ranks, percent, tuning)
+    return lines.doc[owner], key
+
+
+def count_keys(ranks: np.ndarray, percent: int, tuning: Tuning):
+    """As count_tokens(), of the keys of lines given by their tokens."""
+
+    def task(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            key = listed_keys(b, ranks, percent, tuning)[1]
+            total += np.bincount((key & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        yield from chunks_of(total, 0)
+
+    return task
+
+
+def open_lines(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning):
     """Blobs (uid, line) of the lines of a table (uid, line, tokens), for every bucket that has records of them."""
 
     def task(batches):
         for b in batches:
-            n = np.diff(b.column(2).offsets.to_numpy())
-            word = b.column(2).flatten().to_numpy().view(np.uint64)
-            nth = np.repeat(np.arange(b.num_rows, dtype=np.int32), n)
-            rank = ranks[(word & U(COUNTERS - 1)).astype(np.int64)]
-            o = np.lexsort((word, word >> U(28), rank, nth))
-            lines = Lines(nth[o], np.zeros(len(o), np.int32), word[o])
-            owner, key, _, _ = keys_of(lines, np.ones(len(lines.head), bool), ranks, percent, hot, split)
+            row, key = listed_keys(b, ranks, percent, tuning)
             bucket = ((key & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
             uid, line = b.column(0).to_numpy(), b.column(1).to_numpy()
             out = []
             for k in np.unique(bucket):
-                x = lines.doc[np.unique(owner[bucket == k])]
+                x = np.unique(row[bucket == k])
                 out.append((int(k), OPEN, packed({"uid": uid[x], "line": line[x]}, LINES)))
             if out:
                 yield blob_rows(out)
@@ -300,25 +363,49 @@ class Group:
     """Records of a bucket, sorted by token and size, without those of equal lines but the first."""
 
     def __init__(self, c: dict[str, np.ndarray]):
+        wide = c.pop("wide")
+        row = np.cumsum(c["size"] >= WIDE) - 1
         key = (c["token"].astype(np.uint64) << U(32)) | c["size"].astype(np.uint64)
         full = c["s0"] ^ c["s1"] ^ c["s2"] ^ c["s3"]
-        o = np.lexsort((c["high"], c["low"], full, key))
-        c, key, full = {k: v[o] for k, v in c.items()}, key[o], full[o]
-        new = np.r_[True, key[1:] != key[:-1]] | np.r_[True, full[1:] != full[:-1]]
+        o = np.lexsort((full, key))
+        key, full = key[o], full[o]
+        # Neighbours that are equal so far are compared by all hashes.
+        x = np.flatnonzero((key[1:] == key[:-1]) & (full[1:] == full[:-1])) + 1
+        this, before = o[x], o[x - 1]
+        equal = np.ones(len(x), bool)
         for name in ("low", "high", "other", "s1", "s2", "s3"):
-            new[1:] |= c[name][1:] != c[name][:-1]
-        head = np.flatnonzero(new)
-        nth = np.cumsum(new) - 1
-        least = np.minimum.reduceat(c["uid"], head)[nth]
-        line = np.where(c["uid"] == least, c["line"], np.uint32(0xFFFFFFFF))
-        first = (c["uid"] == least) & (c["line"] == np.minimum.reduceat(line, head)[nth])
+            equal &= c[name][this] == c[name][before]
+        new = np.ones(len(o), bool)
+        new[x[equal]] = False
+        first = np.ones(len(o), bool)
+        some = np.flatnonzero(~new | ~np.r_[new[1:], True])  # members of classes of two or more
+        if len(some):
+            head = np.flatnonzero(new[some])
+            nth = np.cumsum(new[some]) - 1
+            uid, line = c["uid"][o[some]], c["line"][o[some]]
+            least = np.minimum.reduceat(uid, head)[nth]
+            line = np.where(uid == least, line, np.uint32(0xFFFFFFFF))
+            first[some] = (uid == least) & (line == np.minimum.reduceat(line, head)[nth])
         #: Lines that equal an earlier one: judged where the record has the whole hashes.
-        later = ~first & (c["high"] > 0)
+        later = o[~first]
+        later = later[c["high"][later] > 0]
         self.gone = c["uid"][later], c["line"][later]
-        self.c, self.key = {k: v[first] for k, v in c.items()}, key[first]
-        self.full = full[first]
+        o = o[first]
+        self.c, self.key, self.full = {k: v[o] for k, v in c.items()}, key[first], full[first]
         self.size, self.place = self.c["size"].astype(np.int64), self.c["place"].astype(np.int64)
-        self.level = (self.size >= TWO).astype(np.int8) + (self.size >= FOUR)
+        self.wide, self.row = wide, row[o]
+        self.rank = np.empty(len(o), np.int64)  # place among the records in the order of their lines
+        self.rank[np.lexsort((self.c["line"], self.c["uid"]))] = np.arange(len(o))
+
+    def room(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """The most tokens that only one of two similar lines may have."""
+        both = self.size[i] + self.size[j]
+        return both - 2 * (-(-percent * both // (100 + percent)))
+
+    def close(self, i: np.ndarray, j: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+        """Whether so near that the pair will most likely hold: well below the room, or one token exchanged."""
+        room = self.room(i, j, percent)
+        return apart <= np.minimum(room, np.maximum(2, 2 * room // 5))
 
     def alike(self, i: np.ndarray, j: np.ndarray, percent: int):
         """Pairs that pass the place filter and the signatures' bound, with their least distance."""
@@ -326,17 +413,12 @@ class Group:
         need = -(-percent * both // (100 + percent))
         ok = np.minimum(self.size[i] - self.place[i], self.size[j] - self.place[j]) >= need
         i, j, room = i[ok], j[ok], (both - 2 * need)[ok]
-        apart = np.bitwise_count(self.full[i] ^ self.full[j]).astype(np.int64)
-        ok = apart <= room
-        i, j, room, apart = i[ok], j[ok], room[ok], apart[ok]
-        level = np.minimum(self.level[i], self.level[j])
-        s = [self.c[f"s{k}"] for k in range(4)]
-        for at, words in ((1, ((0, 2), (1, 3))), (2, ((0,), (1,), (2,), (3,)))):
-            x = np.flatnonzero(level == at)
-            if len(x):
-                a, b = i[x], j[x]
-                fold = lambda w, z: np.bitwise_xor.reduce([s[k][z] for k in w])  # noqa: B023, E731
-                apart[x] = sum(np.bitwise_count(fold(w, a) ^ fold(w, b)).astype(np.int64) for w in words)
+        ok = np.bitwise_count(self.full[i] ^ self.full[j]) <= room  # all four words folded into one
+        i, j, room = i[ok], j[ok], room[ok]
+        apart = sum(np.bitwise_count(self.c[f"s{k}"][i] ^ self.c[f"s{k}"][j]).astype(np.int64) for k in range(4))
+        x = np.flatnonzero((self.size[i] >= WIDE) & (self.size[j] >= WIDE))
+        if len(x):
+            apart[x] = np.bitwise_count(self.wide[self.row[i[x]]] ^ self.wide[self.row[j[x]]]).sum(axis=1, dtype=np.int64)
         ok = apart <= room
         return i[ok], j[ok], apart[ok]
 
@@ -349,30 +431,34 @@ class Group:
 
     def earlier(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether j's line stands before i's."""
-        u, v = self.c["uid"][i], self.c["uid"][j]
-        return (v < u) | ((v == u) & (self.c["line"][j] < self.c["line"][i]))
+        ok = self.rank[j] < self.rank[i]
+        same = np.flatnonzero((self.c["uid"][i] == self.c["uid"][j]) & (self.c["line"][i] == self.c["line"][j]))
+        ok[same] = False
+        return ok
 
     def found(self, i, j, apart, more) -> tuple[np.ndarray, ...]:
         return self.c["uid"][i], self.c["line"][i], self.c["uid"][j], self.c["line"][j], apart, more
 
-    def candidates(self, percent: int, which: np.ndarray | None = None):
+    def candidates(self, percent: int, tuning: Tuning, which: np.ndarray | None = None):
         """Earlier candidates of each line; with which, all candidates of the lines marked."""
         n = len(self.key)
         low, high = self.reach(percent)
         if which is None:
-            # First the earliest lines of each token: a large group of like lines needs no other.
+            # First the earliest lines of each token, where many have it: a group of like lines needs no other.
             token = self.key >> U(32)
-            o = np.lexsort((self.c["line"], self.c["uid"], token))
+            o = np.lexsort((self.rank, token))
             starts = np.flatnonzero(np.r_[True, token[o][1:] != token[o][:-1]])
             counts = np.diff(np.r_[starts, n])
-            large = counts > 4 * LEADERS
+            large = counts > tuning.large
             done = np.zeros(n, bool)
             for a, b in zip(starts[large], (starts + counts)[large]):
-                members, lead = o[a:b], o[a : a + LEADERS]
-                i, j = np.repeat(members, LEADERS), np.tile(lead, b - a)
+                members, lead = o[a:b], o[a : a + tuning.leaders]
+                i, j = np.repeat(members, len(lead)), np.tile(lead, b - a)
                 ok = self.earlier(i, j)
                 i, j, apart = self.alike(i[ok], j[ok], percent)
-                p = np.lexsort((apart, i))
+                close = self.close(i, j, apart, percent)
+                i, j, apart = i[close], j[close], apart[close]
+                p = np.lexsort((self.rank[j], i))
                 i, j, apart = i[p], j[p], apart[p]
                 one = np.r_[True, i[1:] != i[:-1]][: len(i)]
                 done[i] = True
@@ -380,30 +466,39 @@ class Group:
             wanted = np.flatnonzero(~done)
         else:
             wanted = np.flatnonzero(which)
-        work = np.cumsum(high[wanted] - low[wanted])
+        # Where all records are wanted, each pair is met once, from its shorter line.
+        half = len(wanted) == n
+        begin = np.arange(n) + 1 if half else low
+        work = np.cumsum(high[wanted] - begin[wanted])
         at = 0
         while at < len(wanted):
             upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + PAIRS_AT_ONCE)))
             part = wanted[at:upto]
             at = upto
-            i, j = ranges(low[part], high[part])
-            i = part[i]
+            i, j = ranges(begin[part], high[part])
+            i, j, apart = self.alike(part[i], j, percent)
             ok = self.earlier(i, j)
-            i, j, apart = self.alike(i[ok], j[ok], percent)
+            if half:
+                swap = self.rank[j] > self.rank[i]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+            else:
+                i, j, apart = i[ok], j[ok], apart[ok]
             if which is None and len(i):
-                o = np.lexsort((apart, i))
-                i, j, apart = i[o], j[o], apart[o]
+                # Near ones in their order, so that all tokens of a line choose alike; then the others by distance.
+                close = self.close(i, j, apart, percent)
+                o = np.lexsort((self.rank[j], np.where(close, 0, 1 + apart), i))
+                i, j, apart, close = i[o], j[o], apart[o], close[o]
                 starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
                 counts = np.diff(np.r_[starts, len(i)])
                 nth = np.arange(len(i)) - np.repeat(starts, counts)
-                more = np.repeat(counts > BEST, counts)
-                best = nth < BEST
+                kept = np.where(close[starts], tuning.best, tuning.most)
+                more, best = np.repeat(counts > kept, counts), nth < np.repeat(kept, counts)
                 yield self.found(i[best], j[best], apart[best], more[best])
             elif len(i):
                 yield self.found(i, j, apart, np.zeros(len(i), bool))
 
 
-def pair_up(percent: int, only_open: bool):
+def pair_up(percent: int, only_open: bool, tuning: Tuning):
     """Rows FOUND of blobs sorted by bucket: lines that equal an earlier one (other is null), and candidates.
 
     only_open: all candidates, of the lines only that have a blob OPEN in the bucket.
@@ -435,7 +530,7 @@ def pair_up(percent: int, only_open: bool):
             which[near] = [p in pairs for p in zip(group.c["uid"][near].tolist(), group.c["line"][near].tolist())]
         else:
             yield from rows(*group.gone)
-        for found in group.candidates(percent, which):
+        for found in group.candidates(percent, tuning, which):
             yield from rows(*found)
 
     def task(batches):
@@ -479,11 +574,13 @@ def set_rows(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(line, pa.int32()), lists], names=["uid", "line", "tokens"])
 
 
-def asked_sets(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Token sets of all lines in pairs."""
+def asked_sets(pairs: DataFrame, texts: DataFrame, few: bool = False) -> DataFrame:
+    """Token sets of all lines in pairs. few: most likely few lines, whose list may be broadcast if its size allows."""
     lines = pairs.select("uid", "line").unionByName(pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line")))
     asked = lines.groupBy("uid").agg(F.collect_set("line").alias("asked"))
-    some = texts.join(asked, "uid").select("uid", "text", "asked")
+    # Else the same kind of join at every size: texts meet their lines where ids are dealt.
+    asked = materialise(asked, "asked") if few else asked.hint("merge")
+    some = texts.select("uid", "text").join(asked, "uid").select("uid", "text", "asked")
     return materialise(some.mapInArrow(released(line_sets), "uid long, line int, tokens array<long>"), "line-sets")
 
 
@@ -530,8 +627,7 @@ def dedup_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: bool = False,
-    hot: int = HOT,
-    split: int = SPLIT,
+    tuning: Tuning = Tuning(),
 ) -> DataFrame:
     """Remove each line that resembles an earlier line of the corpus.
 
@@ -544,36 +640,31 @@ def dedup_lines(
        of a task makes a record for each of these. Records are dealt to buckets by token and travel many to a row.
     2. Of equal lines (128 bits of hash over all tokens) all but the first are gone: those of one task before anything
        is sent, others where their first tokens meet. Other lines of a token are compared by length, by place and by
-       a bound from the parities of 64 to 256 cells. Of each line the BEST candidates are kept.
+       a bound from the parities of 256 cells, of 1024 for long lines. Of each line the most alike candidates are kept.
     3. Candidates are verified on whole token sets, the most alike one first. For a line that had more candidates than
        were kept and none that holds, all of them are verified.
 
-    A token seen more than hot times makes no group of its own: lines that have it meet by it and one more token, and
-    where both are seen more than split times, blocks of such lines meet two by two. So a task's memory is bounded by
-    GROUP bytes of text and by 2 * split records of a group, and no pair is lost.
+    A very frequent token makes no group of its own: lines that have it meet by it and one more token, and where both
+    are frequent, blocks of such lines meet two by two. So a task's memory is bounded by tuning.group bytes of text and
+    by 2 * tuning.split records of a group, and no pair is lost.
 
     Columns: doc_id, n_lines, n_removed, text (the other lines joined by newlines), with
     carry row, a struct of the other input columns.
 
-    Null texts count as empty. Null ids come first, rows that share an id are documents of their own in the
-    order of their texts. An empty table gives no rows. A line may be as long as a text: it needs memory in
+    Null texts count as empty. Null ids come first, rows that share an id are documents of their own in an
+    order that a hash of their texts fixes. An empty table gives no rows. A line may be as long as a text: it needs memory in
     proportion to its words.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be 51 to 100")
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     short = rows.select("uid", "text")
-    shape = "chunk int, counts binary, size long"
-    counted = short.mapInArrow(released(count_tokens), shape)
-    total, size = np.zeros(COUNTERS, np.int64), 0
-    for r in counted.repartition("chunk").mapInArrow(sum_chunks, shape).toLocalIterator():  # COUNTERS / CHUNK rows
-        total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] += np.frombuffer(bytes(r.counts), "<i8")
-        size += r.size
+    total, size = counted(short, count_tokens)
     ranks = np.minimum(np.ceil(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
-    buckets = max(1, math.ceil(size / GROUP))
-    made = short.mapInArrow(released(records(ranks, percent, buckets, hot, split)), BLOBS)
-    in_buckets = lambda blobs: blobs.repartition("bucket").sortWithinPartitions("bucket")
-    found = materialise(in_buckets(made).mapInArrow(released(pair_up(percent, False)), FOUND), "found")
+    buckets = max(1, math.ceil(size / tuning.group))
+    made = short.mapInArrow(released(records(ranks, percent, buckets, tuning)), BLOBS)
+    in_buckets = lambda blobs: blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    found = materialise(in_buckets(made).mapInArrow(released(pair_up(percent, False, tuning)), FOUND), "found")
     gone = found.where("other is null").select("uid", "line").distinct()
     pairs = found.where("other is not null").groupBy("uid", "line", "other", "other_line").agg(
         F.min("apart").alias("apart"), F.max("more").alias("more")
@@ -587,10 +678,13 @@ def dedup_lines(
     undecided = materialise(best.where("more").select("uid", "line").join(near, ["uid", "line"], "left_anti"), "open")
     if not undecided.isEmpty():
         theirs = sets.join(undecided, ["uid", "line"], "left_semi")
-        marks = theirs.mapInArrow(open_lines(ranks, percent, buckets, hot, split), BLOBS)
-        again = in_buckets(made.unionByName(marks)).mapInArrow(released(pair_up(percent, True)), FOUND)
+        # Records of other keys than theirs can't bring them a partner.
+        only = np.packbits(counted(theirs, count_keys(ranks, percent, tuning))[0] > 0, bitorder="little")
+        marks = theirs.mapInArrow(open_lines(ranks, percent, buckets, tuning), BLOBS)
+        some = short.mapInArrow(released(records(ranks, percent, buckets, tuning, only)), BLOBS)
+        again = in_buckets(some.unionByName(marks)).mapInArrow(released(pair_up(percent, True, tuning)), FOUND)
         more = materialise(again.select("uid", "line", "other", "other_line").distinct(), "pairs")
-        more_sets = asked_sets(more, rows)
+        more_sets = asked_sets(more, rows, few=True)
         near = near.unionByName(materialise(verified(more, more_sets, percent), "near"))
         drop_table(more_sets)
     drop_table(sets)
@@ -598,7 +692,7 @@ def dedup_lines(
     drop = gone.unionByName(near).groupBy("uid").agg(F.collect_set("line").alias("drop"))
     drop = materialise(drop, "drop")
     drop_table(found)
-    out = rows.join(drop, "uid", "left").select("doc_id", "text", "drop", *(["row"] if carry else []))
+    out = rows.join(drop.hint("merge"), "uid", "left").select("doc_id", "text", "drop", *(["row"] if carry else []))
     schema = "doc_id long, n_lines long, n_removed long, text string"
     if carry:
         schema += ", row " + rows.schema["row"].dataType.simpleString()
