@@ -505,14 +505,12 @@ def store_upsert(spark, sf_dir):
     return points.select("id", "payload.category", "payload.text", F.size("body").cast("long").alias("dim"))
 
 
-STORED = COSINE.replace("DOUBLE[]", "FLOAT[]").replace("list_dot_product(CAST(", "list_dot_product(CAST(CAST(").replace(" AS FLOAT[])", " AS FLOAT[]) AS DOUBLE[])")
-
-
 @query(
-    f"""SELECT query_id, id, round(score, 5) AS score, CAST(rank AS INTEGER) AS rank, category FROM (SELECT CAST(a.vec_id AS VARCHAR) AS query_id,
-    CAST(b.vec_id AS VARCHAR) AS id, CAST(b.label AS VARCHAR) AS category, {STORED} AS score,
-    row_number() OVER (PARTITION BY a.vec_id ORDER BY {STORED} DESC, CAST(b.vec_id AS VARCHAR)) AS rank
-    FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0) WHERE rank <= 10"""
+    f"""WITH e AS (SELECT vec_id, label, CAST(CAST(embedding AS FLOAT[]) AS DOUBLE[]) AS embedding FROM embeddings)
+    SELECT query_id, id, round(score, 5) AS score, CAST(rank AS INTEGER) AS rank, category FROM (SELECT CAST(a.vec_id AS VARCHAR) AS query_id,
+    CAST(b.vec_id AS VARCHAR) AS id, CAST(b.label AS VARCHAR) AS category, {COSINE} AS score,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY {COSINE} DESC, CAST(b.vec_id AS VARCHAR)) AS rank
+    FROM e a, e b WHERE a.vec_id % 50 = 0) WHERE rank <= 10"""
 )
 def store_search(spark, sf_dir):
     """Searches in a store; queries are every point whose id is divisible by 50."""
