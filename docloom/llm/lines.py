@@ -121,7 +121,7 @@ def counted(rows: DataFrame, count) -> tuple[np.ndarray, int]:
     shape = "chunk int, counts binary, size long"
     total, size = np.zeros(COUNTERS, np.int64), 0
     chunks = rows.mapInArrow(released(count), shape).repartition("chunk").mapInArrow(sum_chunks, shape)
-    for r in chunks.toLocalIterator():  # COUNTERS / CHUNK rows
+    for r in chunks.collect():  # COUNTERS / CHUNK rows of 8 * CHUNK bytes, whatever the input
         total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] += np.frombuffer(bytes(r.counts), "<i8")
         size += r.size
     return total, size
