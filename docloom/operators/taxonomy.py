@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions.gazetteer import OTHER, REGIONS, gazetteer
+from docloom.scratch import written
 
 #: Keywords of each group of tags.
 TAG_GROUPS = {
@@ -146,39 +147,49 @@ def file_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def taxonomy_document(docs: DataFrame, names=None) -> dict:
-    """The whole taxonomy as nested dicts. Keys of dimensions come to the driver: it is a report of them."""
-    counts = counters(docs, names).cache()
-    try:
-        top = lambda dim, n=None: {r.key: r.n for r in ranked(counts, dim, n).collect()}
-        bands: dict[str, dict] = {"high": {}, "medium": {}, "low": {}}
-        for r in tag_bands(counts).orderBy(F.desc("n"), "key").collect():
-            bands[r.band][r.key] = r.n
-        places: dict[str, dict] = {region: {} for region in REGIONS}
-        for r in by_region(counts).orderBy(F.desc("n"), "country").collect():
-            places[r.region][r.country] = r.n
-        tags, sources, tree = {}, {}, {}
-        for found, what in ((tags, "tags"), (sources, "source")):
-            for r in category_values(docs, what).groupBy("category").agg(F.sort_array(F.collect_set("value")).alias("v")).collect():
-                found[r.category] = r.v
-        for r in source_edges(docs).groupBy("parent").agg(F.sort_array(F.collect_set("child")).alias("v")).collect():
-            tree[r.parent] = r.v
-        categories = top("category")
-        files = file_counts(docs if "summary" in docs.columns else docs.withColumn("summary", F.lit(""))).first()
-        return {
-            "metadata": {"total_documents": files.total, "empty_documents": files.empty, "generated_at": datetime.now(UTC).isoformat()},
-            "categories": {
-                "overview": categories,
-                "detailed": {c: {"count": n, "tags": tags.get(c, []), "sources": sources.get(c, [])} for c, n in categories.items()},
-            },
-            "tags": {"overview": top("tag", 100), "by_frequency": bands},
-            "countries": {"overview": top("country"), "by_region": places},
-            "sources": {"overview": top("source"), "hierarchy": tree},
-            "languages": top("language"),
-            "statistics": statistics(counts).first().asDict(),
-        }
-    finally:
-        counts.unpersist()
+def lists_of(pairs: DataFrame, key: str, value: str, most: int) -> dict[str, list]:
+    """The first values of each key, for the first keys: most of each, ranked where they lie before any meet."""
+    order = Window.partitionBy(key).orderBy(value)
+    some = pairs.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
+    rows = some.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("v")).orderBy(key).limit(most)
+    return {r[0]: r.v for r in rows.collect()}
+
+
+def taxonomy_document(docs: DataFrame, names=None, most: int = 10_000) -> dict:
+    """The whole taxonomy as nested dicts, a report: of each list the first most entries.
+
+    What may be longer is there as tables: counters(), category_values(), source_edges(). bounded tells whether
+    a dimension has more keys than the report.
+    """
+    counts = written(counters(docs, names), "counts")
+    top = lambda dim, n=most: {r.key: r.n for r in ranked(counts, dim, n).collect()}
+    bands: dict[str, dict] = {"high": {}, "medium": {}, "low": {}}
+    for r in tag_bands(counts).orderBy(F.desc("n"), "key").limit(most).collect():
+        bands[r.band][r.key] = r.n
+    places: dict[str, dict] = {region: {} for region in REGIONS}
+    for r in by_region(counts).orderBy(F.desc("n"), "country").limit(most).collect():
+        places[r.region][r.country] = r.n
+    tags, sources = (lists_of(category_values(docs, what), "category", "value", most) for what in ("tags", "source"))
+    tree = lists_of(source_edges(docs), "parent", "child", most)
+    categories = top("category")
+    files = file_counts(docs if "summary" in docs.columns else docs.withColumn("summary", F.lit(""))).first()
+    stats = statistics(counts).first().asDict()
+    longest = max(stats["total_categories"], stats["total_tags"], stats["total_sources"])
+    return {
+        "metadata": {
+            "total_documents": files.total, "empty_documents": files.empty, "generated_at": datetime.now(UTC).isoformat(),
+            "bounded": longest > most,
+        },
+        "categories": {
+            "overview": categories,
+            "detailed": {c: {"count": n, "tags": tags.get(c, []), "sources": sources.get(c, [])} for c, n in categories.items()},
+        },
+        "tags": {"overview": top("tag", 100), "by_frequency": bands},
+        "countries": {"overview": top("country"), "by_region": places},
+        "sources": {"overview": top("source"), "hierarchy": tree},
+        "languages": top("language"),
+        "statistics": stats,
+    }
 
 
 def rag_document(taxonomy: dict) -> dict:

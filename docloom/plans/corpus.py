@@ -135,13 +135,13 @@ def extract_metadata(spark: SparkSession, root: str, out: str, summarizer: Summa
 
 
 def analyze(spark: SparkSession, records: str, out: str | None = None) -> dict:
-    """Taxonomy of a folder of records; with out also written as JSON documents."""
-    docs = S.read_jsonl(spark, records).cache()
-    try:
-        taxonomy = X.taxonomy_document(docs)
-    finally:
-        docs.unpersist()
+    """Taxonomy of a folder of records; with out also written as JSON documents, and what may be long whole as tables."""
+    docs = written(S.read_jsonl(spark, records), "records")
+    taxonomy = X.taxonomy_document(docs)
     if out:
+        tables = {"counts": X.counters(docs), "category_sources": X.category_values(docs, "source"), "source_edges": X.source_edges(docs)}
+        for name, table in tables.items():
+            table.write.mode("overwrite").json(f"{out.rstrip('/')}/tables/{name}")
         parts = {
             "taxonomy_complete": taxonomy,
             "categories": taxonomy["categories"],

@@ -55,7 +55,9 @@ def test_taxonomy_document(spark):
     ]
     schema = "text string, summary string, tags array<string>, category string, source string, language string"
     t = X.taxonomy_document(spark.createDataFrame(rows, schema))
-    assert t["metadata"].pop("generated_at") and t["metadata"] == {"total_documents": 3, "empty_documents": 1}
+    assert t["metadata"].pop("generated_at") and t["metadata"] == {"total_documents": 3, "empty_documents": 1, "bounded": False}
+    short = X.taxonomy_document(spark.createDataFrame(rows, schema), most=1)
+    assert short["metadata"]["bounded"] and len(short["sources"]["overview"]) == 1 and short["statistics"] == t["statistics"]
     assert t["categories"]["detailed"] == {"c1": {"count": 2, "tags": ["pobyt", "zákon"], "sources": ["a/b", "a/c"]}}
     assert t["tags"]["overview"] == {"pobyt": 2, "zákon": 1}
     assert t["countries"]["by_region"]["európska_únia"] == {"slovensko": 1, "česko": 1}
