@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table that the next stage reads. All but the last
 return the columns of documents. Null ids and repeated rows are documents of their own throughout;
-n_chars follows the text; a null text, which the quality rules reject, would come back empty.
+n_chars follows the text; a null text, which the quality rules reject, would come back empty. Other columns, whatever
+their names, are passed on as they are. An empty table gives an empty table at every stage. A text may be as long as a
+task's memory holds a few times.
 """
 
 from __future__ import annotations
