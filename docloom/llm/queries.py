@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.bpe import encode_decode
-from docloom.llm import licenses, quality, urls
+from docloom.llm import lexical, licenses, negatives, quality, urls
 from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.html import extract_main_text
 from docloom.llm.lines import dedup_lines
 from docloom.llm.near import near_components
+from docloom.llm.neighbours import nearest_neighbours
 from docloom.llm.packing import pack_sequences
 from docloom.llm.suffixes import remove_repeats
 
@@ -75,6 +76,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "place", "license", F.round("dice", 6).alias("dice"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(rows.withColumn("label", moved), "vec_id % 50 = 0")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -86,5 +102,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near": op8_near,
     "op9_urls": op9_urls,
     "op10_licenses": op10_licenses,
+    "op11_neighbours": op11_neighbours,
+    "op12_negatives": op12_negatives,
+    "op13_lexical": op13_lexical,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality": quality.ORACLE_SQL,
+    "op9_urls": urls.ORACLE_SQL,
+    "op10_licenses": licenses.oracle_sql(),
+    "op12_negatives": negatives.ORACLE_SQL,
+    "op13_lexical": lexical.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op2_quality": quality.ORACLE_SQL, "op9_urls": urls.ORACLE_SQL, "op10_licenses": licenses.oracle_sql()}
