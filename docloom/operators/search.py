@@ -7,10 +7,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.scratch import written
+
 #: Queries scored in one pass: bounds what a task holds of them. Up to so many travel with the task itself.
 BLOCK = 4096
-#: Points scored at a time.
-ROWS = 8192
+#: Points scored at a time, and queries that meet the points of a part at a time.
+ROWS, QUERIES = 8192, 1024
+#: Points that a task holds of a cell.
+PART = 1 << 17
 
 
 class Best:
@@ -85,77 +89,97 @@ def top_k(
 ) -> DataFrame:
     """(query_id, id, score, rank): the k most similar points of each query by cosine, ties by id.
 
-    Exact. A task scores its points against a block of at most ``block`` queries as one matrix product and sends on its
-    own k best for each query, so what is shuffled is tasks x queries x k and never queries x points. One block of
-    queries travels with the tasks, and points stay where they are; more queries are dealt to blocks and points to
-    parts, and a task holds one block while the points of one part stream by: then points are shuffled once for each
-    block, and the driver sees only a count. Null and zero vectors score nothing and don't appear. k = 0 means 10.
+    Exact. A task scores its points against queries as matrix products and sends on its own k best for each query, so
+    what is shuffled is tasks x queries x k and never queries x points. At most ``block`` queries travel with the tasks,
+    and points stay where they are. More queries go to every part of the points, which are shuffled once; then the driver
+    sees only a count. Queries are evaluated once. Null and zero vectors score nothing and don't appear. k = 0 means 10.
     """
     k = k or 10
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v")).where("v is not null")
-    rows = points.select(F.col(point_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
-    q_type, p_type = asked.schema["query_id"].dataType.simpleString(), rows.schema["id"].dataType.simpleString()
-    schema = f"query_id {q_type}, id {p_type}, score double"
-    n = asked.limit(block + 1).count()
+    rows = pairs_of(points, point_id, vector, "id").where("v is not null")
+    # Written before any condition, so that a costly column of queries, such as an embedding, is computed once.
+    asked = written(pairs_of(queries, query_id, query_vector, "query_id"), "queries").where("v is not null")
+    n = asked.count()
     if not n:
-        return queries.sparkSession.createDataFrame([], schema + ", rank int")
+        return queries.sparkSession.createDataFrame([], f"{hit_schema(asked, rows)}, rank int")
     if n <= block:
-        held = asked.collect()  # at most block rows
-        ids, table = [r.query_id for r in held], table_of([r.v for r in held])
-
-        def score(batches):
-            best = Best(ids, table, k)
-            for b in batches:
-                for a in range(0, b.num_rows, ROWS):
-                    part = b.slice(a, ROWS)
-                    best.add(names_of(part.column(0)), part.column(1))
-            yield from best.rows()
-
-        found = rows.mapInArrow(score, schema)
-    else:
-        found = in_cells(asked, rows, k, block).mapInArrow(cells(k), schema)
+        return ranked_hits(held_block(asked.collect(), rows, k, hit_schema(asked, rows)), k)  # at most block rows
+    return ranked_hits(met(rows.withColumn("cell", F.lit(0)), asked.withColumn("cell", F.lit(0)), k), k)
+
+
+def pairs_of(rows: DataFrame, name: str, vector: str, as_name: str) -> DataFrame:
+    return rows.select(F.col(name).alias(as_name), F.col(vector).cast("array<double>").alias("v"))
+
+
+def hit_schema(asked: DataFrame, rows: DataFrame) -> str:
+    q_type, p_type = asked.schema["query_id"].dataType.simpleString(), rows.schema["id"].dataType.simpleString()
+    return f"query_id {q_type}, id {p_type}, score double"
+
+
+def ranked_hits(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def in_cells(asked: DataFrame, rows: DataFrame, k: int, block: int) -> DataFrame:
-    """Rows (cell, query_id, id, v) sorted by cell, queries first: blocks of queries by parts of points."""
-    blocks = -(-asked.count() // block)
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dealt = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n))
-    q = asked.select("query_id", "v", dealt("query_id", blocks).alias("b"), every(parts).alias("p"))
-    p = rows.select("id", "v", every(blocks).alias("b"), dealt("id", parts).alias("p"))
-    cell = (F.col("b") * parts + F.col("p")).alias("cell")
-    both = q.select(cell, F.lit(0).alias("side"), "query_id", F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "v").unionByName(
-        p.select(cell, F.lit(1).alias("side"), F.lit(None).cast(asked.schema["query_id"].dataType).alias("query_id"), "id", "v")
-    )
-    return both.repartition("cell").sortWithinPartitions("cell", "side").select("cell", "side", "query_id", "id", "v")
+def held_block(held: list, rows: DataFrame, k: int, schema: str) -> DataFrame:
+    """Hits of a block of queries that travels with the tasks."""
+    ids, table = [r.query_id for r in held], table_of([r.v for r in held])
+
+    def score(batches):
+        best = Best(ids, table, k)
+        for b in batches:
+            for a in range(0, b.num_rows, ROWS):
+                part = b.slice(a, ROWS)
+                best.add(names_of(part.column(0)), part.column(1))
+        yield from best.rows()
 
+    return rows.mapInArrow(score, schema)
+
+
+def met(points: DataFrame, asked: DataFrame, k: int, part: int = PART) -> DataFrame:
+    """(query_id, id, score) of points (id, v, cell) and queries (query_id, v, cell) that share a cell.
+
+    A cell's points are dealt to parts of at most about ``part`` points, and to as many as there are shuffle partitions
+    where there is one cell: every point is shuffled once, queries go to all parts of their cells. A task holds the points
+    of one part and queries stream past it, so its memory depends on neither side's size.
+    """
+    spark = points.sparkSession
+    counts = written(points.groupBy("cell").count(), "cells")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions")) if counts.limit(2).count() == 1 else 1
+    few = counts.select("cell", F.greatest(F.ceil(F.col("count") / part), F.lit(least)).cast("int").alias("parts"))
+    dealt = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    p = points.join(few, "cell").select("cell", dealt.alias("part"), F.lit(0).alias("side"), none(asked, "query_id"), "id", "v")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    q = asked.join(few, "cell").select("cell", every.alias("part"), F.lit(1).alias("side"), "query_id", none(points, "id"), "v")
+    both = p.unionByName(q).repartition("cell", "part").sortWithinPartitions("cell", "part", "side")
+    return both.mapInArrow(parts_of_points(k), hit_schema(asked, points))
+
+
+def parts_of_points(k: int):
+    """For rows (cell, part, side, query_id, id, v) sorted by the first three: points are held, queries stream past."""
 
-def cells(k: int):
     def task(batches):
-        last, ids, vectors, best = None, [], [], None
+        last, names, lists = None, [], []
         for b in batches:
-            cell, side = b.column(0).to_numpy(), b.column(1).to_numpy()
-            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (side[1:] != side[:-1]), True])
+            cell, part, side = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            if not len(side):
+                continue
+            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1]) | (side[1:] != side[:-1]), True])
             for a, z in zip(cuts[:-1], cuts[1:]):
-                if cell[a] != last:
-                    if best is not None:
-                        yield from best.rows()
-                    last, ids, vectors, best = cell[a], [], [], None
-                part = b.slice(a, z - a)
+                if (cell[a], part[a]) != last:
+                    last, names, lists = (cell[a], part[a]), [], []
+                some = b.slice(a, z - a)
                 if side[a] == 0:
-                    ids += part.column(2).to_pylist()
-                    vectors += part.column(4).to_pylist()
+                    names.append(names_of(some.column(4)))
+                    lists.append(some.column(5))
                     continue
-                if best is None:
-                    best, vectors = Best(ids, table_of(vectors), k), []
-                for c in range(0, part.num_rows, ROWS):
-                    some = part.slice(c, ROWS)
-                    best.add(names_of(some.column(3)), some.column(4))
-        if best is not None:
-            yield from best.rows()
+                for c in range(0, some.num_rows if names else 0, QUERIES):
+                    few = some.slice(c, QUERIES)
+                    best = Best(few.column(3).to_pylist(), table_of(few.column(5).to_pylist()), k)
+                    for name, column in zip(names, lists):
+                        for r in range(0, len(name), ROWS):
+                            best.add(name[r : r + ROWS], column.slice(r, ROWS))
+                    yield from best.rows()
 
     return task
 

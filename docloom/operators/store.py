@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import json
+import logging
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom.operators.index import VectorIndex
 from docloom.operators.search import by_id, top_k
 from docloom.schemas import POINT
 
-#: Folders that the points of a collection are dealt to by id.
+#: Folders that the points of a collection are dealt to by id, unless it was created with more.
 BUCKETS = 64
+#: Points of a file at most, about.
+FILE = 1 << 20
 
 
 def merge_points(existing: DataFrame, new: DataFrame, key: str = "id", seq_col: str | None = None) -> DataFrame:
@@ -33,10 +37,10 @@ class ConflictError(RuntimeError):
 class VectorStore:
     """Collections under a root folder on any file system that Spark reaches.
 
-    Points are dealt to BUCKETS folders by a hash of their id. A version is a small file that names the folder of each
+    Points are dealt to folders by a hash of their id. A version is a small file that names the folder of each
     bucket; an upsert writes new folders for the buckets that it touches only, and then the next version, which a file
-    system creates once: of two writers the second merges anew, with the delays and as often as told. Readers see whole
-    versions. Folders that neither of the last two versions names are deleted.
+    system creates once: of two writers the second merges anew. What fails is tried again as often as told, each time after twice
+    the delay. Readers see whole versions. A lookup opens the folder of its id only. Folders that neither of the last two versions names are deleted.
     """
 
     def __init__(self, spark: SparkSession, root: str, collection: str = "documents", max_retries: int = 3, retry_delay: float = 1.0):
@@ -82,13 +86,16 @@ class VectorStore:
     def exists(self) -> bool:
         return bool(self._fs.exists(self._path(self.path)))
 
-    def create(self, dim: int, metric: str = "cosine") -> bool:
+    def create(self, dim: int, metric: str = "cosine", buckets: int = BUCKETS) -> bool:
         """False if it was there already."""
         if self.exists():
             return False
-        self._write("collection.json", {"dim": dim, "metric": metric, "vectors": ["body", "summary_vec"]})
+        self._write("collection.json", {"dim": dim, "metric": metric, "vectors": ["body", "summary_vec"], "buckets": buckets})
         return self._write(f"versions/{0:08d}.json", {}, overwrite=False)
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("id"), F.lit(self._read("collection.json").get("buckets", BUCKETS))).cast("int")
+
     def drop(self) -> bool:
         """False if there was none."""
         return bool(self.exists() and self._fs.delete(self._path(self.path), True))
@@ -104,33 +111,46 @@ class VectorStore:
     def upsert(self, points: DataFrame, seq_col: str | None = None) -> int:
         """Merge points by id; of equal ids the last by seq_col stays. Returns how many rows points had.
 
-        points is evaluated once, into a folder of its own, so a costly column isn't computed for every use of it.
+        points is evaluated once, into a folder of its own, so a costly column isn't computed for every use of it, nor
+        again when a merge is tried anew. The last failure is raised once there were max_retries more.
         """
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
-        bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
         try:
-            points.withColumn("_bucket", bucket).write.parquet(staged)
+            points.withColumn("_bucket", self._bucket()).write.parquet(staged)
             new = self.spark.read.parquet(staged)
-            counts = {r[0]: r[1] for r in new.groupBy("_bucket").count().collect()}  # BUCKETS rows at most
+            counts = {r[0]: r[1] for r in new.groupBy("_bucket").count().collect()}  # a row a bucket
+            failed: Exception = ConflictError(self.path)
             for attempt in range(self.max_retries + 1):
                 if attempt:
-                    time.sleep(self.retry_delay)
-                if not counts or self._merge(new, sorted(counts), seq_col):
-                    return sum(counts.values())
-            raise ConflictError(self.path)
+                    time.sleep(self.retry_delay * 2 ** (attempt - 1))
+                try:
+                    if not counts or self._merge(new, counts, seq_col):
+                        return sum(counts.values())
+                    failed = ConflictError(self.path)
+                except Exception as e:
+                    logging.getLogger(__name__).warning("upsert to %s, attempt %d: %s", self.path, attempt + 1, e)
+                    failed = e
+            raise failed
         finally:
             self._fs.delete(self._path(staged), True)
 
-    def _merge(self, new: DataFrame, touched: list[int], seq_col: str | None) -> bool:
-        found = self.versions()[-1]
+    def _merge(self, new: DataFrame, counts: dict[int, int], seq_col: str | None) -> bool:
+        found, touched = self.versions()[-1], sorted(counts)
         held = self.folders(found)
         old = self._points([held[b] for b in touched if b in held])
         merged = merge_points(old, new.drop("_bucket"), seq_col=seq_col)
-        bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
+        # Files of one bucket are as many as its points ask for.
+        files = -(-(sum(counts.values()) + old.count()) // (len(touched) * FILE))
         folder = f"points/{uuid.uuid4().hex}"
-        merged.withColumn("bucket", bucket).repartition(min(len(touched), BUCKETS), "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
-        held |= {b: f"{folder}/bucket={b}" for b in touched}
-        if not self._write(f"versions/{found + 1:08d}.json", held, overwrite=False):
+        dealt = merged.withColumn("bucket", self._bucket()).repartition(len(touched) * files, "bucket", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(files)))
+        try:
+            dealt.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+            held |= {b: f"{folder}/bucket={b}" for b in touched}
+            done = self._write(f"versions/{found + 1:08d}.json", held, overwrite=False)
+        except Exception:
+            self._fs.delete(self._path(f"{self.path}/{folder}"), True)
+            raise
+        if not done:
             self._fs.delete(self._path(f"{self.path}/{folder}"), True)
             return False
         keep = {x.split("/")[1] for v in self.versions()[-2:] for x in self.folders(v).values()}
@@ -141,7 +161,10 @@ class VectorStore:
         return True
 
     def get(self, point_id: str) -> DataFrame:
-        return by_id(self.read(), point_id)
+        """The point of an id, from the one folder that can hold it."""
+        bucket = self.spark.range(1).select(F.lit(point_id).alias("id")).select(self._bucket()).first()[0]
+        folder = self.folders().get(bucket)
+        return by_id(self._points([folder] if folder else []), point_id)
 
     def sample(self, n: int = 5) -> DataFrame:
         return self.read().limit(n)
@@ -152,8 +175,32 @@ class VectorStore:
         name = self.path.rsplit("/", 1)[-1]
         return {"name": name, "points_count": self.read().count(), "status": "ready"} | self._read("collection.json")
 
-    def search(self, queries: DataFrame, k: int = 10, use_summary: bool = False) -> DataFrame:
-        """queries: query_id, query_vector. Hits with their payload."""
+    def build_index(self, use_summary: bool = False, **options) -> VectorIndex:
+        """Index one of the two vectors of the points as they are now, for approximate searches; see VectorIndex.build()."""
+        vector = "summary_vec" if use_summary else "body"
+        folder, version = f"indexes/{uuid.uuid4().hex}", self.versions()[-1]
+        index = VectorIndex.build(self._points(list(self.folders(version).values())), f"{self.path}/{folder}", vector=vector, **options)
+        before = self._indexes()
+        self._write("indexes.json", before | {vector: {"folder": folder, "version": version}})
+        if vector in before:
+            self._fs.delete(self._path(f"{self.path}/{before[vector]['folder']}"), True)
+        return index
+
+    def _indexes(self) -> dict:
+        return self._read("indexes.json") if self._fs.exists(self._path(f"{self.path}/indexes.json")) else {}
+
+    def index(self, use_summary: bool = False) -> VectorIndex:
+        """The index of a vector; an error if there is none of the current version of the points."""
+        found = self._indexes().get("summary_vec" if use_summary else "body")
+        if not found or found["version"] != self.versions()[-1]:
+            raise LookupError(f"{self.path} has no index of its current points: build_index() makes one")
+        return VectorIndex(self.spark, f"{self.path}/{found['folder']}")
+
+    def search(self, queries: DataFrame, k: int = 10, use_summary: bool = False, approximate: bool = False, probes: int | None = None) -> DataFrame:
+        """queries: query_id, query_vector. Hits with their payload; approximate reads the cells of an index only."""
         points = self.read()
-        hits = top_k(queries, points, k, vector="summary_vec" if use_summary else "body")
+        if approximate:
+            hits = self.index(use_summary).search(queries, k, probes=probes)
+        else:
+            hits = top_k(queries, points, k, vector="summary_vec" if use_summary else "body")
         return hits.join(points.select("id", "payload"), "id").select("query_id", "id", "score", "rank", "payload.*")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions.gazetteer import OTHER, REGIONS, gazetteer
+from docloom.operators.names import names_of, names_table
 from docloom.scratch import written
 
 #: Keywords of each group of tags.
@@ -61,17 +62,41 @@ def with_defaults(docs: DataFrame) -> DataFrame:
     return rows.where("not (text = '' and summary = '')")
 
 
-def counters(docs: DataFrame, names: list[tuple[str, list[str]]] | None = None) -> DataFrame:
-    """(dimension, key, n) of all five counters from one scan and one shuffle.
+#: Names of a list that are searched for one by one; more are made a table.
+LISTED = 200
 
-    Tags count once for each occurrence, countries once for each document.
+Names = list[tuple[str, list[str]]] | DataFrame | None
+
+
+def text_of() -> Column:
+    """What is searched for names."""
+    return T.strip(F.concat_ws(" ", "text", "summary"))
+
+
+def names_by_document(rows: DataFrame, names: Names, *keys: str) -> DataFrame:
+    """Distinct (keys, name) of rows with the taxonomy's columns: a name for each document in which it stands."""
+    if isinstance(names, DataFrame):
+        return names_of(rows, names, text_of(), *keys)
+    if names is not None and len(names) > LISTED:
+        return names_of(rows, names_table(rows.sparkSession, names), text_of(), *keys)
+    return rows.select(*keys, F.explode(names_in(text_of(), names)).alias("name"))
+
+
+def counters(docs: DataFrame, names: Names = None) -> DataFrame:
+    """(dimension, key, n) of all five counters.
+
+    Tags count once for each occurrence, countries once for each document. With a short list of names, such as the
+    countries, all comes from one scan and one shuffle; a table of names, of any length, is joined with the words.
     """
     rows = with_defaults(docs)
+    if isinstance(names, DataFrame) or names is not None and len(names) > LISTED:
+        each = names_by_document(rows.withColumn("_doc", F.monotonically_increasing_id()), names, "_doc")
+        found = each.groupBy(F.lit("country").alias("dimension"), F.col("name").alias("key")).agg(F.count("*").alias("n"))
+        return counters(docs, []).unionByName(found)
     item = lambda dim, key: F.struct(F.lit(dim).alias("dimension"), key.alias("key"))
     of = lambda dim, keys: F.transform(keys, lambda k: item(dim, k))
-    both = T.strip(F.concat_ws(" ", "text", "summary"))
     one = F.array(item("category", F.col("category")), item("source", F.col("source")), item("language", F.col("language")))
-    items = F.concat(one, of("tag", F.col("tags")), of("country", names_in(both, names)))
+    items = F.concat(one, of("tag", F.col("tags")), of("country", names_in(text_of(), names)))
     return rows.select(F.explode(items).alias("x")).groupBy("x.dimension", "x.key").agg(F.count("*").alias("n"))
 
 
@@ -90,11 +115,51 @@ def regions() -> list[tuple[str, str]]:
     return [(name, region) for region, names in REGIONS.items() for name in names]
 
 
-def by_region(counts: DataFrame) -> DataFrame:
-    """(region, country, n); the lookup is a literal map of fixed size."""
+def region(name: str) -> Column:
+    """The region of a country; the lookup is a literal map of fixed size."""
     lookup = F.create_map(*[F.lit(x) for pair in regions() for x in pair])
-    region = F.coalesce(F.element_at(lookup, F.col("key")), F.lit(OTHER))
-    return counts.where("dimension = 'country'").select(region.alias("region"), F.col("key").alias("country"), "n")
+    return F.coalesce(F.element_at(lookup, F.col(name)), F.lit(OTHER))
+
+
+def by_region(counts: DataFrame) -> DataFrame:
+    """(region, country, n)."""
+    return counts.where("dimension = 'country'").select(region("key").alias("region"), F.col("key").alias("country"), "n")
+
+
+#: What a row of the roll-up sums, by the columns that it is grouped by.
+LEVELS = {
+    ("region", "country", "category"): "category of country", ("region", "country"): "country", ("region", "category"): "category of region",
+    ("region",): "region", (): "total",
+}
+
+
+def region_rollup(docs: DataFrame, names: Names = None) -> DataFrame:
+    """(level, region, country, category, n, n_documents): countries by region and category, with all subtotals.
+
+    n sums the documents of each country, n_documents counts documents once, however many countries of a region they
+    name. Regions that no document names are there with 0, and so is the total. One pass over the texts; the pairs of a
+    document and a country, not the texts, are shuffled once by document, then summed by country before the subtotals.
+    """
+    rows = with_defaults(docs).withColumn("_doc", F.monotonically_increasing_id())
+    named = names_by_document(rows, names, "_doc", "category").withColumn("region", region("name"))
+    # The first row of a document in each region, and the first of all, stand for it once.
+    order = lambda *by: F.row_number().over(Window.partitionBy("_doc", *by).orderBy("name"))
+    marked = named.withColumns({"_once": (order("region") == 1).cast("long"), "_any": (F.row_number().over(Window.partitionBy("_doc").orderBy("region", "name")) == 1).cast("long")})
+    pairs = marked.groupBy("region", F.col("name").alias("country"), "category").agg(
+        F.count("*").alias("n"), F.sum("_once").alias("once"), F.sum("_any").alias("any")
+    )
+    every = rows.sparkSession.createDataFrame([(r,) for r in REGIONS], "region string").select(
+        "region", *[F.lit(None).cast("string").alias(c) for c in ("country", "category")], *[F.lit(0).cast("long").alias(c) for c in ("n", "once", "any")]
+    )
+    sums = pairs.unionByName(every).groupingSets([[F.col(c) for c in level] for level in LEVELS], "region", "country", "category").agg(
+        F.grouping_id().alias("_set"), F.sum("n").alias("n"), F.sum("once").alias("once"), F.sum("any").alias("any")
+    )
+    number = {level: sum(1 << (2 - i) for i, c in enumerate(("region", "country", "category")) if c not in level) for level in LEVELS}
+    label = F.create_map(*[F.lit(x) for level, name in LEVELS.items() for x in (number[level], name)])
+    once = F.when(F.col("_set") == number[()], F.col("any")).when(F.col("_set").isin(number[("region",)], number[("region", "category")]), F.col("once")).otherwise(F.col("n"))
+    out = sums.select(F.element_at(label, F.col("_set").cast("int")).alias("level"), "region", "country", "category", "n", once.alias("n_documents"))
+    # The rows that keep empty regions show at the levels of regions and above only.
+    return out.where("n > 0 or level in ('region', 'total')")
 
 
 def statistics(counts: DataFrame) -> DataFrame:

@@ -213,16 +213,18 @@ class RetrievalEngine:
         self.store, self.embedder = store, embedder or plugins.embedder_of(self.settings)
 
     def search_batch(
-        self, queries: DataFrame, limit: int | None = None, tag_boost: float | None = None, use_summary: bool | None = None
-    ) -> DataFrame:
-        """queries: query_id, query, user_tags. Blank queries give nothing. All in one plan."""
+        self, queries: DataFrame, limit: int | None = None, tag_boost: float | None = None, use_summary: bool | None = None,
+        approximate: bool = False,
+    ) -> DataFrame:
+        """queries: query_id, query, user_tags. Blank queries give nothing. All in one plan; approximate needs the store's index."""
         from docloom.operators.search import boost
 
         limit = limit or self.settings.search_limit
         factor = self.settings.tag_boost if tag_boost is None else tag_boost
         summary = self.settings.use_summary_vector if use_summary is None else use_summary
         asked = queries.where(~T.blank(F.col("query"))).withColumn("query_vector", plugins.embed(F.col("query"), self.embedder))
-        hits = self.store.search(asked.where("query_vector is not null"), limit, summary)
+        # A query without a vector is left out where the search reads it, so that it is embedded once.
+        hits = self.store.search(asked.select("query_id", "query_vector"), limit, summary, approximate)
         return boost(hits.join(queries.select("query_id", "user_tags"), "query_id"), factor).drop("user_tags")
 
     def search(self, query: str, user_tags: list[str] | None = None, **options) -> DataFrame:

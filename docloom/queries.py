@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from docloom.functions import plugins
 from docloom.functions import text as T
-from docloom.functions.gazetteer import gazetteer, region_of
+from docloom.functions.gazetteer import REGIONS, gazetteer, region_of
 from docloom.functions.vectors import cosine
 from docloom.operators import documents as D
+from docloom.operators import names as N
 from docloom.operators import search as R
 from docloom.operators import taxonomy as X
+from docloom.operators.index import VectorIndex, overlap
 from docloom.operators.store import VectorStore, merge_points
 from docloom.schemas import PAYLOAD
 from docloom.scratch import new_folder
@@ -173,13 +175,41 @@ def chunks(spark, sf_dir):
     return D.chunks(docs(spark, sf_dir)).select("doc_id", "idx", "start", "n_words", F.sha1("chunk").alias("digest"))
 
 
+#: Words for countries as documents name them, and words that only hold one: each document gets one of both lists.
+NAMED = [word.title() for _, words in gazetteer() for word in words] + ["Uk", "", "of the"]
+NEAR = ["ukulele", "Indiana", "islands", "usage_usa", "Romaniac", "srx", "Maltese", "chinaware", "Turkeys", "egypt2"]
+
+
+def place_text(doc_id: str = "doc_id", text: str = "text"):
+    """The text, then a country and a word that isn't one."""
+    pick = lambda words, n: F.element_at(F.array(*map(F.lit, words)), (F.col(doc_id) % n + 1).cast("int"))
+    named, near = pick(NAMED, len(NAMED)), pick(NEAR, len(NEAR))
+    return F.when(F.col(text) == "", "").otherwise(F.concat_ws(" ", text, named, near, pick(NAMED, 7)))
+
+
+LISTED = lambda words: "list_value(" + ", ".join(f"'{w}'" for w in words) + ")"
+PLACE_TEXT = f"""CASE WHEN text = '' THEN '' ELSE text || ' ' || {LISTED(NAMED)}[doc_id % {len(NAMED)} + 1] || ' ' ||
+    {LISTED(NEAR)}[doc_id % {len(NEAR)} + 1] || ' ' || {LISTED(NAMED)}[doc_id % 7 + 1] END"""
+BOUND = r"[^\p{L}\p{N}_]"
+
+
+def gazetteer_sql(texts: str) -> str:
+    """(key, name, region) of every text of a table (key, text, ...) and every country named in it."""
+    each = " UNION ALL ".join(
+        f"SELECT *, '{name}' AS name, '{region_of(name)}' AS region FROM ({texts}) "
+        f"WHERE regexp_matches(lower(text), '(^|{BOUND})({'|'.join(words)})($|{BOUND})')"
+        for name, words in gazetteer()
+    )
+    return f"SELECT * FROM ({each})"
+
+
 def tagged(spark, sf_dir) -> DataFrame:
     marks = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = docs(spark, sf_dir).join(marks, "doc_id", "left")
     mark = F.when(F.col("quality").isNotNull(), F.concat(F.lit("quality-"), F.col("quality")))
     return rows.select(
         "doc_id",
-        "text",
+        place_text().alias("text"),
         F.col("lang").alias("language"),
         F.concat_ws("/", F.lit("corpus"), "lang", "source").alias("source"),
         F.col("lang").alias("category"),
@@ -187,7 +217,7 @@ def tagged(spark, sf_dir) -> DataFrame:
     )
 
 
-TAGGED = """d AS (SELECT doc_id, text, lang, 'corpus/' || lang || '/' || source AS path, source,
+TAGGED = f"""d AS (SELECT doc_id, {PLACE_TEXT} AS text, lang, 'corpus/' || lang || '/' || source AS path, source,
     (SELECT max(quality) FROM labels l WHERE l.doc_id = documents.doc_id) AS q FROM documents WHERE text <> ''),
     t AS (SELECT doc_id, lang AS category, unnest(list_filter([lang, source, 'quality-' || q], lambda x: x IS NOT NULL)) AS tag FROM d)"""
 
@@ -196,10 +226,11 @@ TAGGED = """d AS (SELECT doc_id, text, lang, 'corpus/' || lang || '/' || source
     f"""WITH {TAGGED} SELECT 'category' AS dimension, lang AS key, count(*) AS n FROM d GROUP BY lang
     UNION ALL SELECT 'language', lang, count(*) FROM d GROUP BY lang
     UNION ALL SELECT 'source', path, count(*) FROM d GROUP BY path
-    UNION ALL SELECT 'tag', tag, count(*) FROM t GROUP BY tag"""
+    UNION ALL SELECT 'tag', tag, count(*) FROM t GROUP BY tag
+    UNION ALL SELECT 'country', name, count(*) FROM ({gazetteer_sql("SELECT * FROM d")}) GROUP BY name"""
 )
 def taxonomy_counters(spark, sf_dir):
-    return X.counters(tagged(spark, sf_dir)).where("dimension <> 'country'")
+    return X.counters(tagged(spark, sf_dir))
 
 
 @query(
@@ -219,11 +250,11 @@ def taxonomy_top_tags(spark, sf_dir):
     f"""WITH {TAGGED}, c AS (SELECT tag, count(*) AS n FROM t GROUP BY tag)
     SELECT (SELECT count(DISTINCT lang) FROM d) AS total_categories, (SELECT count(*) FROM c) AS total_tags,
     (SELECT count(DISTINCT path) FROM d) AS total_sources, (SELECT count(*) FROM c WHERE n = 1) AS unique_tags,
-    (SELECT count(*) FROM c WHERE n >= 5) AS common_tags"""
+    (SELECT count(*) FROM c WHERE n >= 5) AS common_tags,
+    (SELECT count(DISTINCT name) FROM ({gazetteer_sql("SELECT * FROM d")})) AS total_countries"""
 )
 def taxonomy_statistics(spark, sf_dir):
-    found = X.statistics(X.counters(tagged(spark, sf_dir)))
-    return found.select("total_categories", "total_tags", "total_sources", "unique_tags", "common_tags")
+    return X.statistics(X.counters(tagged(spark, sf_dir)))
 
 
 @query(f"WITH {TAGGED} SELECT DISTINCT category, tag AS value FROM t")
@@ -247,9 +278,6 @@ def source_hierarchy(spark, sf_dir):
 
 #: Words of the test tables that stand for places, as the gazetteer's countries do in its own texts.
 PLACES = [("the-land", ["the", "than"]), ("der-land", ["der", "die"]), ("les-land", ["les", "échque"]), ("el-land", ["ciónosta", "el"])]
-BOUND = r"[^\p{L}\p{N}_]"
-
-
 def place_sql(names: list[tuple[str, list[str]]]) -> str:
     return " UNION ALL ".join(
         f"SELECT doc_id, '{name}' AS country FROM documents WHERE regexp_matches(lower(text), '(^|{BOUND})({'|'.join(words)})($|{BOUND})')"
@@ -263,30 +291,32 @@ def places_frequency(spark, sf_dir):
     return X.ranked(X.counters(rows, PLACES), "country").withColumnRenamed("key", "country")
 
 
-def gazetteer_sql(texts: str) -> str:
-    """(key, name, region) of every text of a table (key, text) and every country named in it."""
-    each = " UNION ALL ".join(
-        f"SELECT key, '{name}' AS name, '{region_of(name)}' AS region FROM ({texts}) "
-        f"WHERE regexp_matches(lower(text), '(^|{BOUND})({'|'.join(words)})($|{BOUND})')"
-        for name, words in gazetteer()
-    )
-    return f"SELECT * FROM ({each})"
+@query(f"WITH {TAGGED} SELECT region, name AS country, count(*) AS n FROM ({gazetteer_sql('SELECT * FROM d')}) GROUP BY ALL")
+def countries_by_region(spark, sf_dir):
+    """The whole gazetteer, as a table, over all documents, each of which names countries and words that aren't."""
+    names = N.names_table(spark, gazetteer())
+    return X.by_region(X.counters(tagged(spark, sf_dir), names))
 
 
-TRADERS = """SELECT 'c' || c_custkey AS key, n_name || ' ' || c_mktsegment AS text FROM customer JOIN nation ON c_nationkey = n_nationkey
-    UNION ALL SELECT 's' || s_suppkey, 'from ' || n_name || ', by land' FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+@query(f"WITH {TAGGED} SELECT DISTINCT doc_id, name FROM ({gazetteer_sql('SELECT * FROM d')})")
+def gazetteer_mentions(spark, sf_dir):
+    """Countries of each document, from n-grams joined with a table that has a hundred thousand other names, too."""
+    more = spark.range(100_000).select(F.concat(F.lit("place "), "id").alias("name"), F.concat(F.lit("the place no. "), "id").alias("variant"))
+    names = N.names_table(spark, gazetteer()).unionByName(more)
+    return N.names_of(tagged(spark, sf_dir), names, F.col("text"), "doc_id")
 
 
-@query(f"SELECT region, name AS country, count(*) AS n FROM ({gazetteer_sql(TRADERS)}) GROUP BY ALL")
-def countries_by_region(spark, sf_dir):
-    """The whole gazetteer over the nations of all customers and suppliers."""
-    nation = table(spark, sf_dir, "nation")
-    buyers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    sellers = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    rows = buyers.select(F.concat_ws(" ", "n_name", "c_mktsegment").alias("text")).unionByName(
-        sellers.select(F.concat(F.lit("from "), "n_name", F.lit(", by land")).alias("text"))
-    )
-    return X.by_region(X.counters(rows, gazetteer()))
+@query(
+    f"""WITH {TAGGED}, m AS ({gazetteer_sql("SELECT doc_id, lang AS category, text FROM d")}),
+    g AS (SELECT CASE GROUPING_ID(region, country, category) WHEN 0 THEN 'category of country' WHEN 1 THEN 'country' WHEN 2 THEN 'category of region'
+    WHEN 3 THEN 'region' ELSE 'total' END AS level, region, country, category, count(*) AS n, count(DISTINCT doc_id) AS n_documents
+    FROM (SELECT doc_id, region, name AS country, category FROM m)
+    GROUP BY GROUPING SETS ((region, country, category), (region, country), (region, category), (region), ()))
+    SELECT * FROM g UNION ALL SELECT 'region', r, NULL, NULL, 0, 0 FROM (SELECT unnest({LISTED(REGIONS)}) AS r) WHERE r NOT IN (SELECT region FROM m)"""
+)
+def countries_rollup(spark, sf_dir):
+    """Countries by region and category with all subtotals; documents count once a region."""
+    return X.region_rollup(tagged(spark, sf_dir))
 
 
 KEYWORDS = [key for keys in X.TAG_GROUPS.values() for key in keys]
@@ -528,6 +558,49 @@ def event_windows(spark, sf_dir):
     return found.select("window_start", "event_type", "n", F.round("total", 4).alias("total"))
 
 
+EXACT = f"""(SELECT a.vec_id AS query_id, b.vec_id AS id, {COSINE} AS score,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY {COSINE} DESC, b.vec_id) AS rank
+    FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0)"""
+
+
+def indexed(spark, sf_dir) -> VectorIndex:
+    return VectorIndex.build(vectors(spark, sf_dir), new_folder(spark, "index"), id_col="vec_id", vector="embedding")
+
+
+@query(f"SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM {EXACT} WHERE rank <= 10")
+def index_all_cells(spark, sf_dir):
+    """Searches that probe every cell of an index find what an exact search finds."""
+    found = indexed(spark, sf_dir).search(asked(vectors(spark, sf_dir)), 10, probes=1 << 30)
+    return found.select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+@query()
+def index_search(spark, sf_dir):
+    """The same with as many cells as the index has measured to find nineteen in twenty."""
+    return indexed(spark, sf_dir).search(asked(vectors(spark, sf_dir)), 10)
+
+
+@query(f"SELECT count(*) AS expected, true AS nine_in_ten FROM {EXACT} WHERE rank <= 10")
+def index_recall(spark, sf_dir):
+    """How many hits an exact search has, and whether the index finds nine in ten of them."""
+    asks = asked(vectors(spark, sf_dir))
+    met = overlap(indexed(spark, sf_dir).search(asks, 10), hits_of(spark, sf_dir))
+    return met.select("expected", (F.col("recall") >= 0.9).alias("nine_in_ten"))
+
+
+@query("SELECT CAST(vec_id AS VARCHAR) AS id, CAST(label AS VARCHAR) AS category, 1.0::DOUBLE AS score FROM embeddings WHERE vec_id = 42")
+def store_get(spark, sf_dir):
+    """One point from the one folder of the store that can hold it."""
+    return stored(spark, sf_dir).get("42").select("id", "payload.category", "score")
+
+
+@query("SELECT 'documents' AS name, count(*) AS points_count, 'ready' AS status, CAST(64 AS BIGINT) AS dim, 'cosine' AS metric FROM embeddings")
+def store_stats(spark, sf_dir):
+    """What the store says of itself."""
+    said = stored(spark, sf_dir).stats()
+    return spark.createDataFrame([tuple(said[c] for c in ("name", "points_count", "status", "dim", "metric"))], "name string, points_count long, status string, dim long, metric string")
+
+
 @query(
     """WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
