@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom.functions import text as T
+
 
 class LanguageDetector(Protocol):
     def detect(self, texts: list[str]) -> list[str]: ...
@@ -47,11 +49,17 @@ class TreeProposer(Protocol):
     def propose(self, tags: list[str]) -> dict: ...
 
 
+def failed(what: str, n: int, error: Exception) -> None:
+    """What a plug-in couldn't do becomes its empty answer and a line in the log of the process it ran in."""
+    logging.getLogger(__name__).warning("%s of %d rows failed: %s: %s", what, n, type(error).__name__, error)
+
+
 def propose_tree(tags: list[str], proposer: TreeProposer) -> dict:
     """A nested taxonomy of the tags, as the proposer gives it; empty where it fails."""
     try:
         return proposer.propose(sorted(set(tags)))
-    except Exception:
+    except Exception as e:
+        failed("tag tree", len(tags), e)
         return {}
 
 
@@ -206,8 +214,8 @@ def embedded_batch(embedder: Embedder, texts: list[str], retries: int, delay: fl
             time.sleep(delay)
         try:
             return np.asarray(embedder.embed(texts), np.float32)
-        except Exception:
-            continue
+        except Exception as e:
+            failed("embedding", len(texts), e)
     return np.zeros((len(texts), embedder.dim), np.float32)
 
 
@@ -236,7 +244,8 @@ def detect_language(text: Column, detector: LanguageDetector | None = None) -> C
         for s in batches:
             try:
                 yield pd.Series(detector.detect(s.fillna("").tolist()), dtype=object)
-            except Exception:
+            except Exception as e:
+                failed("language detection", len(s), e)
                 yield pd.Series(["unknown"] * len(s), dtype=object)
 
     return run(text)
@@ -251,8 +260,47 @@ def summarize(text: Column, summarizer: Summarizer | None = None, chars: int | N
         for s in batches:
             try:
                 found = summarizer.summarize(s.fillna("").tolist())
-            except Exception:
+            except Exception as e:
+                failed("summary", len(s), e)
                 found = [("", [])] * len(s)
             yield pd.DataFrame({"summary": [a for a, _ in found], "tags": [b for _, b in found]})
 
     return run(text if chars is None else F.substring(text, 1, chars))
+
+
+class MetadataModel:
+    """Asks a language model for the metadata of a file: its name and the beginning of its text stand in the prompt."""
+
+    def __init__(self, completer: Completer, prompt: str = "{file_name}\n{snippet}"):
+        self.completer, self.prompt = completer, prompt
+
+
+def describe(name: Column, suffix: Column, snippet: Column, model: MetadataModel, chars: int = 800) -> Column:
+    """struct(nazov_suboru, typ_suboru, tagy, sumar) as the model's reply has them; null where it has not, or fails.
+
+    Prompts are made and replies read by expressions; the model sees batches of prompts. {file_name}, {file_type} and
+    {snippet} in its prompt are replaced. Tags may be a list or one string with commas.
+    """
+    completer = model.completer
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            try:
+                yield pd.Series(completer.complete(s.tolist()), dtype=object)
+            except Exception as e:
+                failed("metadata", len(s), e)
+                yield pd.Series([None] * len(s), dtype=object)
+
+    filled = lambda prompt, key, value: F.replace(prompt, F.lit(key), F.coalesce(value, F.lit("")))
+    prompt = filled(filled(F.lit(model.prompt), "{file_name}", name), "{file_type}", suffix)
+    found = T.json_of_reply(run(filled(prompt, "{snippet}", F.substring(snippet, 1, chars))))
+    get = lambda reply, key, kind="string": F.try_variant_get(reply, f"$.{key}", kind)
+    fields = lambda reply: F.struct(
+        get(reply, "nazov_suboru").alias("nazov_suboru"),
+        get(reply, "typ_suboru").alias("typ_suboru"),
+        F.coalesce(get(reply, "tagy", "array<string>"), T.tags_of(get(reply, "tagy"))).alias("tagy"),
+        get(reply, "sumar").alias("sumar"),
+    )
+    # Bound to a name by a list of one, so that the model is asked once.
+    return F.transform(F.array(found), fields)[0]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as T
 from docloom.functions.gazetteer import OTHER, REGIONS, gazetteer
 from docloom.operators.names import names_of, names_table
+from docloom.operators.terms import LatentModel, counted
 from docloom.scratch import written
 
 #: Keywords of each group of tags.
@@ -212,21 +213,24 @@ def file_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def lists_of(pairs: DataFrame, key: str, value: str, most: int) -> dict[str, list]:
-    """The first values of each key, for the first keys: most of each, ranked where they lie before any meet."""
+def lists_of(pairs: DataFrame, key: str, value: str, most: int) -> tuple[dict[str, list], bool]:
+    """The first values of each key, for the first keys, most of each, and whether there were more.
+
+    Values are ranked where they lie before any meet.
+    """
     order = Window.partitionBy(key).orderBy(value)
-    some = pairs.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
-    rows = some.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("v")).orderBy(key).limit(most)
-    return {r[0]: r.v for r in rows.collect()}
+    some = pairs.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most + 1)
+    rows = some.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("v")).orderBy(key).limit(most + 1).collect()
+    return {r[0]: r.v[:most] for r in rows[:most]}, len(rows) > most or any(len(r.v) > most for r in rows)
 
 
-def taxonomy_document(docs: DataFrame, names=None, most: int = 10_000) -> dict:
+def taxonomy_document(docs: DataFrame, names: Names = None, most: int = 10_000, counts: DataFrame | None = None) -> dict:
     """The whole taxonomy as nested dicts, a report: of each list the first most entries.
 
-    What may be longer is there as tables: counters(), category_values(), source_edges(). bounded tells whether
-    a dimension has more keys than the report.
+    What may be longer is there as tables: counters(), category_values(), source_edges(), tag_tree(). bounded tells whether
+    any list of the report was cut. counts: counters() of the same documents, if they are there already.
     """
-    counts = written(counters(docs, names), "counts")
+    counts = written(counters(docs, names), "counts") if counts is None else counts
     top = lambda dim, n=most: {r.key: r.n for r in ranked(counts, dim, n).collect()}
     bands: dict[str, dict] = {"high": {}, "medium": {}, "low": {}}
     for r in tag_bands(counts).orderBy(F.desc("n"), "key").limit(most).collect():
@@ -234,16 +238,16 @@ def taxonomy_document(docs: DataFrame, names=None, most: int = 10_000) -> dict:
     places: dict[str, dict] = {region: {} for region in REGIONS}
     for r in by_region(counts).orderBy(F.desc("n"), "country").limit(most).collect():
         places[r.region][r.country] = r.n
-    tags, sources = (lists_of(category_values(docs, what), "category", "value", most) for what in ("tags", "source"))
-    tree = lists_of(source_edges(docs), "parent", "child", most)
+    (tags, cut_tags), (sources, cut_sources) = (lists_of(category_values(docs, what), "category", "value", most) for what in ("tags", "source"))
+    tree, cut_tree = lists_of(source_edges(docs), "parent", "child", most)
     categories = top("category")
     files = file_counts(docs if "summary" in docs.columns else docs.withColumn("summary", F.lit(""))).first()
     stats = statistics(counts).first().asDict()
-    longest = max(stats["total_categories"], stats["total_tags"], stats["total_sources"])
+    longest = counts.groupBy("dimension").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     return {
         "metadata": {
             "total_documents": files.total, "empty_documents": files.empty, "generated_at": datetime.now(UTC).isoformat(),
-            "bounded": longest > most,
+            "bounded": longest > most or cut_tags or cut_sources or cut_tree,
         },
         "categories": {
             "overview": categories,
@@ -269,19 +273,17 @@ def rag_document(taxonomy: dict) -> dict:
     }
 
 
-def tag_tfidf(docs: DataFrame, tags_col: str = "tags"):
-    """Documents x tags as tf-idf vectors: (rows with a column features, vocabulary)."""
-    from pyspark.ml.feature import IDF, CountVectorizer
-
-    distinct = docs.select(F.explode(tags_col).alias("tag")).where("tag is not null").distinct().count()
-    count = CountVectorizer(inputCol=tags_col, outputCol="_tf", vocabSize=max(distinct, 1)).fit(docs)
-    rows = count.transform(docs)
-    return IDF(inputCol="_tf", outputCol="features").fit(rows).transform(rows).drop("_tf"), count.vocabulary
+def tag_clusters(docs: DataFrame, k: int, key: str, tags_col: str = "tags", dims: int = 16, seed: int = 1) -> DataFrame:
+    """(key, cluster): k-means over the directions of the documents' tf-idf vectors; documents without a telling tag have none.
 
-
-def tag_clusters(docs: DataFrame, k: int, tags_col: str = "tags", seed: int = 1) -> DataFrame:
-    """Rows with a column cluster, from k-means over their tf-idf vectors."""
+    Vectors have ``dims`` components at most, however many tags there are, so neither the driver nor a task holds a
+    vocabulary; the driver holds k centres.
+    """
     from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
 
-    rows, _ = tag_tfidf(docs, tags_col)
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(rows).transform(rows)
+    counts = written(counted(docs, key, F.col(tags_col)), "tags")
+    points = LatentModel.fit(counts, key, dims, min_df=1, seed=seed).embed(counts, key)
+    rows = written(points.select(key, array_to_vector("vector").alias("features")), "features")
+    fitted = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(rows)
+    return docs.select(key).join(fitted.transform(rows).select(key, "cluster"), key, "left")

@@ -14,21 +14,27 @@ from docloom.functions import text as T
 from docloom.functions.plugins import Embedder, LanguageDetector, OcrBackend, Summarizer
 from docloom.operators import documents as D
 from docloom.operators import taxonomy as X
+from docloom.monitoring import Monitor
+from docloom.operators.language import LanguageModel
 from docloom.operators.store import VectorStore
+from docloom.operators.summary import summaries
+from docloom.operators.terms import tag_tree
 from docloom.scratch import written
 from docloom.settings import Settings
 from docloom.sources import files as S
 from docloom.sources.parsers import ParserRegistry
+from docloom.sources.record_files import write_record_files
 
 
 @dataclass
 class Metrics:
-    """What a run counted while it wrote: records, copies among them, files that failed, and its seconds."""
+    """What a run counted while it wrote: records, copies among them, files that failed, its seconds, and all by stage."""
 
     processed: int
     duplicates: int
     failed: int
     seconds: float
+    monitor: Monitor | None = None
 
 
 @dataclass
@@ -66,11 +72,15 @@ def build_corpus(
     mode: str = "intended",
     max_bytes: int = 8_000_000,
     max_lines: int = 1000,
+    monitor: Monitor | None = None,
+    language_model: LanguageModel | None = None,
+    extract: bool = False,
 ) -> Corpus:
     """Scan, parse, normalise, OCR where a PDF has next to no text, enrich, flag copies, flag sizes.
 
     Line counts and sizes are those before white space is folded. Files that no parser reads go to
-    dead with their error; nothing else is lost. Copies are flagged in order of (suffix, path).
+    dead with their error; nothing else is lost. Copies are flagged in order of (suffix, path). A language model takes
+    the detector's place; with extract, summaries are the texts' own telling sentences instead of the summarizer's.
     """
     found = S.ingest(spark, root, tuple(s for p in (registry or ParserRegistry()).parsers for s in p.suffixes))
     parsed = S.parse(found, registry, keep_content=ocr_backend is not None)
@@ -80,18 +90,27 @@ def build_corpus(
         thin = F.col("error").isNull() & (T.suffix(F.col("path")) == ".pdf") & T.needs_ocr(T.normalize(F.col("text"), mode))
         thin = F.coalesce(thin, F.lit(False))
         parsed = ocr(parsed.withColumn("thin", thin).withColumn("content", F.when(F.col("thin"), F.col("content"))), ocr_backend)
-    # Written, so that records and dead letters come from one parse.
-    parsed = written(parsed, "parsed")
+    # Written, so that records and dead letters come from one parse; counted while it is.
+    monitor = monitor or Monitor()
+    parsed = monitor.observe("parse", parsed, F.col("error").isNotNull(), "seconds")
+    parsed = monitor.run("parse", lambda: written(parsed, "parsed")).drop("seconds")
     dead = parsed.where("error is not null").select("path", F.lit("parse").alias("stage"), "error")
     good = parsed.where("error is null").drop("error")
     rows = good.withColumn("raw", T.normalize(F.col("text"), mode, collapse=False)).withColumn(
         "text", T.normalize(F.col("text"), mode)
     )
     spoken = plugins.summarize(F.col("text"), summarizer)
+    if extract:
+        rows = rows.join(summaries(rows, "path", F.col("text")).select("path", F.struct("summary", "tags").alias("_said")), "path", "left")
+        spoken = F.col("_said")
+    language = plugins.detect_language(F.col("text"), detector)
+    if language_model is not None:
+        rows = rows.join(language_model.detect(rows, "path", F.col("text")).select("path", "detected"), "path", "left")
+        language = F.col("detected")
     rows = rows.withColumns(
         {
             "source": F.col("path"),
-            "language": plugins.detect_language(F.col("text"), detector),
+            "language": language,
             "category": T.category_of(F.col("path"), root),
             "created_ts": F.lit(None).cast("double"),
             "modified_ts": F.unix_micros("modified_ts") / 1e6,
@@ -103,43 +122,66 @@ def build_corpus(
         }
     )
     rows = D.enrich(rows, mode=mode).withColumns({"summary": F.col("_s.summary"), "tags": F.col("_s.tags")})
-    rows = D.flag_duplicates(rows, "_seq").drop("raw", "_s")
+    rows = D.flag_duplicates(rows, "_seq").drop("raw", "_s", "_said", "detected")
     return Corpus(rows, dead)
 
 
-def run_pipeline(spark: SparkSession, root: str, out: str, **options) -> Corpus:
-    """build_corpus, written as JSON lines: one record for each content, the last writer's."""
+def run_pipeline(spark: SparkSession, root: str, out: str, *, file_per_record: bool = False, monitor: Monitor | None = None, **options) -> Corpus:
+    """build_corpus, written as JSON lines: one record for each content, the last writer's.
+
+    With file_per_record each goes to its own file <hash_sha1>.jsonl, which replaces an earlier one; otherwise out is
+    written anew. What the metrics say was counted by the jobs that parsed, enriched and wrote.
+    """
     began = time.perf_counter()
-    corpus = build_corpus(spark, root, **options)
+    monitor = monitor or Monitor()
+    corpus = build_corpus(spark, root, monitor=monitor, **options)
     # Written once: summaries and languages may come from costly models.
-    corpus.records = written(corpus.records, "records")
-    S.write_jsonl(corpus.records, out, "_seq")
-    n, again = corpus.records.agg(F.count("*"), F.count_if("is_duplicate")).first()
-    corpus.metrics = Metrics(n, again, corpus.dead.count(), time.perf_counter() - began)
+    records = monitor.observe("enrich", corpus.records, duplicates=F.col("is_duplicate"))
+    corpus.records = monitor.run("enrich", lambda: written(records, "records"))
+    write = write_record_files if file_per_record else S.write_jsonl
+    monitor.run("write", lambda: write(corpus.records, out, "_seq"))
+    made = monitor.stage("enrich")
+    corpus.metrics = Metrics(made.rows, made.counts["duplicates"], monitor.stage("parse").failed, time.perf_counter() - began, monitor)
     return corpus
 
 
 def extract_metadata(spark: SparkSession, root: str, out: str, summarizer: Summarizer | None = None) -> DataFrame:
-    """Metadata records of all files from their first characters, appended to out as JSON lines."""
+    """Metadata records of all files from their names and first characters, appended to out as JSON lines.
+
+    A model that takes fields of its own (MetadataModel) may answer with any of them; a summarizer answers with summary
+    and tags. The records that come back are those written: no model is called again when they are used.
+    """
     rows = S.snippets(S.all_files(spark, root).select("path", "content"))
-    said = plugins.summarize(F.col("snippet"), summarizer, 800)
-    records = rows.withColumn("_s", said).select(
+    named = rows.withColumns({"_name": T.file_name(F.col("path")), "_suffix": T.suffix(F.col("path"))})
+    if isinstance(summarizer, plugins.MetadataModel):
+        said = plugins.describe(F.col("_name"), F.col("_suffix"), F.col("snippet"), summarizer)
+        answer = {"name": F.col("_s.nazov_suboru"), "suffix": F.col("_s.typ_suboru"), "tags": F.col("_s.tagy"), "summary": F.col("_s.sumar")}
+    else:
+        said = plugins.summarize(F.col("snippet"), summarizer, 800)
+        none = F.lit(None).cast("string")
+        answer = {"name": none, "suffix": none, "tags": F.col("_s.tags"), "summary": F.col("_s.summary")}
+    records = named.withColumn("_s", said).select(
         F.col("path").alias("cesta_k_suboru"),
-        T.file_name(F.col("path")).alias("nazov_suboru"),
-        T.suffix(F.col("path")).alias("typ_suboru"),
-        F.col("_s.tags").alias("tagy"),
-        F.col("_s.summary").alias("sumar"),
+        F.coalesce(answer["name"], "_name").alias("nazov_suboru"),
+        F.coalesce(answer["suffix"], "_suffix").alias("typ_suboru"),
+        answer["tags"].alias("tagy"),
+        answer["summary"].alias("sumar"),
     )
+    records = written(records, "metadata")
     records.write.mode("append").json(out)
     return records
 
 
 def analyze(spark: SparkSession, records: str, out: str | None = None) -> dict:
-    """Taxonomy of a folder of records; with out also written as JSON documents, and what may be long whole as tables."""
-    docs = written(S.read_jsonl(spark, records), "records")
-    taxonomy = X.taxonomy_document(docs)
+    """Taxonomy of a folder of records, a report of bounded lists; with out also written as JSON documents, and every list whole as a table."""
+    docs = written(S.read_jsonl(spark, records).withColumn("_id", F.monotonically_increasing_id()), "records")
+    counts = written(X.counters(docs), "counts")
+    taxonomy = X.taxonomy_document(docs, counts=counts)
     if out:
-        tables = {"counts": X.counters(docs), "category_sources": X.category_values(docs, "source"), "source_edges": X.source_edges(docs)}
+        tables = {
+            "counts": counts, "category_tags": X.category_values(docs, "tags"), "category_sources": X.category_values(docs, "source"),
+            "source_edges": X.source_edges(docs), "regions": X.region_rollup(docs), "tag_tree": tag_tree(docs, "_id", F.col("tags")),
+        }
         for name, table in tables.items():
             table.write.mode("overwrite").json(f"{out.rstrip('/')}/tables/{name}")
         parts = {

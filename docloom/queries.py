@@ -18,12 +18,16 @@ from docloom.functions.vectors import cosine
 from docloom.operators import documents as D
 from docloom.operators import names as N
 from docloom.operators import search as R
+from docloom.operators import summary as E
+from docloom.operators import terms as M
 from docloom.operators import taxonomy as X
 from docloom.operators.index import VectorIndex, overlap
+from docloom.operators.language import LanguageModel
 from docloom.operators.store import VectorStore, merge_points
 from docloom.schemas import PAYLOAD
 from docloom.scratch import new_folder
 from docloom.sources import files as S
+from docloom.sources.record_files import write_record_files
 from docloom.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -499,6 +503,18 @@ def jsonl_last_writer(spark, sf_dir):
     return found.select("source", "category", "hash_sha1", F.length("text").alias("n_chars"), F.array_join("tags", ",").alias("tags"))
 
 
+@query(
+    f"""WITH {RECORDS} SELECT sha1(t) || '.jsonl' AS file, path AS source, lang AS category, CAST(length(t) AS INTEGER) AS n_chars
+    FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) AS n FROM r) WHERE n = 1"""
+)
+def record_files(spark, sf_dir):
+    """Every record in a file of its own, named by its hash; the last of equal texts."""
+    folder = new_folder(spark, "records")
+    write_record_files(records(spark, sf_dir), folder, "seq")
+    found = S.read_jsonl(spark, folder).where("_corrupt is null")
+    return found.select(T.file_name(F.col("path")).alias("file"), "source", "category", F.length("text").alias("n_chars"))
+
+
 @query(
     f"""WITH {RECORDS}, x AS (SELECT lang, source, count(*) AS n FROM r WHERE t <> '' GROUP BY ALL)
     SELECT 'category' AS dimension, lang AS key, sum(n)::BIGINT AS n FROM x GROUP BY lang
@@ -616,6 +632,48 @@ def language_detection(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", "lang", plugins.detect_language(F.col("text")).alias("detected"))
 
 
+@query(
+    r"""WITH d AS (SELECT doc_id, lang, string_split(' ' || trim(regexp_replace(lower(text), '[^\p{L}\p{M}]+', ' ', 'g')) || ' ', '') AS c FROM documents
+    WHERE regexp_matches(text, '[\p{L}\p{M}]')),
+    g AS (SELECT doc_id, lang, c[i] || c[i + 1] || c[i + 2] AS gram, count(*) AS n FROM (SELECT *, unnest(range(1, len(c) - 1)) AS i FROM d) GROUP BY ALL),
+    m AS (SELECT lang, gram, sum(n) AS n FROM g WHERE doc_id % 5 <> 0 GROUP BY ALL), t AS (SELECT lang, sum(n) AS total FROM m GROUP BY lang),
+    v AS (SELECT count(DISTINCT gram) AS v FROM m),
+    s AS (SELECT doc_id, t.lang, CAST(sum(g.n * CAST(floor(1000 * ln((coalesce(m.n, 0) + 1) / (total + v)::DOUBLE)) AS BIGINT)) AS BIGINT) AS score
+    FROM g CROSS JOIN t CROSS JOIN v LEFT JOIN m ON m.gram = g.gram AND m.lang = t.lang GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER w AS r, score - lead(score) OVER w AS margin FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY score DESC, lang))
+    SELECT documents.doc_id, coalesce(r.lang, 'unknown') AS detected, score, margin FROM documents LEFT JOIN r ON r.doc_id = documents.doc_id AND r = 1"""
+)
+def language_scores(spark, sf_dir):
+    """The language of every document, by trigrams of four documents in five."""
+    rows = docs(spark, sf_dir)
+    model = LanguageModel.fit(rows.where("doc_id % 5 <> 0"), "lang", F.col("text"))
+    return model.detect(rows, "doc_id", F.col("text"))
+
+
+SENTENCES = rf"""n AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), chr(10)),
+    lambda x: trim(x)), lambda x: x <> '') AS l FROM documents), s AS (SELECT doc_id, unnest(range(len(l))) AS s, unnest(l) AS sentence FROM n),
+    w AS (SELECT doc_id, s, unnest(list_filter(string_split_regex(lower(sentence), '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+'), lambda x: x <> '')) AS term FROM s),
+    x AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
+    f AS (SELECT term, CAST(floor(1000 * ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)::DOUBLE)) AS BIGINT) AS idf FROM x GROUP BY term),
+    y AS (SELECT DISTINCT doc_id, s, term FROM w)"""
+
+
+@query(
+    f"""WITH {SENTENCES} SELECT doc_id, CAST(s AS INTEGER) AS s, CAST(trunc(sum(tf * idf) / (count(*) + 3)) AS BIGINT) AS score
+    FROM y JOIN x USING (doc_id, term) JOIN f USING (term) GROUP BY doc_id, s"""
+)
+def sentence_scores(spark, sf_dir):
+    """The score of every sentence of every document."""
+    return E.scored(E.weighed_words(docs(spark, sf_dir), "doc_id", F.col("text")), "doc_id").select("doc_id", "s", "score")
+
+
+@query()
+def sentence_summaries(spark, sf_dir):
+    """Three telling sentences of each document that aren't alike, and its most telling words."""
+    found = E.summaries(docs(spark, sf_dir), "doc_id", F.col("text"))
+    return found.select("doc_id", "summary", F.array_join("tags", ",").alias("tags"))
+
+
 @query()
 def extractive_summary(spark, sf_dir):
     said = plugins.summarize(F.col("text"), plugins.ExtractiveSummarizer(), chars=None)
@@ -632,6 +690,41 @@ def text_embedding_search(spark, sf_dir):
     return R.top_k(asks.where("query_vector is not null"), points, 5, point_id="doc_id")
 
 
+@query(
+    f"""WITH {TAGGED}, a AS (SELECT count(*) AS n FROM documents), c AS (SELECT doc_id, tag, count(*) AS tf FROM t GROUP BY ALL),
+    v AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS term_id, count(*) AS df FROM c GROUP BY tag)
+    SELECT doc_id, term_id, tf, round(tf * ln((a.n + 1) / (df + 1)), 9) AS weight FROM c JOIN v USING (tag), a"""
+)
+def tag_tfidf(spark, sf_dir):
+    """Documents x tags as a table, with dense ids in the order of the tags."""
+    found, _ = M.tf_idf(tagged(spark, sf_dir), "doc_id", F.when(F.col("text") != "", F.col("tags")))
+    return found.select("doc_id", "term_id", "tf", F.round("weight", 9).alias("weight"))
+
+
+@query(
+    f"""WITH {TAGGED}, u AS (SELECT DISTINCT doc_id, tag FROM t), f AS (SELECT tag, count(*) AS n FROM u GROUP BY tag),
+    b AS (SELECT x.tag AS child, y.tag AS parent, fx.n AS n_child, fy.n AS n_parent, count(*) AS n_both FROM u x JOIN u y USING (doc_id)
+    JOIN f fx ON fx.tag = x.tag JOIN f fy ON fy.tag = y.tag WHERE fy.n > fx.n OR fy.n = fx.n AND y.tag < x.tag GROUP BY ALL),
+    p AS (SELECT *, row_number() OVER (PARTITION BY child ORDER BY n_parent, n_both DESC, parent) AS r FROM b WHERE 100 * n_both >= 25 * n_child)
+    SELECT f.tag AS child, parent, f.n AS n_child, n_parent, n_both FROM f LEFT JOIN p ON f.tag = p.child AND r = 1"""
+)
+def tag_subsumption(spark, sf_dir):
+    """Each tag below the tag that subsumes it most closely, from a quarter of its documents on."""
+    rows = tagged(spark, sf_dir).where("text <> ''")
+    return M.tag_tree(rows, "doc_id", F.col("tags"), 25)
+
+
+@query()
+def latent_search(spark, sf_dir):
+    """Documents most alike to each benchmark item, by vectors fitted on the documents' words."""
+    rows = docs(spark, sf_dir)
+    counts = M.counted(rows, "doc_id", M.words_of(F.col("text")))
+    model = M.LatentModel.fit(counts, "doc_id")
+    items = M.counted(table(spark, sf_dir, "benchmark"), "item_id", M.words_of(F.col("text")))
+    asks = model.embed(items, "item_id").select(F.col("item_id").alias("query_id"), F.col("vector").alias("query_vector"))
+    return R.top_k(asks, model.embed(counts, "doc_id"), 5, point_id="doc_id", vector="vector")
+
+
 @query()
 def tag_tfidf_clusters(spark, sf_dir):
-    return X.tag_clusters(tagged(spark, sf_dir).select("doc_id", "tags"), 4).select("doc_id", F.col("cluster").cast("int"))
+    return X.tag_clusters(tagged(spark, sf_dir), 4, "doc_id").select("doc_id", F.col("cluster").cast("int"))

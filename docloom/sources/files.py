@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docloom.functions import text as T
 from docloom.schemas import CORPUS, INVENTORY, LLM_METADATA
 from docloom.sources.parsers import ParserRegistry
+from docloom.sources.record_files import last_of_each
 
 SUFFIXES = (".pdf", ".docx", ".msg")
 #: Files of records: what the writers below make, and what others call such files.
@@ -75,13 +77,14 @@ def snippets(files: DataFrame, read_bytes: int = 50_000, chars: int = 800) -> Da
 
 
 def parse(files: DataFrame, registry: ParserRegistry | None = None, keep_content: bool = False) -> DataFrame:
-    """Adds text, subject and error. One pass; a file that fails has an error and no text."""
+    """Adds text, subject, error and seconds. One pass; a file that fails has an error and no text."""
     registry = registry or ParserRegistry()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, subjects, errors = [], [], []
+            texts, subjects, errors, seconds = [], [], [], []
             for path, content in zip(b["path"], b["content"]):
+                began = time.perf_counter()
                 try:
                     name = path.rsplit("/", 1)[-1]
                     found = registry.get("." + name.rpartition(".")[2] if "." in name else "").parse(content)
@@ -92,12 +95,13 @@ def parse(files: DataFrame, registry: ParserRegistry | None = None, keep_content
                     texts.append(None)
                     subjects.append(None)
                     errors.append(f"{type(e).__name__}: {e}"[:500])
+                seconds.append(time.perf_counter() - began)
             rest = b if keep_content else b.drop(columns="content")
-            yield rest.assign(text=texts, subject=subjects, error=errors)
+            yield rest.assign(text=texts, subject=subjects, error=errors, seconds=seconds)
 
     kept = files.select("path", "size_bytes", "modified_ts", "content")
     content = "content binary, " if keep_content else ""
-    return kept.mapInPandas(run, f"path string, size_bytes long, modified_ts timestamp, {content}text string, subject string, error string")
+    return kept.mapInPandas(run, f"path string, size_bytes long, modified_ts timestamp, {content}text string, subject string, error string, seconds double")
 
 
 def read_jsonl(spark: SparkSession, path: str, recursive: bool = False, pattern: str = RECORDS) -> DataFrame:
@@ -116,16 +120,10 @@ def read_jsonl(spark: SparkSession, path: str, recursive: bool = False, pattern:
 def write_jsonl(docs: DataFrame, path: str, seq_col: str | None = None, append: bool = False) -> None:
     """Corpus records, one a line. With seq_col, of records with equal hash_sha1 only the last is written."""
     if seq_col:
-        last = docs.groupBy("hash_sha1").agg(F.max(seq_col).alias(seq_col))
-        docs = docs.join(last, ["hash_sha1", seq_col]).drop(seq_col)
+        docs = last_of_each(docs, "hash_sha1", seq_col).drop(seq_col)
     docs.write.mode("append" if append else "overwrite").json(path)
 
 
-def write_jsonl_per_hash(docs: DataFrame, path: str) -> None:
-    """Records in folders by hash_sha1 (which leaves the record), for readers that look files up by hash."""
-    docs.write.mode("overwrite").partitionBy("hash_sha1").json(path)
-
-
 def read_ground_truth(spark: SparkSession, path: str, clean: bool = False) -> DataFrame:
     """(query, expected_doc_id), trimmed; rows with either blank leave. clean also drops stray quotes in ids."""
     rows = spark.read.option("header", "true").option("escape", '"').csv(path)
@@ -161,9 +159,3 @@ def load_raw_metadata(spark: SparkSession, folder: str) -> DataFrame:
 def save_ground_truth(truth: DataFrame, path: str) -> None:
     """Ground truth whose content hashes became point ids, as CSV."""
     write_csv(with_point_ids(truth), path)
-
-
-def latest_versions(files: DataFrame) -> DataFrame:
-    """The last row of each path by modification time: a changed file replaces its earlier version."""
-    last = Window.partitionBy("path").orderBy(F.desc("modified_ts"))
-    return files.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
