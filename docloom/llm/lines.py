@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from docloom.llm.shared import drop_table, materialise, released, with_uid
 from docloom.llm.words import SPREAD, U, blocks, stir, word_hashes
 
-#: Counters for token frequency, and how many of them travel in a row: fixed numbers, a byte each once they are summed.
-COUNTERS, CHUNK = 1 << 20, 1 << 12
+#: Counters for token frequency, at least and at most, so many bytes of text for each; a byte each once they are summed.
+#: CHUNK of them travel in a row. Up to DENSE are held by a task while it counts, else only those that it meets.
+LEAST, MOST, BYTES, CHUNK, DENSE = 1 << 20, 1 << 26, 512, 1 << 16, 1 << 22
 #: Bytes of text whose tokens are sorted at a time; pairs of records that are compared at a time.
 PART, PAIRS_AT_ONCE = 1 << 20, 1 << 20
 #: Tokens from which a line has a wide signature of WORDS words of 64 bits beside that of four.
@@ -35,7 +36,8 @@ class Tuning:
 
     #: Bytes of text whose lines a task compares before it sends records on, and whose records make a bucket.
     group: int = 16 << 20
-    #: A token seen more often than this makes no group of its own: groups are of it and one more token.
+    #: A token seen more often than this, and than CROWD times what a counter holds on average, makes no group of its
+    #: own: groups are of it and one more token.
     hot: int = 1 << 12
     #: If both are seen more often than this, the group's records are dealt to blocks that are compared two by two.
     split: int = 1 << 20
@@ -86,54 +88,114 @@ def texts_by_size(batches, most: int):
         yield rows
 
 
-def count_tokens(batches):
-    """Rows (chunk, counters of the chunk as bytes, bytes of text); the text is counted with chunk 0."""
-    total, size = np.zeros(COUNTERS, np.int64), 0
-    for rows in texts_by_size(batches, PART):
-        total += np.bincount((tokens_of([t for _, t in rows])[2] & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        size += sum(len(t) for _, t in rows)
-    yield from chunks_of(total, size)
+#: So many times the average of all counters a token must be seen to be told from those that share its counter.
+CROWD = 16
 
 
-def chunks_of(total: np.ndarray, size: int):
-    some = [k for k in range(COUNTERS // CHUNK) if not k or total[k * CHUNK : (k + 1) * CHUNK].any()]
-    data = [total[k * CHUNK : (k + 1) * CHUNK].astype("<i8").tobytes() for k in some]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(some, pa.int32()), pa.array(data, pa.binary()), pa.array([0 if k else size for k in some], pa.int64())],
-        names=["chunk", "counts", "size"],
-    )
+def counters_for(size: int) -> int:
+    """How many counters a text of so many bytes gets: a power of two."""
+    return min(MOST, max(LEAST, 1 << max(0, size // BYTES).bit_length()))
+
+
+def tallied(cells, counters: int):
+    """Rows (chunk, cells of it that were met, their counts) of arrays of cells."""
+    total, some = np.zeros(counters if counters <= DENSE else 0, np.int64), []
+    for x in cells:
+        if counters <= DENSE:
+            total += np.bincount(x, minlength=counters)
+            continue
+        some.append(np.unique(x, return_counts=True))
+        if len(some) == 8:
+            some = [merged(some)]
+    if counters <= DENSE:
+        cell = np.flatnonzero(total)
+        count = total[cell]
+    else:
+        cell, count = merged(some) if some else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    cuts = np.searchsorted(cell, np.arange(0, counters + CHUNK, CHUNK))
+    for k in np.flatnonzero(np.diff(cuts)):
+        s = slice(cuts[k], cuts[k + 1])
+        data = np.minimum(count[s], 0xFFFFFFFF).astype("<u4").tobytes()
+        columns = [pa.array([k], pa.int32()), pa.array([(cell[s] % CHUNK).astype("<u2").tobytes()], pa.binary()), pa.array([data], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "cells", "counts"])
+
+
+def merged(some: list) -> tuple[np.ndarray, np.ndarray]:
+    cell, back = np.unique(np.concatenate([c for c, _ in some]), return_inverse=True)
+    total = np.zeros(len(cell), np.int64)
+    np.add.at(total, back, np.concatenate([n for _, n in some]))
+    return cell, total
+
+
+def count_tokens(counters: int):
+    def task(batches):
+        cells = lambda rows: (tokens_of([t for _, t in rows])[2] & U(counters - 1)).astype(np.int64)
+        yield from tallied((cells(rows) for rows in texts_by_size(batches, PART)), counters)
+
+    return task
 
 
 def sum_chunks(batches):
-    total, size = np.zeros(COUNTERS, np.int64), 0
-    seen = False
+    """Rows (chunk, ranks of its counters, their sum): a rank is eight times the logarithm, in a byte."""
+    total: dict[int, np.ndarray] = {}
     for b in batches:
-        for k, data, n in zip(*(b.column(c).to_pylist() for c in range(3))):
-            total[k * CHUNK : (k + 1) * CHUNK] += np.frombuffer(data, "<i8")
-            size += n
-            seen = True
-    if seen:
-        yield from chunks_of(total, size)
-
-
-def counted(rows: DataFrame, count) -> tuple[np.ndarray, int]:
-    """All counters, and the bytes of text, of rows that tasks count."""
-    shape = "chunk int, counts binary, size long"
-    total, size = np.zeros(COUNTERS, np.int64), 0
-    chunks = rows.mapInArrow(released(count), shape).repartition("chunk").mapInArrow(sum_chunks, shape)
-    for r in chunks.collect():  # COUNTERS / CHUNK rows of 8 * CHUNK bytes, whatever the input
-        total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] += np.frombuffer(bytes(r.counts), "<i8")
-        size += r.size
-    return total, size
-
-
-def by_rarity(texts: list[bytes], ranks: np.ndarray):
+        for k, cells, counts in zip(*(b.column(c).to_pylist() for c in range(3))):
+            mine = total.setdefault(k, np.zeros(CHUNK, np.int64))
+            mine[np.frombuffer(cells, "<u2")] += np.frombuffer(counts, "<u4")
+    for k, mine in total.items():
+        ranks = np.minimum(np.ceil(8 * np.log2(np.maximum(mine, 1))), 255).astype(np.uint8)
+        # A counter that was met once has rank 0 as one that wasn't: bits of those met stand beside the ranks.
+        columns = [pa.array([k], pa.int32()), pa.array([ranks.tobytes()], pa.binary()), pa.array([np.packbits(mine > 0, bitorder="little").tobytes()], pa.binary()), pa.array([int(mine.sum())], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "ranks", "met", "total"])
+
+
+@dataclass(frozen=True)
+class Tallies:
+    """Ranks of all counters, a bit for each that was met, and the sum of all: MOST bytes and MOST bits at most."""
+
+    ranks: np.ndarray
+    met: np.ndarray
+    total: int
+
+    def rank(self, word: np.ndarray) -> np.ndarray:
+        return self.ranks[(word & U(len(self.ranks) - 1)).astype(np.int64)]
+
+    def has(self, word: np.ndarray) -> np.ndarray:
+        cell = (word & U(len(self.ranks) - 1)).astype(np.int64)
+        return (self.met[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+    def seen(self, word: np.ndarray) -> np.ndarray:
+        """How often a token was seen, with those that share its counter: up to a ninth more."""
+        return np.exp2(self.rank(word) / 8.0)
+
+    def split(self, tuning: Tuning) -> float:
+        """The count from which a pair of hot tokens is dealt to blocks: no less than what one token's group may have."""
+        return max(tuning.split, self.hot(tuning))
+
+    def hot(self, tuning: Tuning) -> float:
+        """The count from which a token is hot: well above what tokens that share a counter have together."""
+        return max(tuning.hot, CROWD * self.total / len(self.ranks))
+
+
+def counted(rows: DataFrame, count, counters: int) -> Tallies:
+    """All counters of rows that tasks count."""
+    ranks, met, total = np.zeros(counters, np.uint8), np.zeros(counters // 8, np.uint8), 0
+    chunks = rows.mapInArrow(released(count), "chunk int, cells binary, counts binary")
+    chunks = chunks.repartition("chunk").mapInArrow(sum_chunks, "chunk int, ranks binary, met binary, total long")
+    for r in chunks.collect():  # a byte and a bit for each counter
+        ranks[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(bytes(r.ranks), np.uint8)
+        met[r.chunk * CHUNK // 8 : (r.chunk + 1) * CHUNK // 8] = np.frombuffer(bytes(r.met), np.uint8)
+        total += r.total
+    return Tallies(ranks, met, total)
+
+
+def by_rarity(texts: list[bytes], tallies: Tallies):
     """(text, line, token) without repeats, each line's tokens from rare to frequent, ties by hash."""
     doc, line, word = tokens_of(texts)
     if not len(doc):
         return doc, line, word
     nth = np.cumsum(np.r_[0, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]).astype(np.uint64)
-    rank = ranks[(word & U(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
+    rank = tallies.rank(word).astype(np.uint64)
     o = None
     if nth[-1] < 1 << 20:
         key = (nth << U(44)) | (rank << U(36)) | (word >> U(28))
@@ -218,7 +280,7 @@ def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
 
 
-def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, tuning: Tuning):
+def keys_of(lines: Lines, keep: np.ndarray, tallies: Tallies, percent: int, tuning: Tuning):
     """(line, key, place, whether it is the line's first) of every record of the lines to keep.
 
     A prefix token makes a record. A hot one makes a record with each of the tokens that its line would have as a prefix
@@ -226,12 +288,12 @@ def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, tun
     """
     head, size, word = lines.head, lines.size, lines.word
     width = size - -(-percent * size // 100) + 1
-    seen = lambda w: np.exp2(ranks[(w & U(COUNTERS - 1)).astype(np.int64)] / 8.0)
+    seen = tallies.seen
     chosen = np.flatnonzero(keep)
     i, at = ranges(head[chosen], head[chosen] + width[chosen])
     owner = chosen[i]
     place = at - head[owner]
-    often = seen(word[at]) > tuning.hot
+    often = seen(word[at]) > tallies.hot(tuning)
     alone = often & (size[owner] == 1)
     plain = np.flatnonzero(~often | alone)
     out = [(owner[plain], np.where(alone[plain], stir(word[at[plain]]), word[at[plain]]), place[plain], place[plain] == 0)]
@@ -242,7 +304,7 @@ def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, tun
         own, second = owner[x], at2 - head[owner[x]]
         key = stir(word[at[x]] ^ stir(word[at2] + SPREAD))
         first = (place[x] == 0) & (second == 1)
-        parts = 1 + (np.minimum(seen(word[at[x]]), seen(word[at2])) / tuning.split).astype(np.int64)
+        parts = 1 + (np.minimum(seen(word[at[x]]), seen(word[at2])) / tallies.split(tuning)).astype(np.int64)
         one = parts == 1
         out.append((own[one], key[one], second[one] - 1, first[one]))
         if not one.all():
@@ -255,10 +317,10 @@ def keys_of(lines: Lines, keep: np.ndarray, ranks: np.ndarray, percent: int, tun
     return tuple(np.concatenate(z) for z in zip(*out))
 
 
-def records(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning, only: np.ndarray | None = None):
+def records(tallies: Tallies, percent: int, buckets: int, tuning: Tuning, only: Tallies | None = None):
     """Blobs of the records of each distinct line of a task. A line that equals an earlier one of its task is gone.
 
-    only: a bit for each of COUNTERS; then records whose key's bit isn't set are left out, and what is gone.
+    only: counters of keys; then records whose key's counter wasn't met are left out, and what is gone.
     """
 
     def task(batches):
@@ -268,7 +330,7 @@ def records(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning, only:
             for k, (_, text) in enumerate(rows):
                 size += len(text)
                 if size >= PART or k + 1 == len(rows):
-                    doc, line, word = by_rarity([t for _, t in rows[first : k + 1]], ranks)
+                    doc, line, word = by_rarity([t for _, t in rows[first : k + 1]], tallies)
                     found.append((doc + np.int32(first), line, word))
                     first, size = k + 1, 0
             uids = np.array([u for u, _ in rows], np.int64)
@@ -286,10 +348,9 @@ def records(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning, only:
             if len(gone) and only is None:
                 data = packed({"uid": uids[lines.doc[gone]], "line": lines.line[gone]}, LINES)
                 yield blob_rows([(int(uids[0] % buckets), GONE, data)])
-            owner, key, place, whole = keys_of(lines, keep, ranks, percent, tuning)
+            owner, key, place, whole = keys_of(lines, keep, tallies, percent, tuning)
             if only is not None:
-                cell = (key & U(COUNTERS - 1)).astype(np.int64)
-                x = np.flatnonzero(only[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
+                x = np.flatnonzero(only.has(key))
                 if not len(x):
                     continue
                 owner, key, place, whole = owner[x], key[x], place[x], whole[x]
@@ -316,37 +377,33 @@ def records(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning, only:
     return task
 
 
-def listed_keys(batch: pa.RecordBatch, ranks: np.ndarray, percent: int, tuning: Tuning):
+def listed_keys(batch: pa.RecordBatch, tallies: Tallies, percent: int, tuning: Tuning):
     """(row, key) of all records of a table (uid, line, tokens)."""
     n = np.diff(batch.column(2).offsets.to_numpy())
     word = batch.column(2).flatten().to_numpy().view(np.uint64)
     nth = np.repeat(np.arange(batch.num_rows, dtype=np.int32), n)
-    rank = ranks[(word & U(COUNTERS - 1)).astype(np.int64)]
-    o = np.lexsort((word, word >> U(28), rank, nth))
+    o = np.lexsort((word, word >> U(28), tallies.rank(word), nth))
     lines = Lines(nth[o], np.zeros(len(o), np.int32), word[o])
-    owner, key, _, _ = keys_of(lines, np.ones(len(lines.head), bool), ranks, percent, tuning)
+    owner, key, _, _ = keys_of(lines, np.ones(len(lines.head), bool), tallies, percent, tuning)
     return lines.doc[owner], key
 
 
-def count_keys(ranks: np.ndarray, percent: int, tuning: Tuning):
-    """As count_tokens(), of the keys of lines given by their tokens."""
+def count_keys(tallies: Tallies, percent: int, tuning: Tuning):
+    """As count_tokens(), of the keys of lines given by their tokens, in as many counters."""
+    counters = len(tallies.ranks)
 
     def task(batches):
-        total = np.zeros(COUNTERS, np.int64)
-        for b in batches:
-            key = listed_keys(b, ranks, percent, tuning)[1]
-            total += np.bincount((key & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        yield from chunks_of(total, 0)
+        yield from tallied(((listed_keys(b, tallies, percent, tuning)[1] & U(counters - 1)).astype(np.int64) for b in batches), counters)
 
     return task
 
 
-def open_lines(ranks: np.ndarray, percent: int, buckets: int, tuning: Tuning):
+def open_lines(tallies: Tallies, percent: int, buckets: int, tuning: Tuning):
     """Blobs (uid, line) of the lines of a table (uid, line, tokens), for every bucket that has records of them."""
 
     def task(batches):
         for b in batches:
-            row, key = listed_keys(b, ranks, percent, tuning)
+            row, key = listed_keys(b, tallies, percent, tuning)
             bucket = ((key & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
             uid, line = b.column(0).to_numpy(), b.column(1).to_numpy()
             out = []
@@ -635,8 +692,8 @@ def dedup_lines(
     goes if an earlier one (smaller id, or before in the same document; itself removed or not) has Jaccard similarity of
     percent (51 to 100) or more with it. Lines without a word stay.
 
-    1. Tokens are counted over all lines, in COUNTERS counters, and ordered by their counter, rare ones first, then by
-       hash. Two similar lines share one of their first size - ceil(percent * size) + 1 tokens, so each distinct line
+    1. Tokens are counted over all lines, in counters whose number follows the input, and ordered by their counter, rare
+       ones first, then by hash. Two similar lines share one of their first size - ceil(percent * size) + 1 tokens, so each distinct line
        of a task makes a record for each of these. Records are dealt to buckets by token and travel many to a row.
     2. Of equal lines (128 bits of hash over all tokens) all but the first are gone: those of one task before anything
        is sent, others where their first tokens meet. Other lines of a token are compared by length, by place and by
@@ -644,9 +701,10 @@ def dedup_lines(
     3. Candidates are verified on whole token sets, the most alike one first. For a line that had more candidates than
        were kept and none that holds, all of them are verified.
 
-    A very frequent token makes no group of its own: lines that have it meet by it and one more token, and where both
+    A very frequent token, one seen 4096 times and sixteen times as often as a counter's tokens are on average, makes no group of its own: lines that have it meet by it and one more token, and where both
     are frequent, blocks of such lines meet two by two. So a task's memory is bounded by tuning.group bytes of text and
-    by 2 * tuning.split records of a group, and no pair is lost.
+    by 2 * tuning.split records of a group, from some hundred GB of text on by 32 times the average of a counter, and no
+    pair is lost.
 
     Columns: doc_id, n_lines, n_removed, text (the other lines joined by newlines), with
     carry row, a struct of the other input columns.
@@ -657,13 +715,17 @@ def dedup_lines(
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be 51 to 100")
+    spark = docs.sparkSession
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     short = rows.select("uid", "text")
-    total, size = counted(short, count_tokens)
-    ranks = np.minimum(np.ceil(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
+    size = short.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counters = counters_for(size)
+    tallies = counted(short, count_tokens(counters), counters)
     buckets = max(1, math.ceil(size / tuning.group))
-    made = short.mapInArrow(released(records(ranks, percent, buckets, tuning)), BLOBS)
-    in_buckets = lambda blobs: blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    # Many buckets share a partition, one after the other, where there are more of them than partitions.
+    partitions = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    made = short.mapInArrow(released(records(tallies, percent, buckets, tuning)), BLOBS)
+    in_buckets = lambda blobs: blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     found = materialise(in_buckets(made).mapInArrow(released(pair_up(percent, False, tuning)), FOUND), "found")
     gone = found.where("other is null").select("uid", "line").distinct()
     pairs = found.where("other is not null").groupBy("uid", "line", "other", "other_line").agg(
@@ -679,9 +741,9 @@ def dedup_lines(
     if not undecided.isEmpty():
         theirs = sets.join(undecided, ["uid", "line"], "left_semi")
         # Records of other keys than theirs can't bring them a partner.
-        only = np.packbits(counted(theirs, count_keys(ranks, percent, tuning))[0] > 0, bitorder="little")
-        marks = theirs.mapInArrow(open_lines(ranks, percent, buckets, tuning), BLOBS)
-        some = short.mapInArrow(released(records(ranks, percent, buckets, tuning, only)), BLOBS)
+        only = counted(theirs, count_keys(tallies, percent, tuning), counters)
+        marks = theirs.mapInArrow(open_lines(tallies, percent, buckets, tuning), BLOBS)
+        some = short.mapInArrow(released(records(tallies, percent, buckets, tuning, only)), BLOBS)
         again = in_buckets(some.unionByName(marks)).mapInArrow(released(pair_up(percent, True, tuning)), FOUND)
         more = materialise(again.select("uid", "line", "other", "other_line").distinct(), "pairs")
         more_sets = asked_sets(more, rows, few=True)
