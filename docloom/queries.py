@@ -154,18 +154,15 @@ def summary_fallback(spark, sf_dir):
 
 @query(
     f"""SELECT sha1(text) AS hash_content, source, lang AS language, '' AS category, false AS is_duplicate,
-    CAST(0 AS BIGINT) AS size_bytes, CAST(len({WORDS}) AS INTEGER) AS token_estimate FROM documents
-    WHERE {STRIP} <> ''"""
+    CAST(0 AS BIGINT) AS size_bytes, CAST(len({WORDS}) AS INTEGER) AS token_estimate, md5(text) AS text,
+    CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS summary, '' AS tags,
+    0.0::DOUBLE AS created_ts, 0.0::DOUBLE AS modified_ts, 0.0::DOUBLE AS pii_risk FROM documents WHERE {STRIP} <> ''"""
 )
 def payload_defaults(spark, sf_dir):
+    """All fields of a point's payload, most of them by their defaults."""
     rows = D.enrich(docs(spark, sf_dir)).withColumns({"hash_content": F.col("hash_sha1"), "language": F.col("lang")})
-    points = D.prepare_points(rows.drop("pii_risk"), "source")
-    return points.select(
-        *[
-            f"payload.{c}"
-            for c in ("hash_content", "source", "language", "category", "is_duplicate", "size_bytes", "token_estimate")
-        ]
-    )
+    points = D.prepare_points(rows.drop("pii_risk"), "source").select("payload.*")
+    return points.withColumns({"text": F.md5("text"), "tags": F.array_join("tags", ",")})
 
 
 @query(
