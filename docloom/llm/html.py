@@ -74,13 +74,15 @@ FOREIGN = {"svg", "math"}
 class Block:
     """A run of text without a block element inside. place: 1 in an article, -1 around it, 0 unknown.
 
-    linked counts letters in links, links the links themselves; why names the rule that decided.
+    linked counts letters in links, links the links themselves; marks are those of the elements that it stands in; why
+    names the rule that decided.
     """
 
-    __slots__ = ("text", "linked", "links", "heading", "place", "kind", "why")
+    __slots__ = ("text", "letters", "linked", "links", "heading", "place", "marks", "kind", "why")
 
-    def __init__(self, text: str, linked: int, links: int, heading: bool, place: int):
-        self.text, self.linked, self.links, self.heading, self.place = text, linked, links, heading, place
+    def __init__(self, text: str, linked: int, links: int, heading: bool, place: int, marks: tuple[int, ...] = ()):
+        self.text, self.linked, self.links, self.heading, self.place, self.marks = text, linked, links, heading, place, marks
+        self.letters = len("".join(text.split()))
         self.kind = self.why = ""
 
 
@@ -106,22 +108,32 @@ def attributes_of(page: str, at: int) -> tuple[dict[str, str], bool, int]:
         at = m.end()
 
 
-def named_around(attributes: dict[str, str], names: set[str]) -> bool:
-    """Whether class, id or role name something around an article, or the element is hidden."""
+def named_around(attributes: dict[str, str], names: set[str], firm: set[str] = frozenset()) -> str:
+    """"name" if class, id or role name something around an article, "firm" if it is one of those or hidden, else ""."""
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True
+        return "firm"
     if HIDDEN.search(html.unescape(attributes.get("style", ""))):
-        return True
+        return "firm"
+    found = ""
     for key in ("class", "id", "role"):
         for one in html.unescape(attributes.get(key, "")).lower().split():
             parts = [x for x in SPLIT_NAME.split(one) if x]
             if not names.isdisjoint(parts) and all(x in AROUND_NAMES or x in NEUTRAL_NAMES or x.isdigit() for x in parts):
-                return True
-    return False
+                if not firm.isdisjoint(parts):
+                    return "firm"
+                found = "name"
+    return found
 
 
+#: Elements whose mark stands whatever they hold, and names likewise: readers' words and adverts may be articles.
+FIRM, FIRM_NAMES = {"nav", "footer", "aside", "menu"}, {
+    "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "related", "recommended", "ad", "ads", "advert", "adverts",
+    "advertisement", "advertising", "sponsor", "sponsored", "promo", "promoted", "promotion", "sidebar", "nav", "navbar", "navigation", "footer",
+}
 #: Within an article its own header stays; an article may be a reader's comment or an advert itself.
 INSIDE_NAMES = AROUND_NAMES - {"header", "masthead"}
+#: Names that a paragraph or a heading of an article may have for its subject.
+SUBJECTS = {"search", "tags", "social", "share", "sharing", "alert", "message", "dialog", "navigation", "banner", "notice", "disclaimer"}
 ARTICLE_NAMES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related"}
 
 
@@ -138,17 +150,18 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = n_links = 0
-    stack: list[tuple[str, int, bool]] = []  # (element, place inside, dropped)
+    stack: list[tuple[str, bool, tuple[int, ...], bool]] = []  # (element, whether in an article, marks, dropped)
+    kinds: list[str] = []  # of each mark: firm, form, or name
     where: dict[str, list[int]] = {}  # places in the stack of each open element
     scopes: list[int] = []
     ends: dict[str, re.Pattern] = {}
-    place, dropped, links, heading = 0, False, 0, False
+    article, marks, dropped, links, heading = False, (), False, 0, False
 
     def flush() -> None:
         nonlocal parts, linked, n_links
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, linked, n_links, heading, place))
+            out.append(Block(text, linked, n_links, heading, int(article), marks))
         parts, linked, n_links = [], 0, 0
 
     def say(raw: str, decode: bool = True) -> None:
@@ -161,7 +174,7 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(k: int) -> None:
         """Take all elements from the k-th on off the stack."""
-        nonlocal place, dropped, links
+        nonlocal article, marks, dropped, links
         while len(stack) > k:
             tag = stack.pop()[0]
             where[tag].pop()
@@ -169,7 +182,7 @@ def blocks_of(page: str) -> list[Block]:
                 scopes.pop()
             if tag == "a":
                 links -= 1
-        place, dropped = stack[-1][1:] if stack else (0, False)
+        article, marks, dropped = stack[-1][1:] if stack else (False, (), False)
 
     at, n = 0, len(page)
     last = page.rfind(">")
@@ -232,36 +245,93 @@ def blocks_of(page: str) -> list[Block]:
             n_links += 1
         if tag in HEADINGS:
             heading = True
-        inside = place
-        names = ARTICLE_NAMES if tag in ("article", "main") else INSIDE_NAMES if place == 1 else AROUND_NAMES
-        if tag in AROUND or (tag == "header" and place != 1) or (
-            tag not in ("html", "body") and attributes and named_around(attributes, names)
-        ):
-            inside = -1
-        elif tag in ("article", "main") and place != -1:
-            inside = 1
-        place, dropped = inside, dropped or tag in DROPPED
+        names = ARTICLE_NAMES if tag in ("article", "main") else INSIDE_NAMES if article else AROUND_NAMES
+        if article and (tag == "p" or tag in HEADINGS):
+            names = names - SUBJECTS
+        kind = ""
+        if tag not in ("html", "body") and attributes:
+            kind = named_around(attributes, names, FIRM_NAMES)
+        if tag in FIRM or (tag == "header" and not article):
+            kind = "firm"
+        elif tag in AROUND and kind != "firm":
+            kind = "form"
+        if kind:
+            marks = (*marks, len(kinds))
+            kinds.append(kind)
+        if tag in ("article", "main") and not kind:
+            article = True
+        dropped = dropped or tag in DROPPED
         where.setdefault(tag, []).append(len(stack))
         if tag in SCOPES:
             scopes.append(len(stack))
-        stack.append((tag, place, dropped))
+        stack.append((tag, article, marks, dropped))
     flush()
+    placed(out, kinds)
     return out
 
 
+def placed(blocks: list[Block], kinds: list[str]) -> None:
+    """Blocks in a mark that holds are around the article.
+
+    A form that holds more than half of the page's letters outside links is the page's own wrapper and marks nothing; an
+    element with a name such as social marks nothing if the page's only article or main is in it.
+    """
+    plain = [b.letters - b.linked for b in blocks]
+    held = [0] * len(kinds)
+    has = [False] * len(kinds)
+    for b, n in zip(blocks, plain):
+        for m in b.marks:
+            held[m] += n
+            has[m] = has[m] or b.place > 0
+    outside = any(b.place > 0 and not b.marks for b in blocks)
+    total = sum(plain)
+    loose = {m for m, kind in enumerate(kinds) if kind == "form" and 2 * held[m] > total or kind == "name" and has[m] and not outside}
+    for b in blocks:
+        if any(m not in loose for m in b.marks):
+            b.place = -1
+
+
+#: What ends a sentence, perhaps before quotes and brackets, and what parts one, in any script.
+ENDED = re.compile(r"[.!?…。！？۔।:;؟]['\"”’»›)\]」』）]*$")
+PARTED = re.compile(r"[.!?…,;:](?=\s|$)|[。！？、，；：۔।،؛؟]")
+#: Characters of scripts that write no spaces count as this many.
+WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\u0e00-\u0e7f\U00020000-\U0002ffff]")
+WIDTH = 3
+
+
+def stop_words_of(block: Block) -> tuple[int, int]:
+    """(stop words, words) of a block; characters of scripts without spaces are words, about."""
+    words = block.text.lower().split()
+    return sum(w.strip(".,;:!?()\"'«»„“”’") in STOP_WORDS for w in words), len(words) + len(WIDE.findall(block.text))
+
+
+def written_as_prose(block: Block, size: int) -> bool:
+    """Whether a block reads as sentences in a language of which no word is known: it ends one, and is parted as often as prose is."""
+    return bool(ENDED.search(block.text)) and len(PARTED.findall(block.text)) * 150 >= size
+
+
 def classify(blocks: list[Block]) -> None:
     """First pass: link density, length and stop words make a block good, bad, near good or short.
 
+    Where fewer words of a page's text outside links are known stop words than prose has, its language may be none of those
+    listed: then being punctuated as prose counts like stop words, and characters of scripts without spaces count threefold.
+
     Marks come after these: what stands in an element or under a name that is known to stand around articles is bad,
-    whatever its words. In an article or main few stop words don't make a block bad by themselves, nor does one link
-    that is a whole sentence, nor a copyright sign: its neighbours decide.
+    whatever its words. In an article or main few stop words don't make a block bad by themselves, nor do links in a
+    sentence or in a heading, nor a copyright sign: its neighbours decide.
     """
-    for b in blocks:
+    counts = [stop_words_of(b) for b in blocks]
+    told = [c for b, c in zip(blocks, counts) if 2 * b.linked <= b.letters]
+    strange = sum(n for n, _ in told) < MANY_STOPS * sum(m for _, m in told)
+    for b, (n, m) in zip(blocks, counts):
         size = len(b.text)
-        letters = len("".join(b.text.split())) or 1
-        words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?()\"'«»„“”’") in STOP_WORDS for w in words) / len(words)
-        if b.linked / letters > LINKS and not (b.place > 0 and b.links == 1 and size >= SHORT):
+        letters = b.letters or 1
+        stops = n / m
+        if strange:
+            size += (WIDTH - 1) * len(WIDE.findall(b.text))
+            stops = max(stops, MANY_STOPS if written_as_prose(b, size) else 0.0)
+        prose = b.place > 0 and (b.heading or size >= SHORT and (b.links == 1 or b.linked < letters and bool(ENDED.search(b.text))))
+        if b.linked / letters > LINKS and not prose:
             b.kind, b.why = "bad", "link density"
         elif b.text[0] == "©" and b.place <= 0:
             b.kind, b.why = "bad", "copyright line"
