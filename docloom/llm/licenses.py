@@ -140,14 +140,18 @@ def once(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(built)).alias("_built")).select("*", "_built.*").drop("_built")
 
 
-def windows(rows: DataFrame, known: list[tuple[str, list[str], int]], percent: int, is_notice) -> DataFrame:
+def windows(rows: DataFrame, known: list[tuple[str, list[str], int, tuple[str, str]]], percent: int, is_notice) -> DataFrame:
     """Notices inside lines and over neighbouring lines of rows (doc_id, lines), as scan_licenses() returns them.
 
-    A window starts and ends with a word pair of the template and has at most (200 - percent) / percent
-    times as many pairs as the template. Windows that touch a line, or are in a text, that is a notice by
-    itself are left to it (is_notice). Of windows that overlap, the one with most shared pairs less those of only one side is
-    taken (so that a longer licence wins over its own part), then the next that overlaps none taken; among equals that
-    of greater dice, then the first by template, then by place.
+    Word pairs of a template that stand side by side in the text are a run. A window goes from the start of a run to the
+    end of one, and where runs of several notices grow together from a template's first pair or to its last; it has at
+    most (200 - percent) / percent times as many pairs as the template. To make it longer or shorter within a run would
+    only lose pairs of the template, or win none. Of the windows of a template from one start the best counts: the one
+    with most shared pairs less those of only one side, so that a longer licence wins over its own part, then the one
+    of greater dice, then the shorter. Windows that touch a line, or are in a text, that is a notice by itself are left
+    to it (is_notice). Of windows that overlap the best is taken, then the next that overlaps none taken; among equals
+    the first by template, then by place. A long text is cut into pieces of twice the longest window once, so that a
+    window costs its own length, however many notices a text holds.
     """
     spaced = lambda x: F.split(F.trim(F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", " ")), " ")
     of_line = lambda x, i: F.transform(
@@ -157,54 +161,70 @@ def windows(rows: DataFrame, known: list[tuple[str, list[str], int]], percent: i
     words, pairs = F.col("words"), F.col("pairs")
     two = lambda p: F.concat_ws(" ", words[p]["w"], words[p + 1]["w"])
     rows = once(rows, pairs=F.transform(F.sequence(F.lit(0), F.size("words") - 2), two))
-    every = sorted({b for _, bigrams, _ in known for b in bigrams})
+    every = sorted({b for _, bigrams, _, _ in known for b in bigrams})
     at = F.transform("pairs", lambda b, p: F.struct(p.alias("p"), b.alias("b")))
     hit = lambda bigrams: lambda h: h["b"].isin(bigrams)
     rows = once(rows, hits=F.filter(at, hit(every)))
-    sizes = [(-(-percent * len(b) // (200 - percent)), (200 - percent) * n // percent) for _, b, n in known]
+    sizes = [(-(-percent * len(b) // (200 - percent)), (200 - percent) * n // percent) for _, b, n, _ in known]
     rows = rows.where(F.size("hits") >= min(least for least, _ in sizes))
     listed = [
         F.struct(
-            F.lit(k).alias("nth"), F.lit(name).alias("name"), F.lit(len(b)).alias("n"), F.lit(least).alias("least"),
-            F.lit(most).alias("most"), F.filter("hits", hit(b)).alias("m"),
+            F.lit(k).alias("nth"), F.lit(name).alias("name"), F.array(*map(F.lit, b)).alias("b"), F.lit(least).alias("least"), F.lit(most).alias("most"),
+            F.lit(ends[0]).alias("first"), F.lit(ends[1]).alias("last"), F.filter("hits", hit(b)).alias("m"),
         )
-        for k, ((name, b, _), (least, most)) in enumerate(zip(known, sizes))
+        for k, ((name, b, _, ends), (least, most)) in enumerate(zip(known, sizes))
     ]
-
-    def from_start(t: Column, a: Column) -> Column:
-        start = t["m"][a]["p"]
-        last = F.least(F.size(t["m"]) - 1, a + t["most"] - 1)
-        ends = F.filter(F.sequence(a + t["least"] - 1, last), lambda c: t["m"][c]["p"] - start < t["most"])
-
-        def window(c: Column) -> Column:
-            end = t["m"][c]["p"]
-            both = F.size(F.array_distinct(F.transform(F.slice(t["m"], a + 1, c - a + 1), lambda h: h["b"])))
-            size = F.size(F.array_distinct(F.slice(pairs, start + 1, end - start + 1)))
-            return F.struct(
-                (size + t["n"] - 3 * both).alias("rank"), (-2.0 * both / (size + t["n"])).alias("less"), t["nth"].alias("nth"), start.alias("start"), (end + 1).alias("end"),
-                words[start]["line"].alias("first"), words[end + 1]["line"].alias("last"), t["name"].alias("license"),
-            )
-
-        return F.filter(F.transform(ends, window), lambda x: -100 * x["less"] >= percent)
+    piece = max(most for _, most in sizes)
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("pairs") - 1) / piece).cast("int")), lambda k: F.slice("pairs", k * piece + 1, 2 * piece))
+    dealt = F.filter(F.array(*listed), lambda t: F.size(t["m"]) >= t["least"])
+    some = once(rows, dealt=dealt).where(F.size("dealt") > 0)
+    some = once(some, pieces=cut)
+
+    place = lambda t, k: t["m"][k]["p"]
+
+    def best_from(t: Column, k: Column, stops) -> Column:
+        """The best window from the k-th hit, in an array; none if none is alike enough."""
+        start = place(t, k)
+        text = F.slice(F.get("pieces", F.floor(start / piece).cast("int")), F.pmod(start, F.lit(piece)) + 1, t["most"])
+        near = F.sequence(k + t["least"] - 1, F.least(F.size(t["m"]), k + t["most"]) - 1)
+        fit = F.transform(F.filter(near, lambda c: (place(t, c) < start + t["most"]) & stops(c)), lambda c: place(t, c))
+
+        def window(own: Column, e: Column) -> Column:
+            inside = F.array_distinct(F.slice(own, F.lit(1), e - start + 1))
+            return F.transform(
+                F.array(F.struct(F.size(inside).alias("size"), F.size(F.array_intersect(inside, t["b"])).alias("both"))),
+                lambda c: F.struct(
+                    (c["size"] + F.size(t["b"]) - 3 * c["both"]).alias("rank"), (-2.0 * c["both"] / (c["size"] + F.size(t["b"]))).alias("less"),
+                    t["nth"].alias("nth"), start.alias("start"), (e + 1).alias("end"), t["name"].alias("license"),
+                ),
+            )[0]
+
+        # Bound to a name by a list of one, so that the piece is cut once.
+        found = F.transform(F.array(text), lambda own: F.transform(fit, lambda e: window(own, e)))[0]
+        return F.slice(F.array_sort(F.filter(found, lambda x: -100 * x["less"] >= percent)), 1, 1)
 
     def of_template(t: Column) -> Column:
-        dense = lambda a: t["m"][a + t["least"] - 1]["p"] - t["m"][a]["p"] < t["most"]
-        starts = F.filter(F.sequence(F.lit(0), F.size(t["m"]) - t["least"]), dense)
-        return F.flatten(F.transform(starts, lambda a: from_start(t, a)))
-
-    some = once(rows, dealt=F.filter(F.array(*listed), lambda t: F.size(t["m"]) >= t["least"])).where(F.size("dealt") > 0)
-    some = once(some, all=F.flatten(F.transform("dealt", of_template))).where(F.size("all") > 0)
+        last = F.size(t["m"]) - 1
+        begins = lambda k: (k == 0) | (F.get(t["m"], k - 1)["p"] + 1 != place(t, k)) | (t["m"][k]["b"] == t["first"])
+        stops = lambda k: (k == last) | (F.get(t["m"], k + 1)["p"] - 1 != place(t, k)) | (t["m"][k]["b"] == t["last"])
+        # From there on the text holds as many hits as a window needs.
+        dense = lambda k: place(t, k + t["least"] - 1) - place(t, k) < t["most"]
+        starts = F.filter(F.sequence(F.lit(0), last + 1 - t["least"]), lambda k: dense(k) & begins(k))
+        return F.flatten(F.transform(starts, lambda k: best_from(t, k, stops)))
+
+    found = once(some, all=F.flatten(F.transform("dealt", of_template))).where(F.size("all") > 0)
+    lined = F.transform("all", lambda x: x.withField("from", words[x["start"]]["line"]).withField("to", words[x["end"]]["line"]))
     numbered = F.transform("lines", lambda x, i: F.struct(i.cast("long").alias("i"), is_notice(x).alias("yes")))
-    some = once(some, taken=F.filter(numbered, lambda x: x["yes"]), whole=is_notice(F.array_join("lines", "\n"))).where(~F.col("whole"))
-    free = lambda x: ~F.exists("taken", lambda y: (y["i"] >= x["first"]) & (y["i"] <= x["last"]))
-    some = once(some, free=F.array_sort(F.filter("all", free)))
+    found = once(found, lined=lined, taken=F.filter(numbered, lambda x: x["yes"]), whole=is_notice(F.array_join("lines", "\n"))).where(~F.col("whole"))
+    free = lambda x: ~F.exists("taken", lambda y: (y["i"] >= x["from"]) & (y["i"] <= x["to"]))
+    found = once(found, free=F.array_sort(F.filter("lined", free)))
     apart = lambda out, x: ~F.exists(out, lambda y: (y["start"] <= x["end"]) & (x["start"] <= y["end"]))
     chosen = F.aggregate(
         "free", F.slice("free", 1, 0), lambda out, x: F.when(apart(out, x), F.concat(out, F.array(x))).otherwise(out)
     )
-    found = some.select("doc_id", "words", F.explode(chosen).alias("x"))
-    passage = F.array_join(F.transform(F.slice("words", F.col("x.start") + 1, F.col("x.end") - F.col("x.start") + 1), lambda w: w["w"]), " ")
-    return found.select("doc_id", F.col("x.first").alias("place"), passage.alias("passage"), "x.license", (-F.col("x.less")).alias("dice"))
+    spoken = lambda x: F.array_join(F.transform(F.slice("words", x["start"] + 1, x["end"] - x["start"] + 1), lambda w: w["w"]), " ")
+    each = F.transform(chosen, lambda x: F.struct(x["from"].alias("place"), spoken(x).alias("passage"), x["license"].alias("license"), (-x["less"]).alias("dice")))
+    return found.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.*")
 
 
 def scan_licenses(
@@ -227,7 +247,8 @@ def scan_licenses(
 
     templates is a short list: it becomes literals of the plan. Null and empty texts have no passages;
     ids are passed on as they come, repeated rows are scanned each; an empty table gives no rows; other
-    columns are not read.
+    columns are not read. A text may be as long as a task's memory holds some tens of times; time grows with its words,
+    and with the square of its notices by a small constant (a thousand in one text take seconds).
     """
     known = known_templates(templates)
     low = min(-(-percent * len(b) // (200 - percent)) for _, b in known)
@@ -269,16 +290,29 @@ def scan_licenses(
         return F.array_max(scored)
 
     def is_notice(passage: Column) -> Column:
-        return F.coalesce(100 * F.transform(F.array(word_bigrams(passage)), best)[0]["dice"] >= percent, F.lit(False))
+        built = F.filter(F.array(word_bigrams(passage)), lambda b: F.size(b).between(low, high))
+        yes = F.coalesce(100 * F.get(F.transform(built, best), F.lit(0))["dice"] >= percent, F.lit(False))
+        return F.when(F.lower(passage).rlike(some), yes).otherwise(False)
 
     found = passages.select("doc_id", "place", "passage", best(F.col("bigrams")).alias("best"))
     found = found.where(100 * F.col("best.dice") >= percent).select("doc_id", "place", "passage", "best.license", "best.dice")
-    counted = [(name, b, count) for (name, b), count in zip(known, (pairs_in(text) for _, text in sorted(templates)))]
+    texts = [text for _, text in sorted(templates)]
+    counted = [(name, b, pairs_in(text), edges_of(text)) for (name, b), text in zip(known, texts)]
     return found.unionByName(windows(rows, counted, percent, is_notice))
 
 
+def words_in(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
 def pairs_in(text: str) -> int:
-    return len("".join(c if c.isalnum() else " " for c in text.lower()).split()) - 1
+    return len(words_in(text)) - 1
+
+
+def edges_of(text: str) -> tuple[str, str]:
+    """The first and the last pair of a template."""
+    words = words_in(text)
+    return " ".join(words[:2]), " ".join(words[-2:])
 
 
 def known_templates(templates: list[tuple[str, str]]) -> list[tuple[str, list[str]]]:
