@@ -102,7 +102,7 @@ def tallied(cells, counters: int):
     total, some = np.zeros(counters if counters <= DENSE else 0, np.int64), []
     for x in cells:
         if counters <= DENSE:
-            total += np.bincount(x, minlength=counters)
+            np.add.at(total, x, 1)
             continue
         some.append(np.unique(x, return_counts=True))
         if len(some) == 8:
