@@ -73,8 +73,8 @@ def fingerprint_documents(
     Texts cross the network once, by id, and the heads of next texts once; only canonical texts whose
     hash occurs twice or more (narrow rows tell) are then grouped, with partial aggregation.
 
-    Null texts count as empty. Null ids come after all others, rows with equal ids in descending order
-    of text, and each row is a document. A single row is its own next document. An empty table gives
+    Null texts count as empty. Null ids come after all others; rows with equal ids stand in descending order of a hash of
+    their texts, and each row is a document. A text may be as long as a task's memory holds a few times. A single row is its own next document. An empty table gives
     no rows. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.shared import drop_table, materialise, released, with_uid
-from docloom.llm.words import SPREAD, U, blocks, stir, word_hashes
+from docloom.llm.words import SPREAD, U, blocks, new_seed, stir, word_hashes
 
-#: Counters for token frequency, at least and at most, so many bytes of text for each; a byte each once they are summed.
+#: Counters for token frequency, at least and at most, so many bytes of the table's files for each; a byte each once they are summed.
 #: CHUNK of them travel in a row. Up to DENSE are held by a task while it counts, else only those that it meets.
-LEAST, MOST, BYTES, CHUNK, DENSE = 1 << 20, 1 << 26, 512, 1 << 16, 1 << 22
+LEAST, MOST, BYTES, CHUNK, DENSE = 1 << 20, 1 << 26, 320, 1 << 16, 1 << 22
 #: Bytes of text whose tokens are sorted at a time; pairs of records that are compared at a time.
 PART, PAIRS_AT_ONCE = 1 << 20, 1 << 20
 #: Tokens from which a line has a wide signature of WORDS words of 64 bits beside that of four.
@@ -49,14 +49,14 @@ class Tuning:
     most: int = 16
 
 
-def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tokens_of(texts: list[bytes], seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, line in it, hash) of every word."""
     docs, lines, words = [], [], []
     begun: dict[int, int] = {}  # newlines in the earlier pieces of a long text
     for first, pieces in blocks(texts):
         data = b"\n".join(pieces)
         ends = np.cumsum([len(p) + 1 for p in pieces])
-        start, h = word_hashes(data)
+        start, h = word_hashes(data, seed)
         breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
         piece = np.searchsorted(ends, start, side="right")
         before = np.searchsorted(breaks, np.r_[0, ends[:-1]])[piece]
@@ -93,12 +93,21 @@ CROWD = 16
 
 
 def counters_for(size: int) -> int:
-    """How many counters a text of so many bytes gets: a power of two."""
+    """How many counters a table of so many bytes gets: a power of two."""
     return min(MOST, max(LEAST, 1 << max(0, size // BYTES).bit_length()))
 
 
-def tallied(cells, counters: int):
-    """Rows (chunk, cells of it that were met, their counts) of arrays of cells."""
+def bytes_of(docs: DataFrame) -> int:
+    """About how many bytes a table has, those of the files it is read from. It only sizes the counters; 0 without files."""
+    spark, total = docs.sparkSession, 0
+    for file in docs.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return total
+
+
+def tallied(cells, counters: int, size=lambda: 0):
+    """Rows (chunk, cells of it that were met, their counts, bytes of text) of arrays of cells; the text counts with the first."""
     total, some = np.zeros(counters if counters <= DENSE else 0, np.int64), []
     for x in cells:
         if counters <= DENSE:
@@ -113,11 +122,11 @@ def tallied(cells, counters: int):
     else:
         cell, count = merged(some) if some else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     cuts = np.searchsorted(cell, np.arange(0, counters + CHUNK, CHUNK))
-    for k in np.flatnonzero(np.diff(cuts)):
+    for nth, k in enumerate(np.flatnonzero(np.diff(cuts))):
         s = slice(cuts[k], cuts[k + 1])
         data = np.minimum(count[s], 0xFFFFFFFF).astype("<u4").tobytes()
-        columns = [pa.array([k], pa.int32()), pa.array([(cell[s] % CHUNK).astype("<u2").tobytes()], pa.binary()), pa.array([data], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "cells", "counts"])
+        columns = [pa.array([k], pa.int32()), pa.array([(cell[s] % CHUNK).astype("<u2").tobytes()], pa.binary()), pa.array([data], pa.binary()), pa.array([0 if nth else size()], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "cells", "counts", "size"])
 
 
 def merged(some: list) -> tuple[np.ndarray, np.ndarray]:
@@ -127,10 +136,16 @@ def merged(some: list) -> tuple[np.ndarray, np.ndarray]:
     return cell, total
 
 
-def count_tokens(counters: int):
+def count_tokens(counters: int, seed: int):
     def task(batches):
-        cells = lambda rows: (tokens_of([t for _, t in rows])[2] & U(counters - 1)).astype(np.int64)
-        yield from tallied((cells(rows) for rows in texts_by_size(batches, PART)), counters)
+        size = 0
+
+        def cells(rows):
+            nonlocal size
+            size += sum(len(t) for _, t in rows)
+            return (tokens_of([t for _, t in rows], seed)[2] & U(counters - 1)).astype(np.int64)
+
+        yield from tallied(map(cells, texts_by_size(batches, PART)), counters, lambda: size)
 
     return task
 
@@ -138,24 +153,31 @@ def count_tokens(counters: int):
 def sum_chunks(batches):
     """Rows (chunk, ranks of its counters, their sum): a rank is eight times the logarithm, in a byte."""
     total: dict[int, np.ndarray] = {}
+    sizes: dict[int, int] = {}
     for b in batches:
-        for k, cells, counts in zip(*(b.column(c).to_pylist() for c in range(3))):
+        for k, cells, counts, size in zip(*(b.column(c).to_pylist() for c in range(4))):
+            sizes[k] = sizes.get(k, 0) + size
             mine = total.setdefault(k, np.zeros(CHUNK, np.int64))
             mine[np.frombuffer(cells, "<u2")] += np.frombuffer(counts, "<u4")
     for k, mine in total.items():
         ranks = np.minimum(np.ceil(8 * np.log2(np.maximum(mine, 1))), 255).astype(np.uint8)
         # A counter that was met once has rank 0 as one that wasn't: bits of those met stand beside the ranks.
-        columns = [pa.array([k], pa.int32()), pa.array([ranks.tobytes()], pa.binary()), pa.array([np.packbits(mine > 0, bitorder="little").tobytes()], pa.binary()), pa.array([int(mine.sum())], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "ranks", "met", "total"])
+        columns = [pa.array([k], pa.int32()), pa.array([ranks.tobytes()], pa.binary()), pa.array([np.packbits(mine > 0, bitorder="little").tobytes()], pa.binary()), pa.array([int(mine.sum())], pa.int64()), pa.array([sizes[k]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "ranks", "met", "total", "size"])
 
 
 @dataclass(frozen=True)
 class Tallies:
-    """Ranks of all counters, a bit for each that was met, and the sum of all: MOST bytes and MOST bits at most."""
+    """Ranks of all counters, a bit for each that was met, and the sum of all: MOST bytes and MOST bits at most.
+
+    seed is that of the hashes by which tokens have their counters, size the bytes of text.
+    """
 
     ranks: np.ndarray
     met: np.ndarray
     total: int
+    seed: int
+    size: int = 0
 
     def rank(self, word: np.ndarray) -> np.ndarray:
         return self.ranks[(word & U(len(self.ranks) - 1)).astype(np.int64)]
@@ -177,21 +199,22 @@ class Tallies:
         return max(tuning.hot, CROWD * self.total / len(self.ranks))
 
 
-def counted(rows: DataFrame, count, counters: int) -> Tallies:
+def counted(rows: DataFrame, count, counters: int, seed: int) -> Tallies:
     """All counters of rows that tasks count."""
-    ranks, met, total = np.zeros(counters, np.uint8), np.zeros(counters // 8, np.uint8), 0
-    chunks = rows.mapInArrow(released(count), "chunk int, cells binary, counts binary")
-    chunks = chunks.repartition("chunk").mapInArrow(sum_chunks, "chunk int, ranks binary, met binary, total long")
+    ranks, met, total, size = np.zeros(counters, np.uint8), np.zeros(counters // 8, np.uint8), 0, 0
+    chunks = rows.mapInArrow(released(count), "chunk int, cells binary, counts binary, size long")
+    chunks = chunks.repartition("chunk").mapInArrow(sum_chunks, "chunk int, ranks binary, met binary, total long, size long")
     for r in chunks.collect():  # a byte and a bit for each counter
         ranks[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(bytes(r.ranks), np.uint8)
         met[r.chunk * CHUNK // 8 : (r.chunk + 1) * CHUNK // 8] = np.frombuffer(bytes(r.met), np.uint8)
         total += r.total
-    return Tallies(ranks, met, total)
+        size += r.size
+    return Tallies(ranks, met, total, seed, size)
 
 
 def by_rarity(texts: list[bytes], tallies: Tallies):
     """(text, line, token) without repeats, each line's tokens from rare to frequent, ties by hash."""
-    doc, line, word = tokens_of(texts)
+    doc, line, word = tokens_of(texts, tallies.seed)
     if not len(doc):
         return doc, line, word
     nth = np.cumsum(np.r_[0, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]).astype(np.uint64)
@@ -604,25 +627,29 @@ def pair_up(percent: int, only_open: bool, tuning: Tuning):
     return task
 
 
-def line_sets(batches):
+def line_sets(seed: int):
     """(uid, line, tokens) of the lines asked for of each text."""
-    for b in batches:
-        out = []
-        for uid, text, asked in zip(*(b.column(c).to_pylist() for c in range(3))):
-            lines = text.encode().split(b"\n") if len(asked) > 1 or asked[0] else [text.encode().split(b"\n", 1)[0]]
-            asked = sorted(asked)
-            doc, _, word = tokens_of([lines[k] for k in asked])
-            o = np.lexsort((word, doc))
-            doc, word = doc[o], word[o]
-            new = np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]
-            doc, word = doc[new], word[new].view(np.int64)
-            ends = np.searchsorted(doc, np.arange(len(asked) + 1))
-            out += [(uid, k, word[ends[n] : ends[n + 1]]) for n, k in enumerate(asked)]
-            if len(out) > 5000:
+
+    def task(batches):
+        for b in batches:
+            out = []
+            for uid, text, asked in zip(*(b.column(c).to_pylist() for c in range(3))):
+                lines = text.encode().split(b"\n") if len(asked) > 1 or asked[0] else [text.encode().split(b"\n", 1)[0]]
+                asked = sorted(asked)
+                doc, _, word = tokens_of([lines[k] for k in asked], seed)
+                o = np.lexsort((word, doc))
+                doc, word = doc[o], word[o]
+                new = np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]
+                doc, word = doc[new], word[new].view(np.int64)
+                ends = np.searchsorted(doc, np.arange(len(asked) + 1))
+                out += [(uid, k, word[ends[n] : ends[n + 1]]) for n, k in enumerate(asked)]
+                if len(out) > 5000:
+                    yield set_rows(out)
+                    out = []
+            if out:
                 yield set_rows(out)
-                out = []
-        if out:
-            yield set_rows(out)
+
+    return task
 
 
 def set_rows(out) -> pa.RecordBatch:
@@ -631,14 +658,14 @@ def set_rows(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(line, pa.int32()), lists], names=["uid", "line", "tokens"])
 
 
-def asked_sets(pairs: DataFrame, texts: DataFrame, few: bool = False) -> DataFrame:
+def asked_sets(pairs: DataFrame, texts: DataFrame, seed: int, few: bool = False) -> DataFrame:
     """Token sets of all lines in pairs. few: most likely few lines, whose list may be broadcast if its size allows."""
     lines = pairs.select("uid", "line").unionByName(pairs.select(F.col("other").alias("uid"), F.col("other_line").alias("line")))
     asked = lines.groupBy("uid").agg(F.collect_set("line").alias("asked"))
     # Else the same kind of join at every size: texts meet their lines where ids are dealt.
     asked = materialise(asked, "asked") if few else asked.hint("merge")
     some = texts.select("uid", "text").join(asked, "uid").select("uid", "text", "asked")
-    return materialise(some.mapInArrow(released(line_sets), "uid long, line int, tokens array<long>"), "line-sets")
+    return materialise(some.mapInArrow(released(line_sets(seed)), "uid long, line int, tokens array<long>"), "line-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -695,7 +722,8 @@ def dedup_lines(
     1. Tokens are counted over all lines, in counters whose number follows the input, and ordered by their counter, rare
        ones first, then by hash. Two similar lines share one of their first size - ceil(percent * size) + 1 tokens, so each distinct line
        of a task makes a record for each of these. Records are dealt to buckets by token and travel many to a row.
-    2. Of equal lines (128 bits of hash over all tokens) all but the first are gone: those of one task before anything
+    2. Of equal lines (128 bits of hash over all tokens, of which records that aren't a line's first carry 32 beside the
+       parities of 256 cells) all but the first are gone: those of one task before anything
        is sent, others where their first tokens meet. Other lines of a token are compared by length, by place and by
        a bound from the parities of 256 cells, of 1024 for long lines. Of each line the most alike candidates are kept.
     3. Candidates are verified on whole token sets, the most alike one first. For a line that had more candidates than
@@ -718,10 +746,9 @@ def dedup_lines(
     spark = docs.sparkSession
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
     short = rows.select("uid", "text")
-    size = short.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    counters = counters_for(size)
-    tallies = counted(short, count_tokens(counters), counters)
-    buckets = max(1, math.ceil(size / tuning.group))
+    counters, seed = counters_for(bytes_of(docs)), new_seed()
+    tallies = counted(short, count_tokens(counters, seed), counters, seed)
+    buckets = max(1, math.ceil(tallies.size / tuning.group))
     # Many buckets share a partition, one after the other, where there are more of them than partitions.
     partitions = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = short.mapInArrow(released(records(tallies, percent, buckets, tuning)), BLOBS)
@@ -732,7 +759,7 @@ def dedup_lines(
         F.min("apart").alias("apart"), F.max("more").alias("more")
     )
     pairs = materialise(pairs.join(gone, ["uid", "line"], "left_anti"), "pairs")
-    sets = asked_sets(pairs, rows)
+    sets = asked_sets(pairs, rows, seed)
     best = pairs.groupBy("uid", "line").agg(F.min(F.struct("apart", "other", "other_line")).alias("b"), F.max("more").alias("more"))
     near = materialise(verified(best.select("uid", "line", "b.other", "b.other_line"), sets, percent), "near")
     left = pairs.join(near, ["uid", "line"], "left_anti")
@@ -741,12 +768,12 @@ def dedup_lines(
     if not undecided.isEmpty():
         theirs = sets.join(undecided, ["uid", "line"], "left_semi")
         # Records of other keys than theirs can't bring them a partner.
-        only = counted(theirs, count_keys(tallies, percent, tuning), counters)
+        only = counted(theirs, count_keys(tallies, percent, tuning), counters, seed)
         marks = theirs.mapInArrow(open_lines(tallies, percent, buckets, tuning), BLOBS)
         some = short.mapInArrow(released(records(tallies, percent, buckets, tuning, only)), BLOBS)
         again = in_buckets(some.unionByName(marks)).mapInArrow(released(pair_up(percent, True, tuning)), FOUND)
         more = materialise(again.select("uid", "line", "other", "other_line").distinct(), "pairs")
-        more_sets = asked_sets(more, rows, few=True)
+        more_sets = asked_sets(more, rows, seed, few=True)
         near = near.unionByName(materialise(verified(more, more_sets, percent), "near"))
         drop_table(more_sets)
     drop_table(sets)

@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 
 from docloom.llm.components import components
 from docloom.llm.shared import drop_table, materialise, released, with_uid
-from docloom.llm.words import BLOCK, SPREAD, U, blocks, mix, stir, word_hashes
+from docloom.llm.words import BLOCK, SPREAD, U, blocks, mix, new_seed, stir, word_hashes
 
 SKETCHES = "uid long, doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
-def shingles_of(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles_of(texts: list[bytes], words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash): distinct word shingles sorted by both. A text of fewer words has one, of all of them."""
     whose, hashes = [], []
     for first, pieces in blocks(texts):
         data = b"\n".join(pieces)
         ends = np.cumsum([len(p) + 1 for p in pieces])
-        start, h = word_hashes(data)
+        start, h = word_hashes(data, seed)
         whose.append(np.searchsorted(ends, start, side="right") + first)
         hashes.append(h)
     doc = np.concatenate(whose) if whose else np.zeros(0, np.int64)
@@ -88,10 +88,10 @@ def text_groups(batches, column: int):
             yield batch.slice(first, len(texts)), texts
 
 
-def sketches(words: int, bands: int, rows: int):
+def sketches(words: int, bands: int, rows: int, seed: int):
     def task(batches):
         for part, texts in text_groups(batches, 2):
-            doc, h = shingles_of(texts, words)
+            doc, h = shingles_of(texts, words, seed)
             docs = len(texts)
             n = np.bincount(doc, minlength=docs)
             some = np.flatnonzero(n)
@@ -122,10 +122,10 @@ def sketches(words: int, bands: int, rows: int):
     return task
 
 
-def whole_sets(words: int):
+def whole_sets(words: int, seed: int):
     def task(batches):
         for part, texts in text_groups(batches, 1):
-            doc, h = shingles_of(texts, words)
+            doc, h = shingles_of(texts, words, seed)
             n = np.bincount(doc, minlength=len(texts))
             offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -274,9 +274,9 @@ def near_components(
     Nothing is capped. Null texts count as empty. Null ids come first, rows that share an id are
     documents of their own. An empty table gives no rows.
     """
-    base = with_uid(docs, id_col, text_col, carry)
+    base, seed = with_uid(docs, id_col, text_col, carry), new_seed()
     table = materialise(
-        base.select("uid", "doc_id", "text").mapInArrow(released(sketches(words, bands, rows)), SKETCHES), "sketches"
+        base.select("uid", "doc_id", "text").mapInArrow(released(sketches(words, bands, rows, seed)), SKETCHES), "sketches"
     )
     sets_key = ["set_a", "set_b", "n_shingles"]
     # Written, so that a class of very many copies can be split in the join below.
@@ -308,7 +308,7 @@ def near_components(
     stars = led.where(alike & (F.col("bands") > 1)).select("u", "v")
     wanted = shared.select("uid").distinct()
     sets = materialise(
-        base.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(released(whole_sets(words)), "uid long, shingles array<long>"),
+        base.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(released(whole_sets(words, seed)), "uid long, shingles array<long>"),
         "sets",
     )
     drop_table(shared)

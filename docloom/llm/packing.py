@@ -161,7 +161,8 @@ def pack_sequences(
     little-endian unsigned 32-bit). Sequence ids are unique, not dense.
 
     Null texts count as empty and give the end id alone. Every row is a document of its own: null and
-    repeated ids are packed as they come. An empty table gives no rows. Other columns are not read.
+    repeated ids are packed as they come. An empty table gives no rows. Other columns are not read. A very long text is
+    cut over as many sequences as it needs; its ids are held once by the task that tokenises it.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     end = end_id.to_bytes(4, "little")

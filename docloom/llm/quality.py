@@ -130,7 +130,7 @@ def quality_rules(
 
     Null and empty texts have no words: every count is 0, base_failed is true, kept false. Null and
     repeated ids are passed on, equal rows get equal verdicts; an empty table gives no rows; other
-    columns are not read.
+    columns are not read. A very long text takes memory in proportion to its words, in one task.
     """
     rows = base_metrics(docs, id_col, text_col)
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))

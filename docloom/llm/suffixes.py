@@ -1,8 +1,8 @@
-"""Exact removal of repeated passages by a depth-limited radix sort of suffixes.
+"""Exact removal of repeated passages: groups of equal windows, refined by passes, in place of a radix sort of suffixes.
 
-Only the first ``depth`` bytes of a suffix count, so suffixes need not be ordered further: passes over
-ever longer digits split them into groups, groups of one leave, and what is equal at full depth is
-exactly the repeated windows. Passes, most significant digit first:
+Only the first ``depth`` bytes of a suffix count, so suffixes need not be ordered: passes split them into groups by hashes of
+ever more of their bytes, groups of one leave, and what is equal at full depth is exactly the repeated windows. No
+suffix is ordered by digits. Passes:
 
 1. Every window of ``depth`` bytes holds an anchor: the k-byte string of least hash in it, leftmost
    among equals. The choice depends on the window's bytes alone, so equal windows have equal anchors at

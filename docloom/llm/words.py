@@ -2,12 +2,15 @@
 
 Words are runs of bytes other than ASCII white space, with A-Z lower-cased. A word's hash mixes its length and then
 its bytes, eight at a time, through a permutation of 64 bits after each step, so that it isn't linear in the bytes;
-words over LONG bytes are hashed by xxh3. Two different words have the same hash with a probability of 2 ** -64.
+words over LONG bytes are hashed by xxh3. Two different words have the same hash with a probability of 2 ** -64: over
+words that occur by chance, and, as every run of an operator draws a seed that no text can know, over those that
+someone has made to collide.
 """
 
 from __future__ import annotations
 
 import re
+import secrets
 
 import numpy as np
 import xxhash
@@ -54,7 +57,12 @@ def hash_spans(held: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int
     return h
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def new_seed() -> int:
+    """A seed for one run: it goes to the tasks with their functions, so a task that is run again has the same."""
+    return secrets.randbits(64)
+
+
+def word_hashes(data: bytes, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of each word of a block that is in lower case."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = INSIDE[np.frombuffer(data, np.uint8)]
@@ -63,9 +71,9 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not len(start):
         return start, np.zeros(0, np.uint64)
     long = np.flatnonzero(size > LONG)
-    h = hash_spans(eights(data), start, np.minimum(size, LONG))
+    h = hash_spans(eights(data), start, np.minimum(size, LONG), seed)
     for k in long:
-        h[k] = xxhash.xxh3_64_intdigest(data[start[k] : start[k] + size[k]])
+        h[k] = xxhash.xxh3_64_intdigest(data[start[k] : start[k] + size[k]], seed)
     return start, h
 
 

@@ -18,7 +18,7 @@ def texts_of(sf, n):
 def tallies_of(words, counters, times=1):
     total = np.bincount((words & np.uint64(counters - 1)).astype(np.int64), minlength=counters) * times
     ranks = np.minimum(np.ceil(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
-    return L.Tallies(ranks, np.packbits(total > 0, bitorder="little"), int(total.sum()))
+    return L.Tallies(ranks, np.packbits(total > 0, bitorder="little"), int(total.sum()), 3)
 
 
 @pytest.mark.parametrize("times", [1, 20, 1000, 40_000, 4_000_000])
@@ -27,19 +27,19 @@ def test_records_of_a_line_do_not_grow_with_the_input(times):
     texts = texts_of("0.1", 10_000)
     size = sum(map(len, texts)) * times
     counters = L.counters_for(size)
-    every = L.tokens_of(texts)[2]
+    every = L.tokens_of(texts, 3)[2]
     # As many tokens a counter as there would be: those of a larger text are spread over more words.
     tallies = tallies_of(every, L.LEAST, 1)
     more = max(1, times * L.LEAST // counters)
     ranks = np.minimum(tallies.ranks.astype(int) + np.where(tallies.ranks > 0, np.ceil(8 * np.log2(more)).astype(int), 0), 255).astype(np.uint8)
-    tallies = L.Tallies(ranks, tallies.met, tallies.total * more)
+    tallies = L.Tallies(ranks, tallies.met, tallies.total * more, 3)
     lines = L.Lines(*L.by_rarity(texts[:1500], tallies))
     owner, *_ = L.keys_of(lines, np.ones(len(lines.head), bool), tallies, 75, L.Tuning())
     assert len(owner) / len(lines.head) < (12 if times < 10**6 else 30)
 
 
 def test_counters_follow_the_input():
-    assert L.counters_for(0) == L.counters_for(500_000_000) == L.LEAST and L.counters_for(30 * 10**9) == 1 << 26 == L.counters_for(10**14)
+    assert L.counters_for(0) == L.counters_for(300_000_000) == L.LEAST and L.counters_for(30 * 10**9) == 1 << 26 == L.counters_for(10**14)
 
 
 def test_tallies_are_the_same_however_they_are_held(monkeypatch):
@@ -75,3 +75,17 @@ def test_whole_documents_against_brute_force(spark, counters, monkeypatch):
         monkeypatch.setattr(L, "counters_for", lambda size: counters)
     got = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
     assert got == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    """Two words of one unseeded hash: an earlier line or text with the one doesn't take that with the other."""
+    from docloom.llm.near import near_components
+    from docloom.llm.words import word_hashes
+
+    pair = ["rzzlfo5aaaapaaaa", "sxhfubmmh1p6q7th"]
+    unseeded = [word_hashes(w.encode(), 0)[1][0] for w in pair]
+    assert unseeded[0] == unseeded[1] and len({int(word_hashes(w.encode(), 5)[1][0]) for w in pair}) == 2
+    docs = spark.createDataFrame([(k, f"{w} b c") for k, w in enumerate(pair)], "doc_id long, text string")
+    assert {r.n_removed for r in L.dedup_lines(docs).collect()} == {0}
+    docs = spark.createDataFrame([(k, f"{w} b c d e") for k, w in enumerate(pair)], "doc_id long, text string")
+    assert {r.kept for r in near_components(docs).collect()} == {True}
