@@ -95,13 +95,13 @@ def rich_text(text):
     CAST(strlen(text) AS BIGINT) AS size_bytes_text, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS INTEGER) AS line_count, copies > 1 AS is_duplicate
     FROM r WHERE n = 1"""
 )
-def pipeline_records(spark, sf_dir):
+def corpus_records(spark, sf_dir):
     """Every document as a rich text file, through the whole pipeline to a file for each record, and read again."""
     name = F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
     folder = files_made(docs(spark, sf_dir).select(name.alias("name"), rich_text(F.col("text")).alias("value")), "rich", ".rtf")
     out = new_folder(spark, "records")
     C.run_pipeline(spark, folder, out, registry=ParserRegistry([RtfParser()]), mode="literal", file_per_record=True)
-    rows = S.read_jsonl(spark, out).where("_corrupt is null")
+    rows = S.read_jsonl(spark, out).where("_corrupt is null and text is not null")
     hashed = F.regexp_extract("path", r"([0-9a-f]+)\.jsonl$", 1)
     return rows.select(
         T.file_name(F.col("source")).alias("name"), "category", hashed.alias("hash_sha1"), "token_estimate", "size_bytes_text", "line_count", "is_duplicate"
@@ -109,7 +109,7 @@ def pipeline_records(spark, sf_dir):
 
 
 @query("SELECT count(*) AS parsed, CAST(0 AS BIGINT) AS failed, count(*) - count(DISTINCT coalesce(text, '')) AS duplicates FROM documents")
-def pipeline_metrics(spark, sf_dir):
+def corpus_metrics(spark, sf_dir):
     """What the jobs of a pipeline counted while they ran."""
     monitor = Monitor()
     name = F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))

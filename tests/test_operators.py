@@ -11,6 +11,7 @@ from docloom.operators import documents as D
 from docloom.operators import search as R
 from docloom.operators import taxonomy as X
 from docloom.operators.store import VectorStore
+from docloom.operators.terms import tf_idf
 from docloom.settings import Settings
 
 
@@ -71,10 +72,10 @@ def test_gazetteer_size():
 
 
 def test_tag_tfidf_and_clusters(spark):
-    docs = spark.createDataFrame([(["a", "b"],), (["b", "c"],)], "tags array<string>")
-    rows, words = X.tag_tfidf(docs)
-    assert rows.count() == 2 and len(words) == 3
-    assert X.tag_clusters(docs, 2).select("cluster").distinct().count() == 2
+    docs = spark.createDataFrame([(1, ["a", "b"]), (2, ["b", "c"])], "id long, tags array<string>")
+    rows, words = tf_idf(docs, "id", F.col("tags"))
+    assert rows.select("id").distinct().count() == 2 and words.count() == 3
+    assert X.tag_clusters(docs, 2, "id").select("cluster").distinct().count() == 2
 
 
 def exact(queries, points, k):

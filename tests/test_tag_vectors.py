@@ -1,8 +1,11 @@
 """Tag vectors keep every tag."""
 
-from docloom.operators.taxonomy import tag_tfidf
+from pyspark.sql import functions as F
+
+from docloom.operators.terms import tf_idf
 
 
 def test_more_tags_than_the_default_vocabulary(spark):
-    docs = spark.range(263).selectExpr("transform(sequence(0, 999), i -> concat('t', id * 1000 + i)) AS tags")
-    assert len(tag_tfidf(docs)[1]) == 263_000
+    docs = spark.range(263).selectExpr("id", "transform(sequence(0, 999), i -> concat('t', id * 1000 + i)) AS tags")
+    rows, words = tf_idf(docs, "id", F.col("tags"))
+    assert words.count() == 263_000 == words.select(F.max("term_id") + 1).first()[0] and rows.count() == 263_000
