@@ -25,7 +25,7 @@ from docloom.operators.index import VectorIndex, overlap
 from docloom.operators.language import LanguageModel
 from docloom.operators.store import VectorStore, merge_points
 from docloom.schemas import PAYLOAD
-from docloom.scratch import new_folder
+from docloom.scratch import new_folder, written
 from docloom.sources import files as S
 from docloom.sources.record_files import write_record_files
 from docloom.streaming import ingest as I
@@ -715,7 +715,7 @@ def tag_subsumption(spark, sf_dir):
 def latent_search(spark, sf_dir):
     """Documents most alike to each benchmark item, by vectors fitted on the documents' words."""
     rows = docs(spark, sf_dir)
-    counts = M.counted(rows, "doc_id", M.words_of(F.col("text")))
+    counts = written(M.counted(rows, "doc_id", M.words_of(F.col("text"))), "counts")
     model = M.LatentModel.fit(counts, "doc_id")
     items = M.counted(table(spark, sf_dir, "benchmark"), "item_id", M.words_of(F.col("text")))
     asks = model.embed(items, "item_id").select(F.col("item_id").alias("query_id"), F.col("vector").alias("query_vector"))
