@@ -18,7 +18,7 @@ from docloom.queries import RECORDS, STRIP, WORDS, docs, query, records, table
 from docloom.scratch import new_folder
 from docloom.sources import files as S
 from docloom.sources.parsers import ParserRegistry, RtfParser
-from docloom.sources.record_files import RecordFiles
+from docloom.sources.record_files import write_files
 from docloom.streaming.changes import watch_changes
 
 KINDS = [".pdf", ".docx", ".msg", ".txt"]
@@ -27,8 +27,7 @@ KINDS = [".pdf", ".docx", ".msg", ".txt"]
 def files_made(rows: DataFrame, label: str, suffix: str = "") -> str:
     """A folder with a file (name, value) for each row."""
     folder = new_folder(rows.sparkSession, label)
-    rows.sparkSession.dataSource.register(RecordFiles)
-    rows.select("name", "value").write.format(RecordFiles.name()).option("suffix", suffix).mode("append").save(folder)
+    write_files(rows, folder, suffix)
     return folder
 
 
@@ -101,7 +100,7 @@ def corpus_records(spark, sf_dir):
     folder = files_made(docs(spark, sf_dir).select(name.alias("name"), rich_text(F.col("text")).alias("value")), "rich", ".rtf")
     out = new_folder(spark, "records")
     C.run_pipeline(spark, folder, out, registry=ParserRegistry([RtfParser()]), mode="literal", file_per_record=True)
-    rows = S.read_jsonl(spark, out).where("_corrupt is null and text is not null")
+    rows = S.read_record_files(spark, out).where("_corrupt is null and text is not null")
     hashed = F.regexp_extract("path", r"([0-9a-f]+)\.jsonl$", 1)
     return rows.select(
         T.file_name(F.col("source")).alias("name"), "category", hashed.alias("hash_sha1"), "token_estimate", "size_bytes_text", "line_count", "is_duplicate"

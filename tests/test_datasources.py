@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.sources import files as S
-from docloom.sources.record_files import last_of_each, write_record_files
+from docloom.sources.record_files import last_of_each, write_files, write_record_files
 from docloom.streaming.changes import current_files, watch_changes
 
 
@@ -91,3 +91,28 @@ def test_changes_of_a_folder(spark, tmp_path):
     assert len(seen()) == 13 and len(files_of(str(state))) <= 6
     there = current_files(spark.read.parquet(str(out)))
     assert sorted((r.path.rsplit("/", 1)[1], r.size_bytes) for r in there.collect()) == [("a.pdf", 7), ("d.msg", 3)]
+
+
+def test_the_driver_holds_no_list_of_files(spark, tmp_path):
+    """Files are moved and listed by tasks; a scan has as many tasks as there are shuffle partitions, and finds what Spark's reader finds."""
+    rows = spark.range(500, numPartitions=3).select(F.concat(F.lit("n"), "id").alias("name"), F.col("id").cast("string").alias("value"))
+    root = str(tmp_path / "in")
+    write_files(rows, root, ".pdf")
+    assert len(files_of(root)) == 500 and (tmp_path / "in" / "n7.pdf").read_text() == "7\n"
+    (tmp_path / "in" / "deep").mkdir()
+    for name in ("deep/x.docx", "deep/_y.docx", "z.PDF", ".pdf", "n 1%2F.pdf", "other.txt"):
+        (tmp_path / "in" / name).write_text("é")
+    found = S.scan(spark, root, S.pattern_of((".pdf", ".docx")))
+    assert "FileScan" not in found._jdf.queryExecution().toString() and "binaryFile" not in found._jdf.queryExecution().toString()
+    assert found.rdd.getNumPartitions() == max(4, spark.sparkContext.defaultParallelism)
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{pdf,docx}").load(root)
+    columns = ["path", "modificationTime", "length", "content"]
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, plain.select(columns).collect()))
+    assert found.count() == 502
+
+
+def test_record_files_are_read_as_lines(spark, tmp_path):
+    for name, text in (("a.jsonl", '{"text": "t", "tags": ["x"]}\n\nnot json\r\n{"text": 5}'), ("b.json", '{"summary": "s", "ocr": "no"}\n'), ("c.txt", "{}")):
+        (tmp_path / name).write_text(text)
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert rows(S.read_record_files(spark, str(tmp_path))) == rows(S.read_jsonl(spark, str(tmp_path)))
