@@ -44,9 +44,10 @@ def centroids_of(points: DataFrame, cells: int, sample: int = FIT, seed: int = 1
 
 
 def nearest_cells(table: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:
-    """The n nearest cells of every row, nearest first."""
-    likeness = table @ centroids.T
-    return np.argsort(-likeness, axis=1, kind="stable")[:, :n]
+    """The n nearest cells of every row, nearest first; so many rows at a time as make SCORES products."""
+    step = max(1, R.SCORES // max(len(centroids), 1))
+    parts = [np.argsort(-(table[a : a + step] @ centroids.T), axis=1, kind="stable")[:, :n].astype(np.int32) for a in range(0, max(len(table), 1), step)]
+    return np.concatenate(parts)
 
 
 def celled(centroids: np.ndarray, n: int):
@@ -80,24 +81,21 @@ def probing(held: list, rows: DataFrame, k: int, schema: str) -> DataFrame:
     for n, r in enumerate(held):
         for c in r.cells:
             asking.setdefault(c, []).append(n)
+    asking = {c: np.array(x, np.int32) for c, x in asking.items()}
     ids, table = [r.query_id for r in held], R.table_of([r.v for r in held])
 
     def score(batches):
-        best: dict[int, R.Best] = {}
+        best = R.Best(ids, table, k)
         for b in batches:
             cell = b.column(2).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True]) if len(cell) else []
             for a, z in zip(cuts[:-1], cuts[1:]):
-                mine = asking.get(int(cell[a]), [])
-                if not mine:
-                    continue
-                if int(cell[a]) not in best:
-                    best[int(cell[a])] = R.Best([ids[q] for q in mine], table[mine], k)
-                for c in range(a, z, R.ROWS):
+                mine = best.place[asking.get(int(cell[a]), np.zeros(0, np.int32))]
+                mine = mine[mine >= 0]
+                for c in range(a, z if len(mine) else a, R.ROWS):
                     part = b.slice(c, min(R.ROWS, z - c))
-                    best[int(cell[a])].add(R.names_of(part.column(0)), part.column(1))
-        for found in best.values():
-            yield from found.rows()
+                    best.add(R.names_of(part.column(0)), part.column(1), mine)
+        yield from best.rows()
 
     return rows.select("id", "v", "cell").mapInArrow(score, schema)
 
