@@ -158,3 +158,26 @@ def test_reports_say_when_a_list_was_cut(spark):
     assert not X.taxonomy_document(docs, most=20)["metadata"]["bounded"]
     deep = spark.createDataFrame([("t", "c", "/".join("abcdefgh"), ["x"])], "text string, category string, source string, tags array<string>")
     assert X.taxonomy_document(deep, most=5)["metadata"]["bounded"] and not X.taxonomy_document(deep, most=9)["metadata"]["bounded"]
+
+
+def test_words_are_counted_where_documents_lie(spark):
+    """What a sentence score writes are blocks of numbers and each block's distinct words, not a row for each word of a document."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    blocks = weighed_words(docs, "doc_id", F.col("text"))
+    total = blocks.agg(F.sum(F.size("keys")), F.sum(F.size("terms")), F.sum(F.size("codes"))).first()
+    assert total[0] == docs.count() and total[1] < total[2] / 2
+    got = {(r.doc_id, r.s): r.score for r in scored(blocks, "doc_id").collect()}
+    rows = docs.select("doc_id", sentences_of(F.col("text")).alias("l")).collect()
+    words = {(r.doc_id, s): [w for w in re.split(r"\W+", x.lower()) if w] for r in rows for s, x in enumerate(r.l)}
+    tf, df = Counter((k, w) for (k, _), ws in words.items() for w in ws), Counter()
+    df.update(w for _, w in tf)
+    weight = {(k, w): n * math.floor(1000 * math.log((len(rows) + 1) / (df[w] + 1))) for (k, w), n in tf.items()}
+    want = {(k, s): int(sum(weight[k, w] for w in set(ws)) / (len(set(ws)) + 3)) for (k, s), ws in words.items() if ws}
+    assert len(got) == len(want) and sum(got[x] != want[x] for x in want) <= len(want) // 100  # \W differs between Java and Python for a few signs
+
+
+def test_rows_of_equal_keys_are_one_document(spark):
+    docs = spark.createDataFrame([(1, "a b. c"), (1, "b\nd e. f"), (2, "a")], "k long, text string")
+    got = {(r.k, r.s): r.score for r in scored(weighed_words(docs, "k", F.col("text")), "k").collect()}
+    idf = lambda n: math.floor(1000 * math.log(4 / (n + 1)))
+    assert got == {(1, 0): (idf(2) + 2 * idf(1)) // 5, (1, 1): 3 * idf(1) // 6, (1, 2): idf(1) // 4, (2, 0): idf(2) // 4}
