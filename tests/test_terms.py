@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docloom.operators import search as R
 from docloom.operators import taxonomy as X
 from docloom.operators import terms as M
-from docloom.operators.language import LanguageModel
+from docloom.operators.language import LanguageModel, counts_of
 from docloom.operators.summary import scored, sentences_of, summaries, weighed_words
 
 SF = "/root/testdata/sf0.001"
@@ -181,3 +181,15 @@ def test_rows_of_equal_keys_are_one_document(spark):
     got = {(r.k, r.s): r.score for r in scored(weighed_words(docs, "k", F.col("text")), "k").collect()}
     idf = lambda n: math.floor(1000 * math.log(4 / (n + 1)))
     assert got == {(1, 0): (idf(2) + 2 * idf(1)) // 5, (1, 1): 3 * idf(1) // 6, (1, 2): idf(1) // 4, (2, 0): idf(2) // 4}
+
+
+def test_trigrams_are_counted_where_texts_lie(spark):
+    """A row for each trigram of a text leaves the task that reads it, and there is no shuffle before; signs of all planes count."""
+    texts = ["Aba  ABA!", "ž𐐨ž𐐨", "", None, "1 2", "q", "ée " * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    rows = counts_of(docs, "k", F.col("text"))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    signs = lambda g: "".join(chr(g >> s & (1 << 21) - 1) for s in (42, 21, 0))
+    got = {(r.k, signs(r.gram)): r.n for r in rows.collect()}
+    low = [" aba aba ", " ž𐐨ž𐐨 ", "", "", "", " q ", " " + "ée " * 5000]
+    assert got == dict(Counter((k, t[i : i + 3]) for k, t in enumerate(low) for i in range(len(t) - 2)))
