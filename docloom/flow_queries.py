@@ -124,7 +124,7 @@ class Letters:
     dim = 26
 
     def embed(self, texts: list[str]) -> np.ndarray:
-        counts = np.array([[t.lower().count(chr(97 + i)) for i in range(26)] for t in texts], float).reshape(len(texts), 26)
+        counts = np.array([[low.count(chr(97 + i)) for i in range(26)] for low in map(str.lower, texts)], float).reshape(len(texts), 26)
         size = np.linalg.norm(counts, axis=1, keepdims=True)
         return np.divide(counts, size, out=counts, where=size > 0)
 

@@ -6,7 +6,7 @@ import json
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import plugins
@@ -239,11 +239,13 @@ def load_folder(
     began = time.perf_counter()
     embedder = embedder or plugins.embedder_of(settings or Settings())
     store.create(embedder.dim)
-    docs = S.read_jsonl(spark, records, recursive, pattern)
+    # Counted while they are loaded, so that the files are read once.
+    seen = Observation()
+    docs = S.read_jsonl(spark, records, recursive, pattern).observe(seen, F.count("*").alias("records"))
     ready = D.prepare_points(docs.where("_corrupt is null"))
     ready = embedded(ready, embedder, settings).withColumn("_seq", F.col("payload.source"))
-    total = docs.select("path").count()
     done = store.upsert(ready, "_seq")
+    total = seen.get["records"]
     return LoadStats(total, done, total - done, time.perf_counter() - began)
 
 
