@@ -8,11 +8,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from docloom.scratch import written
 
 #: Directions beside those asked for, which make the first ones exact; 64 signs at most come from one hash.
 EXTRA, WIDEST = 8, 64
+#: Documents of a task that makes blocks, if there are as many as cores; after so many terms of documents a block is full; words
+#: that are counted and terms that are multiplied at a time, but those of one document are never cut.
+DOCUMENTS, TERMS, WORDS, PAIRS = 1 << 15, 1 << 23, 1 << 21, 1 << 17
 
 
 def words_of(text: Column) -> Column:
@@ -25,16 +30,18 @@ def counted(docs: DataFrame, key: str, terms: Column) -> DataFrame:
     return each.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def vocabulary(counts: DataFrame, documents: int, min_df: int = 1) -> DataFrame:
+def vocabulary(counts: DataFrame, documents: int, min_df: int = 1, n: Column | None = None) -> DataFrame:
     """(term, term_id, df, idf): ids are dense and follow the order of the terms; idf = ln((documents + 1) / (df + 1)).
 
+    A row of counts is a document with that term, or n of them.
+
     Terms are sorted over all partitions and numbered where they lie: the driver sees the size of each partition, never
     a term.
     """
     spark = counts.sparkSession
-    found = counts.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = found.repartitionByRange(n, "term").sortWithinPartitions("term")
+    found = counts.groupBy("term").agg((F.count("*") if n is None else F.sum(n)).alias("df")).where(F.col("df") >= min_df)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = found.repartitionByRange(parts, "term").sortWithinPartitions("term")
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     placed = written(ordered.select("*", F.spark_partition_id().alias("part"), place.alias("place")), "terms")
     sizes = placed.groupBy("part").count()
@@ -55,19 +62,150 @@ def signs(ids: np.ndarray, width: int, seed: int) -> np.ndarray:
     x = ids.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 1) & (1 << 64) - 1)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return ((x[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.float64) * 2 - 1
+    out = np.empty((len(x), width))
+    for n in range(width):
+        out[:, n] = (x >> np.uint64(n)) & np.uint64(1)
+    out *= 2
+    out -= 1
+    return out
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, terms, how often each or null) as blocks: a term is a number in the block's list of terms.
+
+    A block has the keys of its documents that have a term, how many terms each has, all their numbers and counts, and for
+    each term in how many of the block's documents it stands.
+    """
+    from pyspark import TaskContext
+
+    block, some, held = TaskContext.get().partitionId() << 33, [], 0
+    for batch in batches:
+        before, a = batch.column(1).offsets.to_numpy(), 0
+        while a < batch.num_rows:
+            z = max(int(np.searchsorted(before, before[a] + WORDS, side="right")) - 1, a + 1)
+            if before[z] > before[a]:
+                some.append(tallied(batch.slice(a, z - a)))
+                held += len(some[-1][2])
+            if held >= TERMS:
+                yield block_of(block, some)
+                block, some, held = block + 1, [], 0
+            a = z
+    if some:
+        yield block_of(block, some)
+
+
+def tallied(rows: pa.RecordBatch) -> tuple:
+    """(keys, terms of each document, their numbers, counts, list of terms) of rows (key, terms, how often each or null)."""
+    coded = rows.column(1).flatten().dictionary_encode()
+    n = len(coded.dictionary)
+    doc = np.repeat(np.arange(rows.num_rows), np.diff(rows.column(1).offsets.to_numpy()))
+    pair, back = np.unique(doc * n + coded.indices.to_numpy(), return_inverse=True)
+    times = rows.column(2).flatten()
+    tf = np.bincount(back, times.to_numpy() if len(times) else None).astype(np.int32)
+    sizes = np.bincount(pair // n, minlength=rows.num_rows)
+    full = np.flatnonzero(sizes)
+    return rows.column(0).take(pa.array(full)), sizes[full].astype(np.int32), (pair % n).astype(np.int32), tf, coded.dictionary
+
+
+def block_of(block: int, some: list[tuple]) -> pa.RecordBatch:
+    keys, sizes, codes, tf, terms = zip(*some)
+    coded = pa.concat_arrays(terms).dictionary_encode()
+    new, at = coded.indices.to_numpy(), np.cumsum([0, *map(len, terms)])
+    code = np.concatenate([new[a + c] for a, c in zip(at, codes)])
+    df = np.bincount(code, minlength=len(coded.dictionary)).astype(np.int32)
+    lists = [pa.concat_arrays(keys), *map(pa.array, (np.concatenate(sizes), code, np.concatenate(tf))), coded.dictionary, pa.array(df)]
+    boxed = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *boxed], names=["block", "keys", "sizes", "codes", "tf", "terms", "df"])
+
+
+def bags(docs: DataFrame, key: str, terms: Column) -> DataFrame:
+    """Blocks of documents with the counts of their terms, made where the documents lie; see packed(). Rows of equal keys are one document."""
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(key, F.coalesce(F.filter(terms, lambda t: t != ""), F.array().cast("array<string>")).alias("t"))
+    if docs.groupBy(key).count().where("count > 1").limit(1).count():
+        rows = rows.groupBy(key).agg(F.flatten(F.collect_list("t")).alias("t"))
+    # As few tasks as give large blocks: the fewer blocks, the fewer times a term is sent on.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.count() // DOCUMENTS))
+    return blocks_made(rows.coalesce(tasks).select(key, "t", F.array().cast("array<long>").alias("n")), kind)
+
+
+def bags_of_counts(counts: DataFrame, key: str) -> DataFrame:
+    """The blocks of (key, term, tf)."""
+    each = counts.groupBy(key).agg(F.collect_list(F.struct("term", F.col("tf").cast("long").alias("tf"))).alias("t"))
+    return blocks_made(each.select(key, "t.term", "t.tf"), counts.schema[key].dataType.simpleString())
+
+
+def blocks_made(rows: DataFrame, kind: str) -> DataFrame:
+    shape = f"block long, keys array<{kind}>, sizes array<int>, codes array<int>, tf array<int>, terms array<string>, df array<int>"
+    return written(rows.mapInArrow(packed, shape), "bags")
+
+
+def terms_of(blocks: DataFrame) -> DataFrame:
+    """(block, place, term, n) of each block's list of terms."""
+    return blocks.select("block", F.posexplode(F.arrays_zip("terms", "df")).alias("place", "x")).select("block", "place", F.col("x.terms").alias("term"), F.col("x.df").alias("n"))
+
+
+def with_terms(blocks: DataFrame, known: DataFrame, of, shape: str) -> DataFrame:
+    """What ``of`` makes of each block and of its rows (block, place, ...) of known, whose terms are all that is left of it."""
+
+    def task(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(of(Bag(left, right), right)), schema=like)
+
+    like = to_arrow_schema(StructType.fromDDL(shape))
+    left = blocks.select(F.col("block").alias("of"), "keys", "sizes", "codes", "tf").groupBy("of")
+    return left.cogroup(known.groupBy("block")).applyInArrow(task, shape)
+
+
+def listed(column: pa.ChunkedArray) -> pa.Array:
+    """The values of the only list of a column."""
+    return column.combine_chunks()[0].values
+
+
+class Bag:
+    """A block's documents: the places of their terms in right, and how often each stands there."""
+
+    def __init__(self, left: pa.Table, right: pa.Table):
+        self.keys = listed(left.column("keys"))
+        sizes, code, tf = (listed(left.column(c)).to_numpy() for c in ("sizes", "codes", "tf"))
+        new = np.full(int(code.max()) + 1, -1, np.int32)
+        new[right.column("place").to_numpy()] = np.arange(right.num_rows)
+        code = new[code]
+        kept = code >= 0
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        full = np.flatnonzero(sizes)  # documents with a term that is known
+        self.keys, self.sizes, self.code = self.keys.take(pa.array(full)), sizes[full], code[kept]
+        self.tf = tf[kept]
+
+
+def pieces(sizes: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """(documents, their terms, start of each) of about PAIRS terms at a time."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        first = ends[a] - sizes[a]
+        z = max(int(np.searchsorted(ends, first + PAIRS, side="right")), a + 1)
+        yield slice(a, z), slice(first, ends[z - 1]), ends[a:z] - sizes[a:z] - first
+        a = z
+
+
+def products(sizes: np.ndarray, code: np.ndarray, weights: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Each document's sum of weight * row of the table over its terms."""
+    out = np.empty((len(sizes), table.shape[1]))
+    for docs, terms, starts in pieces(sizes):
+        out[docs] = np.add.reduceat(table[code[terms]] * weights[terms, None], starts, axis=0)
+    return out
 
 
-def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(start of each document, term ids, weights) of some documents (ids, weights) at a time; none is empty."""
-    for a in range(0, batch.num_rows, 512):
-        part = batch.slice(a, 512)
-        sizes = np.diff(part.column(0).offsets.to_numpy())
-        yield np.cumsum(sizes) - sizes, part.column(0).flatten().to_numpy(), part.column(1).flatten().to_numpy()
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """(terms of each document, their places, weights, ids of all terms) of each block; no document is empty, each has length one."""
+    for at in range(batch.num_rows):
+        sizes, code, tf, ids, idf = (batch.column(c)[at].values.to_numpy() for c in ("sizes", "codes", "tf", "ids", "idf"))
+        w = (1 + np.log(tf)) * idf[code]
+        w /= np.repeat(np.sqrt(np.add.reduceat(w * w, np.cumsum(sizes) - sizes)), sizes)
+        yield sizes, code, w, ids
 
 
-def projected(starts: np.ndarray, ids: np.ndarray, weights: np.ndarray, width: int, seed: int) -> np.ndarray:
-    return np.add.reduceat(signs(ids, width, seed) * weights[:, None], starts, axis=0)
+def projected(sizes: np.ndarray, code: np.ndarray, weights: np.ndarray, ids: np.ndarray, width: int, seed: int) -> np.ndarray:
+    return products(sizes, code, weights, signs(ids, width, seed))
 
 
 def gram(rows: DataFrame, width: int, of) -> np.ndarray:
@@ -105,35 +243,47 @@ class LatentModel:
     def fit(counts: DataFrame, key: str, dims: int = 32, min_df: int = 2, seed: int = 1) -> LatentModel:
         """From (key, term, tf). Weights are (1 + ln tf) * idf, each document's of length one.
 
+        See fit_bags().
+        """
+        return LatentModel.fit_bags(bags_of_counts(counts, key), dims, min_df, seed)
+
+    @staticmethod
+    def fit_bags(blocks: DataFrame, dims: int = 32, min_df: int = 2, seed: int = 1) -> LatentModel:
+        """From blocks of documents, see bags().
+
         A randomised decomposition: documents are projected on random signs of their terms, the projections made
         orthonormal by their Gram matrix, terms projected back on them, and the small matrix that remains decomposed.
-        What is shuffled are counts and, for each batch of documents, one vector a term; the driver sees matrices of
+        What is shuffled are the blocks and, for each of them, one vector a term; the driver sees matrices of
         (dims + EXTRA)^2 numbers. Terms in fewer than min_df documents are left out.
         """
-        counts = written(counts, "counts")
         width = min(dims + EXTRA, WIDEST)
-        documents = counts.select(key).distinct().count()
-        words = written(vocabulary(counts, documents, min_df), "vocabulary")
-        weight = ((1 + F.log("tf")) * F.col("idf")).alias("w")
-        rows = counts.join(words, "term").select(key, "term_id", weight).where("w > 0").groupBy(key).agg(
-            F.collect_list(F.struct("term_id", "w")).alias("t"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size")
-        )
+        documents = blocks.agg(F.sum(F.size("keys"))).first()[0] or 0
+        each = terms_of(blocks)
+        words = written(vocabulary(each, documents, min_df, F.col("n")), "vocabulary")
+
+        def known_only(bag, right):
+            if len(bag.code):
+                lists = [*map(pa.array, (bag.sizes.astype(np.int32), bag.code.astype(np.int32), bag.tf)), *(right.column(c).combine_chunks() for c in ("term_id", "idf"))]
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists], names=["sizes", "codes", "tf", "ids", "idf"])
+
         # A document's terms, each once.
-        rows = written(rows.select(F.col("t.term_id").alias("ids"), F.transform("t.w", lambda w: w / F.col("size")).alias("weights")), "matrix")
+        known = each.join(words.where("idf > 0"), "term").select("block", "place", "term_id", "idf")
+        rows = written(with_terms(blocks, known, known_only, "sizes array<int>, codes array<int>, tf array<int>, ids array<long>, idf array<double>"), "matrix")
         turn, _ = whitening(gram(rows, width, lambda batch: (projected(*x, width, seed) for x in rows_of(batch))))
 
         def back(batches):
             for batch in batches:
-                ids, sums = [], []
-                for starts, term, w in rows_of(batch):
-                    q = projected(starts, term, w, width, seed) @ turn
-                    doc = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(term)]))
-                    order = np.argsort(term, kind="stable")
-                    first = np.flatnonzero(np.r_[True, np.diff(term[order]) > 0])
-                    ids.append(term[order][first])
-                    sums.append(np.add.reduceat(q[doc[order]] * w[order, None], first, axis=0))
-                if ids:
-                    yield vectors(*summed(np.concatenate(ids), np.concatenate(sums)))
+                for sizes, code, w, term in rows_of(batch):
+                    q = projected(sizes, code, w, term, width, seed) @ turn
+                    sums = np.zeros((len(term), turn.shape[1]))
+                    for docs, at, _ in pieces(sizes):
+                        doc = np.repeat(np.arange(docs.start, docs.stop), sizes[docs])
+                        order = np.argsort(code[at], kind="stable")
+                        some = code[at][order]
+                        first = np.flatnonzero(np.r_[True, np.diff(some) > 0])
+                        sums[some[first]] += np.add.reduceat(q[doc[order]] * w[at][order, None], first, axis=0)
+                    for a in range(0, len(term), 8192):
+                        yield vectors(term[a : a + 8192], sums[a : a + 8192])
 
         def merge(batches):
             last, total = None, None
@@ -165,18 +315,30 @@ class LatentModel:
         return LatentModel(written(done, "model"), final.shape[1])
 
     def embed(self, counts: DataFrame, key: str) -> DataFrame:
-        """(key, vector of length one) of (key, term, tf); documents with none of the model's terms, or only those in all, have none.
+        """(key, vector of length one) of (key, term, tf); documents with none of the model's terms, or only those in all, have none."""
+        return self.embed_bags(bags_of_counts(counts, key), key)
+
+    def embed_bags(self, blocks: DataFrame, key: str) -> DataFrame:
+        """embed() of blocks of documents, see bags().
 
-        Expressions and one shuffle: each row of a term adds its share to the document's sums before they meet.
+        What is shuffled are the blocks and one vector for each of a block's terms.
         """
+        shape = f"{key} {blocks.schema['keys'].dataType.elementType.simpleString()}, vector array<double>"
         if not self.dims:  # fitted on nothing
-            return counts.where(F.lit(False)).select(key, F.array().cast("array<double>").alias("vector"))
-        w = (1 + F.log("tf")) * F.col("idf")
-        sums = [F.sum(w * F.col("v")[n]).alias(f"x{n}") for n in range(self.dims)]
-        found = counts.join(self.terms, "term").groupBy(key).agg(*sums)
-        vector = F.array(*[F.col(f"x{n}") for n in range(self.dims)])
-        size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-        return found.select(key, vector.alias("v")).withColumn("size", size).where("size > 0").select(key, F.transform("v", lambda x: x / F.col("size")).alias("vector"))
+            return blocks.where(F.lit(False)).select(F.col("keys")[0].alias(key), F.array().cast("array<double>").alias("vector"))
+        dims = self.dims
+
+        def embedded(bag, right):
+            v = right.column("v").combine_chunks().flatten().to_numpy().reshape(right.num_rows, dims)
+            w = (1 + np.log(bag.tf)) * right.column("idf").to_numpy()[bag.code]
+            x = products(bag.sizes, bag.code, w, v)
+            size = np.sqrt((x * x).sum(axis=1))
+            some = np.flatnonzero(size > 0)
+            lists = vectors(np.zeros(len(some), np.int64), x[some] / size[some, None]).column(1)
+            yield pa.RecordBatch.from_arrays([bag.keys.take(pa.array(some)), lists], names=[key, "vector"])
+
+        known = terms_of(blocks).join(self.terms, "term").select("block", "place", "idf", "v")
+        return with_terms(blocks, known, embedded, shape)
 
 
 def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

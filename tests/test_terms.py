@@ -193,3 +193,38 @@ def test_trigrams_are_counted_where_texts_lie(spark):
     got = {(r.k, signs(r.gram)): r.n for r in rows.collect()}
     low = [" aba aba ", " ž𐐨ž𐐨 ", "", "", "", " q ", " " + "ée " * 5000]
     assert got == dict(Counter((k, t[i : i + 3]) for k, t in enumerate(low) for i in range(len(t) - 2)))
+
+
+def test_blocks_of_documents_hold_their_counts(spark):
+    rows = [(n % 40, f"w{n % 7} w{n % 3}  W{n % 3} x{n}") for n in range(50)] + [(90, None), (91, " "), (None, "a b a")]
+    docs = spark.createDataFrame(rows, "k long, text string").repartition(3)
+    want = Counter()
+    for k, t in rows:
+        for w in re.findall(r"\w+", (t or "").lower()):
+            want[k, w] += 1
+    blocks = M.bags(docs, "k", M.words_of(F.col("text"))).collect()
+    got, df = Counter(), Counter()
+    for b in blocks:
+        at = 0
+        for k, size in zip(b["keys"], b.sizes):
+            for c, tf in zip(b.codes[at : at + size], b.tf[at : at + size]):
+                assert (k, b.terms[c]) not in got
+                got[k, b.terms[c]] = tf
+            at += size
+        assert len(set(b.terms)) == len(b.terms)
+        df.update(dict(zip(b.terms, b.df)))
+    assert got == want and df == Counter(w for _, w in want)
+    # Vectors go to blocks by term; no row for each term of a document is shuffled.
+    counts = M.counted(docs, "k", M.words_of(F.col("text")))
+    found = M.LatentModel.fit(counts, "k", dims=3).embed(counts, "k")
+    assert "sum(" not in plan(found) and found.count() > 30
+
+
+def test_a_task_makes_few_blocks():
+    import pyarrow as pa
+
+    batch = lambda k, words: pa.RecordBatch.from_arrays([pa.array(k), pa.array(words), pa.array([[]] * len(k), pa.list_(pa.int64()))], names=["k", "t", "n"])
+    some = [M.tallied(batch([1, 2, 3], [["b", "a", "b"], [], ["c"]])), M.tallied(batch([4], [["c", "d", "c"]]))]
+    b = M.block_of(5, some).to_pylist()[0]
+    assert b["keys"] == [1, 3, 4] and b["sizes"] == [2, 1, 2] and [b["terms"][c] for c in b["codes"]] == ["b", "a", "c", "c", "d"]
+    assert b["tf"] == [2, 1, 1, 2, 1] and dict(zip(b["terms"], b["df"])) == {"b": 1, "a": 1, "c": 2, "d": 1}
