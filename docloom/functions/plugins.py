@@ -17,12 +17,17 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 
 
+#: Texts that a summarizer is given at a time.
+TEXTS = 256
+
+
 class LanguageDetector(Protocol):
     def detect(self, texts: list[str]) -> list[str]: ...
 
@@ -252,18 +257,25 @@ def detect_language(text: Column, detector: LanguageDetector | None = None) -> C
 
 
 def summarize(text: Column, summarizer: Summarizer | None = None, chars: int | None = 1000) -> Column:
-    """struct(summary, tags) of a text's first characters (None: of all); ("", []) where the summarizer fails."""
+    """struct(summary, tags) of a text's first characters (None: of all); ("", []) where the summarizer fails.
+
+    A summarizer is given TEXTS texts at a time: beside the batch that Spark sends, a task holds no more.
+    """
     summarizer = summarizer or NullSummarizer()
 
-    @F.pandas_udf("struct<summary: string, tags: array<string>>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            try:
-                found = summarizer.summarize(s.fillna("").tolist())
-            except Exception as e:
-                failed("summary", len(s), e)
-                found = [("", [])] * len(s)
-            yield pd.DataFrame({"summary": [a for a, _ in found], "tags": [b for _, b in found]})
+    said = pa.struct([("summary", pa.string()), ("tags", pa.list_(pa.string()))])
+
+    @F.arrow_udf("struct<summary: string, tags: array<string>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for a in range(0, len(batch), TEXTS):
+                some = [t or "" for t in batch.slice(a, TEXTS).to_pylist()]
+                try:
+                    found = summarizer.summarize(some)
+                except Exception as e:
+                    failed("summary", len(some), e)
+                    found = [("", [])] * len(some)
+                yield pa.array([{"summary": s, "tags": list(tags)} for s, tags in found], said)
 
     return run(text if chars is None else F.substring(text, 1, chars))
 

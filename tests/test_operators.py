@@ -223,3 +223,14 @@ def test_settings():
     for bad in ({"batch_size": 0}, {"chunk_size": 60, "chunk_overlap": 60}, {"device": "tpu"}, {"search_limit": 101}, {"log_level": "x"}):
         with pytest.raises(ValueError):
             Settings(**bad)
+
+
+def test_a_summarizer_is_given_few_texts_at_a_time(spark):
+    class Counting:
+        def summarize(self, texts):
+            return [(f"{len(texts)} {t}", [t]) for t in texts]
+
+    rows = spark.range(0, 3000, 1, 1).select(F.when(F.col("id") % 7 != 0, F.col("id").cast("string")).alias("t"), "id")
+    got = {r.id: r.s for r in rows.select("id", plugins.summarize(F.col("t"), Counting()).alias("s")).collect()}
+    assert len(got) == 3000 and all(int(s.summary.split(" ")[0]) <= 256 for s in got.values())
+    assert all(s.summary.split(" ")[1] == s.tags[0] == (str(i) if i % 7 else "") for i, s in got.items())
