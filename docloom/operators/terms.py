@@ -17,7 +17,9 @@ from docloom.scratch import written
 EXTRA, WIDEST = 8, 64
 #: Documents of a task that makes blocks, if there are as many as cores; after so many terms of documents a block is full; words
 #: that are counted and terms that are multiplied at a time, but those of one document are never cut.
-DOCUMENTS, TERMS, WORDS, PAIRS = 1 << 15, 1 << 23, 1 << 21, 1 << 17
+DOCUMENTS, TERMS, WORDS, PAIRS = 1 << 15, 1 << 22, 1 << 21, 1 << 17
+#: Terms of documents in a row of a table, and terms whose vectors a task sums up before it sends them on.
+ROW, SUMS = 1 << 19, 1 << 18
 
 
 def words_of(text: Column) -> Column:
@@ -87,11 +89,11 @@ def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some.append(tallied(batch.slice(a, z - a)))
                 held += len(some[-1][2])
             if held >= TERMS:
-                yield block_of(block, some)
+                yield from block_of(block, some)
                 block, some, held = block + 1, [], 0
             a = z
     if some:
-        yield block_of(block, some)
+        yield from block_of(block, some)
 
 
 def tallied(rows: pa.RecordBatch) -> tuple:
@@ -107,15 +109,23 @@ def tallied(rows: pa.RecordBatch) -> tuple:
     return rows.column(0).take(pa.array(full)), sizes[full].astype(np.int32), (pair % n).astype(np.int32), tf, coded.dictionary
 
 
-def block_of(block: int, some: list[tuple]) -> pa.RecordBatch:
+def block_of(block: int, some: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """A block in rows of about ROW terms of documents; its list of terms stands in the first."""
     keys, sizes, codes, tf, terms = zip(*some)
     coded = pa.concat_arrays(terms).dictionary_encode()
     new, at = coded.indices.to_numpy(), np.cumsum([0, *map(len, terms)])
     code = np.concatenate([new[a + c] for a, c in zip(at, codes)])
     df = np.bincount(code, minlength=len(coded.dictionary)).astype(np.int32)
-    lists = [pa.concat_arrays(keys), *map(pa.array, (np.concatenate(sizes), code, np.concatenate(tf))), coded.dictionary, pa.array(df)]
+    keys, sizes, tf, terms, df = pa.concat_arrays(keys), np.concatenate(sizes), np.concatenate(tf), coded.dictionary, pa.array(df)
+    for docs, mine, _ in pieces(sizes, ROW):
+        lists = [keys.slice(docs.start, docs.stop - docs.start), *map(pa.array, (sizes[docs], code[mine], tf[mine])), terms, df]
+        yield row_of(lists, ["keys", "sizes", "codes", "tf", "terms", "df"], block)
+        terms, df = terms[:0], df[:0]
+
+
+def row_of(lists: list[pa.Array], names: list[str], block: int | None = None) -> pa.RecordBatch:
     boxed = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *boxed], names=["block", "keys", "sizes", "codes", "tf", "terms", "df"])
+    return pa.RecordBatch.from_arrays(boxed if block is None else [pa.array([block], pa.int64()), *boxed], names=names if block is None else ["block", *names])
 
 
 def bags(docs: DataFrame, key: str, terms: Column) -> DataFrame:
@@ -156,17 +166,12 @@ def with_terms(blocks: DataFrame, known: DataFrame, of, shape: str) -> DataFrame
     return left.cogroup(known.groupBy("block")).applyInArrow(task, shape)
 
 
-def listed(column: pa.ChunkedArray) -> pa.Array:
-    """The values of the only list of a column."""
-    return column.combine_chunks()[0].values
-
-
 class Bag:
     """A block's documents: the places of their terms in right, and how often each stands there."""
 
     def __init__(self, left: pa.Table, right: pa.Table):
-        self.keys = listed(left.column("keys"))
-        sizes, code, tf = (listed(left.column(c)).to_numpy() for c in ("sizes", "codes", "tf"))
+        keys, sizes, code, tf = (left.column(c).combine_chunks().flatten() for c in ("keys", "sizes", "codes", "tf"))
+        self.keys, sizes, code, tf = keys, *(x.to_numpy() for x in (sizes, code, tf))
         new = np.full(int(code.max()) + 1, -1, np.int32)
         new[right.column("place").to_numpy()] = np.arange(right.num_rows)
         code = new[code]
@@ -177,12 +182,12 @@ class Bag:
         self.tf = tf[kept]
 
 
-def pieces(sizes: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray]]:
-    """(documents, their terms, start of each) of about PAIRS terms at a time."""
+def pieces(sizes: np.ndarray, most: int = PAIRS) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """(documents, their terms, start of each) of about ``most`` terms at a time."""
     ends, a = np.cumsum(sizes), 0
     while a < len(sizes):
         first = ends[a] - sizes[a]
-        z = max(int(np.searchsorted(ends, first + PAIRS, side="right")), a + 1)
+        z = max(int(np.searchsorted(ends, first + most, side="right")), a + 1)
         yield slice(a, z), slice(first, ends[z - 1]), ends[a:z] - sizes[a:z] - first
         a = z
 
@@ -262,9 +267,11 @@ class LatentModel:
         words = written(vocabulary(each, documents, min_df, F.col("n")), "vocabulary")
 
         def known_only(bag, right):
-            if len(bag.code):
-                lists = [*map(pa.array, (bag.sizes.astype(np.int32), bag.code.astype(np.int32), bag.tf)), *(right.column(c).combine_chunks() for c in ("term_id", "idf"))]
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists], names=["sizes", "codes", "tf", "ids", "idf"])
+            ids, idf = (right.column(c).to_numpy() for c in ("term_id", "idf"))
+            for docs, mine, _ in pieces(bag.sizes, ROW):
+                used, code = np.unique(bag.code[mine], return_inverse=True)
+                lists = [bag.sizes[docs].astype(np.int32), code.astype(np.int32), bag.tf[mine], ids[used], idf[used]]
+                yield row_of([pa.array(x) for x in lists], ["sizes", "codes", "tf", "ids", "idf"])
 
         # A document's terms, each once.
         known = each.join(words.where("idf > 0"), "term").select("block", "place", "term_id", "idf")
@@ -272,6 +279,7 @@ class LatentModel:
         turn, _ = whitening(gram(rows, width, lambda batch: (projected(*x, width, seed) for x in rows_of(batch))))
 
         def back(batches):
+            ids, total = np.zeros(0, np.int64), np.zeros((0, turn.shape[1]))
             for batch in batches:
                 for sizes, code, w, term in rows_of(batch):
                     q = projected(sizes, code, w, term, width, seed) @ turn
@@ -282,8 +290,11 @@ class LatentModel:
                         some = code[at][order]
                         first = np.flatnonzero(np.r_[True, np.diff(some) > 0])
                         sums[some[first]] += np.add.reduceat(q[doc[order]] * w[at][order, None], first, axis=0)
-                    for a in range(0, len(term), 8192):
-                        yield vectors(term[a : a + 8192], sums[a : a + 8192])
+                    ids, total = summed(np.concatenate([ids, term]), np.concatenate([total, sums]))
+                    if len(ids) >= SUMS:
+                        yield from some_vectors(ids, total)
+                        ids, total = ids[:0], total[:0]
+            yield from some_vectors(ids, total)
 
         def merge(batches):
             last, total = None, None
@@ -348,6 +359,11 @@ def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[first], np.add.reduceat(rows, first, axis=0) if len(ids) else rows
 
 
+def some_vectors(ids: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(ids), 8192):
+        yield vectors(ids[a : a + 8192], rows[a : a + 8192])
+
+
 def vectors(ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * rows.shape[1])
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()))], names=["term_id", "v"])

@@ -204,7 +204,7 @@ def test_blocks_of_documents_hold_their_counts(spark):
             want[k, w] += 1
     blocks = M.bags(docs, "k", M.words_of(F.col("text"))).collect()
     got, df = Counter(), Counter()
-    for b in blocks:
+    for b in blocks:  # each small enough for one row
         at = 0
         for k, size in zip(b["keys"], b.sizes):
             for c, tf in zip(b.codes[at : at + size], b.tf[at : at + size]):
@@ -220,11 +220,14 @@ def test_blocks_of_documents_hold_their_counts(spark):
     assert "sum(" not in plan(found) and found.count() > 30
 
 
-def test_a_task_makes_few_blocks():
+def test_a_task_makes_few_blocks(monkeypatch):
     import pyarrow as pa
 
     batch = lambda k, words: pa.RecordBatch.from_arrays([pa.array(k), pa.array(words), pa.array([[]] * len(k), pa.list_(pa.int64()))], names=["k", "t", "n"])
     some = [M.tallied(batch([1, 2, 3], [["b", "a", "b"], [], ["c"]])), M.tallied(batch([4], [["c", "d", "c"]]))]
-    b = M.block_of(5, some).to_pylist()[0]
+    b = next(M.block_of(5, some)).to_pylist()[0]
     assert b["keys"] == [1, 3, 4] and b["sizes"] == [2, 1, 2] and [b["terms"][c] for c in b["codes"]] == ["b", "a", "c", "c", "d"]
     assert b["tf"] == [2, 1, 1, 2, 1] and dict(zip(b["terms"], b["df"])) == {"b": 1, "a": 1, "c": 2, "d": 1}
+    monkeypatch.setattr(M, "ROW", 2)
+    rows = [r.to_pylist()[0] for r in M.block_of(5, some)]
+    assert [r["keys"] for r in rows] == [[1], [3], [4]] and sum((r["codes"] for r in rows), []) == b["codes"] and [len(r["terms"]) for r in rows] == [4, 0, 0]
