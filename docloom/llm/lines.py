@@ -11,14 +11,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import drop_table, materialise, released, with_uid
+from docloom.llm.shared import drop_table, materialise, released, small_batches, with_uid
 from docloom.llm.words import SPREAD, U, blocks, new_seed, stir, word_hashes
 
 #: Counters for token frequency, at least and at most, so many bytes of the table's files for each; a byte each once they are summed.
 #: CHUNK of them travel in a row. Up to DENSE are held by a task while it counts, else only those that it meets.
 LEAST, MOST, BYTES, CHUNK, DENSE = 1 << 20, 1 << 26, 320, 1 << 16, 1 << 22
 #: Bytes of text whose tokens are sorted at a time; pairs of records that are compared at a time.
-PART, PAIRS_AT_ONCE = 1 << 20, 1 << 20
+PART, PAIRS_AT_ONCE = 1 << 20, 1 << 18
 #: Tokens from which a line has a wide signature of WORDS words of 64 bits beside that of four.
 WIDE, WORDS = 160, 16
 RECORDS, GONE, OPEN = 0, 1, 2
@@ -49,6 +49,11 @@ class Tuning:
     most: int = 16
 
 
+def passed(marks: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many of marks each start has behind it or at its place; both ascend, and marks are few."""
+    return np.repeat(np.arange(len(marks) + 1), np.diff(np.r_[0, np.searchsorted(start, marks), len(start)]))
+
+
 def tokens_of(texts: list[bytes], seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, line in it, hash) of every word."""
     docs, lines, words = [], [], []
@@ -58,9 +63,9 @@ def tokens_of(texts: list[bytes], seed: int) -> tuple[np.ndarray, np.ndarray, np
         ends = np.cumsum([len(p) + 1 for p in pieces])
         start, h = word_hashes(data, seed)
         breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
-        piece = np.searchsorted(ends, start, side="right")
+        piece = passed(ends, start)
         before = np.searchsorted(breaks, np.r_[0, ends[:-1]])[piece]
-        line = np.searchsorted(breaks, start) - before
+        line = passed(breaks, start) - before
         held = begun.get(first, 0)
         docs.append((piece + first).astype(np.int32))
         lines.append((line + np.where(piece == 0, held, 0)).astype(np.int32))
@@ -140,12 +145,14 @@ def count_tokens(counters: int, seed: int):
     def task(batches):
         size = 0
 
-        def cells(rows):
+        def cells():
             nonlocal size
-            size += sum(len(t) for _, t in rows)
-            return (tokens_of([t for _, t in rows], seed)[2] & U(counters - 1)).astype(np.int64)
+            for rows in texts_by_size(batches, PART):
+                size += sum(len(t) for _, t in rows)
+                for _, pieces in blocks([t for _, t in rows]):
+                    yield (word_hashes(b"\n".join(pieces), seed)[1] & U(counters - 1)).astype(np.int64)
 
-        yield from tallied(map(cells, texts_by_size(batches, PART)), counters, lambda: size)
+        yield from tallied(cells(), counters, lambda: size)
 
     return task
 
@@ -219,16 +226,21 @@ def by_rarity(texts: list[bytes], tallies: Tallies):
         return doc, line, word
     nth = np.cumsum(np.r_[0, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]).astype(np.uint64)
     rank = tallies.rank(word).astype(np.uint64)
+    # Sorted as one number of 64 bits: line, rank, as many bits of the hash as there is room for, place.
+    places, room = len(word).bit_length(), 56 - int(nth[-1]).bit_length() - len(word).bit_length()
     o = None
-    if nth[-1] < 1 << 20:
-        key = (nth << U(44)) | (rank << U(36)) | (word >> U(28))
-        o = np.argsort(key)
-        key, w = key[o], word[o]
+    if room > 8:
+        key = (((nth << U(8)) | rank) << U(room) | (word >> U(64 - room))) << U(places)
+        key |= np.arange(len(word), dtype=np.uint64)
+        key.sort()
+        o = (key & U((1 << places) - 1)).astype(np.int64)
+        key >>= U(places)
+        w = word[o]
         if ((key[1:] == key[:-1]) & (w[1:] != w[:-1])).any():
-            o = None  # 36 bits of hash don't tell two words of a line apart
+            o = None  # these bits of hash don't tell two words of a line apart
     if o is None:
-        o = np.lexsort((word, word >> U(28), rank, nth))
-    doc, line, word, nth = doc[o], line[o], word[o], nth[o]
+        w = word[np.lexsort((word, rank, nth))]
+    word = w  # lines stay in their order
     new = np.r_[True, (nth[1:] != nth[:-1]) | (word[1:] != word[:-1])]
     return doc[new], line[new], word[new]
 
@@ -245,19 +257,21 @@ def packed(columns: dict[str, np.ndarray], fields, wide: np.ndarray | None = Non
 
 
 def unpacked(blobs: list[bytes], fields) -> dict[str, np.ndarray]:
-    """The arrays of several blobs; "wide" holds the wide signatures in the order of their records."""
+    """The arrays of several blobs, which are taken from the list; "wide" holds the wide signatures in the order of their records."""
     out: dict[str, list[np.ndarray]] = {name: [] for name, _ in fields}
     wide = []
     unpack = zstandard.ZstdDecompressor()
-    for blob in blobs:
-        data, at = unpack.decompress(blob), 8
+    blobs.reverse()
+    while blobs:
+        data, at = unpack.decompress(blobs.pop()), 8
         n = int(np.frombuffer(data, "<i8", 1)[0])
         for name, kind in fields:
             x = np.frombuffer(data, kind, n, at)
-            out[name].append(np.cumsum(x) if name == "uid" else x)
+            out[name].append(np.cumsum(x) if name == "uid" else x.copy())
             at += x.nbytes
-        wide.append(np.frombuffer(data, "<u8", -1, at) if at < len(data) else np.zeros(0, "<u8"))
-    found = {name: np.concatenate(x) if x else np.zeros(0, dict(fields)[name]) for name, x in out.items()}
+        wide.append(np.frombuffer(data, "<u8", -1, at).copy() if at < len(data) else np.zeros(0, "<u8"))
+    # One array after the other, so that all of them aren't held twice.
+    found = {name: np.concatenate(x) if (x := out.pop(name)) else np.zeros(0, kind) for name, kind in fields}
     return found | {"wide": np.concatenate(wide).reshape(-1, WORDS) if wide else np.zeros((0, WORDS), "<u8")}
 
 
@@ -378,7 +392,7 @@ def records(tallies: Tallies, percent: int, buckets: int, tuning: Tuning, only:
                     continue
                 owner, key, place, whole = owner[x], key[x], place[x], whole[x]
             bucket = ((key & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
-            o = np.lexsort((owner, bucket))
+            o = np.argsort((bucket << 32) | owner) if buckets < 1 << 31 else np.lexsort((owner, bucket))
             owner, key, place, whole, bucket = owner[o], key[o], place[o], whole[o], bucket[o]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
             signs = lines.signatures()
@@ -439,6 +453,13 @@ def open_lines(tallies: Tallies, percent: int, buckets: int, tuning: Tuning):
     return task
 
 
+def by_line(uid: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The order of lines; as one number of 64 bits where ids and lines have the room."""
+    if len(uid) and int(uid.max()) - int(uid.min()) < 1 << 40 and int(line.max()) < 1 << 24:
+        return np.argsort(((uid - uid.min()).astype(np.uint64) << U(24)) | line.astype(np.uint64))
+    return np.lexsort((line, uid))
+
+
 class Group:
     """Records of a bucket, sorted by token and size, without those of equal lines but the first."""
 
@@ -447,7 +468,15 @@ class Group:
         row = np.cumsum(c["size"] >= WIDE) - 1
         key = (c["token"].astype(np.uint64) << U(32)) | c["size"].astype(np.uint64)
         full = c["s0"] ^ c["s1"] ^ c["s2"] ^ c["s3"]
-        o = np.lexsort((full, key))
+        # By token, size and hash; numbers of 64 bits are sorted first, then what they leave equal.
+        near = (key & U(0xFFFFFFFF00000000)) | (np.minimum(key & U(0xFFFFFFFF), U(0xFFFF)) << U(16)) | (c["low"] >> np.uint32(16)).astype(np.uint64)
+        o = np.argsort(near)
+        near = near[o]
+        tie = near[1:] == near[:-1]
+        some = np.flatnonzero(np.r_[False, tie] | np.r_[tie, False])
+        x = o[some]
+        o[some] = x[np.lexsort((x, full[x], c["low"][x], key[x], near[some]))]
+        del near, tie, some, x
         key, full = key[o], full[o]
         # Neighbours that are equal so far are compared by all hashes.
         x = np.flatnonzero((key[1:] == key[:-1]) & (full[1:] == full[:-1])) + 1
@@ -471,11 +500,12 @@ class Group:
         later = later[c["high"][later] > 0]
         self.gone = c["uid"][later], c["line"][later]
         o = o[first]
-        self.c, self.key, self.full = {k: v[o] for k, v in c.items()}, key[first], full[first]
+        # One column after the other, so that all of them aren't held twice.
+        self.c, self.key, self.full = {k: c.pop(k)[o] for k in list(c)}, key[first], full[first]
         self.size, self.place = self.c["size"].astype(np.int64), self.c["place"].astype(np.int64)
         self.wide, self.row = wide, row[o]
         self.rank = np.empty(len(o), np.int64)  # place among the records in the order of their lines
-        self.rank[np.lexsort((self.c["line"], self.c["uid"]))] = np.arange(len(o))
+        self.rank[by_line(self.c["uid"], self.c["line"])] = np.arange(len(o))
 
     def room(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
         """The most tokens that only one of two similar lines may have."""
@@ -526,13 +556,13 @@ class Group:
         if which is None:
             # First the earliest lines of each token, where many have it: a group of like lines needs no other.
             token = self.key >> U(32)
-            o = np.lexsort((self.rank, token))
-            starts = np.flatnonzero(np.r_[True, token[o][1:] != token[o][:-1]])
+            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             counts = np.diff(np.r_[starts, n])
             large = counts > tuning.large
             done = np.zeros(n, bool)
             for a, b in zip(starts[large], (starts + counts)[large]):
-                members, lead = o[a:b], o[a : a + tuning.leaders]
+                members = a + np.argsort(self.rank[a:b])
+                lead = members[: tuning.leaders]
                 i, j = np.repeat(members, len(lead)), np.tile(lead, b - a)
                 ok = self.earlier(i, j)
                 i, j, apart = self.alike(i[ok], j[ok], percent)
@@ -743,8 +773,19 @@ def dedup_lines(
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be 51 to 100")
-    spark = docs.sparkSession
     rows = with_uid(docs, id_col, text_col, carry).where("uid is not null")
+    with small_batches(docs.sparkSession):
+        drop = lines_to_drop(docs, rows, percent, tuning)
+    out = rows.join(drop.hint("merge"), "uid", "left").select("doc_id", "text", "drop", *(["row"] if carry else []))
+    schema = "doc_id long, n_lines long, n_removed long, text string"
+    if carry:
+        schema += ", row " + rows.schema["row"].dataType.simpleString()
+    return out.mapInArrow(released(drop_lines(carry)), schema)
+
+
+def lines_to_drop(docs: DataFrame, rows: DataFrame, percent: int, tuning: Tuning) -> DataFrame:
+    """(uid, the lines that go) of rows (uid, text), which are those of docs."""
+    spark = docs.sparkSession
     short = rows.select("uid", "text")
     counters, seed = counters_for(bytes_of(docs)), new_seed()
     tallies = counted(short, count_tokens(counters, seed), counters, seed)
@@ -781,8 +822,4 @@ def dedup_lines(
     drop = gone.unionByName(near).groupBy("uid").agg(F.collect_set("line").alias("drop"))
     drop = materialise(drop, "drop")
     drop_table(found)
-    out = rows.join(drop.hint("merge"), "uid", "left").select("doc_id", "text", "drop", *(["row"] if carry else []))
-    schema = "doc_id long, n_lines long, n_removed long, text string"
-    if carry:
-        schema += ", row " + rows.schema["row"].dataType.simpleString()
-    return out.mapInArrow(released(drop_lines(carry)), schema)
+    return drop
