@@ -116,3 +116,16 @@ def test_record_files_are_read_as_lines(spark, tmp_path):
         (tmp_path / name).write_text(text)
     rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
     assert rows(S.read_record_files(spark, str(tmp_path))) == rows(S.read_jsonl(spark, str(tmp_path)))
+
+
+def test_rich_text_leaves_runs_of_ascii_whole(spark):
+    """Characters are coded as one by one before, and only those beyond ASCII are told apart."""
+    from docloom.flow_queries import rich_text
+
+    texts = ["", None, "plain {a} \\b\nc\r\t\x00\x7f", "žltý kôň", "\u0080\u00ff\ufffd", "a\U0001f600b\U0001f600\U0001f601", "e\u0301\u0301x", "日本 語"]
+    escape = str.maketrans({"\\": "\\\\", "{": "\\{", "}": "\\}", "\n": "\\par "})
+    coded = lambda t: "".join(f"\\u{ord(c)}?" if ord(c) > 127 else c for c in (t or "").translate(escape))
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").select("id", rich_text(F.col("text")).alias("rich"))
+    assert [r.rich for r in df.orderBy("id").collect()] == ["{\\rtf1\\ansi " + coded(t) + "}" for t in texts]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "regexp_extract_all" in plan
