@@ -21,8 +21,8 @@ SPREAD = U(0x9E3779B97F4A7C15)
 BLOCK = 1 << 19
 LONG = 256
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
-INSIDE = np.ones(256, np.int8)
-INSIDE[[32, 9, 10, 11, 12, 13]] = 0
+#: 0 for a byte of white space, 1 for any other.
+INSIDE = bytes(0 if b in b"\x20\x09\x0a\x0b\x0c\x0d" else 1 for b in range(256))
 #: The first n bytes of eight, little end first.
 FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
@@ -34,9 +34,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def stir(x: np.ndarray) -> np.ndarray:
     """A permutation of 64 bits in which each bit of x reaches every other."""
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(29))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(32))
+    x = x ^ (x >> U(33))
+    x *= U(0xFF51AFD7ED558CCD)
+    x ^= x >> U(29)
+    x *= U(0xC4CEB9FE1A85EC53)
+    x ^= x >> U(32)
+    return x
 
 
 def eights(data: bytes) -> np.ndarray:
@@ -46,7 +49,11 @@ def eights(data: bytes) -> np.ndarray:
 
 def hash_spans(held: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
     """Hash of the size bytes from each start, of what eights() gave."""
-    h = stir(size.astype(np.uint64) * SPREAD + U(seed))
+    most = int(size.max(initial=0))
+    if most < len(size):  # few sizes, many words
+        h = stir(np.arange(most + 1, dtype=np.uint64) * SPREAD + U(seed))[size]
+    else:
+        h = stir(size.astype(np.uint64) * SPREAD + U(seed))
     h = stir(h ^ (held[start] & FIRST[np.minimum(size, 8)]))
     more = np.flatnonzero(size > 8)
     done = 8
@@ -65,7 +72,7 @@ def new_seed() -> int:
 def word_hashes(data: bytes, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of each word of a block that is in lower case."""
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = INSIDE[np.frombuffer(data, np.uint8)]
+    inside[1:-1] = np.frombuffer(data.translate(INSIDE), np.int8)
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, size = edge[::2], edge[1::2] - edge[::2]
     if not len(start):
