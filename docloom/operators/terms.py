@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from docloom.scratch import written
+from docloom.scratch import drop_table, small_batches, written
 
 #: Directions beside those asked for, which make the first ones exact; 64 signs at most come from one hash.
 EXTRA, WIDEST = 8, 64
 #: Documents of a task that makes blocks, if there are as many as cores; after so many terms of documents a block is full; words
 #: that are counted and terms that are multiplied at a time, but those of one document are never cut.
 DOCUMENTS, TERMS, WORDS, PAIRS = 1 << 15, 1 << 22, 1 << 21, 1 << 17
-#: Terms of documents in a row of a table, and terms whose vectors a task sums up before it sends them on.
-ROW, SUMS = 1 << 19, 1 << 18
+#: Terms of documents in a row of a table, and its documents at most, whose numbers are 16 bits wide.
+ROW, MANY = 1 << 19, (1 << 15) - 1
+#: Bytes of the vectors that a task holds of a part of the terms, and terms whose vectors stand in a row.
+SLAB, SOME = 1 << 27, 1 << 12
+#: Rows of a table are so large that few make a row group. A group is what a reader decodes at once, and a writer looks at its
+#: size after each row instead of after a hundred.
+LARGE_ROWS = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 
 
 def words_of(text: Column) -> Column:
@@ -147,7 +152,8 @@ def bags_of_counts(counts: DataFrame, key: str) -> DataFrame:
 
 def blocks_made(rows: DataFrame, kind: str) -> DataFrame:
     shape = f"block long, keys array<{kind}>, sizes array<int>, codes array<int>, tf array<int>, terms array<string>, df array<int>"
-    return written(rows.mapInArrow(packed, shape), "bags")
+    with small_batches(rows.sparkSession):
+        return written(rows.mapInArrow(packed, shape), "bags", LARGE_ROWS)
 
 
 def terms_of(blocks: DataFrame) -> DataFrame:
@@ -182,12 +188,13 @@ class Bag:
         self.tf = tf[kept]
 
 
-def pieces(sizes: np.ndarray, most: int = PAIRS) -> Iterator[tuple[slice, slice, np.ndarray]]:
-    """(documents, their terms, start of each) of about ``most`` terms at a time."""
+def pieces(sizes: np.ndarray, most: int = PAIRS, many: int | None = None) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """(documents, their terms, start of each) of about ``most`` terms at a time, and of ``many`` documents at most."""
     ends, a = np.cumsum(sizes), 0
     while a < len(sizes):
         first = ends[a] - sizes[a]
         z = max(int(np.searchsorted(ends, first + most, side="right")), a + 1)
+        z = z if many is None else min(z, a + many)
         yield slice(a, z), slice(first, ends[z - 1]), ends[a:z] - sizes[a:z] - first
         a = z
 
@@ -200,15 +207,69 @@ def products(sizes: np.ndarray, code: np.ndarray, weights: np.ndarray, table: np
     return out
 
 
+def located(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """(block, row, keys, sizes, codes, tf, ids, idf) of blocks of documents: their terms that are among words, by ids that rise in each row.
+
+    A document stands in one row, and every row has at most MANY of them; those with no such term are left out.
+    """
+
+    def known_only(bag, right):
+        ids, idf = (right.column(c).to_numpy() for c in ("term_id", "idf"))
+        order = np.argsort(ids)
+        code = np.empty(len(ids), np.int32)
+        code[order] = np.arange(len(ids))
+        code, ids, idf = code[bag.code], ids[order], idf[order]
+        for row, (docs, mine, _) in enumerate(pieces(bag.sizes, ROW, MANY)):
+            used, new = np.unique(code[mine], return_inverse=True)
+            lists = [bag.sizes[docs].astype(np.int32), new.astype(np.int32), bag.tf[mine], ids[used], idf[used]]
+            keys = bag.keys.slice(docs.start, docs.stop - docs.start)
+            found = row_of([keys, *map(pa.array, lists)], ["keys", "sizes", "codes", "tf", "ids", "idf"], right.column("block")[0].as_py())
+            yield found.add_column(1, "row", pa.array([row], pa.int32()))
+
+    known = terms_of(blocks).join(words, "term").select("block", "place", "term_id", "idf")
+    kind = blocks.schema["keys"].dataType.elementType.simpleString()
+    shape = f"block long, row int, keys array<{kind}>, sizes array<int>, codes array<int>, tf array<int>, ids array<long>, idf array<double>"
+    return with_terms(blocks, known, known_only, shape)
+
+
+def lists_in(batch: pa.RecordBatch, at: int, *names: str) -> tuple[np.ndarray, ...]:
+    return tuple(batch.column(c)[at].values.to_numpy() for c in names)
+
+
 def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-    """(terms of each document, their places, weights, ids of all terms) of each block; no document is empty, each has length one."""
+    """(terms of each document, their places, weights, ids of all terms) of each row; no document is empty, each has length one."""
     for at in range(batch.num_rows):
-        sizes, code, tf, ids, idf = (batch.column(c)[at].values.to_numpy() for c in ("sizes", "codes", "tf", "ids", "idf"))
+        sizes, code, tf, ids, idf = lists_in(batch, at, "sizes", "codes", "tf", "ids", "idf")
         w = (1 + np.log(tf)) * idf[code]
-        w /= np.repeat(np.sqrt(np.add.reduceat(w * w, np.cumsum(sizes) - sizes)), sizes)
+        w /= np.repeat(lengths(sizes, w), sizes)
         yield sizes, code, w, ids
 
 
+def lengths(sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.add.reduceat(weights * weights, np.cumsum(sizes) - sizes))
+
+
+def cut(sizes: np.ndarray, code: np.ndarray, tf: np.ndarray, ids: np.ndarray, parts: int) -> Iterator[tuple]:
+    """(part, places of its terms in it, documents of each, their numbers, how often each) of a row's terms, for each part."""
+    part = ids % parts
+    order = np.argsort(part, kind="stable")  # ids rise in a part
+    new = np.empty(len(ids), np.int32)
+    new[order] = np.arange(len(ids))
+    code = new[code]
+    pairs = np.argsort(code, kind="stable")
+    n = np.bincount(code, minlength=len(ids))
+    doc, tf = np.repeat(np.arange(len(sizes), dtype=np.int16), sizes)[pairs], tf[pairs]
+    terms, ends = np.searchsorted(part[order], np.arange(parts + 1)), np.r_[0, np.cumsum(n)]
+    places = (ids[order] // parts).astype(np.int32)
+    for p, (a, z) in enumerate(zip(terms[:-1], terms[1:])):
+        mine = slice(ends[a], ends[z])
+        yield p, places[a:z], n[a:z].astype(np.int32), doc[mine], tf[mine]
+
+
+def flat(rows: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(rows).ravel())
+
+
 def projected(sizes: np.ndarray, code: np.ndarray, weights: np.ndarray, ids: np.ndarray, width: int, seed: int) -> np.ndarray:
     return products(sizes, code, weights, signs(ids, width, seed))
 
@@ -239,10 +300,15 @@ def whitening(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LatentModel:
-    """Directions of a documents x terms matrix in which it varies most, as a table (term, idf, v) to project by."""
+    """Directions of a documents x terms matrix in which it varies most.
 
-    def __init__(self, terms: DataFrame, dims: int):
-        self.terms, self.dims = terms, dims
+    Terms are dealt to parts by their ids; slabs are (part, start, idf, v), the vectors of some neighbouring terms of a part, which
+    ``final`` turns into directions.
+    """
+
+    def __init__(self, blocks: DataFrame, rows: DataFrame, words: DataFrame, slabs: DataFrame, parts: int, size: int, final: np.ndarray):
+        self.blocks, self.rows, self.words, self.slabs = blocks, rows, words, slabs
+        self.parts, self.size, self.final, self.dims = parts, size, final, final.shape[1]
 
     @staticmethod
     def fit(counts: DataFrame, key: str, dims: int = 32, min_df: int = 2, seed: int = 1) -> LatentModel:
@@ -250,80 +316,66 @@ class LatentModel:
 
         See fit_bags().
         """
-        return LatentModel.fit_bags(bags_of_counts(counts, key), dims, min_df, seed)
+        return LatentModel.fit_bags(bags_of_counts(counts, key), dims, min_df, seed, spent=True)
 
     @staticmethod
-    def fit_bags(blocks: DataFrame, dims: int = 32, min_df: int = 2, seed: int = 1) -> LatentModel:
+    def fit_bags(blocks: DataFrame, dims: int = 32, min_df: int = 2, seed: int = 1, spent: bool = False) -> LatentModel:
         """From blocks of documents, see bags().
 
         A randomised decomposition: documents are projected on random signs of their terms, the projections made
         orthonormal by their Gram matrix, terms projected back on them, and the small matrix that remains decomposed.
-        What is shuffled are the blocks and, for each of them, one vector a term; the driver sees matrices of
-        (dims + EXTRA)^2 numbers. Terms in fewer than min_df documents are left out.
+        Terms are dealt to parts, as many as there are cores or as make SLAB bytes of vectors each. Shuffled are the blocks, the
+        terms of documents, and each document's projection once for every part; no vector of a term is. The driver sees matrices
+        of (dims + EXTRA)^2 numbers. Terms in fewer than min_df documents are left out. With spent, the table of blocks is deleted
+        when the model has what embed_bags() of these very blocks needs; nothing else can read them then.
         """
-        width = min(dims + EXTRA, WIDEST)
+        spark, width = blocks.sparkSession, min(dims + EXTRA, WIDEST)
         documents = blocks.agg(F.sum(F.size("keys"))).first()[0] or 0
-        each = terms_of(blocks)
-        words = written(vocabulary(each, documents, min_df, F.col("n")), "vocabulary")
-
-        def known_only(bag, right):
-            ids, idf = (right.column(c).to_numpy() for c in ("term_id", "idf"))
-            for docs, mine, _ in pieces(bag.sizes, ROW):
-                used, code = np.unique(bag.code[mine], return_inverse=True)
-                lists = [bag.sizes[docs].astype(np.int32), code.astype(np.int32), bag.tf[mine], ids[used], idf[used]]
-                yield row_of([pa.array(x) for x in lists], ["sizes", "codes", "tf", "ids", "idf"])
-
-        # A document's terms, each once.
-        known = each.join(words.where("idf > 0"), "term").select("block", "place", "term_id", "idf")
-        rows = written(with_terms(blocks, known, known_only, "sizes array<int>, codes array<int>, tf array<int>, ids array<long>, idf array<double>"), "matrix")
-        turn, _ = whitening(gram(rows, width, lambda batch: (projected(*x, width, seed) for x in rows_of(batch))))
-
-        def back(batches):
-            ids, total = np.zeros(0, np.int64), np.zeros((0, turn.shape[1]))
-            for batch in batches:
-                for sizes, code, w, term in rows_of(batch):
-                    q = projected(sizes, code, w, term, width, seed) @ turn
-                    sums = np.zeros((len(term), turn.shape[1]))
-                    for docs, at, _ in pieces(sizes):
-                        doc = np.repeat(np.arange(docs.start, docs.stop), sizes[docs])
-                        order = np.argsort(code[at], kind="stable")
-                        some = code[at][order]
-                        first = np.flatnonzero(np.r_[True, np.diff(some) > 0])
-                        sums[some[first]] += np.add.reduceat(q[doc[order]] * w[at][order, None], first, axis=0)
-                    ids, total = summed(np.concatenate([ids, term]), np.concatenate([total, sums]))
-                    if len(ids) >= SUMS:
-                        yield from some_vectors(ids, total)
-                        ids, total = ids[:0], total[:0]
-            yield from some_vectors(ids, total)
-
-        def merge(batches):
-            last, total = None, None
+        words = written(vocabulary(terms_of(blocks), documents, min_df, F.col("n")), "vocabulary")
+        n = words.count()
+        parts = max(1, min(n, max(spark.sparkContext.defaultParallelism, -(-n * width * 8 // SLAB))))
+        size, words = -(-n // parts), words.where("idf > 0").select("term", "term_id", "idf")
+        with small_batches(spark):
+            rows = written(located(blocks, words), "matrix", LARGE_ROWS)
+            if spent:
+                drop_table(blocks)
+            turn, _ = whitening(gram(rows, width, lambda batch: (projected(*x, width, seed) for x in rows_of(batch))))
+        k = turn.shape[1]
+
+        def tiles(batches):
             for batch in batches:
-                ids = batch.column(0).to_numpy()
-                ids, sums = summed(ids, batch.column(1).flatten().to_numpy().reshape(len(ids), turn.shape[1]))
-                if last is not None and len(ids) and ids[0] == last:
-                    sums[0] += total
-                elif last is not None and len(ids):
-                    yield vectors(np.array([last]), total[None])
-                if len(ids):
-                    last, total = ids[-1], sums[-1]
-                    yield vectors(ids[:-1], sums[:-1])
-            if last is not None:
-                yield vectors(np.array([last]), total[None])
-
-        shape = "term_id long, v array<double>"
-        parts = rows.mapInArrow(back, shape).repartition("term_id").sortWithinPartitions("term_id")
-        terms = written(parts.mapInArrow(merge, shape), "directions")
-        table = lambda batch: [batch.column(1).flatten().to_numpy().reshape(batch.num_rows, turn.shape[1])]
-        final, _ = whitening(gram(terms, turn.shape[1], table))
-        final = final[:, :dims]
+                for at, x in enumerate(rows_of(batch)):
+                    sizes, code, tf, ids, idf = lists_in(batch, at, "sizes", "codes", "tf", "ids", "idf")
+                    q = flat(projected(*x, width, seed) @ turn / lengths(sizes, (1 + np.log(tf)) * idf[code])[:, None])
+                    for part, *lists in cut(sizes, code, tf, ids, parts):
+                        if len(lists[0]):
+                            found = row_of([q, *map(pa.array, lists)], ["q", "places", "n", "docs", "tf"])
+                            yield found.add_column(0, "part", pa.array([part], pa.int32()))
 
-        def finish(batches):
+        def back(batches):
+            sums = {}  # of one part, if each has a task of its own
             for batch in batches:
-                yield vectors(batch.column(0).to_numpy(), table(batch)[0] @ final)
-
-        done = terms.mapInArrow(finish, shape).join(words, "term_id").select("term", "idf", "v")
-        return LatentModel(written(done, "model"), final.shape[1])
+                for at, part in enumerate(batch.column("part").to_pylist()):
+                    if part not in sums:
+                        sums[part] = np.zeros(size, np.int64), np.zeros((size, k))
+                    df, v = sums[part]
+                    q, places, n, docs, tf = lists_in(batch, at, "q", "places", "n", "docs", "tf")
+                    q, f = q.reshape(-1, k), 1 + np.log(tf)
+                    df[places] += n
+                    for terms, mine, starts in pieces(n):
+                        v[places[terms]] += np.add.reduceat(q[docs[mine]] * f[mine, None], starts, axis=0)
+            for part, (df, v) in sums.items():
+                for a in range(0, size, SOME):
+                    idf = np.log((documents + 1) / (df[a : a + SOME] + 1))
+                    found = row_of([pa.array(idf), flat(v[a : a + SOME] * idf[:, None])], ["idf", "v"])
+                    yield found.add_column(0, "start", pa.array([a], pa.int32())).add_column(0, "part", pa.array([part], pa.int32()))
+
+        with small_batches(spark):
+            dealt = rows.mapInArrow(tiles, "part int, q array<double>, places array<int>, n array<int>, docs array<short>, tf array<int>")
+            sums = dealt.repartitionById(parts, "part").mapInArrow(back, "part int, start int, idf array<double>, v array<double>")
+            slabs = written(sums, "directions", LARGE_ROWS)
+            final, _ = whitening(gram(slabs, k, lambda batch: (x.values.to_numpy().reshape(-1, k) for x in batch.column("v"))))
+        return LatentModel(blocks, rows, words, slabs, parts, size, final[:, :dims])
 
     def embed(self, counts: DataFrame, key: str) -> DataFrame:
         """(key, vector of length one) of (key, term, tf); documents with none of the model's terms, or only those in all, have none."""
@@ -332,36 +384,74 @@ class LatentModel:
     def embed_bags(self, blocks: DataFrame, key: str) -> DataFrame:
         """embed() of blocks of documents, see bags().
 
-        What is shuffled are the blocks and one vector for each of a block's terms.
+        What is shuffled are the terms of documents and the model, by parts of the terms, then each document's sum over the terms of
+        each part; these are added up in the order of the parts, so documents with the same terms get the same vector.
         """
-        shape = f"{key} {blocks.schema['keys'].dataType.elementType.simpleString()}, vector array<double>"
+        spark, kind = blocks.sparkSession, blocks.schema["keys"].dataType.elementType.simpleString()
         if not self.dims:  # fitted on nothing
             return blocks.where(F.lit(False)).select(F.col("keys")[0].alias(key), F.array().cast("array<double>").alias("vector"))
-        dims = self.dims
+        parts, size, final, dims = self.parts, self.size, self.final, self.dims
+        rows = self.rows if blocks is self.blocks else located(blocks, self.words)
 
-        def embedded(bag, right):
-            v = right.column("v").combine_chunks().flatten().to_numpy().reshape(right.num_rows, dims)
-            w = (1 + np.log(bag.tf)) * right.column("idf").to_numpy()[bag.code]
-            x = products(bag.sizes, bag.code, w, v)
+        def tiles(batches):
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    keys, which = batch.column("keys")[at].values, [batch.column(c).slice(at, 1) for c in ("block", "row")]
+                    sizes, code, tf, ids = lists_in(batch, at, "sizes", "codes", "tf", "ids")
+                    for part, *lists in cut(sizes, code, tf, ids, parts):
+                        if not part or len(lists[0]):  # keys go with the first part
+                            found = row_of([keys[: 0 if part else None], *map(pa.array, lists)], ["keys", "places", "n", "docs", "tf"])
+                            first = [pa.array([part], pa.int32()), *which, pa.array([len(keys)], pa.int32())]
+                            yield pa.RecordBatch.from_arrays([*first, *found.columns], names=["part", "block", "row", "many", *found.schema.names])
+
+        def products_of(batches):
+            last, table = None, None
+            for batch in batches:
+                for at, (part, side) in enumerate(zip(batch.column("part").to_pylist(), batch.column("side").to_pylist())):
+                    if part != last:
+                        last, table = part, np.zeros((size, dims))
+                    if not side:
+                        (idf, v), a = lists_in(batch, at, "idf", "v"), batch.column("start")[at].as_py()
+                        table[a : a + len(idf)] = v.reshape(len(idf), -1) @ final * idf[:, None]
+                        continue
+                    places, n, docs, tf = lists_in(batch, at, "places", "n", "docs", "tf")
+                    out = np.zeros((batch.column("many")[at].as_py(), dims))
+                    order = np.argsort(docs, kind="stable")
+                    each = np.bincount(docs, minlength=len(out))
+                    some = np.flatnonzero(each)
+                    out[some] = products(each[some], np.repeat(np.arange(len(n)), n)[order], (1 + np.log(tf))[order], table[places])
+                    found = row_of([batch.column("keys")[at].values, flat(out)], ["keys", "x"])
+                    first = [batch.column(c).slice(at, 1) for c in ("block", "row", "part")]
+                    yield pa.RecordBatch.from_arrays([*first, *found.columns], names=["block", "row", "part", "keys", "x"])
+
+        def added(batches):
+            last, keys, x = None, None, None
+            for batch in batches:
+                for at, now in enumerate(zip(batch.column("block").to_pylist(), batch.column("row").to_pylist())):
+                    more = batch.column("x")[at].values.to_numpy()
+                    if now == last:
+                        x += more
+                        continue
+                    if last is not None:
+                        yield unit(keys, x.reshape(-1, dims))
+                    last, keys, x = now, pa.concat_arrays([batch.column("keys")[at].values]), more.copy()
+            if last is not None:
+                yield unit(keys, x.reshape(-1, dims))
+
+        def unit(keys, x):
             size = np.sqrt((x * x).sum(axis=1))
             some = np.flatnonzero(size > 0)
             lists = vectors(np.zeros(len(some), np.int64), x[some] / size[some, None]).column(1)
-            yield pa.RecordBatch.from_arrays([bag.keys.take(pa.array(some)), lists], names=[key, "vector"])
-
-        known = terms_of(blocks).join(self.terms, "term").select("block", "place", "idf", "v")
-        return with_terms(blocks, known, embedded, shape)
-
-
-def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows[order]
-    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
-    return ids[first], np.add.reduceat(rows, first, axis=0) if len(ids) else rows
-
-
-def some_vectors(ids: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(ids), 8192):
-        yield vectors(ids[a : a + 8192], rows[a : a + 8192])
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(some)), lists], names=[key, "vector"])
+
+        ints = "places array<int>, n array<int>, docs array<short>, tf array<int>"
+        dealt = rows.mapInArrow(tiles, f"part int, block long, row int, many int, keys array<{kind}>, {ints}")
+        both = dealt.withColumn("side", F.lit(1)).unionByName(self.slabs.withColumn("side", F.lit(0)), allowMissingColumns=True)
+        met = both.repartitionById(parts, "part").sortWithinPartitions("part", "side")
+        sums = met.mapInArrow(products_of, f"block long, row int, part int, keys array<{kind}>, x array<double>")
+        whole = sums.repartition("block", "row").sortWithinPartitions("block", "row", "part")
+        with small_batches(spark):
+            return written(whole.mapInArrow(added, f"{key} {kind}, vector array<double>"), "vectors")
 
 
 def vectors(ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:

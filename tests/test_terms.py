@@ -231,3 +231,47 @@ def test_a_task_makes_few_blocks(monkeypatch):
     monkeypatch.setattr(M, "ROW", 2)
     rows = [r.to_pylist()[0] for r in M.block_of(5, some)]
     assert [r["keys"] for r in rows] == [[1], [3], [4]] and sum((r["codes"] for r in rows), []) == b["codes"] and [len(r["terms"]) for r in rows] == [4, 0, 0]
+
+
+def test_terms_are_dealt_to_parts_that_a_task_holds(spark, monkeypatch):
+    """However many terms, a task holds SLAB bytes of their vectors; documents with the same words get the same vector, to the last bit."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    both = docs.union(docs.select(F.col("doc_id") + 10_000, "text")).repartition(5)
+    words, found = M.words_of(F.col("text")), []
+    for slab, row, many in ((M.SLAB, M.ROW, M.MANY), (1 << 17, 1 << 12, 20)):
+        monkeypatch.setattr(M, "SLAB", slab)
+        monkeypatch.setattr(M, "ROW", row)
+        monkeypatch.setattr(M, "MANY", many)
+        blocks = M.bags(both, "doc_id", words)
+        model = M.LatentModel.fit_bags(blocks, spent=True)
+        rows = model.slabs.select("part", F.size("idf").alias("n"), F.size("v").alias("size")).collect()
+        held = Counter()
+        for r in rows:
+            assert r["size"] == 40 * r.n
+            held[r.part] += 8 * r["size"]
+        assert max(held.values()) <= slab + 8 * 40 and len(held) == model.parts
+        assert model.rows.agg(F.max(F.size("keys"))).first()[0] <= many
+        found.append({r.doc_id: r.vector for r in model.embed_bags(blocks, "doc_id").collect()})
+    assert model.parts > 4 and model.rows.count() > 20
+    plain, small = found
+    assert plain.keys() == small.keys() and len(plain) > 150
+    keys = sorted(plain)
+    a, b = (np.array([x[k] for k in keys]) for x in (plain, small))
+    assert np.abs(a @ a.T - b @ b.T).max() < 1e-9
+    for x in found:
+        assert all(x[k] == x[k + 10_000] for k in x if k < 10_000)
+    # Other documents than those fitted go the same way, by their words.
+    counts = M.counted(docs.where("doc_id < 100"), "doc_id", words)
+    again = {r.doc_id: r.vector for r in model.embed(counts, "doc_id").collect()}
+    assert again and all(np.allclose(again[k], small[k], atol=1e-12) for k in again)
+
+
+def test_row_groups_of_large_rows_are_small(spark):
+    """A reader decodes a row group at once; a writer looks at its size only after a hundred rows unless it is told otherwise."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(60).repartition(1).select(F.expr("transform(sequence(1, 100000), x -> hash(id, x))").alias("x"))
+    table = M.written(rows, "large", M.LARGE_ROWS)
+    file = pq.ParquetFile(table.inputFiles()[0].removeprefix("file://"))
+    assert file.num_row_groups > 2 and max(file.metadata.row_group(n).num_rows for n in range(file.num_row_groups)) < 40
+    assert table.count() == 60
